@@ -22,7 +22,7 @@ def cadence(changes: DataFrame, unit: str = "day", keys: Sequence[str] = ("domai
     )
 
 
-def lifecycle(changes: DataFrame, slice_unit: str = "month") -> DataFrame:
+def lifecycle(changes: DataFrame, slice_unit: str = "day") -> DataFrame:
     """Changes per URL in order, with the days since the change before.
 
     The history of one URL is cut into time slices, so a URL with a large part

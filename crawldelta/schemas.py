@@ -8,31 +8,60 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import (
+    ArrayType,
+    BooleanType,
+    DataType,
+    DoubleType,
+    IntegerType,
+    LongType,
+    MapType,
+    StringType,
+    StructField,
+    StructType,
+    TimestampType,
+)
+
+_TYPES: dict[str, DataType] = {
+    "string": StringType(),
+    "int": IntegerType(),
+    "bigint": LongType(),
+    "double": DoubleType(),
+    "boolean": BooleanType(),
+    "timestamp": TimestampType(),
+}
+
+
+def _table(columns: str, **nested: DataType) -> StructType:
+    """A schema of flat columns, with nested columns at the end (usable without a session)."""
+    flat = [c.split() for c in columns.split(", ")]
+    fields = [StructField(n, _TYPES[t]) for n, t in flat]
+    return StructType(fields + [StructField(n, t) for n, t in nested.items()])
+
 
-SNAPSHOT = StructType.fromDDL(
+SNAPSHOT = _table(
     "loc string, domain string, lastmod string, detected_at timestamp, change_type string, "
     "sitemap_source_url string, section string, subsection string, path_depth int"
 )
 
-CHANGES = StructType.fromDDL(
+CHANGES = _table(
     "detected_at timestamp, domain string, loc string, change_type string, "
     "first_seen_at timestamp, last_seen_at timestamp, lastmod string, lastmod_prev string, "
     "sitemap_source_url string, section string, subsection string, path_depth int"
 )
 
-ALL_TIME = StructType.fromDDL(
+ALL_TIME = _table(
     "loc string, domain string, first_seen_at timestamp, last_seen_at timestamp, "
     "is_current_live boolean, live_status string, last_lastmod string, "
     "last_sitemap_source_url string, section string, subsection string, path_depth int"
 )
 
-SITEMAP_FILES = StructType.fromDDL(
+SITEMAP_FILES = _table(
     "sitemap_url string, domain string, sitemap_type string, url_count int, "
     "content_hash string, content_length bigint, fetched_at timestamp"
 )
 
-STATUS_HISTORY = StructType.fromDDL(
+STATUS_HISTORY = _table(
     "domain string, url string, change_type string, fate string, status_code int, "
     "is_redirect boolean, final_url string, redirect_count int, response_time_ms double, "
     "section string, checked_at timestamp, error string, has_noindex boolean, "
@@ -41,31 +70,34 @@ STATUS_HISTORY = StructType.fromDDL(
     "h_x_robots_tag string, h_link string, h_x_cache string, h_cf_cache_status string"
 )
 
-HEADERS = StructType.fromDDL(
-    "url string, checked_at timestamp, status_code int, headers map<string,string>"
+HEADERS = _table(
+    "url string, checked_at timestamp, status_code int",
+    headers=MapType(StringType(), StringType()),
 )
 
-BREAKER = StructType.fromDDL(
+BREAKER = _table(
     "domain string, is_open boolean, last_check timestamp, last_failure_rate double, "
     "consecutive_high_failures int, backoff_until timestamp, total_checks bigint, "
     "total_failures bigint"
 )
 
-ROBOTS = StructType.fromDDL(
+ROBOTS = _table(
     "domain string, content string, fetched_at timestamp, status_code int"
 )
 
-ATTEMPTS = StructType.fromDDL(
+ATTEMPTS = _table(
     "domain string, method string, success boolean, status_code int, attempted_at timestamp, "
     "url string"
 )
 
-TARGETS = StructType.fromDDL(
-    "domain string, sitemap_url string, sitemap_urls array<string>, enabled boolean, "
-    "interval_days int, user_agent string, download_delay double, fetch_timeout int, "
-    "status_check struct<enabled: boolean, check_new: boolean, check_updated: boolean, "
-    "check_removed: boolean, max_per_run: int, failure_threshold: double, backoff_days: int, "
-    "timeout: int, user_agent: string>"
+TARGETS = _table(
+    "domain string, sitemap_url string, enabled boolean, interval_days int, user_agent string, "
+    "download_delay double, fetch_timeout int",
+    sitemap_urls=ArrayType(StringType()),
+    status_check=_table(
+        "enabled boolean, check_new boolean, check_updated boolean, check_removed boolean, "
+        "max_per_run int, failure_threshold double, backoff_days int, timeout int, user_agent string"
+    ),
 )
 
 
