@@ -207,14 +207,14 @@ def _(spark, sf):
     root = scratch(spark, "a3")
     docs = bind(spark, sf, "x_docs").where(~F.contains("sitemap_url", F.lit("?")))
     # The writer of a crawl: one text file per document, in a folder per address.
-    folder = F.url_encode(F.substr("sitemap_url", F.lit(9)))
+    folder = F.translate(F.substr("sitemap_url", F.lit(9)), "/", "!")
     (docs.select(folder.alias("address"), F.col("xml").alias("value"))
         .write.partitionBy("address").text(root))
-    name = F.regexp_extract("sitemap_url", "address=(.*)/[^/]*$", 1)
+    name = F.translate(F.regexp_extract("sitemap_url", "address=(.*)/[^/]*$", 1), "!", "/")
     text = F.regexp_replace("xml", "\\n$", "")  # the text writer ends the file with a line end
     return (
         read_sitemap_docs(spark, root)
-        .withColumn("sitemap_url", F.concat(F.lit("https://"), F.url_decode(name)))
+        .withColumn("sitemap_url", F.concat(F.lit("https://"), name))
         .select(netloc(F.col("sitemap_url")).alias("domain"), "sitemap_url", F.sha2(text, 256).alias("content_hash"))
     )
 
@@ -612,6 +612,17 @@ def _(spark, sf):
     return AT.upsert_all_time(bind(spark, sf, "s_all_time"), _s(spark, sf)[0], RUN_TS)
 
 
+@check("c11_upsert_orders", oracle("l_cur l_all_time", f"""
+    SELECT coalesce(a.domain, c.domain) AS domain, coalesce(a.loc, c.loc) AS loc, coalesce(a.first_seen_at, {NOW}) AS first_seen_at,
+           CASE WHEN c.loc IS NULL THEN a.last_seen_at ELSE {NOW} END AS last_seen_at,
+           c.loc IS NOT NULL AS is_current_live, CASE WHEN c.loc IS NULL THEN a.last_lastmod ELSE c.lastmod END AS last_lastmod
+    FROM l_all_time a FULL OUTER JOIN dd c ON a.domain = c.domain AND a.loc = c.loc""", dedupe_cte("l_cur")))
+def _(spark, sf):
+    cur = with_path_features(D.dedupe_latest(bind(spark, sf, "l_cur")))
+    out = AT.upsert_all_time(bind(spark, sf, "l_all_time"), cur, RUN_TS)
+    return out.select("domain", "loc", "first_seen_at", "last_seen_at", "is_current_live", "last_lastmod")
+
+
 @check("c12_live_counts", oracle("s_cur s_all_time", f"""
     SELECT domain, count(*) AS total, count(*) FILTER (is_current_live) AS current_live,
            count(*) FILTER (NOT is_current_live) AS old_live FROM ({ALL_TIME_SQL}) GROUP BY domain""", dedupe_cte("s_cur")))
@@ -654,6 +665,18 @@ def _inventory(spark, sf):
     return run_inventory(cur, prev, conform(bind(spark, sf, "s_all_time"), ALL_TIME), RUN_TS)
 
 
+@check("plan_inventory_orders", oracle("l_cur l_prev l_all_time", f"""
+    SELECT df.domain, df.loc, change_type, CASE WHEN change_type = 'discovered' THEN {NOW} ELSE a.first_seen_at END AS first_seen_at,
+           lastmod, lastmod_prev
+    FROM df LEFT JOIN l_all_time a ON df.domain = a.domain AND df.loc = a.loc WHERE change_type <> 'present'""",
+    diff_cte("l_cur", "l_prev")))
+def _(spark, sf):
+    cur = with_path_features(bind(spark, sf, "l_cur"))
+    prev = conform(bind(spark, sf, "l_prev"), snapshots.SNAPSHOT)
+    run = run_inventory(cur, prev, conform(bind(spark, sf, "l_all_time"), ALL_TIME), RUN_TS)
+    return run.changes.select("domain", "loc", "change_type", "first_seen_at", "lastmod", "lastmod_prev")
+
+
 # --- D: probe candidates and classification -------------------------------------------
 
 

@@ -27,10 +27,9 @@ def count_words(c: Column) -> Column:
 
 
 def _named_entities() -> Column:
-    pairs: list[Column] = []
-    for name, code in {**name2codepoint, "apos": 0x27}.items():
-        pairs += [F.lit(name), F.lit(chr(code))]
-    return F.create_map(*pairs)
+    # One literal that is folded to a map; no value holds a tab or a line end.
+    table = {**name2codepoint, "apos": 0x27}
+    return F.str_to_map(F.lit("\n".join(f"{n}\t{chr(c)}" for n, c in table.items())), F.lit("\n"), F.lit("\t"))
 
 
 def _code_to_char(code: Column) -> Column:

@@ -28,10 +28,6 @@ def page_meta(pages: DataFrame) -> DataFrame:
         tag = H.first_tag_with(F.col("_metas"), key, value, ignore_case)
         return H.raw_attribute(tag, "content")
 
-    def text(raw: str, cap: int | None = None) -> Column:
-        decoded = decode_entities(F.col(raw))
-        return blank_to_null(decoded if cap is None else F.substring(decoded, 1, cap))
-
     # One step per line of work: a column that several later expressions read is
     # computed in its own projection, so that it is evaluated once.
     canonical_rel = r"(?:[^\"'>]*\s)?canonical(?:\s[^\"'>]*)?"
@@ -65,7 +61,15 @@ def page_meta(pages: DataFrame) -> DataFrame:
         )
         .drop("_metas", "_links", "_h1s")
     )
-    out = raw.withColumns(
+    # Character references of all short texts are decoded by one expression.
+    fields = ["_title", "_description", "_robots", "_canonical", "_og_title", "_og_description"]
+    decoded = raw.withColumn("_text", F.transform(F.array(*fields), decode_entities))
+
+    def text(field: str, cap: int | None = None) -> Column:
+        value = F.get(F.col("_text"), F.lit(fields.index(field)))
+        return blank_to_null(value if cap is None else F.substring(value, 1, cap))
+
+    out = decoded.withColumns(
         {
             "c_title": text("_title", TITLE_CAP),
             "c_meta_description": text("_description", DESCRIPTION_CAP),
@@ -75,7 +79,7 @@ def page_meta(pages: DataFrame) -> DataFrame:
             "c_og_description": text("_og_description", DESCRIPTION_CAP),
             "c_h1": F.substring(H.joined_text(F.col("_h1")), 1, H1_CAP),
         }
-    ).drop("_description", "_robots", "_og_title", "_og_description", "_canonical", "_title", "_h1")
+    ).drop("_text", "_h1", *fields)
     is_self = (_bare(F.col("c_canonical")) == _bare(F.col("url"))) | F.coalesce(
         _bare(F.col("c_canonical")) == _bare(final_url), F.lit(False)
     )
