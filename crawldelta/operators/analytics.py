@@ -30,7 +30,9 @@ def lifecycle(changes: DataFrame, slice_unit: str = "day") -> DataFrame:
     earlier ones (how many changes there were and when the last one was) is
     aggregated per slice and carried forward over that small table.
     """
-    sliced = changes.withColumn("_slice", F.date_trunc(slice_unit, F.col("detected_at")))
+    undated = F.lit("1970-01-01").cast("timestamp")
+    start = F.coalesce(F.date_trunc(slice_unit, F.col("detected_at")), undated)
+    sliced = changes.withColumn("_slice", start)
     carried_over = Window.partitionBy(*KEY).orderBy("_slice")
     carry = (
         sliced.groupBy(*KEY, "_slice")

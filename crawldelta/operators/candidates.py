@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.keyed import top_k_sliced
+from ..plans.keyed import hot_domains, join_domains, top_k_sliced
 from .diff import KEY, as_timestamp
 
 # Settings used where a target does not override them.
@@ -48,12 +48,12 @@ def recent_changes(log: DataFrame, run_ts: datetime | str, days: int = RECENT_DA
 
 def allowed_changes(log: DataFrame, settings: DataFrame) -> DataFrame:
     """Changes of the types a domain's settings ask for; default settings where it has none."""
-    return _with_settings(log, settings).where(_type_allowed(F.col("change_type"))).select(log.columns)
+    return _with_settings(log, settings, log).where(_type_allowed(F.col("change_type"))).select(log.columns)
 
 
-def _with_settings(df: DataFrame, settings: DataFrame) -> DataFrame:
+def _with_settings(df: DataFrame, settings: DataFrame, log: DataFrame) -> DataFrame:
     cols = ["check_removed", "check_new", "check_updated", "max_per_run"]
-    joined = df.join(settings.select("domain", *cols), "domain", "left")
+    joined = join_domains(df, settings, cols, hot_domains(log))
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(STATUS_DEFAULTS[c])) for c in cols})
 
 
@@ -78,7 +78,6 @@ def latest_allowed_change(log: DataFrame, settings: DataFrame) -> DataFrame:
     ).groupBy(*KEY).agg(
         *[F.max(F.when(F.col("change_type") == t, ranked)).alias(f"_{t}") for t in PRIORITY]
     )
-    best = F.lit(None)
     options = [
         F.when(
             F.col(ALLOWED_BY[t]) & F.col(f"_{t}").isNotNull(),
@@ -93,7 +92,7 @@ def latest_allowed_change(log: DataFrame, settings: DataFrame) -> DataFrame:
     ]
     best = F.greatest(*options)
     return (
-        _with_settings(per_url, settings)
+        _with_settings(per_url, settings, log)
         .withColumn("_best", best)
         .where(F.col("_best").isNotNull())
         .select(*KEY, "max_per_run", "_best.detected_at", "_best.change_type",

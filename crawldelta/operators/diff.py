@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.keyed import first_per_key, top_k
+from ..plans.keyed import first_per_key, keep_domains, top_k
 from ..schemas import CHANGES, SNAPSHOT, conform
 
 KEY = ["domain", "loc"]
@@ -32,7 +32,7 @@ def dedupe_latest(entries: DataFrame, ties: Sequence[str] = ("sitemap_source_url
 
 def guard_empty(cur: DataFrame, prev: DataFrame) -> DataFrame:
     """Previous rows of the domains that delivered at least one URL this time."""
-    return prev.join(cur.select("domain").distinct(), "domain", "left_semi")
+    return keep_domains(prev, cur)
 
 
 def classify_change(has_cur: Column, has_prev: Column, lastmod: Column, lastmod_prev: Column) -> Column:
@@ -114,8 +114,7 @@ def backfill(prev: DataFrame, log: DataFrame, run_ts: datetime | str) -> DataFra
     """Log every known URL of the domains that have a snapshot but no change log."""
     now = as_timestamp(run_ts)
     rows = (
-        prev.where(F.col("loc").isNotNull())
-        .join(log.select("domain").distinct(), "domain", "left_anti")
+        keep_domains(prev.where(F.col("loc").isNotNull()), log, present=False)
         .withColumns(
             {
                 "detected_at": now,

@@ -75,7 +75,7 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
     ).where(F.size("ranks") > 0)
     in_bin = Window.partitionBy("domain", "bin").orderBy("v")
     placed = (
-        values.join(wanted, ["domain", "bin"])
+        _same_bin(values, wanted)
         .withColumn("hi", F.col("before") + F.sum("n").over(in_bin))
         .withColumn("lo", F.col("hi") - F.col("n"))
         .withColumn("r", F.explode("ranks"))
@@ -90,6 +90,16 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
     )
 
 
+def _same_bin(values: DataFrame, wanted: DataFrame) -> DataFrame:
+    # Null-safe on purpose: no filter is then inferred for one side only, and both
+    # readings of the counted values share one exchange.
+    bins = wanted.select(
+        F.col("domain").alias("_d"), F.col("bin").alias("_b"), "before", "total", "ranks"
+    )
+    same = values["domain"].eqNullSafe(bins["_d"]) & values["bin"].eqNullSafe(bins["_b"])
+    return values.join(bins, same).drop("_d", "_b")
+
+
 def _rank_pair(q: float) -> list[tuple[Column, Column]]:
     """The two 0-based ranks around a quantile, each with its interpolation weight."""
     at = (F.col("total") - 1) * F.lit(q)

@@ -26,7 +26,7 @@ def root_name(xml: Column) -> Column:
 
 
 def parse_sitemaps(docs: DataFrame) -> DataFrame:
-    """Add ``sitemap_type``, ``sitemap`` and ``url`` to sitemap documents.
+    """Turn document texts into ``sitemap_type``, ``sitemap``, ``url`` and the text's facts.
 
     Each document is parsed once, in permissive mode. Documents that are empty
     or not well formed get the type ``error`` and no entries.
@@ -59,9 +59,11 @@ def parse_sitemaps(docs: DataFrame) -> DataFrame:
             {
                 "sitemap": F.when(F.col("sitemap_type") == _INDEX_ROOT, F.col("_doc.sitemap")),
                 "url": F.when(F.col("sitemap_type") == _URL_ROOT, F.col("_doc.url")),
+                "content_hash": F.sha2("xml", 256),
+                "content_length": F.length("xml").cast("bigint"),
             }
         )
-        .drop("_xml", "_root", "_doc")
+        .drop("_xml", "_root", "_doc", "xml")
     )
 
 
@@ -109,13 +111,13 @@ def _located(array_col: str) -> Column:
 def sitemap_file_facts(parsed: DataFrame) -> DataFrame:
     """Type, content hash, length in characters and number of entries per document."""
     entries = F.coalesce(_located("url"), _located("sitemap"), F.lit(0))
-    return parsed.where(F.coalesce(F.col("xml"), F.lit("")) != "").select(
+    return parsed.where(F.col("content_length") > 0).select(
         "sitemap_url",
         "domain",
         "sitemap_type",
         entries.alias("url_count"),
-        F.sha2("xml", 256).alias("content_hash"),
-        F.length("xml").cast("bigint").alias("content_length"),
+        "content_hash",
+        "content_length",
         "fetched_at",
     )
 
@@ -147,14 +149,22 @@ def reach_sitemaps(roots: DataFrame, links: DataFrame) -> DataFrame:
     return visited
 
 
-def reachable_entries(roots: DataFrame, docs: DataFrame) -> DataFrame:
-    """URL entries of the sitemaps reachable from the roots, tagged with their source.
+def reachable_docs(roots: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents reachable from the roots.
 
-    The root name is read by a cheap expression first, so every document is
-    parsed once: index documents for their links, the others for their entries.
+    The root name is read by a cheap expression first, so that only index
+    documents are parsed for their links.
     """
-    root = root_name(F.coalesce(F.col("xml"), F.lit("")))
-    links = sitemap_links(parse_sitemaps(docs.where(root != _URL_ROOT)))
+    links = sitemap_links(parse_sitemaps(docs.where(_root_of_text() != _URL_ROOT)))
     reached = reach_sitemaps(roots, links).select("domain", "sitemap_url")
-    leaves = docs.where(root != _INDEX_ROOT)
-    return url_entries(parse_sitemaps(leaves.join(reached, ["domain", "sitemap_url"], "left_semi")))
+    return docs.join(reached, ["domain", "sitemap_url"], "left_semi")
+
+
+def reachable_entries(roots: DataFrame, docs: DataFrame) -> DataFrame:
+    """URL entries of the sitemaps reachable from the roots, tagged with their source."""
+    leaves = reachable_docs(roots, docs).where(_root_of_text() != _INDEX_ROOT)
+    return url_entries(parse_sitemaps(leaves))
+
+
+def _root_of_text() -> Column:
+    return root_name(F.coalesce(F.col("xml"), F.lit("")))

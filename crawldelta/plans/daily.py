@@ -11,10 +11,10 @@ from pyspark.sql import functions as F
 from ..functions.urls import with_path_features
 from ..operators import diff as D
 from ..operators.alltime import live_status
-from ..operators.candidates import probe_candidates, status_settings
+from ..operators.candidates import probe_candidates, recent_changes, status_settings
 from ..operators.health import breaker_state, run_failures, runnable
 from ..operators.probes import classify_probes
-from ..operators.sitemaps import parse_sitemaps, reachable_entries, sitemap_file_facts
+from ..operators.sitemaps import parse_sitemaps, reachable_docs, sitemap_file_facts, url_entries
 from ..operators.targets import due_targets, normalize_targets, run_summary, target_roots
 from ..schemas import ALL_TIME, BREAKER, CHANGES, SNAPSHOT, conform
 from ..session import cut_lineage
@@ -22,7 +22,7 @@ from ..sources.changelog import append_changes, read_changes, run_id_of
 from ..sources.history import append_status_history, read_status_history, write_headers
 from ..sources.snapshots import read_snapshot, write_sitemap_files, write_snapshot
 from ..sources.state import read_state, write_state
-from .keyed import tag_known_domains
+from .keyed import hot_domains, keep_domains, tag_known_domains
 
 
 class Inventory(NamedTuple):
@@ -37,6 +37,13 @@ _CUR = ["lastmod", "sitemap_source_url", "section", "subsection", "path_depth"]
 _OLD = [f for f in ALL_TIME.names if f not in D.KEY]
 
 
+def _stacked_domains(*frames: DataFrame) -> DataFrame:
+    out = frames[0].select("domain")
+    for f in frames[1:]:
+        out = out.unionByName(f.select("domain"))
+    return out
+
+
 def fused_state(cur: DataFrame, prev: DataFrame, all_time: DataFrame) -> DataFrame:
     """One row per URL with its current, previous and all-time sides.
 
@@ -78,7 +85,8 @@ def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame,
     are narrow readings of them.
     """
     state = fused_state(cur, prev, all_time)
-    state = tag_known_domains(state, cur, "ran")
+    hot = hot_domains(_stacked_domains(cur, prev, all_time))
+    state = tag_known_domains(state, cur, "ran", hot)
     if materialize:
         state = cut_lineage(state)
     now = D.as_timestamp(run_ts)
@@ -128,14 +136,15 @@ def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, ba
     """
     run_id = run_id_of(run_ts)
     due = due_targets(normalize_targets(targets).where("is_valid"), str(run_ts)[:10])
-    run_docs = docs.join(due.select("domain").distinct(), "domain", "left_semi")
-    entries = cut_lineage(with_path_features(reachable_entries(target_roots(due), run_docs)))
-    write_sitemap_files(sitemap_file_facts(parse_sitemaps(run_docs)), f"{base}/sitemaps", run_id)
+    # Parsed once and kept without the texts; facts and entries are read from it.
+    parsed = cut_lineage(parse_sitemaps(reachable_docs(target_roots(due), docs)))
+    entries = with_path_features(url_entries(parsed))
+    write_sitemap_files(sitemap_file_facts(parsed), f"{base}/sitemaps", run_id)
 
     prev = read_snapshot(spark, f"{base}/snapshot", before=run_id)
     all_time = read_state(spark, f"{base}/all_time", ALL_TIME, before=run_id)
     log = _log_before(spark, f"{base}/changes", run_id)
-    backfilled = D.backfill(prev.join(entries.select("domain").distinct(), "domain", "left_semi"), log, run_ts)
+    backfilled = D.backfill(D.guard_empty(entries, prev), log, run_ts)
     run = run_inventory(entries, prev, all_time, run_ts)
     append_changes(run.changes.unionByName(backfilled), f"{base}/changes", run_ts)
     write_snapshot(run.snapshot, f"{base}/snapshot", run_id)
@@ -158,7 +167,7 @@ def plan_probes(spark: SparkSession, targets: DataFrame, base: str, run_ts: date
     settings = status_settings(targets)
     breaker = read_state(spark, f"{base}/breaker", BREAKER)
     domains = runnable(settings, breaker, run_ts, force)
-    log = read_changes(spark, f"{base}/changes").join(domains, "domain", "left_semi")
+    log = keep_domains(recent_changes(read_changes(spark, f"{base}/changes"), run_ts), domains)
     return probe_candidates(log, settings, run_ts)
 
 

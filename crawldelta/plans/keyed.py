@@ -56,12 +56,54 @@ def top_k_sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     return out if rank_as else out.drop(name)
 
 
-def tag_known_domains(df: DataFrame, domains: DataFrame, flag: str) -> DataFrame:
-    """Add a boolean: does the row's domain occur in ``domains``?
+def hot_domains(rows: DataFrame) -> DataFrame:
+    """Domains with more than an even partition's share of the rows.
 
-    The distinct domains are broadcast only if Spark measures them below its
-    threshold; beyond that the join sorts and merges, and the adaptive skew
-    rule splits a hot domain. Callers follow it with an exchange on finer keys.
+    With P shuffle partitions each of them has over 1/P of the rows, so there
+    are fewer than P of them, whatever the data. Counting reads one column.
     """
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = rows.groupBy("domain").agg(F.count("*").alias("_n"))
+    total = counts.select(F.sum("_n")).scalar()
+    return counts.where(F.col("_n") * partitions > total).select("domain")
+
+
+def join_domains(facts: DataFrame, dim: DataFrame, columns: Sequence[str], hot: DataFrame,
+                 spread_on: Sequence[str] = ("loc",)) -> DataFrame:
+    """Left join a table with one row per domain to a table with many.
+
+    The number of domains has no bound, so the dimension is not forced into a
+    broadcast. Only its rows for the hot domains are, of which there are fewer
+    than shuffle partitions; rows of hot domains take their match from there and
+    go through the other join under a spread key that matches nothing. What is
+    left for that join has no hot key. Spark still broadcasts the dimension by
+    itself where it measures it below its threshold.
+    """
+    packed = F.struct(*columns)
+    few = hot.join(dim.select("domain", packed.alias("_hot_row")), "domain", "left")
+    few = few.select("domain", "_hot_row", F.lit(True).alias("_hot"))
+    spread = F.concat(F.lit("\u0000"), F.xxhash64(*spread_on).cast("string"))
+    key = F.when(F.col("_hot") | F.col("domain").isNull(), spread).otherwise(F.col("domain"))
+    keyed = dim.select(F.col("domain").alias("_key"), packed.alias("_row"))
+    return (
+        facts.join(F.broadcast(few), "domain", "left")
+        .withColumn("_key", key)
+        .join(keyed, "_key", "left")
+        .withColumn("_row", F.coalesce("_hot_row", "_row"))
+        .select(*facts.columns, *[F.col(f"_row.{c}").alias(c) for c in columns])
+    )
+
+
+def tag_known_domains(df: DataFrame, domains: DataFrame, flag: str, hot: DataFrame | None = None,
+                      spread_on: Sequence[str] = ("loc",)) -> DataFrame:
+    """Add a boolean: does the row's domain occur in ``domains``?"""
     known = domains.select("domain").distinct().withColumn(flag, F.lit(True))
-    return df.join(known, "domain", "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+    tagged = join_domains(df, known, [flag], hot_domains(df) if hot is None else hot, spread_on)
+    return tagged.withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
+
+
+def keep_domains(df: DataFrame, domains: DataFrame, present: bool = True,
+                 spread_on: Sequence[str] = ("loc",)) -> DataFrame:
+    """Rows whose domain occurs in ``domains``, or with ``present`` false does not."""
+    tagged = tag_known_domains(df, domains, "_known", spread_on=spread_on)
+    return tagged.where(F.col("_known") == present).drop("_known")

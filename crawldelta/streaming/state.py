@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.alltime import live_status
 from ..operators.diff import KEY
 from ..operators.health import breaker_state, run_failures
+from ..plans.keyed import hot_domains, join_domains
 from ..schemas import ALL_TIME, BREAKER, conform
 from ..sources.state import read_state, write_state
 
@@ -42,22 +43,19 @@ def fold_snapshots(all_time: DataFrame, snapshots: DataFrame) -> DataFrame:
     live = F.when(
         F.col("_ran_at").isNotNull(), has_cur & (F.col("cur.detected_at") == F.col("_ran_at"))
     ).otherwise(F.col("is_current_live"))
-    merged = (
-        conform(all_time, ALL_TIME)
-        .join(seen, KEY, "full_outer")
-        .join(ran, "domain", "left")
-        .select(
-            *KEY,
-            F.coalesce("first_seen_at", "_first").alias("first_seen_at"),
-            F.when(has_cur, F.col("cur.detected_at")).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
-            live.alias("is_current_live"),
-            live_status(live).alias("live_status"),
-            pick("lastmod", "last_lastmod"),
-            pick("sitemap_source_url", "last_sitemap_source_url"),
-            pick("section", "section"),
-            pick("subsection", "subsection"),
-            pick("path_depth", "path_depth"),
-        )
+    stacked = all_time.select("domain").unionByName(snapshots.select("domain"))
+    joined = conform(all_time, ALL_TIME).join(seen, KEY, "full_outer")
+    merged = join_domains(joined, ran, ["_ran_at"], hot_domains(stacked)).select(
+        *KEY,
+        F.coalesce("first_seen_at", "_first").alias("first_seen_at"),
+        F.when(has_cur, F.col("cur.detected_at")).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+        live.alias("is_current_live"),
+        live_status(live).alias("live_status"),
+        pick("lastmod", "last_lastmod"),
+        pick("sitemap_source_url", "last_sitemap_source_url"),
+        pick("section", "section"),
+        pick("subsection", "subsection"),
+        pick("path_depth", "path_depth"),
     )
     return conform(merged, ALL_TIME)
 
