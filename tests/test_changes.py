@@ -1,0 +1,121 @@
+"""Diff, change log, all-time table: invariants and edge cases."""
+
+import random
+
+import pytest
+
+from crawldelta.operators import alltime as AT
+from crawldelta.operators import diff as D
+from crawldelta.plans.daily import run_inventory
+from crawldelta.schemas import ALL_TIME, SNAPSHOT
+
+T1, T2, T3 = "2025-12-01 06:00:00", "2025-12-02 06:00:00", "2025-12-03 06:00:00"
+
+
+def entries(spark, rows):
+    df = spark.createDataFrame(rows, "domain string, loc string, lastmod string, sitemap_source_url string, pos int")
+    return df.selectExpr("*", "cast(null as string) section", "cast(null as string) subsection", "cast(null as int) path_depth")
+
+
+def empty(spark, schema):
+    return spark.createDataFrame([], schema)
+
+
+def kinds(df):
+    return {(r.domain, r.loc): r.change_type for r in df.collect()}
+
+
+def test_dedupe_prefers_latest_parsed_date_then_input_order(spark):
+    rows = [
+        ("d", "a", "junk", "s", 0), ("d", "a", "2025-01-02", "s", 1), ("d", "a", "2025-01-01T10:00:00Z", "s", 2),
+        ("d", "b", None, "s", 3), ("d", "b", "junk", "s", 4),
+        ("e", "a", "2025", "s", 0), (None, None, None, "s", 0),
+    ]
+    got = {(r.domain, r.loc): (r.lastmod, r.pos) for r in D.dedupe_latest(entries(spark, rows)).collect()}
+    assert got == {("d", "a"): ("2025-01-02", 1), ("d", "b"): (None, 3), ("e", "a"): ("2025", 0)}
+
+
+def test_modified_counts_a_date_that_appears_or_goes(spark):
+    prev = D.next_snapshot(D.snapshot_diff(
+        entries(spark, [("d", "a", None, "s", 0), ("d", "b", "x", "s", 1), ("d", "c", None, "s", 2), ("d", "e", "2025", "s", 3)]),
+        empty(spark, SNAPSHOT), T1))
+    cur = entries(spark, [("d", "a", "x", "s", 0), ("d", "b", None, "s", 1), ("d", "c", None, "s", 2), ("d", "e", "2025", "s", 3)])
+    assert kinds(D.snapshot_diff(cur, prev, T2)) == {
+        ("d", "a"): "modified", ("d", "b"): "modified", ("d", "c"): "present", ("d", "e"): "present"
+    }
+
+
+def test_same_inventory_again_gives_no_changes(spark):
+    cur = entries(spark, [("d", str(i), None, "s", i) for i in range(20)])
+    first = run_inventory(cur, empty(spark, SNAPSHOT), empty(spark, ALL_TIME), T1)
+    assert set(kinds(first.changes).values()) == {"discovered"}
+    again = run_inventory(cur, first.snapshot, first.all_time, T2)
+    assert again.changes.count() == 0 and again.snapshot.count() == 20
+
+
+def test_returning_url_is_discovered_now_but_keeps_its_first_day(spark):
+    a, ab = [("d", "a", None, "s", 0)], [("d", "a", None, "s", 0), ("d", "b", None, "s", 1)]
+    one = run_inventory(entries(spark, ab), empty(spark, SNAPSHOT), empty(spark, ALL_TIME), T1)
+    two = run_inventory(entries(spark, a), one.snapshot, one.all_time, T2)
+    assert kinds(two.changes) == {("d", "b"): "removed"}
+    gone = {r.loc: (r.is_current_live, r.live_status, str(r.last_seen_at)) for r in two.all_time.collect()}
+    assert gone["b"] == (False, "old_live", T1)
+    three = run_inventory(entries(spark, ab), two.snapshot, two.all_time, T3)
+    row = three.changes.collect()[0]
+    assert (row.loc, row.change_type, str(row.first_seen_at)) == ("b", "discovered", T3)
+    back = {r.loc: (str(r.first_seen_at), r.is_current_live) for r in three.all_time.collect()}
+    assert back["b"] == (T1, True)
+
+
+def test_domain_without_urls_is_left_alone(spark):
+    one = run_inventory(entries(spark, [("d", "a", None, "s", 0), ("e", "b", None, "s", 0)]),
+                        empty(spark, SNAPSHOT), empty(spark, ALL_TIME), T1)
+    two = run_inventory(entries(spark, [("d", "a", None, "s", 0)]), one.snapshot, one.all_time, T2)
+    assert two.changes.count() == 0
+    kept = {(r.domain, r.loc): str(r.detected_at) for r in two.snapshot.collect()}
+    assert kept == {("d", "a"): T2, ("e", "b"): T1}
+    assert {r.loc: r.is_current_live for r in two.all_time.collect()} == {"a": True, "b": True}
+
+
+def test_upsert_twice_is_upsert_once(spark):
+    snap = D.next_snapshot(D.snapshot_diff(entries(spark, [("d", "a", "x", "s", 0)]), empty(spark, SNAPSHOT), T1))
+    once = AT.upsert_all_time(empty(spark, ALL_TIME), snap, T1)
+    twice = AT.upsert_all_time(once, snap, T1)
+    assert once.collect() == twice.collect()
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_fused_run_equals_the_separate_operators_under_skew(spark, seed):
+    rng = random.Random(seed)
+    # One domain holds most of all rows.
+    domains = ["hot"] * 8 + ["b", "c", "d", "e"]
+    urls = sorted({(rng.choice(domains), f"u{rng.randrange(400)}") for _ in range(900)})
+    dates = [None, "junk", "2025-01-01", "2025-01-02"]
+    prev_rows = [(d, u, rng.choice(dates), "s1", 0) for d, u in urls if rng.random() < 0.7]
+    cur_rows = [(d, u, rng.choice(dates), f"s{k}", k) for d, u in urls if d != "e" and rng.random() < 0.7
+                for k in range(rng.randrange(1, 4))]
+    first = run_inventory(entries(spark, prev_rows), empty(spark, SNAPSHOT), empty(spark, ALL_TIME), T1)
+    cur = entries(spark, cur_rows)
+    fused = run_inventory(cur, first.snapshot, first.all_time, T2)
+
+    single = D.dedupe_latest(cur)
+    diff = D.snapshot_diff(single, D.guard_empty(cur, first.snapshot), T2)
+    assert sorted(D.change_rows(diff, first.all_time, T2).collect()) == sorted(fused.changes.collect())
+    known = AT.upsert_all_time(first.all_time, D.next_snapshot(diff), T2)
+    key = lambda r: (r.domain, r.loc)
+    assert sorted(known.collect(), key=key) == sorted(fused.all_time.collect(), key=key)
+
+    # Against a plain computation.
+    now = {(d, u) for d, u, *_ in cur_rows}
+    before = {(d, u) for d, u, *_ in prev_rows if d in {x for x, _ in now}}
+    got = kinds(fused.changes)
+    assert {k for k, v in got.items() if v == "discovered"} == now - before
+    assert {k for k, v in got.items() if v == "removed"} == before - now
+    assert fused.snapshot.where("domain <> 'e'").count() == len(now)
+
+
+def test_backfill_only_for_domains_without_log(spark):
+    snap = D.next_snapshot(D.snapshot_diff(
+        entries(spark, [("d", "a", None, "s", 0), ("e", "b", None, "s", 0)]), empty(spark, SNAPSHOT), T1))
+    log = spark.createDataFrame([("d",)], "domain string")
+    assert kinds(D.backfill(snap, log, T2)) == {("e", "b"): "discovered"}
