@@ -25,7 +25,7 @@ from ..plans.daily import run_inventory
 from ..schemas import ALL_TIME, BREAKER, conform
 from ..session import shared_dir
 from ..sources import changelog, history, snapshots
-from ..sources.state import read_state
+from ..sources.state import read_state, write_state
 from ..streaming import changes as SC
 from ..streaming import state as SS
 from .bindings import EVENTS_RUN_TS, RUN_TS, bind, oracle
@@ -677,6 +677,24 @@ def _(spark, sf):
     return run.changes.select("domain", "loc", "change_type", "first_seen_at", "lastmod", "lastmod_prev")
 
 
+@check("plan_inventory_bucketed", oracle("l_cur l_all_time", f"""
+    SELECT coalesce(a.domain, c.domain) AS domain, coalesce(a.loc, c.loc) AS loc, coalesce(a.first_seen_at, {NOW}) AS first_seen_at,
+           c.loc IS NOT NULL AS is_current_live, CASE WHEN c.loc IS NULL THEN a.last_lastmod ELSE c.lastmod END AS last_lastmod
+    FROM l_all_time a FULL OUTER JOIN dd c ON a.domain = c.domain AND a.loc = c.loc""", dedupe_cte("l_cur")))
+def _(spark, sf):
+    root, buckets = scratch(spark, "bucketed"), 16
+    for name, schema in (("l_prev", snapshots.SNAPSHOT), ("l_all_time", ALL_TIME)):
+        rows = bind(spark, sf, name).repartition(buckets, *D.KEY)
+        write_state(rows, f"{root}/{name}", "1", schema, buckets)
+    prev = read_state(spark, f"{root}/l_prev", snapshots.SNAPSHOT, buckets=buckets)
+    all_time = read_state(spark, f"{root}/l_all_time", ALL_TIME, buckets=buckets)
+    run = run_inventory(with_path_features(bind(spark, sf, "l_cur")), prev, all_time, RUN_TS, buckets=buckets)
+    write_state(run.all_time, f"{root}/l_all_time", "2", ALL_TIME, buckets)
+    return read_state(spark, f"{root}/l_all_time", ALL_TIME, buckets=buckets).select(
+        "domain", "loc", "first_seen_at", "is_current_live", "last_lastmod"
+    )
+
+
 # --- D: probe candidates and classification -------------------------------------------
 
 

@@ -20,9 +20,9 @@ from ..schemas import ALL_TIME, BREAKER, CHANGES, SNAPSHOT, conform
 from ..session import cut_lineage
 from ..sources.changelog import append_changes, read_changes, run_id_of
 from ..sources.history import append_status_history, read_status_history, write_headers
-from ..sources.snapshots import read_snapshot, write_sitemap_files, write_snapshot
+from ..sources.snapshots import write_sitemap_files
 from ..sources.state import read_state, write_state
-from .keyed import hot_domains, keep_domains, tag_known_domains
+from .keyed import keep_domains, tag_known_domains
 
 
 class Inventory(NamedTuple):
@@ -37,46 +37,65 @@ _CUR = ["lastmod", "sitemap_source_url", "section", "subsection", "path_depth"]
 _OLD = [f for f in ALL_TIME.names if f not in D.KEY]
 
 
-def _stacked_domains(*frames: DataFrame) -> DataFrame:
-    out = frames[0].select("domain")
-    for f in frames[1:]:
-        out = out.unionByName(f.select("domain"))
-    return out
+def _entry_rank(cur: DataFrame) -> Column:
+    """Entry fields behind their order of preference: the least struct is the entry to keep.
 
-
-def fused_state(cur: DataFrame, prev: DataFrame, all_time: DataFrame) -> DataFrame:
-    """One row per URL with its current, previous and all-time sides.
-
-    The three inputs are tagged, stacked and grouped once on (domain, loc):
-    every input row is shuffled exactly once for the diff, the first-seen lookup
-    and the all-time update together. Duplicate entries of the current side are
-    settled in the same aggregation, partly before the shuffle.
+    The greatest date wins, undated entries come last, ties go to the lesser
+    source and position.
     """
     ts = F.try_to_timestamp("lastmod")
     ties = [c for c in ("sitemap_source_url", "pos") if c in cur.columns]
-    # The greatest date wins, then the least of the ties: max_by over dates and
-    # negated positions would need numeric ties, so the least struct is taken.
-    rank = F.struct(
+    return F.struct(
         ts.isNull().alias("undated"),
         (-F.coalesce(F.unix_micros(ts), F.lit(0))).alias("age"),
         *[F.struct(F.col(c).isNull().alias("n"), F.col(c).alias("v")).alias(f"t_{c}") for c in ties],
         *[F.col(c).alias(c) for c in _CUR],
     )
-    sides = {
-        "cur": (cur.where(F.col("loc").isNotNull()), rank),
-        "prev": (prev, F.struct("lastmod", "sitemap_source_url", "change_type", "section",
-                                "subsection", "path_depth", "detected_at")),
-        "old": (all_time, F.struct(*_OLD)),
-    }
-    stacked = None
-    for name, (df, packed) in sides.items():
-        part = df.select(*D.KEY, packed.alias(name))
-        stacked = part if stacked is None else stacked.unionByName(part, allowMissingColumns=True)
-    return stacked.groupBy(*D.KEY).agg(*[F.min(n).alias(n) for n in sides])
-
-
-def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame,
-                  run_ts: datetime | str, materialize: bool = True) -> Inventory:
+
+
+def fused_state(cur: DataFrame, prev: DataFrame, all_time: DataFrame, buckets: int | None = None) -> DataFrame:
+    """One row per URL with its current, previous and all-time sides.
+
+    The three inputs are tagged, stacked and grouped once on (domain, loc):
+    every input row is shuffled at most once for the diff, the first-seen lookup
+    and the all-time update together. Duplicate entries of the current side are
+    settled in the same aggregation, partly before the shuffle.
+
+    With ``buckets``, the two state tables are bucketed that way on the key. The
+    current side is then deduplicated and brought to the same buckets, and the
+    state, by far the larger part, is not shuffled at all.
+    """
+    now = cur.where(F.col("loc").isNotNull()).select(*D.KEY, _entry_rank(cur).alias("cur"))
+    if buckets:
+        now = now.groupBy(*D.KEY).agg(F.min("cur").alias("cur")).repartition(buckets, *D.KEY)
+    before = prev.select(
+        *D.KEY,
+        F.struct("lastmod", "sitemap_source_url", "change_type", "section", "subsection",
+                 "path_depth", "detected_at").alias("prev"),
+    )
+    ever = all_time.select(*D.KEY, F.struct(*_OLD).alias("old"))
+    stacked = now.unionByName(before, allowMissingColumns=True).unionByName(ever, allowMissingColumns=True)
+    return stacked.groupBy(*D.KEY).agg(*[F.min(side).alias(side) for side in ("cur", "prev", "old")])
+
+
+def _with_ran(state: DataFrame, cur: DataFrame, buckets: int | None) -> DataFrame:
+    """Add ``ran``: did the row's domain deliver any URL in this run?
+
+    A row with a current side answers itself, and a row that is long gone is not
+    changed either way. Only the rest, URLs that were live and are missing now,
+    is looked up by domain.
+    """
+    has_cur = F.col("cur").isNotNull()
+    gone = F.col("prev").isNull() & ~F.coalesce(F.col("old.is_current_live"), F.lit(False))
+    settled = state.where(has_cur | gone).withColumn("ran", has_cur)
+    asked = tag_known_domains(state.where(~has_cur & ~gone), cur, "ran")
+    if buckets:
+        asked = asked.repartition(buckets, *D.KEY)
+    return settled.unionByName(asked)
+
+
+def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame, run_ts: datetime | str,
+                  materialize: bool = True, buckets: int | None = None) -> Inventory:
     """Diff, change log, next snapshot and all-time table of one run.
 
     Domains without a current URL did not run: their snapshot rows and all-time
@@ -84,17 +103,14 @@ def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame,
     The fused rows are written once to the shared folder, and the three results
     are narrow readings of them.
     """
-    state = fused_state(cur, prev, all_time)
-    hot = hot_domains(_stacked_domains(cur, prev, all_time))
-    state = tag_known_domains(state, cur, "ran", hot)
-    if materialize:
-        state = cut_lineage(state)
+    state = fused_state(cur, prev, all_time, buckets)
+    state = _with_ran(cut_lineage(state) if materialize else state, cur, buckets)
     now = D.as_timestamp(run_ts)
     has_cur, has_prev, known = (F.col(c).isNotNull() for c in ("cur", "prev", "old"))
 
     change = D.classify_change(has_cur, has_prev, F.col("cur.lastmod"), F.col("prev.lastmod"))
     once = ~((change == "removed") & F.col("prev.change_type").eqNullSafe("removed"))
-    diff = state.where(F.col("ran") & (has_cur | has_prev)).select(
+    diff = state.where(F.col("ran") & (has_cur | has_prev) & once).select(
         *D.KEY,
         change.alias("change_type"),
         *[F.col(f"cur.{c}").alias(c) for c in _CUR],
@@ -102,10 +118,17 @@ def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame,
         F.col("prev.sitemap_source_url").alias("sitemap_source_url_prev"),
         F.col("old.first_seen_at").alias("first_seen_known"),
         now.alias("detected_at"),
-        once.alias("once"),
     )
-    kept = state.where(~F.col("ran") & has_prev).select(*D.KEY, "prev.*")
-    snapshot = D.next_snapshot(diff).unionByName(conform(kept, SNAPSHOT))
+
+    def carried(new: Column, name: str) -> Column:
+        return F.when(has_cur, new).otherwise(F.col(f"prev.{name}")).alias(name)
+
+    snapshot = state.where(has_cur | (~F.col("ran") & has_prev)).select(
+        *D.KEY,
+        *[carried(F.col(f"cur.{c}"), c) for c in _CUR],
+        carried(now, "detected_at"),
+        carried(change, "change_type"),
+    )
 
     def pick(new: str, old: str) -> Column:
         return F.when(has_cur, F.col(f"cur.{new}")).otherwise(F.col(f"old.{old}")).alias(old)
@@ -123,16 +146,19 @@ def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame,
         pick("subsection", "subsection"),
         pick("path_depth", "path_depth"),
     )
-    changes = D.to_change_rows(diff.where("once"), run_ts)
-    return Inventory(changes, snapshot, conform(everything, ALL_TIME))
+    return Inventory(
+        D.to_change_rows(diff, run_ts), conform(snapshot, SNAPSHOT), conform(everything, ALL_TIME)
+    )
 
 
 def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, base: str,
-                    run_ts: datetime | str) -> DataFrame:
+                    run_ts: datetime | str, buckets: int | None = None) -> DataFrame:
     """Targets and sitemap documents to change log, snapshot, all-time table and summary.
 
     State lives under ``base``; a rerun with the same ``run_ts`` replaces its own
-    output. Returns the run summary.
+    output. With ``buckets`` the snapshot and the all-time table are kept
+    bucketed on (domain, loc) and are joined without a shuffle; the number must
+    stay the same from run to run. Returns the run summary.
     """
     run_id = run_id_of(run_ts)
     due = due_targets(normalize_targets(targets).where("is_valid"), str(run_ts)[:10])
@@ -141,14 +167,15 @@ def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, ba
     entries = with_path_features(url_entries(parsed))
     write_sitemap_files(sitemap_file_facts(parsed), f"{base}/sitemaps", run_id)
 
-    prev = read_snapshot(spark, f"{base}/snapshot", before=run_id)
-    all_time = read_state(spark, f"{base}/all_time", ALL_TIME, before=run_id)
+    prev = read_state(spark, f"{base}/snapshot", SNAPSHOT, run_id, buckets)
+    all_time = read_state(spark, f"{base}/all_time", ALL_TIME, run_id, buckets)
     log = _log_before(spark, f"{base}/changes", run_id)
     backfilled = D.backfill(D.guard_empty(entries, prev), log, run_ts)
-    run = run_inventory(entries, prev, all_time, run_ts)
+    run = run_inventory(entries, prev, all_time, run_ts, buckets=buckets)
     append_changes(run.changes.unionByName(backfilled), f"{base}/changes", run_ts)
-    write_snapshot(run.snapshot, f"{base}/snapshot", run_id)
-    write_state(run.all_time, f"{base}/all_time", run_id, ALL_TIME)
+    if not run.snapshot.isEmpty():
+        write_state(run.snapshot, f"{base}/snapshot", run_id, SNAPSHOT, buckets)
+    write_state(run.all_time, f"{base}/all_time", run_id, ALL_TIME, buckets)
     return run_summary(due, entries)
 
 

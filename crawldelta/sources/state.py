@@ -8,6 +8,8 @@ complete run in force.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -37,16 +39,54 @@ def latest_run(spark: SparkSession, root: str, before: str | None = None) -> str
 
 
 def read_state(spark: SparkSession, root: str, schema: StructType,
-               before: str | None = None) -> DataFrame:
+               before: str | None = None, buckets: int | None = None) -> DataFrame:
     """The newest complete run, or an empty table before the first one."""
     run = latest_run(spark, root, before)
     if run is None:
         return spark.createDataFrame([], schema)
+    if buckets:
+        return _bucketed_table(spark, run, schema, buckets)
     return spark.read.schema(schema).parquet(run)
 
 
-def write_state(df: DataFrame, root: str, run_id: str, schema: StructType) -> str:
+def write_state(df: DataFrame, root: str, run_id: str, schema: StructType,
+                buckets: int | None = None) -> str:
     """Write a complete run; run ids sort by time. Writing a run again replaces it."""
     out = f"{root}/run_id={run_id}"
-    conform(df, schema).write.mode("overwrite").parquet(out)
+    rows = conform(df, schema)
+    if not buckets:
+        rows.write.mode("overwrite").parquet(out)
+        return out
+    name = _table_name(out)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    (
+        rows.write.mode("overwrite")
+        .bucketBy(buckets, *BUCKET_KEY)
+        .sortBy(*BUCKET_KEY)
+        .option("path", out)
+        .saveAsTable(name)
+    )
     return out
+
+
+BUCKET_KEY = ("domain", "loc")
+
+
+def _table_name(path: str) -> str:
+    return "crawldelta_" + hashlib.md5(path.encode()).hexdigest()
+
+
+def _bucketed_table(spark: SparkSession, run: str, schema: StructType, buckets: int) -> DataFrame:
+    """A bucketed run as an external table, so that its partitioning is known to the planner.
+
+    The catalog entry only repeats what the files are; it is declared anew in a
+    session that does not have it.
+    """
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+    key = ", ".join(BUCKET_KEY)
+    name = _table_name(run)
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet "
+        f"CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{run}'"
+    )
+    return spark.table(name)

@@ -59,6 +59,37 @@ def test_daily_job_and_its_rerun(spark, base):
     assert todo == [("y", "removed"), ("z", "discovered")]
 
 
+def test_bucketed_state_is_not_shuffled_and_gives_the_same(spark, sf_dir, base):
+    from crawldelta.checks.bindings import bind
+    from crawldelta.functions.urls import with_path_features
+
+    n = 12
+    cur = with_path_features(bind(spark, sf_dir, "l_cur"))
+    plain = {"prev": conform(bind(spark, sf_dir, "l_prev"), SNAPSHOT), "old": conform(bind(spark, sf_dir, "l_all_time"), ALL_TIME)}
+    kept = {}
+    for name, df in plain.items():
+        state.write_state(df.repartition(n, "domain", "loc"), f"{base}/{name}", "1", df.schema, n)
+        kept[name] = state.read_state(spark, f"{base}/{name}", df.schema, buckets=n)
+    fused = daily.fused_state(cur, kept["prev"], kept["old"], n)
+    plan = fused._jdf.queryExecution().executedPlan().toString()
+    # Both exchanges belong to the current side: one to deduplicate, one to reach its bucket.
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.index("Exchange hashpartitioning") > plan.index("Union")
+    a = daily.run_inventory(cur, kept["prev"], kept["old"], T2, buckets=n)
+    b = daily.run_inventory(cur, plain["prev"], plain["old"], T2)
+    for got, want in zip(a, b):
+        assert got.count() == want.count() and got.exceptAll(want).count() == 0
+
+
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_two_days(spark, base, buckets):
+    t, out = targets(spark, base), f"{base}/state"
+    daily.daily_inventory(spark, t, docs(spark, [("x", "2025"), ("y", "2025")]), out, T1, buckets)
+    daily.daily_inventory(spark, t, docs(spark, [("y", "2025"), ("z", "2025")]), out, T2, buckets)
+    live = {r.loc[14:]: (r.live_status, str(r.first_seen_at)) for r in state.read_state(spark, f"{out}/all_time", ALL_TIME, buckets=buckets).collect()}
+    assert live == {"x": ("old_live", T1), "y": ("current_live", T1), "z": ("current_live", T2)}
+
+
 def test_probe_job_moves_the_breaker(spark, base):
     t, out = targets(spark, base), f"{base}/state"
     for day in (T1, T2):
