@@ -25,35 +25,35 @@ def root_name(xml: Column) -> Column:
     return F.regexp_extract(xml, "(?s)" + _PROLOG + r"<(?:[^\s<>/:!?]+:)?([^\s<>/:!?]+)", 1)
 
 
-def parse_sitemaps(docs: DataFrame) -> DataFrame:
+def parse_sitemaps(docs: DataFrame, recover: bool = False) -> DataFrame:
     """Turn document texts into ``sitemap_type``, ``sitemap``, ``url`` and the text's facts.
 
     Each document is parsed once, in permissive mode. Documents that are empty
-    or not well formed get the type ``error`` and no entries.
+    or not well formed get the type ``error`` and no entries. With ``recover``,
+    the complete elements of a document that is not well formed are kept, as
+    far as the text goes, and only documents without any are errors.
     """
     xml = F.regexp_replace(F.coalesce(F.col("xml"), F.lit("")), r"^[\s\x{FEFF}]+", "")
-    parsed = F.from_xml(
-        F.col("_xml"),
-        F.lit(_DOC_SCHEMA),
-        {
-            "mode": "PERMISSIVE",
-            "columnNameOfCorruptRecord": "_corrupt",
-            "ignoreNamespace": "true",
-            "attributePrefix": "_attr_",
-        },
-    )
+    parts = docs.withColumn("_xml", xml)
+    parts = parts.withColumns({"_root": root_name(F.col("_xml")), "_doc": _parsed("_xml")})
     root = F.col("_root")
-    broken = (F.col("_xml") == "") | F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull()
+    broken = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull()
+    if recover:
+        parts = (
+            parts.withColumn("_fixed", F.when(broken, _complete_elements(F.col("_xml"))))
+            .withColumn("_again", _parsed("_fixed"))
+            .withColumn("_doc", F.coalesce("_again", "_doc"))
+            .drop("_fixed", "_again")
+        )
     kind = (
-        F.when(broken, "error")
+        F.when((F.col("_xml") == "") | broken, "error")
         .when(root.isin(_INDEX_ROOT, _URL_ROOT), root)
         .when(F.col("_doc.sitemap").isNotNull(), _INDEX_ROOT)
         .when(F.col("_doc.url").isNotNull(), _URL_ROOT)
         .otherwise("error")
     )
     return (
-        docs.withColumn("_xml", xml)
-        .withColumns({"_root": root_name(F.col("_xml")), "_doc": parsed})
+        parts
         .withColumn("sitemap_type", kind)
         .withColumns(
             {
@@ -67,15 +67,40 @@ def parse_sitemaps(docs: DataFrame) -> DataFrame:
     )
 
 
+def _parsed(text: str) -> Column:
+    return F.from_xml(
+        F.col(text),
+        F.lit(_DOC_SCHEMA),
+        {
+            "mode": "PERMISSIVE",
+            "columnNameOfCorruptRecord": "_corrupt",
+            "ignoreNamespace": "true",
+            "attributePrefix": "_attr_",
+        },
+    )
+
+
+def _complete_elements(xml: Column) -> Column:
+    """The complete entries of a text as a document of their own; null if there are none.
+
+    Bare ampersands, the commonest fault of sitemaps, are escaped.
+    """
+    name = r"(?:[\w.-]+:)?(?:url|sitemap)"
+    found = F.regexp_extract_all(xml, F.lit(rf"(?s)<{name}(?:\s[^>]*)?>.*?</{name}\s*>"), F.lit(0))
+    text = F.regexp_replace(F.array_join(found, ""), r"&(?!(?:[A-Za-z]+|#[0-9]+|#x[0-9a-fA-F]+);)", "&amp;")
+    return F.when(text != "", F.concat(F.lit("<r>"), text, F.lit("</r>")))
+
+
 def classify_sitemaps(docs: DataFrame) -> DataFrame:
     return parse_sitemaps(docs).select("domain", "sitemap_url", "sitemap_type")
 
 
 def sitemap_links(parsed: DataFrame) -> DataFrame:
     """One row per child of an index document; blank locations are dropped."""
+    # An outer explode: for the plain one Spark infers a filter on the array and
+    # pushes it below the parser, which would then run twice per document.
     return (
-        parsed.where(F.col("sitemap_type") == _INDEX_ROOT)
-        .select("domain", F.col("sitemap_url").alias("parent"), F.explode("sitemap").alias("c"))
+        parsed.select("domain", F.col("sitemap_url").alias("parent"), F.explode_outer("sitemap").alias("c"))
         .select(
             "domain",
             "parent",
@@ -90,8 +115,9 @@ def url_entries(parsed: DataFrame) -> DataFrame:
     """One row per URL entry with its position; entries without location are skipped."""
     cols = ["lastmod", "changefreq", "priority"]
     return (
-        parsed.where(F.col("sitemap_type") == _URL_ROOT)
-        .select("domain", F.col("sitemap_url").alias("sitemap_source_url"), F.posexplode("url").alias("pos", "u"))
+        parsed.select(
+            "domain", F.col("sitemap_url").alias("sitemap_source_url"), F.posexplode_outer("url").alias("pos", "u")
+        )
         .select(
             "domain",
             "sitemap_source_url",
@@ -149,21 +175,21 @@ def reach_sitemaps(roots: DataFrame, links: DataFrame) -> DataFrame:
     return visited
 
 
-def reachable_docs(roots: DataFrame, docs: DataFrame) -> DataFrame:
+def reachable_docs(roots: DataFrame, docs: DataFrame, recover: bool = False) -> DataFrame:
     """The documents reachable from the roots.
 
     The root name is read by a cheap expression first, so that only index
     documents are parsed for their links.
     """
-    links = sitemap_links(parse_sitemaps(docs.where(_root_of_text() != _URL_ROOT)))
+    links = sitemap_links(parse_sitemaps(docs.where(_root_of_text() != _URL_ROOT), recover))
     reached = reach_sitemaps(roots, links).select("domain", "sitemap_url")
     return docs.join(reached, ["domain", "sitemap_url"], "left_semi")
 
 
-def reachable_entries(roots: DataFrame, docs: DataFrame) -> DataFrame:
+def reachable_entries(roots: DataFrame, docs: DataFrame, recover: bool = False) -> DataFrame:
     """URL entries of the sitemaps reachable from the roots, tagged with their source."""
-    leaves = reachable_docs(roots, docs).where(_root_of_text() != _INDEX_ROOT)
-    return url_entries(parse_sitemaps(leaves))
+    leaves = reachable_docs(roots, docs, recover).where(_root_of_text() != _INDEX_ROOT)
+    return url_entries(parse_sitemaps(leaves, recover))
 
 
 def _root_of_text() -> Column:

@@ -21,7 +21,7 @@ from ..session import cut_lineage
 from ..sources.changelog import append_changes, read_changes, run_id_of
 from ..sources.history import append_status_history, read_status_history, write_headers
 from ..sources.snapshots import write_sitemap_files
-from ..sources.state import read_state, write_state
+from ..sources.state import cut_lineage_bucketed, read_state, write_state
 from .keyed import keep_domains, tag_known_domains
 
 
@@ -104,7 +104,9 @@ def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame, run_ts:
     are narrow readings of them.
     """
     state = fused_state(cur, prev, all_time, buckets)
-    state = _with_ran(cut_lineage(state) if materialize else state, cur, buckets)
+    if materialize:
+        state = cut_lineage_bucketed(state, buckets) if buckets else cut_lineage(state)
+    state = _with_ran(state, cur, buckets)
     now = D.as_timestamp(run_ts)
     has_cur, has_prev, known = (F.col(c).isNotNull() for c in ("cur", "prev", "old"))
 

@@ -9,11 +9,13 @@ complete run in force.
 from __future__ import annotations
 
 import hashlib
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ..schemas import conform
+from ..session import shared_dir
 
 
 def latest_run(spark: SparkSession, root: str, before: str | None = None) -> str | None:
@@ -69,6 +71,15 @@ def write_state(df: DataFrame, root: str, run_id: str, schema: StructType,
     return out
 
 
+def cut_lineage_bucketed(df: DataFrame, buckets: int) -> DataFrame:
+    """Materialise rows that lie by bucket in the shared folder, keeping their buckets."""
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/tables/{uuid.uuid4().hex}"
+    name = _table_name(path)
+    df.write.bucketBy(buckets, *BUCKET_KEY).sortBy(*BUCKET_KEY).option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
 BUCKET_KEY = ("domain", "loc")
 
 

@@ -84,3 +84,27 @@ def test_traversal_ends_on_cycles_and_stays_in_its_domain(spark, docs, parsed):
     assert entries == {
         ("a.xml", "https://x/a?b=1&c=2"), ("a.xml", "https://x/b"), ("b.xml", "https://x/one"),
     }
+
+
+def test_recovery_keeps_complete_elements(spark, docs):
+    cut = f"<urlset {NS}><url><loc>https://x/a&amp;b</loc><lastmod>2025</lastmod></url><url><loc> <![CDATA[https://x/c]]> </loc></url><url><loc>https://x/tru"
+    index = f"<sitemapindex {NS}><sitemap><loc>a.xml</loc></sitemap><sitemap><loc>b.x"
+    more = spark.createDataFrame([("d", "cut", cut), ("d", "cutindex", index), ("d", "junk", "<urlset><p"),
+                                  ("d", "amp", f"<urlset {NS}><url><loc>https://x/?a=1&b=2&amp;c</loc></url></urlset>")], "domain string, sitemap_url string, xml string")
+    more = docs.unionByName(more.withColumn("fetched_at", F.lit("2025-12-02").cast("timestamp")))
+    parsed = S.parse_sitemaps(more, recover=True)
+    types = {r.sitemap_url: r.sitemap_type for r in parsed.collect()}
+    assert (types["cut"], types["cutindex"], types["broken.xml"]) == ("urlset", "sitemapindex", "urlset")
+    assert {types[k] for k in ("junk", "void.xml", "null.xml", "text.xml", "other.xml")} == {"error"}
+    got = [(r.loc, r.lastmod) for r in S.url_entries(parsed).where("sitemap_source_url = 'cut'").orderBy("pos").collect()]
+    assert got == [("https://x/a&b", "2025"), ("https://x/c", None)]
+    assert [r.loc for r in S.url_entries(parsed).where("sitemap_source_url = 'amp'").collect()] == ["https://x/?a=1&b=2&c"]
+    assert [r.child for r in S.sitemap_links(parsed).where("parent = 'cutindex'").collect()] == ["a.xml"]
+    # Well-formed documents are read as without recovery.
+    plain = S.url_entries(S.parse_sitemaps(docs)).where("sitemap_source_url <> 'broken.xml'")
+    assert plain.exceptAll(S.url_entries(parsed)).count() == 0
+
+
+def test_documents_are_parsed_once(parsed):
+    for df in (S.url_entries(parsed), S.sitemap_links(parsed)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
