@@ -182,3 +182,12 @@ def test_stream_of_snapshots_equals_upserts(spark, base):
         SS.stream_all_time(stream, f"{base}/{name}-out", f"{base}/{name}-ck").awaitTermination()
         got = state.read_state(spark, f"{base}/{name}-out", ALL_TIME)
         assert sorted(got.collect(), key=lambda r: r.loc) == sorted(batch.collect(), key=lambda r: r.loc)
+
+
+def test_csv_export_reads_back(spark, base):
+    from crawldelta.sources.export import export_csv
+
+    df = spark.createDataFrame([("d", 'a "q", x', ["m"], "2025-01-01 00:00:00.000001")], "domain string, loc string, tags array<string>, at string")
+    export_csv(df.withColumn("at", F.col("at").cast("timestamp")), f"{base}/csv", ["domain"])
+    r = spark.read.csv(f"{base}/csv", header=True, escape='"').collect()[0]
+    assert (r.domain, r.loc, r.tags, r["at"]) == ("d", 'a "q", x', '["m"]', "2025-01-01T00:00:00.000001Z")
