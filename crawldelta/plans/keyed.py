@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,6 +11,8 @@ from pyspark.sql import functions as F
 # Spark prunes ranked windows on the map side only up to this rank bound
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 _MAP_SIDE_RANK_BOUND = 1000
+# Up to this number of shuffle partitions one round of slices is enough.
+_ONE_ROUND = 64
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
@@ -36,20 +39,27 @@ def top_k_sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """First ``k`` rows per key where ``k`` is a column, exact under skew.
 
     Rows are first ranked inside hashed slices of their key, one slice per
-    shuffle partition, and only the first ``k`` of each slice meet again under
-    the whole key. The explicit repartition keeps an earlier partitioning by the
-    bare key from being reused, which would put a hot key into one task.
+    shuffle partition P, and only the first ``k`` of each slice go on. On large
+    clusters a second round over about sqrt(P) slices follows, so that no task
+    ranks more than about sqrt(P) * k rows of one key before the last one. The
+    explicit repartition keeps an earlier partitioning by the bare key from
+    being reused, which would put a hot key into one task.
     """
-    slices = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rounds = [partitions] if partitions <= _ONE_ROUND else [partitions, math.isqrt(partitions)]
     name = rank_as or "_rank"
-    by_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
+    out = df.withColumn("_hash", F.xxhash64(*slice_on))
+    for slices in rounds:
+        by_slice = Window.partitionBy(*keys, "_slice").orderBy(*order)
+        out = (
+            out.withColumn("_slice", F.pmod("_hash", F.lit(slices)))
+            .repartition(*keys, "_slice")
+            .withColumn("_slice_rank", F.row_number().over(by_slice))
+            .where(F.col("_slice_rank") <= k)
+        )
     by_key = Window.partitionBy(*keys).orderBy(*order)
     out = (
-        df.withColumn("_slice", F.pmod(F.xxhash64(*slice_on), F.lit(slices)))
-        .repartition(*keys, "_slice")
-        .withColumn("_slice_rank", F.row_number().over(by_slice))
-        .where(F.col("_slice_rank") <= k)
-        .drop("_slice", "_slice_rank")
+        out.drop("_hash", "_slice", "_slice_rank")
         .withColumn(name, F.row_number().over(by_key))
         .where(F.col(name) <= k)
     )

@@ -40,6 +40,30 @@ def latest_run(spark: SparkSession, root: str, before: str | None = None) -> str
     return None
 
 
+def drop_old_runs(spark: SparkSession, root: str, keep: int) -> list[str]:
+    """Delete all but the newest ``keep`` complete runs; returns the deleted folders.
+
+    Only runs older than a kept complete run go, so the state in force stays.
+    """
+    if keep < 1:
+        raise ValueError("at least one run must be kept")
+    oldest, before = None, None
+    for _ in range(keep):
+        run = latest_run(spark, root, before)
+        if run is None:
+            return []
+        oldest = run
+        before = run.rsplit("run_id=", 1)[1]
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(path)]
+    gone = [f"{root}/{n}" for n in sorted(names) if n.startswith("run_id=") and f"{root}/{n}" < oldest]
+    for folder in gone:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(folder), True)
+    return gone
+
+
 def read_state(spark: SparkSession, root: str, schema: StructType,
                before: str | None = None, buckets: int | None = None) -> DataFrame:
     """The newest complete run, or an empty table before the first one."""

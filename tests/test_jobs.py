@@ -116,6 +116,16 @@ def test_a_run_without_success_marker_is_not_read(spark, base):
     assert state.read_state(spark, base, SNAPSHOT, before="1").count() == 0
 
 
+def test_old_runs_are_dropped_and_the_newest_stay(spark, base):
+    row = spark.createDataFrame([("a", "d")], "loc string, domain string")
+    for run in ("1", "2", "3"):
+        state.write_state(row.withColumn("lastmod", F.lit(run)), base, run, SNAPSHOT)
+    assert [p[-1] for p in state.drop_old_runs(spark, base, 2)] == ["1"]
+    assert state.drop_old_runs(spark, base, 5) == []
+    assert state.read_state(spark, base, SNAPSHOT).collect()[0].lastmod == "3"
+    assert state.read_state(spark, base, SNAPSHOT, before="3").collect()[0].lastmod == "2"
+
+
 def test_empty_snapshot_is_not_written(spark, base):
     assert snapshots.write_snapshot(spark.createDataFrame([], SNAPSHOT), base, "1") is None
 

@@ -2,6 +2,7 @@
 
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from crawldelta.operators import analytics as AN
@@ -36,14 +37,17 @@ def test_join_domains_keeps_every_row(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-def test_sliced_top_k_is_exact(spark):
+@pytest.mark.parametrize("partitions", [8, 100])
+def test_sliced_top_k_is_exact(spark, partitions):
     rows, df = skewed(spark)
+    spark.conf.set("spark.sql.shuffle.partitions", partitions)
     df = df.withColumn("k", F.when(F.col("domain") == "hot", 1200).otherwise(3))
     got = K.top_k_sliced(df, ["domain"], [F.col("v").desc(), F.col("loc")], F.col("k"), ["loc"], rank_as="rank")
     want = set()
     for d in {r[0] for r in rows}:
         mine = sorted((r for r in rows if r[0] == d), key=lambda r: (-r[2], r[1]))
         want |= {(d, r[1], i + 1) for i, r in enumerate(mine[: 1200 if d == "hot" else 3])}
+    spark.conf.set("spark.sql.shuffle.partitions", 8)
     assert {(r.domain, r.loc, r["rank"]) for r in got.collect()} == want
 
 
