@@ -19,7 +19,7 @@ from ..operators.targets import due_targets, normalize_targets, run_summary, tar
 from ..schemas import ALL_TIME, BREAKER, CHANGES, SNAPSHOT, conform
 from ..session import cut_lineage
 from ..sources.changelog import append_changes, read_changes, run_id_of
-from ..sources.history import append_status_history, read_status_history, write_headers
+from ..sources.history import append_status_history, write_headers
 from ..sources.snapshots import write_sitemap_files
 from ..sources.state import cut_lineage_bucketed, read_state, write_state
 from .keyed import keep_domains, tag_known_domains
