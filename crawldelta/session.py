@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,14 +27,17 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8) -> SparkSe
 def shared_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Only where ``spark.checkpoint.dir`` is unset and no checkpoint folder was
-    given to the context (tests, single machine) is a temporary one used.
+    Only on a local master, where ``spark.checkpoint.dir`` is unset and no
+    checkpoint folder was given to the context, is a temporary one used; on a
+    cluster that is an error, as executors do not see each other's disks.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
+    if not configured and not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
     sc.setCheckpointDir(configured or tempfile.mkdtemp(prefix="crawldelta-ckpt-"))
     return sc.getCheckpointDir()
 
