@@ -15,9 +15,14 @@ BLOCK_BYTES = 4096
 
 def _blocks(text: Column, size: int) -> Column:
     """The text's UTF-8 bytes in blocks of a fixed size; an empty text is one empty block."""
-    raw = F.coalesce(text, F.lit("")).cast("binary")
-    last = F.greatest(F.ceil(F.octet_length(raw) / F.lit(size)) - 1, F.lit(0)).cast("int")
-    return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(raw, i * size + 1, F.lit(size)))
+    raw = F.array(F.coalesce(text, F.lit("")).cast("binary"))
+
+    def cut(b: Column) -> Column:
+        last = F.greatest(F.ceil(F.octet_length(b) / F.lit(size)) - 1, F.lit(0)).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.substring(b, i * size + 1, F.lit(size)))
+
+    # Bound to a lambda's variable, the bytes are made once and not for every block.
+    return F.transform(raw, cut)[0]
 
 
 def _named(distinct: DataFrame, by: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,14 +29,21 @@ def _windows(tokens: Column, size: int) -> Column:
     return F.when(n > 0, F.sequence(F.lit(0), F.greatest(n - size, F.lit(0)))).otherwise(F.array().cast("array<int>"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value bound to a lambda's variable: within another lambda it would be computed for every element."""
+    return F.transform(F.array(value), use)[0]
+
+
 def shingle_hashes(tokens: Column, size: int = WORDS) -> Column:
     """64-bit hash of every shingle in order, repeats included, without building the strings."""
-    return F.transform(_windows(tokens, size), lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(size)]))
+    one = lambda t: lambda i: F.xxhash64(*[F.get(t, i + k) for k in range(size)])
+    return _once(tokens, lambda t: F.transform(_windows(t, size), one(t)))
 
 
 def shingle_texts(tokens: Column, size: int = WORDS) -> Column:
     """Every shingle in order as text, for the exact comparison."""
-    return F.transform(_windows(tokens, size), lambda i: F.array_join(F.slice(tokens, i + 1, F.lit(size)), " "))
+    one = lambda t: lambda i: F.array_join(F.slice(t, i + 1, F.lit(size)), " ")
+    return _once(tokens, lambda t: F.transform(_windows(t, size), one(t)))
 
 
 def item_sketches(items: DataFrame, size: int = WORDS, threshold: float = CONTAINMENT) -> DataFrame:
