@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawldelta.llm import blocks, decontam, pieces, quality, secrets, simhash, tokenbin
+from crawldelta.llm import blocks, decontam, html_text, langid, licenses, pieces, quality, secrets, simhash, tokenbin
 from crawldelta.llm.scratch import new_folder
 
 
@@ -24,11 +24,26 @@ def op1_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_report(_table(spark, sf_dir, "documents"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.extract(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", simhash.hex_digits().alias("fingerprint"), "component_id")
 
 
+def op4_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.license_matches(_table(spark, sf_dir, "documents"))
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    rows = langid.document_rows(docs).unionByName(langid.page_rows(_table(spark, sf_dir, "pages")))
+    return langid.identify(rows, *langid.train_text(docs))
+
+
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -57,7 +72,10 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_secret_scans,
+        op2_html_extraction,
         op3_simhash_near_dedup,
+        op4_license_scans,
+        op5_language_id,
         op6_quality_classifier,
         op7_token_id_output,
         op8_exact_dedup,
@@ -66,7 +84,35 @@ QUERIES = {
     )
 }
 
+_SQL_SPELLINGS = "flat"
+for _pattern, _instead in licenses.SPELLINGS:
+    _SQL_SPELLINGS = f"regexp_replace({_SQL_SPELLINGS}, '{_pattern}', '{_instead.replace('$', chr(92))}', 'g')"
+
+_SQL_KNOWN = ", ".join(
+    "('{}', '{}')".format(name, text.replace("'", "''"))
+    for name, texts in [*licenses.NOTICES.items(), *((k, [t]) for k, t in licenses.TEXTS.items())]
+    for text in texts
+)
+
 ORACLES = {
+    # The same canonical form for the known texts, the documents and their lines, and a join on it as text.
+    "op4_license_scans": rf"""
+        WITH known(license_id, unit) AS (VALUES {_SQL_KNOWN}),
+        units AS (
+            SELECT doc_id, 'text' AS scope, text AS unit, NULL AS license_id FROM documents WHERE text IS NOT NULL
+            UNION ALL
+            SELECT doc_id, 'line', unnest(regexp_split_to_array(text, '\r?\n')), NULL FROM documents WHERE text IS NOT NULL
+            UNION ALL SELECT NULL, 'known', unit, license_id FROM known),
+        bare AS (
+            SELECT *, trim(regexp_replace(lower(regexp_replace(unit,
+                '(?im)^[\s/*#;-]*(copyright\s+(\(c\)|©|[0-9]{{4}}|by\s)|\(c\)\s|©|all rights reserved).*$', ' ', 'g')),
+                '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS flat
+            FROM units),
+        canonical AS (SELECT *, {_SQL_SPELLINGS} AS form FROM bare)
+        SELECT c.doc_id, k.license_id, c.scope, count(*) AS n_units
+        FROM canonical c JOIN (SELECT DISTINCT license_id, form FROM canonical WHERE scope = 'known') k USING (form)
+        WHERE c.scope <> 'known' GROUP BY ALL
+    """,
     "op8_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
