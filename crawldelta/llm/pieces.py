@@ -20,8 +20,13 @@ SPACE = "▁"
 BYTE_PIECE = "<0x%02X>"
 
 #: Segments remembered in one Python worker, and the longest that is.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 _LONGEST = 64
+#: Stands for the space sign itself; no segment is empty.
+_LITERAL = ""
+
+#: As many parts of one length are scored together; fewer are scored one by one.
+_TOGETHER = 24
 
 #: Below every piece's score, for each byte of a character that no piece holds.
 _BYTE_COST = 1e6
@@ -30,6 +35,109 @@ _CUT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 _MODELS: dict[tuple[str, int], "Lattice"] = {}
 
 
+class PieceTable:
+    """All pieces as rows of code points with a hash index, to score many parts of one length at once."""
+
+    def __init__(self, scores: dict[str, tuple[float, int]]):
+        pieces = list(scores)
+        self.longest = max(map(len, pieces))
+        self.codes = np.zeros((len(pieces), self.longest), np.uint32)
+        for i, p in enumerate(pieces):
+            self.codes[i, : len(p)] = [ord(c) for c in p]
+        self.scores = np.array([scores[p][0] for p in pieces])
+        self.ids = np.array([scores[p][1] for p in pieces], np.int32)
+        hashes = np.zeros(len(pieces), np.uint64)
+        lengths = np.array([len(p) for p in pieces])
+        for k in range(self.longest):
+            on = lengths > k
+            hashes[on] = self._add(hashes[on], self.codes[on, k])
+        order = np.argsort(hashes)
+        self.hashes, self.order, self.lengths = hashes[order], order, lengths[order]
+        # Where the hashes with the same leading bits begin.
+        self.begin = np.searchsorted(self.hashes, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48))
+        self.most = int(np.diff(np.append(self.begin, len(pieces))).max())
+
+    @staticmethod
+    def _add(hashes: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The hashes of strings with one more character."""
+        h = (hashes ^ codes.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        return h ^ (h >> np.uint64(29))
+
+    def _find(self, hashes: np.ndarray, rows: np.ndarray, start: int, length: int) -> np.ndarray:
+        """Row of the piece that equals each string, -1 without one. A hash leads there; the characters decide."""
+        found = np.full(len(hashes), -1, np.int64)
+        at = self.begin[(hashes >> np.uint64(48)).astype(np.int64)]
+        left = np.arange(len(hashes))
+        for _ in range(self.most):
+            at, left = at[(ok := at < len(self.hashes))], left[ok]
+            seen = self.hashes[at]
+            hit = (seen == hashes[left]) & (self.lengths[at] == length)
+            found[left[hit]] = self.order[at[hit]]
+            go = (seen < hashes[left]) | (seen == hashes[left]) & ~hit
+            at, left = at[go] + 1, left[go]
+            if not len(left):
+                break
+        some = np.flatnonzero(found >= 0)
+        same = (self.codes[found[some], :length] == rows[some, start : start + length]).all(1)
+        found[some[~same]] = -1
+        return found
+
+    def score_all(self, parts: list[str], size: int, model: "Lattice") -> list[tuple[bytes, float, float]]:
+        """What Lattice._viterbi gives for each of the parts, all of one length."""
+        rows = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, size)
+        count = len(parts)
+        edges: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # start, end, score, piece
+        for start in range(size):
+            hashes = np.zeros(count, np.uint64)
+            for end in range(start + 1, min(size, start + self.longest) + 1):
+                hashes = self._add(hashes, rows[:, end - 1])
+                piece = self._find(hashes, rows, start, end - start)
+                score = np.where(piece >= 0, self.scores[piece], -np.inf)
+                edges.append((start, end, score, piece))
+        ahead = np.full((size + 1, count), -np.inf)
+        ahead[0] = 0
+        back = np.zeros((size + 1, count), np.int64)
+        via = np.zeros((size + 1, count), np.int64)
+        for start, end, score, piece in edges:
+            total = ahead[start] + score
+            better = total > ahead[end]
+            ahead[end][better] = total[better]
+            back[end][better] = start
+            via[end][better] = piece[better]
+        behind = np.full((size + 1, count), -np.inf)
+        behind[size] = 0
+        for start, end, score, _ in reversed(edges):
+            np.maximum(behind[start], score + behind[end], out=behind[start])
+        on = np.zeros((size + 1, count), bool)  # ends of the best path's pieces
+        at, every = np.full(count, size), np.arange(count)
+        ids = np.zeros((count, size), "<i4")  # filled from the right
+        steps = np.zeros(count, np.int64)
+        for _ in range(size):
+            live = every[(at > 0) & np.isfinite(ahead[size])]
+            if not len(live):
+                break
+            end = at[live]
+            on[end, live] = True
+            steps[live] += 1
+            ids[live, size - steps[live]] = self.ids[via[end, live]]
+            at[live] = back[end, live]
+        second = np.full(count, -np.inf)
+        for start, end, score, _ in edges:
+            used = on[end] & (back[end] == start)
+            np.maximum(second, np.where(used, -np.inf, ahead[start] + score + behind[end]), out=second)
+        raw = ids.tobytes()
+        best = ahead[size].tolist()
+        with np.errstate(invalid="ignore"):  # no path at all
+            lost = (ahead[size] - second).tolist()
+        out = []
+        for i, n in enumerate(steps.tolist()):
+            if best[i] == -np.inf:  # a character that no piece holds
+                out.append(model._viterbi(parts[i]))
+            else:
+                out.append((raw[4 * (size * (i + 1) - n) : 4 * size * (i + 1)], best[i], lost[i]))
+        return out
+
+
 class Lattice:
     """The pieces of one model file and their scores.
 
@@ -56,9 +164,18 @@ class Lattice:
         if any(SPACE in p.lstrip(SPACE) for p in self.scores):
             raise ValueError("a piece holds a space after other characters; texts can't be cut at spaces")
         self.longest = max(map(len, self.scores))
+        self.trie: dict = {}
+        for piece, (score, _) in self.scores.items():
+            node = self.trie
+            for char in piece:
+                node = node.setdefault(char, {})
+            node[""] = score
+        self.table = PieceTable(self.scores)
         self.inside = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
-        self.memo: dict[str, tuple] = {}
-        self.parts: dict[str, list] = {}
+        self.ids: dict[str, bytes] = {}
+        self.score: dict[str, float] = {}
+        self.loss: dict[str, float] = {}
+        self.parts: dict[str, tuple] = {}
 
     def _spelled(self, char: str) -> tuple[float, tuple[int, ...]]:
         raw = char.encode("utf-8", "surrogatepass")
@@ -104,70 +221,142 @@ class Lattice:
                 heapq.heappush(heap, (-(ahead[start] + behind + score), made, start, behind + score, (own, link)))
         return found
 
-    def _part(self, part: str) -> list[tuple[float, tuple[int, ...]]]:
-        known = self.parts.get(part)
-        if known is None:
-            known = self.best_of(part, self.n)
-            if len(part) <= _LONGEST:
-                if len(self.parts) >= REMEMBERED:
-                    self.parts.clear()
-                self.parts[part] = known
-        return known
-
-    def segment(self, seg: str) -> tuple:
-        """(ids as bytes, score, loss of the second best, n best) of one segment, remembered."""
-        known = self.memo.get(seg)
-        if known is None:
-            cuts = [0, *(i for i in range(1, len(seg)) if seg[i - 1 : i + 1] not in self.inside), len(seg)]
-            ranked = combine([self._part(seg[a:b]) for a, b in zip(cuts, cuts[1:])], self.n)
-            loss = ranked[0][0] - ranked[1][0] if len(ranked) > 1 else np.inf
-            known = np.array(ranked[0][1], "<i4").tobytes(), ranked[0][0], loss, ranked
-            if len(seg) <= _LONGEST:
-                if len(self.memo) >= REMEMBERED:
-                    self.memo.clear()
-                self.memo[seg] = known
-        return known
-
-    def _segments(self, text: str) -> list[tuple]:
-        """What segment() gives for each part of a raw text, in order."""
+    def _viterbi(self, part: str) -> tuple[bytes, float, float]:
+        """(ids as bytes, score, loss of the second best) by the forward and the backward scores of every edge.
+
+        The second best path uses an edge off the best one; the best path
+        through an edge scores forward + edge + backward.
+        """
+        size = len(part)
+        ahead, back, edges = [0.0] + [-np.inf] * size, [0] * (size + 1), []
+        for start in range(size):
+            here, node = ahead[start], self.trie
+            for end in range(start, size):
+                node = node.get(part[end])
+                if node is None:
+                    break
+                score = node.get("")
+                if score is not None:
+                    edges.append((start, end + 1, score))
+                    if here + score > ahead[end + 1]:
+                        ahead[end + 1], back[end + 1] = here + score, start
+            if part[start] not in self.scores:
+                score = self._spelled(part[start])[0]
+                edges.append((start, start + 1, score))
+                if here + score > ahead[start + 1]:
+                    ahead[start + 1], back[start + 1] = here + score, start
+        behind, second = [-np.inf] * size + [0.0], -np.inf
+        for start, end, score in reversed(edges):
+            rest = score + behind[end]
+            if rest > behind[start]:
+                behind[start] = rest
+        ids, on, at = [], set(), size
+        while at:
+            start = back[at]
+            on.add((start, at))
+            piece = part[start:at]
+            ids.append((self.scores[piece][1],) if piece in self.scores else self._spelled(piece)[1])
+            at = start
+        for start, end, score in edges:
+            through = ahead[start] + score + behind[end]
+            if through > second and (start, end) not in on:
+                second = through
+        flat = [i for own in reversed(ids) for i in own]
+        return np.array(flat, "<i4").tobytes(), ahead[size], ahead[size] - second
+
+    def _cut(self, seg: str) -> list[str]:
+        """The segment's parts, cut where no piece holds both neighbours; runs of letters are left whole."""
+        if seg.lstrip(SPACE).isalpha():
+            return [seg]
+        inside = self.inside
+        cuts = [0, *[i for i in range(1, len(seg)) if seg[i - 1 : i + 1] not in inside], len(seg)]
+        return [seg[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def learn(self, segs: set[str]) -> None:
+        """Remember the segments' ids, scores and losses; their parts, remembered too, are scored together by length."""
+        for memo in (self.ids, self.score, self.loss, self.parts):
+            if len(memo) + len(segs) > REMEMBERED:
+                memo.clear()
+        cut = {seg: self._cut(seg) for seg in segs if seg != _LITERAL}
+        if _LITERAL in segs:
+            score, ids = self._spelled(SPACE)
+            self.ids[_LITERAL], self.score[_LITERAL], self.loss[_LITERAL] = np.array(ids, "<i4").tobytes(), score, np.inf
+        by_length: dict[int, list[str]] = {}
+        for part in {p for parts in cut.values() for p in parts}.difference(self.parts):
+            by_length.setdefault(len(part), []).append(part)
+        for length, parts in by_length.items():
+            if length <= _LONGEST and len(parts) >= _TOGETHER:
+                self.parts.update(zip(parts, self.table.score_all(parts, length, self)))
+            else:
+                self.parts.update((part, self._viterbi(part)) for part in parts)
+        known = self.parts
+        for seg, parts in cut.items():
+            if len(parts) == 1:
+                self.ids[seg], self.score[seg], self.loss[seg] = known[seg]
+            else:
+                found = [known[p] for p in parts]
+                self.ids[seg] = b"".join([f[0] for f in found])
+                self.score[seg] = sum([f[1] for f in found])
+                self.loss[seg] = min([f[2] for f in found])
+
+    def segments(self, text: str | None) -> list[str]:
+        """A raw text's segments in order. The space sign itself is no space: it stands as a segment of its own."""
         if not text:
             return []
-        literal = None
-        if SPACE in text:
-            score, ids = self._spelled(SPACE)
-            literal = np.array(ids, "<i4").tobytes(), score, np.inf, [(score, ids)]
-        out: list[tuple] = []
-        memo = self.memo
+        if SPACE not in text:
+            return _CUT.findall((" " + text).replace(" ", SPACE))
+        found: list[str] = []
         for i, plain in enumerate((" " + text).split(SPACE)):
-            if i:
-                out.append(literal)
-            for seg in _CUT.findall(plain.replace(" ", SPACE)):
-                out.append(memo.get(seg) or self.segment(seg))
-        return out
+            found += [_LITERAL] * bool(i)
+            found += _CUT.findall(plain.replace(" ", SPACE))
+        return found
+
+    def encode_many(self, texts: list[str | None]) -> Iterator[list[tuple[float, bytes]]]:
+        """encode() of each text."""
+        cut = [self.segments(t) for t in texts]
+        new = set().union(*cut).difference(self.ids)
+        if new:
+            self.learn(new)
+            if missing := set().union(*cut).difference(self.ids):  # what was known has just been forgotten
+                self.learn(missing)
+        return map(self._ranked, cut)
 
     def encode(self, text: str | None) -> list[tuple[float, bytes]]:
         """The n best (score, ids as little-endian 32-bit bytes) of a whole text, best first; one empty one without text."""
-        parts = self._segments(text or "")
-        best = [p[0] for p in parts]
-        total = float(sum([p[1] for p in parts]))
+        return next(self.encode_many([text]))
+
+    def _ranked(self, segs: list[str]) -> list[tuple[float, bytes]]:
+        """The n best of a text's remembered segments."""
+        best = list(map(self.ids.__getitem__, segs))
+        total = float(sum(map(self.score.__getitem__, segs)))
         out = [(total, b"".join(best))]
         n = self.n
-        if n == 1 or not parts:
+        if n == 1 or not segs:
             return out
-        # Only the n - 1 parts that lose least by their second best can differ in the n best.
-        loss = [p[2] for p in parts]
-        free = sorted(heapq.nsmallest(n - 1, range(len(parts)), key=loss.__getitem__))
-        base = sum(parts[i][1] for i in free)
-        for score, choice in choices([[s for s, _ in parts[i][3]] for i in free], n)[1:]:
+        # Only the n - 1 segments that lose least by their second best can differ in the n best.
+        free: list[int] = []
+        for seg in heapq.nsmallest(n - 1, dict.fromkeys(segs), key=self.loss.__getitem__):
+            at = -1
+            while len(free) < n - 1 and self.loss[seg] < np.inf:
+                try:
+                    at = segs.index(seg, at + 1)
+                except ValueError:
+                    break
+                free.append(at)
+        free.sort()
+        lists = [self.best_of(segs[i], n) for i in free]
+        base = sum(ranked[0][0] for ranked in lists)
+        for score, choice in choices([[s for s, _ in ranked] for ranked in lists], n)[1:]:
             other = list(best)
-            for i, k in zip(free, choice):
-                other[i] = np.array(parts[i][3][k][1], "<i4").tobytes()
+            for i, k, ranked in zip(free, choice, lists):
+                if k:
+                    other[i] = np.array(ranked[k][1], "<i4").tobytes()
             out.append((total - base + score, b"".join(other)))
         return out
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text of a segmentation, byte pieces included."""
-        raw = b"".join([self.bytes_of[i] for i in ids])
+        raw = b"".join(map(self.bytes_of.__getitem__, ids))
         return raw[1:].decode("utf-8", "surrogatepass")
 
 
@@ -188,15 +377,6 @@ def choices(lists: list[list[float]], n: int) -> list[tuple[float, tuple[int, ..
     return out
 
 
-def combine(lists: list[list[tuple[float, tuple[int, ...]]]], n: int) -> list[tuple[float, tuple[int, ...]]]:
-    """The n best (score, ids) of parts that stand one after another, added part by part."""
-    done = lists[0]
-    for more in lists[1:]:
-        picked = choices([[s for s, _ in done], [s for s, _ in more]], n)
-        done = [(score, done[i][1] + more[j][1]) for score, (i, j) in picked]
-    return done
-
-
 def lattice(path: str, n: int = N_BEST) -> Lattice:
     """The model's lattice, read once per worker."""
     if (path, n) not in _MODELS:
@@ -205,9 +385,10 @@ def lattice(path: str, n: int = N_BEST) -> Lattice:
 
 
 _RANKED = pa.list_(pa.struct([("score", pa.float64()), ("ids", pa.list_(pa.int32()))]))
-_DDL = "doc_id long, n_pieces long, ids array<int>, ranked array<struct<score:double,ids:array<int>>>, round_trip boolean"
+_DDL = "doc_id long, n_pieces long, ids array<int>, score double, others array<struct<score:double,ids:array<int>>>, round_trip boolean"
 _SCHEMA = pa.schema(
-    [("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("ranked", _RANKED), ("round_trip", pa.bool_())]
+    [("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids", pa.list_(pa.int32())), ("score", pa.float64()), ("others", _RANKED)]
+    + [("round_trip", pa.bool_())]
 )
 
 
@@ -217,31 +398,32 @@ def _lists(parts: list[bytes]) -> pa.Array:
 
 
 def encode_documents(docs: DataFrame, model: str, n: int = N_BEST) -> DataFrame:
-    """One row per document: doc_id, n_pieces, ids (the best segmentation), ranked (the n best with scores), round_trip.
+    """One row per document: doc_id, n_pieces, ids and score (the best segmentation), others (the next n - 1), round_trip.
 
     round_trip tells that decoding the ids gives the text again. Null and empty
-    texts have no pieces and one ranked, empty segmentation of score 0;
+    texts have no pieces, score 0 and no others; a text of few segmentations has fewer others;
     repeated rows stay repeated; other columns are ignored.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = lattice(model, n)
         for whole in batches:
-            for low in range(0, whole.num_rows, 500):
-                batch = whole.slice(low, 500)
+            for low in range(0, whole.num_rows, 1000):
+                batch = whole.slice(low, 1000)
                 texts = batch.column("text").to_pylist()
-                ranked = [own.encode(t) for t in texts]
+                ranked = list(own.encode_many(texts))
                 best = [r[0][1] for r in ranked]
                 same = [own.decode(np.frombuffer(b, "<i4").tolist()) == (t or "") for b, t in zip(best, texts)]
-                every = [x for r in ranked for x in r]
+                every = [x for r in ranked for x in r[1:]]
                 structs = pa.StructArray.from_arrays(
                     [pa.array([s for s, _ in every], pa.float64()), _lists([b for _, b in every])], names=["score", "ids"]
                 )
-                offsets = pa.array(np.array([0, *map(len, ranked)]).cumsum(), pa.int32())
+                offsets = pa.array(np.array([0, *[len(r) - 1 for r in ranked]]).cumsum(), pa.int32())
                 columns = [
                     batch.column("doc_id").cast(pa.int64()),
                     pa.array([len(b) // 4 for b in best], pa.int64()),
                     _lists(best),
+                    pa.array([r[0][0] for r in ranked], pa.float64()),
                     pa.ListArray.from_arrays(offsets, structs),
                     pa.array(same, pa.bool_()),
                 ]
