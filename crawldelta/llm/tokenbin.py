@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -35,7 +36,10 @@ END_ID = 0
 SHARD_BYTES = 4 << 20
 
 #: Encoded pieces of text remembered in one Python worker.
-REMEMBERED = 400_000
+REMEMBERED = 700_000
+
+#: Bytes of text encoded together.
+ENCODED_AT_ONCE = 8 << 20
 
 _SHARD = pa.schema(
     [("shard", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first_doc", pa.int64())]
@@ -49,11 +53,12 @@ _SHARD_DDL = (
 # ---------------------------------------------------------------- encoding
 
 _ENCODERS: dict[str, tuple] = {}
-#: Where the cut at single spaces could split what the tokenizer reads together.
-_UNSURE = re.compile(r"\s \s|<\|")
+#: Neighbouring white space, the opening of a special token and the cut's own sign: such texts are encoded whole.
+_UNSURE = re.compile(r"\s\s|<\||\x00")
 
 
 def _encoder(path: str) -> tuple:
+    """The tokenizer and the ids of the pieces of text seen so far."""
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
@@ -62,32 +67,61 @@ def _encoder(path: str) -> tuple:
     return _ENCODERS[path]
 
 
-def encode_bytes(texts: list[str | None], tokenizer: str) -> list[bytes]:
+def _encoded(model, texts: list[str]) -> list[bytes]:
+    return [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+
+
+def _learn(words: list[str], model, memo: dict) -> None:
+    """Remember the ids of new pieces of text, by the parts that the tokenizer's own splitter makes of them."""
+    import public_tokenizers
+    import regex
+
+    split = regex.compile(public_tokenizers.PATTERN).findall
+    mixed = {w: split(w) for w in words if not w.lstrip(" ").isalpha()}
+    fresh = {p for own in mixed.values() for p in own}.difference(memo)
+    fresh.update(w for w in words if w not in mixed)
+    todo = list(fresh)
+    for low in range(0, len(todo), 4096):
+        some = todo[low : low + 4096]
+        memo.update(zip(some, _encoded(model, some)))
+    for w, own in mixed.items():
+        memo[w] = b"".join([memo[p] for p in own])
+
+
+def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[bytes]:
     """Each text's ids with the end id, as unsigned 32-bit little-endian integers.
 
-    A space followed by a non-space always begins a new piece for the
-    tokenizer's own splitter, so texts are cut there, and each distinct piece is
-    encoded once per worker. Texts with white space around a space, or with the
-    opening of a special token, are encoded whole.
+    The tokenizer's own splitter always begins anew at a space before a
+    non-space and at a single line end, and between letters and other signs;
+    so texts are cut there, each distinct piece of the batch is looked up once,
+    and each distinct part is encoded once per worker. Texts with white space
+    beside white space, or with the opening of a special token, are encoded
+    whole.
     """
     model, memo = _encoder(tokenizer)
     if len(memo) > REMEMBERED:
         memo.clear()
+    column = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
+    plain = column.to_pylist()
+    whole = [i for i, t in enumerate(plain) if _UNSURE.search(t)]
+    if whole:
+        column = pa.array(["" if i in set(whole) else t for i, t in enumerate(plain)], pa.large_string())
+    marked = pc.replace_substring(pc.replace_substring(column, "\n", "\x00\n\x00"), " ", "\x00 ")
+    cut = pc.split_pattern(marked, "\x00")
+    coded = cut.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    found = list(map(memo.get, words))
+    if lacking := [w for w, ids in zip(words, found) if ids is None]:
+        _learn(lacking, model, memo)
+        found = [memo[w] for w in words]
+    ids = pa.array(found, pa.large_binary()).take(coded.indices)
+    at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+    data = memoryview(ids.buffers()[2] or b"")
     end = np.array([END_ID], "<u4").tobytes()
-    cut: list[list[str]] = []
-    for text in texts:
-        text = text or ""
-        if _UNSURE.search(text):
-            cut.append([text])
-        else:
-            first, *rest = text.split(" ")
-            cut.append([first, *[" " + w for w in rest]])
-    new = list({w for words in cut for w in words if w not in memo})
-    for low in range(0, len(new), 4096):
-        some = new[low : low + 4096]
-        for w, e in zip(some, model.encode_batch_fast(some, add_special_tokens=False)):
-            memo[w] = np.array(e.ids, "<u4").tobytes()
-    return [b"".join([memo[w] for w in words]) + end for words in cut]
+    out = [bytes(data[a:b]) + end for a, b in zip(at, at[1:])]
+    for i, own in zip(whole, _encoded(model, [plain[i] for i in whole])):
+        out[i] = own + end
+    return out
 
 
 # ---------------------------------------------------------------- the index
@@ -176,6 +210,17 @@ def _shard_row(name: int, keys: list[int], parts: list[bytes]) -> pa.RecordBatch
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _SHARD)], schema=_SHARD)
 
 
+def _pieces_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of a few million bytes of text, or one longer text."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+    low = 0
+    while low < batch.num_rows:
+        before = sizes[low - 1] if low else 0
+        high = max(low + 1, int(np.searchsorted(sizes, before + ENCODED_AT_ONCE, "right")))
+        yield batch.slice(low, high - low)
+        low = high
+
+
 def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_bytes: int = SHARD_BYTES) -> None:
     """Encode docs(doc_id, text) and write the shards in ascending doc_id.
 
@@ -189,9 +234,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_bytes: int
 
         name, keys, parts, held = TaskContext.get().partitionId() << 32, [], [], 0
         for batch in batches:
-            for low in range(0, batch.num_rows, 256):
-                some = batch.slice(low, 256)
-                for key, part in zip(some.column("doc_id").to_pylist(), encode_bytes(some.column("text").to_pylist(), tokenizer)):
+            for some in _pieces_of(batch):
+                for key, part in zip(some.column("doc_id").to_pylist(), encode_bytes(some.column("text"), tokenizer)):
                     if held >= shard_bytes and key != keys[-1]:
                         yield _shard_row(name, keys, parts)
                         name, keys, parts, held = name + 1, [], [], 0
