@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from crawldelta.llm.scratch import ship_code
@@ -22,8 +23,10 @@ BYTE_PIECE = "<0x%02X>"
 #: Segments remembered in one Python worker, and the longest that is.
 REMEMBERED = 500_000
 _LONGEST = 64
-#: Stands for the space sign itself; no segment is empty.
-_LITERAL = ""
+#: Stands for the space sign itself, which is no space.
+_LITERAL = None
+#: In a text with a space in front: what is not cut and looked up in Arrow.
+_UNSURE = re.compile(f"{SPACE}|  |\x00")
 
 #: As many parts of one length are scored together; fewer are scored one by one.
 _TOGETHER = 24
@@ -172,9 +175,9 @@ class Lattice:
             node[""] = score
         self.table = PieceTable(self.scores)
         self.inside = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
-        self.ids: dict[str, bytes] = {}
-        self.score: dict[str, float] = {}
-        self.loss: dict[str, float] = {}
+        self.ids: dict[str | None, bytes] = {}
+        self.score: dict[str | None, float] = {}
+        self.loss: dict[str | None, float] = {}
         self.parts: dict[str, tuple] = {}
 
     def _spelled(self, char: str) -> tuple[float, tuple[int, ...]]:
@@ -277,7 +280,9 @@ class Lattice:
         for memo in (self.ids, self.score, self.loss, self.parts):
             if len(memo) + len(segs) > REMEMBERED:
                 memo.clear()
-        cut = {seg: self._cut(seg) for seg in segs if seg != _LITERAL}
+        cut = {seg: self._cut(seg) for seg in segs if seg}
+        if "" in segs:  # between two cuts
+            self.ids[""], self.score[""], self.loss[""] = b"", 0.0, np.inf
         if _LITERAL in segs:
             score, ids = self._spelled(SPACE)
             self.ids[_LITERAL], self.score[_LITERAL], self.loss[_LITERAL] = np.array(ids, "<i4").tobytes(), score, np.inf
@@ -311,19 +316,67 @@ class Lattice:
             found += _CUT.findall(plain.replace(" ", SPACE))
         return found
 
-    def encode_many(self, texts: list[str | None]) -> Iterator[list[tuple[float, bytes]]]:
-        """encode() of each text."""
-        cut = [self.segments(t) for t in texts]
-        new = set().union(*cut).difference(self.ids)
+    def _learn_new(self, segs: Iterable[str | None]) -> None:
+        new = set(segs).difference(self.ids)
         if new:
             self.learn(new)
-            if missing := set().union(*cut).difference(self.ids):  # what was known has just been forgotten
+            if missing := set(segs).difference(self.ids):  # what was known has just been forgotten
                 self.learn(missing)
-        return map(self._ranked, cut)
+
+    def encode_many(self, texts: list[str | None]) -> list[list[tuple[float, bytes]]]:
+        """encode() of each text. Texts with single spaces only are cut in Arrow, and each distinct segment is looked up once."""
+        spaced = [" " + (t or "") for t in texts]
+        easy = [i for i, t in enumerate(spaced) if len(t) > 1 and not _UNSURE.search(t)]
+        out: list = [None] * len(texts)
+        for i, found in zip(easy, self._encode_easy([spaced[i] for i in easy]) if easy else []):
+            out[i] = found
+        for i, found in enumerate(out):
+            if found is None:
+                segs = self.segments(texts[i])
+                self._learn_new(segs)
+                out[i] = self._ranked(segs)
+        return out
+
+    def _encode_easy(self, spaced: list[str]) -> Iterator[list[tuple[float, bytes]]]:
+        marked = pc.replace_substring(pa.array(spaced, pa.large_string()), "\n", "\x00\n\x00")
+        cut = pc.split_pattern(pc.replace_substring(marked, " ", f"\x00{SPACE}"), "\x00")
+        coded = cut.flatten().dictionary_encode()
+        words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        self._learn_new(words)
+        ids = pa.array(list(map(self.ids.__getitem__, words)), pa.large_binary()).take(coded.indices)
+        begin = np.frombuffer(ids.buffers()[1], np.int64)
+        raw = memoryview(ids.buffers()[2] or b"")
+        score = np.array(list(map(self.score.__getitem__, words)))[at]
+        loss = np.array(list(map(self.loss.__getitem__, words)))[at]
+        ends = cut.offsets.to_numpy()
+        ends = (ends - ends[0]).tolist()
+        for low, high in zip(ends, ends[1:]):
+            first, last = int(begin[low]), int(begin[high])
+            best, total = bytes(raw[first:last]), float(score[low:high].sum())
+            found = [(total, best)]
+            if self.n > 1:
+                own, most = loss[low:high], min(self.n - 1, high - low)
+                free = [low + i for i in sorted(np.argpartition(own, most - 1)[:most].tolist()) if own[i] < np.inf]
+                places = [(int(begin[i]) - first, int(begin[i + 1]) - first) for i in free]
+                found += self._others(total, best, [words[at[i]] for i in free], places)
+            yield found
+
+    def _others(self, total: float, best: bytes, free: list[str], places: list[tuple[int, int]]) -> list[tuple[float, bytes]]:
+        """The next best of a text, which differ from the best only in these segments, at these places of its ids."""
+        lists = [self.best_of(seg, self.n) for seg in free]
+        base = sum(ranked[0][0] for ranked in lists)
+        out = []
+        for score, choice in choices([[s for s, _ in ranked] for ranked in lists], self.n)[1:]:
+            parts, at = [], 0
+            for (low, high), k, ranked in zip(places, choice, lists):
+                parts += [best[at:low], np.array(ranked[k][1], "<i4").tobytes() if k else best[low:high]]
+                at = high
+            out.append((total - base + score, b"".join([*parts, best[at:]])))
+        return out
 
     def encode(self, text: str | None) -> list[tuple[float, bytes]]:
         """The n best (score, ids as little-endian 32-bit bytes) of a whole text, best first; one empty one without text."""
-        return next(self.encode_many([text]))
+        return self.encode_many([text])[0]
 
     def _ranked(self, segs: list[str]) -> list[tuple[float, bytes]]:
         """The n best of a text's remembered segments."""
@@ -344,21 +397,24 @@ class Lattice:
                     break
                 free.append(at)
         free.sort()
-        lists = [self.best_of(segs[i], n) for i in free]
-        base = sum(ranked[0][0] for ranked in lists)
-        for score, choice in choices([[s for s, _ in ranked] for ranked in lists], n)[1:]:
-            other = list(best)
-            for i, k, ranked in zip(free, choice, lists):
-                if k:
-                    other[i] = np.array(ranked[k][1], "<i4").tobytes()
-            out.append((total - base + score, b"".join(other)))
-        return out
+        ends = np.cumsum([0, *map(len, best)]).tolist()
+        return out + self._others(total, out[0][1], [segs[i] for i in free], [(ends[i], ends[i + 1]) for i in free])
 
     def decode(self, ids: np.ndarray | list[int]) -> str:
         """The text of a segmentation, byte pieces included."""
         raw = b"".join(map(self.bytes_of.__getitem__, ids))
         return raw[1:].decode("utf-8", "surrogatepass")
 
+    def spells(self, ids: list[bytes], texts: list[str | None]) -> list[bool]:
+        """True where decoding a text's ids gives the text."""
+        flat = np.frombuffer(b"".join(ids), "<i4")
+        spelled = pa.array(self.bytes_of, pa.large_binary()).take(pa.array(flat))
+        begin = np.frombuffer(spelled.buffers()[1], np.int64)
+        raw = memoryview(spelled.buffers()[2] or b"").cast("B")
+        ends = begin[np.cumsum([0, *[len(b) // 4 for b in ids]])].tolist()
+        plain = [(" " + t).encode("utf-8", "surrogatepass") if t else b"" for t in texts]
+        return [raw[a:b] == t for a, b, t in zip(ends, ends[1:], plain)]
+
 
 def choices(lists: list[list[float]], n: int) -> list[tuple[float, tuple[int, ...]]]:
     """The n best sums of one score from each list, each list best first, with the places chosen."""
@@ -411,9 +467,9 @@ def encode_documents(docs: DataFrame, model: str, n: int = N_BEST) -> DataFrame:
             for low in range(0, whole.num_rows, 1000):
                 batch = whole.slice(low, 1000)
                 texts = batch.column("text").to_pylist()
-                ranked = list(own.encode_many(texts))
+                ranked = own.encode_many(texts)
                 best = [r[0][1] for r in ranked]
-                same = [own.decode(np.frombuffer(b, "<i4").tolist()) == (t or "") for b, t in zip(best, texts)]
+                same = own.spells(best, texts)
                 every = [x for r in ranked for x in r[1:]]
                 structs = pa.StructArray.from_arrays(
                     [pa.array([s for s, _ in every], pa.float64()), _lists([b for _, b in every])], names=["score", "ids"]
