@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,10 +38,10 @@ END_ID = 0
 SHARD_BYTES = 4 << 20
 
 #: Encoded pieces of text remembered in one Python worker.
-REMEMBERED = 700_000
+REMEMBERED = 350_000
 
 #: Bytes of text encoded together.
-ENCODED_AT_ONCE = 8 << 20
+ENCODED_AT_ONCE = 4 << 20
 
 _SHARD = pa.schema(
     [("shard", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first_doc", pa.int64())]
@@ -50,6 +52,9 @@ _SHARD_DDL = (
     "displace binary, stored binary, offsets binary, lengths binary"
 )
 
+if sys.byteorder != "little" or array("I").itemsize != 4:
+    raise ImportError("ids are written in the machine's own 32-bit form, which must be little-endian")
+
 # ---------------------------------------------------------------- encoding
 
 _ENCODERS: dict[str, tuple] = {}
@@ -68,7 +73,7 @@ def _encoder(path: str) -> tuple:
 
 
 def _encoded(model, texts: list[str]) -> list[bytes]:
-    return [np.array(e.ids, "<u4").tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
+    return [array("I", e.ids).tobytes() for e in model.encode_batch_fast(texts, add_special_tokens=False)]
 
 
 def _learn(words: list[str], model, memo: dict) -> None:
@@ -99,8 +104,6 @@ def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[byt
     whole.
     """
     model, memo = _encoder(tokenizer)
-    if len(memo) > REMEMBERED:
-        memo.clear()
     column = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
     plain = column.to_pylist()
     whole = [i for i, t in enumerate(plain) if _UNSURE.search(t)]
@@ -114,6 +117,9 @@ def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[byt
     if lacking := [w for w, ids in zip(words, found) if ids is None]:
         _learn(lacking, model, memo)
         found = [memo[w] for w in words]
+    if len(memo) > REMEMBERED:  # the present batch's pieces are the likeliest to come again
+        memo.clear()
+        memo.update(zip(words, found))
     ids = pa.array(found, pa.large_binary()).take(coded.indices)
     at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
     data = memoryview(ids.buffers()[2] or b"")
