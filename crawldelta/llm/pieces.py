@@ -277,9 +277,8 @@ class Lattice:
 
     def learn(self, segs: set[str]) -> None:
         """Remember the segments' ids, scores and losses; their parts, remembered too, are scored together by length."""
-        for memo in (self.ids, self.score, self.loss, self.parts):
-            if len(memo) + len(segs) > REMEMBERED:
-                memo.clear()
+        if len(self.parts) + len(segs) > REMEMBERED:
+            self.parts.clear()
         cut = {seg: self._cut(seg) for seg in segs if seg}
         if "" in segs:  # between two cuts
             self.ids[""], self.score[""], self.loss[""] = b"", 0.0, np.inf
@@ -317,11 +316,15 @@ class Lattice:
         return found
 
     def _learn_new(self, segs: Iterable[str | None]) -> None:
-        new = set(segs).difference(self.ids)
+        asked = set(segs)
+        new = asked.difference(self.ids)
+        if len(self.ids) + len(new) > REMEMBERED:  # the present segments are the likeliest to come again
+            for memo in (self.ids, self.score, self.loss):
+                kept = [(s, memo[s]) for s in asked if s in memo]
+                memo.clear()
+                memo.update(kept)
         if new:
             self.learn(new)
-            if missing := set(segs).difference(self.ids):  # what was known has just been forgotten
-                self.learn(missing)
 
     def encode_many(self, texts: list[str | None]) -> list[list[tuple[float, bytes]]]:
         """encode() of each text. Texts with single spaces only are cut in Arrow, and each distinct segment is looked up once."""
