@@ -145,7 +145,7 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
 
     kept = "doc_id long, page_id long, declared string, host string, suffix string, domain string"
     told = rows.select("doc_id", "page_id", "text", "is_page", "declared", "host", "suffix", "domain").mapInPandas(read, f"{kept}, support array<double>")
-    weights = F.transform("support", F.exp)
+    weights = F.transform("support", lambda s: F.exp(s))
     summed = F.aggregate(weights, F.lit(0.0), lambda a, x: a + x)
     told = stored(told.withColumn("post", F.transform(weights, lambda w: w / summed)), "evidence")
 
@@ -180,7 +180,7 @@ def identify(rows: DataFrame, langs: list[str], table: np.ndarray) -> DataFrame:
     all_rows = F.array(*map(F.lit, whole))
     joined = joined.withColumn("others", minus(F.col("n_host"), F.col("post"))).withColumn("near", minus(F.col("n_domain"), F.col("post")))
     joined = joined.withColumn("wide", smooth(F.col("near"), all_rows)).withColumn("prior", smooth(F.col("others"), F.col("wide")))
-    parts = [F.col("support"), F.transform("prior", F.log), F.coalesce("given_declared", zero), F.coalesce("given_suffix", zero)]
+    parts = [F.col("support"), F.transform("prior", lambda p: F.log(p)), F.coalesce("given_declared", zero), F.coalesce("given_suffix", zero)]
     joined = joined.withColumn("logs", reduce(lambda a, b: F.zip_with(a, b, lambda x, y: x + y), parts))
     names = F.array(*map(F.lit, langs))
     best = F.array_max("logs")
