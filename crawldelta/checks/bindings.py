@@ -204,7 +204,7 @@ BINDINGS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM {supplier}"""),
     # --- T: targets over the customers -------------------------------------------
     "t_targets": ((), """
-        SELECT CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN '  '
+        SELECT c_custkey AS position, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN '  '
                     ELSE concat(CASE WHEN c_custkey % 3 = 0 THEN 'www.' ELSE '' END, 'site', CAST(c_custkey AS STRING), '.example.com') END AS domain,
                CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_custkey % 7 = 0 THEN ' '
                     ELSE concat('https://site', CAST(c_custkey AS STRING), '.example.com/sitemap.xml') END AS sitemap_url,

@@ -21,7 +21,7 @@ from ..operators import policy as PO
 from ..operators import probes as PR
 from ..operators import sitemaps as SM
 from ..operators import targets as TG
-from ..plans.daily import run_inventory
+from ..plans.daily import plan_fetch, run_inventory
 from ..schemas import ALL_TIME, BREAKER, conform
 from ..session import shared_dir
 from ..sources import changelog, history, snapshots
@@ -151,7 +151,7 @@ def _s_changes(spark, sf):
 # --- A: sources and sinks -----------------------------------------------------------
 
 
-def _targets(spark, sf):
+def _targets(spark, sf, *more):
     """The targets binding in the shape of a targets file."""
     st = {"enabled": "st_enabled", "check_new": "st_check_new", "max_per_run": "st_max_per_run",
           "failure_threshold": "st_failure_threshold", "backoff_days": "st_backoff_days"}
@@ -163,6 +163,7 @@ def _targets(spark, sf):
             *[F.col(c).alias(n) for n, c in st.items()],
             *[F.lit(None).cast(t).alias(n) for n, t in absent.items()],
         ).alias("status_check"),
+        *more,
     )
 
 
@@ -197,24 +198,21 @@ def _(spark, sf):
     return TG.due_targets(known, RUN_TS[:10]).select("domain", "interval_days")
 
 
-@check("a3_sitemap_file_scan", oracle("x_sets x_groups x_roots", """
-    SELECT domain, sitemap_url, sha256(xml) AS content_hash FROM x_sets
-    UNION ALL SELECT domain, sitemap_url, sha256(xml) FROM x_groups
-    UNION ALL SELECT domain, sitemap_url, sha256(xml) FROM x_roots"""))
+@check("a3_sitemap_file_scan", oracle("x_docs", """
+    SELECT domain, replace(sitemap_url, 'sitemap-', 'a+b-') AS sitemap_url, sha256(xml) AS content_hash FROM x_docs"""))
 def _(spark, sf):
     from ..sources.documents import read_sitemap_docs
 
     root = scratch(spark, "a3")
-    docs = bind(spark, sf, "x_docs").where(~F.contains("sitemap_url", F.lit("?")))
-    # The writer of a crawl: one text file per document, in a folder per address.
-    folder = F.translate(F.substr("sitemap_url", F.lit(9)), "/", "!")
-    (docs.select(folder.alias("address"), F.col("xml").alias("value"))
+    docs = bind(spark, sf, "x_docs")
+    # The writer of a crawl: one text file per document, in a folder whose name escapes the address.
+    address = F.replace(F.substr("sitemap_url", F.lit(9)), F.lit("sitemap-"), F.lit("a+b-"))
+    (docs.select(address.alias("address"), F.col("xml").alias("value"))
         .write.partitionBy("address").text(root))
-    name = F.translate(F.regexp_extract("sitemap_url", "address=(.*)/[^/]*$", 1), "!", "/")
     text = F.regexp_replace("xml", "\\n$", "")  # the text writer ends the file with a line end
     return (
-        read_sitemap_docs(spark, root)
-        .withColumn("sitemap_url", F.concat(F.lit("https://"), name))
+        read_sitemap_docs(spark, root, "")
+        .withColumn("sitemap_url", F.regexp_replace("sitemap_url", "^address=(.*)/[^/]*$", "https://$1"))
         .select(netloc(F.col("sitemap_url")).alias("domain"), "sitemap_url", F.sha2(text, 256).alias("content_hash"))
     )
 
@@ -237,7 +235,7 @@ def _(spark, sf):
 def _(spark, sf):
     root = scratch(spark, "a4p")
     bind(spark, sf, "s_raw").write.parquet(root)
-    loaded = snapshots.load_snapshot(snapshots.read_snapshot_files(spark, root, "parquet"))
+    loaded = snapshots.load_snapshot(snapshots.read_snapshot_files(spark, root))
     return loaded.select("loc", "domain", "lastmod", "detected_at", "change_type")
 
 
@@ -312,8 +310,9 @@ def _(spark, sf):
 
 FACTS_SQL = """
     SELECT sitemap_url, domain,
-           CASE WHEN sitemap_url LIKE '%?cut' THEN 'error' WHEN sitemap_url LIKE '%/sitemap-%' THEN 'urlset' ELSE 'sitemapindex' END AS sitemap_type,
-           CAST(CASE WHEN sitemap_url LIKE '%?cut' THEN 0 WHEN sitemap_url LIKE '%/sitemap-%' THEN len(regexp_extract_all(xml, '<url>'))
+           CASE WHEN sitemap_url LIKE '%?cut' AND xml NOT LIKE '%</url>%' THEN 'error'
+                WHEN sitemap_url LIKE '%/sitemap-%' THEN 'urlset' ELSE 'sitemapindex' END AS sitemap_type,
+           CAST(CASE WHEN sitemap_url LIKE '%?cut' THEN len(regexp_extract_all(xml, '</url>')) WHEN sitemap_url LIKE '%/sitemap-%' THEN len(regexp_extract_all(xml, '<url>'))
                 ELSE len(regexp_extract_all(xml, '<(sm:)?sitemap>')) - len(regexp_extract_all(xml, '<sm:loc> </sm:loc>')) END AS INTEGER) AS url_count,
            sha256(xml) AS content_hash, CAST(length(xml) AS BIGINT) AS content_length, fetched_at
     FROM x_docs WHERE xml <> ''"""
@@ -344,10 +343,11 @@ def _probes(spark, sf):
 def _(spark, sf):
     root = scratch(spark, "a10")
     early = F.col("checked_at") < F.lit("2024-01-15 12:00:00").cast("timestamp")
-    for part in (early, ~early):  # two appends, as from two runs
-        history.append_status_history(_probes(spark, sf).where(part), root)
+    # Two runs; the second is run twice and replaces itself.
+    for run, part in (("1", early), ("2", ~early), ("2", ~early)):
+        history.append_status_history(_probes(spark, sf).where(part), root, run)
     return history.read_status_history(spark, root).drop(
-        "error", *[h for h in PR.HEADER_COLUMNS if h != "h_x_robots_tag"]
+        "error", "run_id", *[h for h in PR.HEADER_COLUMNS if h != "h_x_robots_tag"]
     )
 
 
@@ -359,7 +359,8 @@ def _(spark, sf):
     probes = bind(spark, sf, "o_probes").withColumn(
         "headers_json", F.when(F.col("status_code") != 0, F.col("props"))
     )
-    history.write_headers(probes, root)
+    for _attempt in range(2):
+        history.write_headers(probes, root, "1")
     return history.read_headers(spark, root).select(
         "url", "checked_at", "status_code", F.try_element_at("headers", F.lit("k")).alias("k")
     )
@@ -377,7 +378,7 @@ def _(spark, sf):
 
 
 @check("b1_classify_sitemaps", oracle("x_docs", """
-    SELECT domain, sitemap_url, CASE WHEN sitemap_url LIKE '%?cut' OR xml = '' THEN 'error'
+    SELECT domain, sitemap_url, CASE WHEN xml NOT LIKE '%</url>%' AND sitemap_url LIKE '%?cut' OR xml = '' THEN 'error'
         WHEN sitemap_url LIKE '%/sitemap-%' THEN 'urlset' ELSE 'sitemapindex' END AS sitemap_type FROM x_docs"""))
 def _(spark, sf):
     return SM.classify_sitemaps(bind(spark, sf, "x_docs"))
@@ -401,7 +402,9 @@ ENTRIES_SQL = """
 
 @check("b3_url_entries", oracle("x_entries", f"""
     SELECT * FROM ({ENTRIES_SQL}) UNION ALL
-    SELECT domain, concat(sitemap_source_url, '?orphan'), pos, loc, lastmod, changefreq, priority FROM ({ENTRIES_SQL})"""))
+    SELECT domain, concat(sitemap_source_url, '?orphan'), pos, loc, lastmod, changefreq, priority FROM ({ENTRIES_SQL}) UNION ALL
+    SELECT domain, concat(sitemap_source_url, '?cut'), pos, loc, lastmod, changefreq, priority
+    FROM (SELECT *, max(pos) OVER (PARTITION BY sitemap_source_url) AS last_pos FROM ({ENTRIES_SQL})) WHERE pos < last_pos"""))
 def _(spark, sf):
     return SM.url_entries(SM.parse_sitemaps(bind(spark, sf, "x_docs")))
 
@@ -677,6 +680,20 @@ def _(spark, sf):
     return run.changes.select("domain", "loc", "change_type", "first_seen_at", "lastmod", "lastmod_prev")
 
 
+@check("plan_inventory_faulty", oracle("s_cur s_prev", """
+    SELECT domain, loc, change_type, lastmod FROM df
+    WHERE change_type <> 'present' AND NOT (change_type = 'removed' AND sitemap_source_url_prev = 's1')""",
+    diff_cte("s_cur", "s_prev")))
+def _(spark, sf):
+    # The sitemap s1 of every domain could not be read whole: none of its URLs counts as removed.
+    faulty = bind(spark, sf, "s_prev").select("domain", F.lit("s1").alias("sitemap_url")).distinct()
+    prev = conform(bind(spark, sf, "s_prev"), snapshots.SNAPSHOT)
+    all_time = conform(bind(spark, sf, "s_all_time"), ALL_TIME)
+    cur = with_path_features(bind(spark, sf, "s_cur"))
+    run = run_inventory(cur, prev, all_time, RUN_TS, faulty=faulty)
+    return run.changes.select("domain", "loc", "change_type", "lastmod")
+
+
 @check("plan_inventory_bucketed", oracle("l_cur l_all_time", f"""
     SELECT coalesce(a.domain, c.domain) AS domain, coalesce(a.loc, c.loc) AS loc, coalesce(a.first_seen_at, {NOW}) AS first_seen_at,
            c.loc IS NOT NULL AS is_current_live, CASE WHEN c.loc IS NULL THEN a.last_lastmod ELSE c.lastmod END AS last_lastmod
@@ -684,8 +701,8 @@ def _(spark, sf):
 def _(spark, sf):
     root, buckets = scratch(spark, "bucketed"), 16
     for name, schema in (("l_prev", snapshots.SNAPSHOT), ("l_all_time", ALL_TIME)):
-        rows = bind(spark, sf, name).repartition(buckets, *D.KEY)
-        write_state(rows, f"{root}/{name}", "1", schema, buckets)
+        write_state(bind(spark, sf, name), f"{root}/{name}", "1", schema, buckets)
+    buckets = 8  # the caller asks for another number than the one that was written
     prev = read_state(spark, f"{root}/l_prev", snapshots.SNAPSHOT, buckets=buckets)
     all_time = read_state(spark, f"{root}/l_all_time", ALL_TIME, buckets=buckets)
     run = run_inventory(with_path_features(bind(spark, sf, "l_cur")), prev, all_time, RUN_TS, buckets=buckets)
@@ -701,12 +718,13 @@ def _(spark, sf):
 @check("d1_status_settings", oracle("t_targets", """
     SELECT domain, coalesce(st_enabled, true) AS enabled, coalesce(st_check_new, true) AS check_new, true AS check_updated,
            true AS check_removed, coalesce(st_max_per_run, 100) AS max_per_run, coalesce(st_failure_threshold, 0.5) AS failure_threshold,
-           coalesce(st_backoff_days, 3) AS backoff_days, 5 AS timeout FROM t_targets"""))
+           coalesce(st_backoff_days, 3) AS backoff_days, 5 AS timeout
+    FROM (SELECT *, row_number() OVER (PARTITION BY domain ORDER BY position) AS rn FROM t_targets) WHERE rn = 1"""))
 def _(spark, sf):
-    return CA.status_settings(_targets(spark, sf)).drop("user_agent")
+    return CA.status_settings(_targets(spark, sf, "position")).drop("user_agent")
 
 
-RECENT_SQL = f"detected_at >= TIMESTAMP '{EVENTS_RUN_TS}' - INTERVAL 7 DAY"
+RECENT_SQL = f"detected_at BETWEEN TIMESTAMP '{EVENTS_RUN_TS}' - INTERVAL 7 DAY AND TIMESTAMP '{EVENTS_RUN_TS}'"
 ALLOWED_SQL = f"""
     SELECT c.domain, c.loc, c.change_type, c.detected_at, c.section, coalesce(s.max_per_run, 100) AS max_per_run,
            CASE c.change_type WHEN 'removed' THEN 0 WHEN 'discovered' THEN 1 ELSE 2 END AS priority
@@ -896,7 +914,7 @@ RUNS_SQL = """SELECT domain, CAST(checked_at AS DATE) AS run, count(*) AS total,
 
 @check("e4_run_failures", oracle("o_probes", f"SELECT *, round(failures / total, 6) AS failure_rate FROM ({RUNS_SQL})"))
 def _(spark, sf):
-    return H.run_failures(_probes(spark, sf)).withColumn("failure_rate", F.round("failure_rate", 6))
+    return H.run_failures(_probes(spark, sf)).drop("forced").withColumn("failure_rate", F.round("failure_rate", 6))
 
 
 BREAKER_CTES = f"""
@@ -1035,6 +1053,24 @@ def _(spark, sf):
     return PO.assign_agent(targets, allowed, FALLBACK, ["site77"], "OwnBot/1.0")
 
 
+@check("plan_fetch", oracle("r_robots t_targets", f"""
+    SELECT t.domain, u.sitemap_url, coalesce(f.user_agent, CASE WHEN contains(t.domain, 'site77') THEN 'OwnBot/1.0' END, c.agent, '{FALLBACK}') AS agent
+    FROM t_targets t
+    JOIN (SELECT position, unnest(string_split(coalesce(sitemap_list, trim(sitemap_url)), ' ')) AS sitemap_url FROM t_targets) u ON t.position = u.position
+    JOIN (SELECT domain, nullif(min(user_agent), '') AS user_agent FROM t_targets GROUP BY domain) f ON f.domain = t.domain
+    LEFT JOIN (SELECT d.p, arg_min(a.agent, md5(concat(d.p, a.agent))) AS agent
+        FROM (SELECT DISTINCT CASE WHEN domain LIKE 'www.%' THEN domain ELSE concat('www.', domain) END AS p FROM t_targets) d, agents a
+        WHERE NOT EXISTS (SELECT 1 FROM names n JOIN bl ON bl.agent = n.name WHERE bl.domain = d.p AND contains(a.agent, n.bot))
+        GROUP BY d.p) c ON c.p = CASE WHEN t.domain LIKE 'www.%' THEN t.domain ELSE concat('www.', t.domain) END
+    WHERE {VALID} AND enabled IS DISTINCT FROM false AND (coalesce(interval_days, 1) <= 1 OR
+        (date_diff('day', DATE '1970-01-01', DATE '2025-12-02')
+         - CAST('0x' || substr(md5(t.domain), 1, 8) AS BIGINT) % interval_days) % interval_days = 0)"""
+    .replace("domain IS NOT NULL AND trim(domain)", "t.domain IS NOT NULL AND trim(t.domain)").replace("(sitemap_list", "(t.sitemap_list").replace("coalesce(sitemap_url, '')", "coalesce(t.sitemap_url, '')"), ALLOWED_CTES))
+def _(spark, sf):
+    plan = plan_fetch(_targets(spark, sf), bind(spark, sf, "r_robots"), AGENTS, FALLBACK, RUN_TS, ["site77"], "OwnBot/1.0")
+    return plan.select("domain", "sitemap_url", "agent")
+
+
 # --- G: attempt history --------------------------------------------------------------------
 
 
@@ -1148,10 +1184,15 @@ def _(spark, sf):
     return AN.content_changes(now, before)
 
 
-def _stream(spark: SparkSession, sf: str, table: str, binding: str) -> DataFrame:
-    """A binding over a stream of one given table."""
-    schema = spark.read.parquet(f"{sf}/{table}.parquet").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf)
+def _stream(spark: SparkSession, sf: str, table: str, binding: str, files: int = 0) -> DataFrame:
+    """A binding over a stream of one given table; with ``files``, its rows come mixed, one file in each batch."""
+    rows = spark.read.parquet(f"{sf}/{table}.parquet")
+    if files:
+        root = scratch(spark, f"stream-{table}")
+        rows.repartition(files).write.parquet(root)
+        stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(root)
+    else:
+        stream = spark.readStream.schema(rows.schema).option("pathGlobFilter", f"{table}.parquet").parquet(sf)
     view = f"stream_{table}_{uuid.uuid4().hex}"
     stream.createOrReplaceTempView(view)
     return bind(spark, sf, binding, {table: view})
@@ -1174,7 +1215,7 @@ def _(spark, sf):
     FROM s_base"""))
 def _(spark, sf):
     root = scratch(spark, "p10a")
-    base = _stream(spark, sf, "pages", "s_base")
+    base = _stream(spark, sf, "pages", "s_base", files=3)  # each batch holds a part of both runs
     # The snapshots of two runs arrive in one stream.
     runs = F.array(
         F.when(F.col("page_id") % 10 != 3, F.lit("2025-12-01 06:00:00").cast("timestamp")),
@@ -1192,7 +1233,7 @@ def _(spark, sf):
 @check("p10_stream_breaker", oracle("o_probes o_settings", BREAKER_SQL, BREAKER_CTES, recursive=True))
 def _(spark, sf):
     root = scratch(spark, "p10b")
-    probes = PR.with_fate(_stream(spark, sf, "events", "o_probes"))
+    probes = PR.with_fate(_stream(spark, sf, "events", "o_probes", files=3))  # each batch holds a part of every day
     settings = bind(spark, sf, "o_settings")
     SS.stream_breaker(probes, settings, f"{root}/state", f"{root}/checkpoint").awaitTermination()
     out = read_state(spark, f"{root}/state", BREAKER)

@@ -12,15 +12,15 @@ from pyspark.sql import functions as F
 from .text import count_words, decode_entities, strip
 
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
-_COMMENT = r"(?s)<!--.*?-->"
+# Whichever begins first: within a script "<!--" begins no comment.
+_COMMENT_OR_RAW = r"(?is)(<(script|style|template)\b[^>]*+>.*?</\2\s*+>)|<!--.*?-->"
 _RAW_TEXT = r"(?is)<(script|style|template)\b[^>]*>.*?</\1\s*>"
 _TAG = rf"(?s)<(?:[A-Za-z/!?]{_ATTRS})>"
-# Entities that decode to white space and therefore separate words.
-_SPACE_ENTITY = r"&(?:nbsp|ensp|emsp|thinsp|#32|#9|#10|#13|#160|#[xX](?:20|9|0?[aAdD]|[aA]0));"
 
 
 def without_comments(html: Column) -> Column:
-    return F.regexp_replace(html, _COMMENT, " ")
+    """Drop comments; scripts, styles and templates stay as they are."""
+    return F.regexp_replace(html, _COMMENT_OR_RAW, "$1 ")
 
 
 def without_raw_text(html: Column) -> Column:
@@ -58,8 +58,7 @@ def joined_text(inner: Column) -> Column:
 
 def word_count(clean_html: Column) -> Column:
     """Words of the visible text; scripts, styles and comments must be gone already."""
-    text = F.regexp_replace(F.regexp_replace(clean_html, _TAG, " "), _SPACE_ENTITY, " ")
-    return count_words(text)
+    return count_words(decode_entities(F.regexp_replace(clean_html, _TAG, " ")))
 
 
 def json_ld_types(html_without_comments: Column) -> Column:

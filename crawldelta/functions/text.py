@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -28,8 +28,15 @@ def count_words(c: Column) -> Column:
 
 def _named_entities() -> Column:
     # One literal that is folded to a map; no value holds a tab or a line end.
-    table = {**name2codepoint, "apos": 0x27}
-    return F.str_to_map(F.lit("\n".join(f"{n}\t{chr(c)}" for n, c in table.items())), F.lit("\n"), F.lit("\t"))
+    table = {n.rstrip(";"): c for n, c in html5.items() if not set(c) & set("\t\n")}
+    named = F.str_to_map(F.lit("\n".join(f"{n}\t{c}" for n, c in table.items())), F.lit("\n"), F.lit("\t"))
+    return F.map_concat(named, F.create_map(F.lit("Tab"), F.lit("\t"), F.lit("NewLine"), F.lit("\n")))
+
+
+# Names that stand for a character without a semicolon too, longest first.
+_BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n: (-len(n), n)))
+_NUMBER = "#[xX]0*+[0-9a-fA-F]{1,6}|#0*+[0-9]{1,7}"
+_REFERENCE = rf"^(?:({_NUMBER}|[A-Za-z][A-Za-z0-9]*+);|({_NUMBER})(?![0-9a-fA-F])|({_BARE})(?![=A-Za-z0-9;]))"
 
 
 def _code_to_char(code: Column) -> Column:
@@ -38,7 +45,7 @@ def _code_to_char(code: Column) -> Column:
 
 
 def decode_entities(c: Column) -> Column:
-    """Decode named (HTML 4), decimal and hexadecimal character references.
+    """Decode named (HTML 5), decimal and hexadecimal character references, with or without semicolon.
 
     Unknown references stay as written. Text without ``&`` is passed through
     untouched, so the array work runs only where it is needed.
@@ -48,7 +55,7 @@ def decode_entities(c: Column) -> Column:
 
     # Two passes, so that the reference of a piece is extracted once.
     def with_ref(p: Column) -> Column:
-        ref = F.regexp_extract(p, r"^(#[xX][0-9a-fA-F]{1,6}|#[0-9]{1,7}|[A-Za-z][A-Za-z0-9]*);", 1)
+        ref = F.concat(*[F.regexp_extract(p, _REFERENCE, i) for i in (1, 2, 3)])
         hexadecimal = F.lower(F.substring(ref, 1, 2)) == "#x"
         digits = F.when(hexadecimal, F.conv(F.substr(ref, F.lit(3)), 16, 10)).otherwise(F.substr(ref, F.lit(2)))
         code = F.when(ref.startswith("#"), digits.try_cast("bigint"))
@@ -60,7 +67,8 @@ def decode_entities(c: Column) -> Column:
         char = F.when(code.isNull(), F.try_element_at(_named_entities(), r["ref"])).when(
             usable, _code_to_char(code)
         )
-        rest = F.substr(r["piece"], F.length(r["ref"]) + 2)
+        after = F.substr(r["piece"], F.length(r["ref"]) + 1)
+        rest = F.when(after.startswith(";"), F.substr(after, F.lit(2))).otherwise(after)
         return F.coalesce(F.concat(char, rest), F.concat(F.lit("&"), r["piece"]))
 
     decoded = F.concat(

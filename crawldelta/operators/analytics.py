@@ -46,8 +46,15 @@ def lifecycle(changes: DataFrame, slice_unit: str = "day") -> DataFrame:
     )
     within = Window.partitionBy(*KEY, "_slice").orderBy("detected_at", "change_type")
     days = (F.unix_micros("detected_at") - F.unix_micros("previous_at")) / (86400 * 1000000)
+    # Null-safe: a change without a domain is still a change of its URL.
+    names = {c: f"_c_{c}" for c in (*KEY, "_slice")}
+    carry = carry.withColumnsRenamed(names)
+    same = F.lit(True)
+    for c, other in names.items():
+        same = same & F.col(c).eqNullSafe(F.col(other))
     return (
-        sliced.join(carry, [*KEY, "_slice"])
+        sliced.join(carry, same)
+        .drop(*names.values())
         .withColumns(
             {
                 "seq": F.col("_before") + F.row_number().over(within),
@@ -108,16 +115,17 @@ def content_changes(cur_pages: DataFrame, prev_pages: DataFrame) -> DataFrame:
     """
 
     def hashed(df: DataFrame, name: str) -> DataFrame:
-        return df.select("url", F.sha2("html", 256).alias(name))
+        return df.select("url", F.sha2("html", 256).alias(name), F.lit(True).alias(f"in_{name}"))
 
     kind = (
-        F.when(F.col("hash_prev").isNull(), "new")
-        .when(F.col("hash").isNull(), "gone")
-        .when(F.col("hash") != F.col("hash_prev"), "changed")
+        F.when(F.col("in_hash_prev").isNull(), "new")
+        .when(F.col("in_hash").isNull(), "gone")
+        .when(~F.col("hash").eqNullSafe(F.col("hash_prev")), "changed")
     )
     return (
         hashed(cur_pages, "hash")
         .join(hashed(prev_pages, "hash_prev"), "url", "full_outer")
         .withColumn("content_change", kind)
         .where(F.col("content_change").isNotNull())
+        .drop("in_hash", "in_hash_prev")
     )

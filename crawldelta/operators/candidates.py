@@ -29,20 +29,28 @@ RECENT_DAYS = 7
 
 
 def status_settings(targets: DataFrame, defaults: dict | None = None) -> DataFrame:
-    """One row of probe settings per target, defaults filled in key by key."""
+    """One row of probe settings per domain, defaults filled in key by key.
+
+    Of several targets of one domain the first counts, by a ``position`` column
+    if there is one, else in the order in which the targets are read.
+    """
     values = {**STATUS_DEFAULTS, **(defaults or {})}
-    return targets.select(
-        "domain",
+    position = F.col("position") if "position" in targets.columns else F.monotonically_increasing_id()
+    settings = F.struct(
+        position.alias("_position"),
         *[F.coalesce(F.col(f"status_check.{k}"), F.lit(v)).alias(k) for k, v in values.items()],
     )
+    first = targets.select("domain", settings.alias("s")).groupBy("domain").agg(F.min("s").alias("s"))
+    return first.select("domain", *[f"s.{k}" for k in values])
 
 
 def recent_changes(log: DataFrame, run_ts: datetime | str, days: int = RECENT_DAYS) -> DataFrame:
-    """Changes detected in the last days; prunes monthly partitions where there are any."""
-    since = as_timestamp(run_ts) - F.expr(f"interval {int(days)} days")
-    recent = log.where(F.col("detected_at") >= since)
+    """Changes detected in the last days up to the run; prunes monthly partitions where there are any."""
+    now = as_timestamp(run_ts)
+    since = now - F.expr(f"interval {int(days)} days")
+    recent = log.where(F.col("detected_at").between(since, now))
     if "change_month" in log.columns:
-        recent = recent.where(F.col("change_month") >= F.date_format(since, "yyyy-MM"))
+        recent = recent.where(F.col("change_month").between(F.date_format(since, "yyyy-MM"), F.date_format(now, "yyyy-MM")))
     return recent
 
 

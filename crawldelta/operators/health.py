@@ -35,8 +35,7 @@ def fate_by_change_type(history: DataFrame, k: int = 3) -> DataFrame:
     return top_k(counts, keys, [F.col("probes").desc(), F.col("fate")], k, rank_as="rank")
 
 
-def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None = None,
-                         approximate: bool = False) -> DataFrame:
+def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None = None) -> DataFrame:
     """Exact interpolated response-time percentiles per domain, over positive times.
 
     The values of a domain never meet in one task. Times are counted per value
@@ -47,11 +46,6 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
     times = history.where(F.col("response_time_ms") > 0).select(
         "domain", F.col("response_time_ms").cast("double").alias("v")
     )
-    if approximate:
-        return times.groupBy("domain").agg(
-            F.count("*").alias("probes"),
-            *[F.percentile_approx("v", q, 10000).alias(n) for n, q in quantiles.items()],
-        )
     values = times.groupBy("domain", F.floor("v").alias("bin"), "v").agg(F.count("*").alias("n"))
     bins = values.groupBy("domain", "bin").agg(F.sum("n").alias("bin_n"))
     by_bin = Window.partitionBy("domain").orderBy("bin")
@@ -111,11 +105,13 @@ def _rank_pair(q: float) -> list[tuple[Column, Column]]:
 def run_failures(history: DataFrame, run: Column | None = None) -> DataFrame:
     """Probes, failures and failure rate per domain and run; a run is a UTC day by default."""
     run = F.to_date("checked_at") if run is None else run
+    forced = F.coalesce(F.bool_or("forced"), F.lit(False)) if "forced" in history.columns else F.lit(False)
     return (
         history.groupBy("domain", run.alias("run"))
         .agg(
             F.count("*").alias("total"),
             F.count_if(F.col("fate").isin(*FAILURE_FATES)).alias("failures"),
+            forced.alias("forced"),
         )
         .withColumn("failure_rate", F.col("failures") / F.col("total"))
     )
@@ -126,7 +122,7 @@ def breaker_state(runs: DataFrame, settings: DataFrame, initial: DataFrame | Non
 
     A rate at or over the threshold counts as bad; the second bad run in a row
     opens the breaker for ``backoff_days``. Runs before the end of a backoff do
-    not happen. The end of a backoff closes the breaker but keeps the count of
+    not happen, but for those that were ``forced``, which count. The end of a backoff closes the breaker but keeps the count of
     bad runs, so one more bad run opens it again. Empty runs change nothing else.
 
     ``runs`` has one row per domain and run, so a fold holds days, not probes;
@@ -140,6 +136,7 @@ def breaker_state(runs: DataFrame, settings: DataFrame, initial: DataFrame | Non
                     F.col("run").cast("timestamp").alias("run"),
                     F.col("total").cast("bigint").alias("total"),
                     F.col("failures").cast("bigint").alias("failures"),
+                    (F.coalesce("forced", F.lit(False)) if "forced" in runs.columns else F.lit(False)).alias("forced"),
                 )
             )
         ).alias("runs")
@@ -175,7 +172,7 @@ def _start_value(name: str) -> Column:
 
 def step_breaker(state: Column, run: Column, threshold: Column, backoff_days: Column) -> Column:
     """The breaker after one more run."""
-    waiting = state["backoff_until"] > run["run"]
+    waiting = (state["backoff_until"] > run["run"]) & ~run["forced"]
     expired = state["backoff_until"] <= run["run"]
     rate = run["failures"] / run["total"]
     bad = rate >= threshold

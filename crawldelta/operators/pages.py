@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import html as H
 from ..functions.text import blank_to_null, decode_entities, strip
+from .probes import with_error
 
 # Fixed caps on stored text, in characters.
 TITLE_CAP, DESCRIPTION_CAP, OG_TITLE_CAP, H1_CAP, SCHEMA_TYPE_CAP = 500, 500, 200, 200, 10
@@ -99,8 +100,19 @@ def with_indexable(meta: DataFrame) -> DataFrame:
     """Add ``content_error`` and the final ``inferred_indexable`` verdict.
 
     The robots test is by substring, so ``max-image-preview:none`` counts as
-    ``none``. Pages that did not answer 200 are not indexable.
+    ``none``. Pages that did not answer 200 are not indexable. A check that
+    raised (``exception_type`` and ``exception_message``, where there are such
+    columns) has status 0 and the exception's label or text as its error; a
+    status that is missing counts as 0.
     """
+    if "exception_type" in meta.columns:
+        raised = with_error(meta.withColumn("status_code", F.col("content_status_code")))
+        meta = raised.withColumns({"content_status_code": F.col("status_code"), "_raised": F.col("error")}).select(
+            *meta.columns, "_raised"
+        )
+    else:
+        meta = meta.withColumn("_raised", F.lit(None).cast("string"))
+    meta = meta.withColumn("content_status_code", F.coalesce("content_status_code", F.lit(0)))
     ok = F.col("content_status_code") == 200
     robots = F.coalesce("c_meta_robots", F.lit(""))
     verdict = (
@@ -111,10 +123,12 @@ def with_indexable(meta: DataFrame) -> DataFrame:
     )
     return meta.withColumns(
         {
-            "content_error": F.when(~ok, F.concat(F.lit("status_"), F.col("content_status_code").cast("string"))),
+            "content_error": F.when(
+                ~ok, F.coalesce("_raised", F.concat(F.lit("status_"), F.col("content_status_code").cast("string")))
+            ),
             "inferred_indexable": F.coalesce(verdict, F.lit(False)),
         }
-    )
+    ).drop("_raised")
 
 
 def with_meta_json(meta: DataFrame) -> DataFrame:

@@ -53,9 +53,14 @@ def blocked_agents(robots: DataFrame, grouped: bool = False) -> DataFrame:
 
 
 def fresh_robots(robots: DataFrame, run_ts: datetime | str, ttl_hours: int = CACHE_TTL_HOURS) -> DataFrame:
-    """The latest robots text per domain, if it is younger than the time to live."""
+    """The latest robots text per domain, if it is younger than the time to live.
+
+    Where there is a ``status_code``, only texts that came with 200 count: an
+    error page is no policy, and a failed fetch does not hide a good one.
+    """
+    good = robots.where(F.col("status_code") == 200) if "status_code" in robots.columns else robots
     newest = first_per_key(
-        robots, ["domain"], [F.col("fetched_at").desc_nulls_last(), F.col("content").asc_nulls_last()]
+        good, ["domain"], [F.col("fetched_at").desc_nulls_last(), F.col("content").asc_nulls_last()]
     )
     limit = F.expr(f"interval {int(ttl_hours)} hours")
     return newest.where(as_timestamp(run_ts) - F.col("fetched_at") < limit)

@@ -17,36 +17,42 @@ _DOC_SCHEMA = (
     "_corrupt: string>"
 )
 
-_PROLOG = r"^(?:\s|\x{FEFF}|<\?.*?\?>|<!--.*?-->|<![A-Za-z][^>]*>)*"
+# Comments and processing instructions; lazy on one character class, so their length costs no stack.
+_NOT_ELEMENTS = r"(?s)<!--.*?-->|<\?.*?\?>"
 
 
 def root_name(xml: Column) -> Column:
-    """Local name of the root element; empty if there is none."""
-    return F.regexp_extract(xml, "(?s)" + _PROLOG + r"<(?:[^\s<>/:!?]+:)?([^\s<>/:!?]+)", 1)
+    """Local name of the root element, whatever stands before it; empty if there is none."""
+    elements = F.regexp_replace(xml, _NOT_ELEMENTS, "")
+    return F.regexp_extract(elements, r"<(?:[^\s<>/:!?]++:)?([^\s<>/:!?]++)", 1)
 
 
-def parse_sitemaps(docs: DataFrame, recover: bool = False) -> DataFrame:
-    """Turn document texts into ``sitemap_type``, ``sitemap``, ``url`` and the text's facts.
+def parse_sitemaps(docs: DataFrame, recover: bool = True) -> DataFrame:
+    """Turn document texts into ``sitemap_type``, ``sitemap``, ``url``, ``fault`` and the text's facts.
 
-    Each document is parsed once, in permissive mode. Documents that are empty
-    or not well formed get the type ``error`` and no entries. With ``recover``,
-    the complete elements of a document that is not well formed are kept, as
-    far as the text goes, and only documents without any are errors.
+    Each document is parsed once, in permissive mode. Of a document that is not
+    well formed, or whose entries lie below an unknown root at any depth, the
+    complete elements are kept, as far as the text goes. ``fault`` is
+    ``recovered`` where elements may be missing, ``unreadable`` where there is
+    none, and null for a sound document. Without ``recover``, a document that is
+    not well formed is an error.
     """
-    xml = F.regexp_replace(F.coalesce(F.col("xml"), F.lit("")), r"^[\s\x{FEFF}]+", "")
+    xml = F.regexp_replace(F.coalesce(F.col("xml"), F.lit("")), r"^[\s\x{FEFF}]++", "")
     parts = docs.withColumn("_xml", xml)
     parts = parts.withColumns({"_root": root_name(F.col("_xml")), "_doc": _parsed("_xml")})
     root = F.col("_root")
-    broken = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull()
+    unread = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull()
+    parts = parts.withColumn("_broken", (F.col("_xml") == "") | unread)
     if recover:
+        nothing = F.col("_doc.sitemap").isNull() & F.col("_doc.url").isNull() & ~root.isin(_INDEX_ROOT, _URL_ROOT)
         parts = (
-            parts.withColumn("_fixed", F.when(broken, _complete_elements(F.col("_xml"))))
+            parts.withColumn("_fixed", F.when(F.col("_broken") | nothing, _complete_elements(F.col("_xml"))))
             .withColumn("_again", _parsed("_fixed"))
             .withColumn("_doc", F.coalesce("_again", "_doc"))
             .drop("_fixed", "_again")
         )
     kind = (
-        F.when((F.col("_xml") == "") | broken, "error")
+        F.when((F.col("_xml") == "") | unread, "error")
         .when(root.isin(_INDEX_ROOT, _URL_ROOT), root)
         .when(F.col("_doc.sitemap").isNotNull(), _INDEX_ROOT)
         .when(F.col("_doc.url").isNotNull(), _URL_ROOT)
@@ -59,11 +65,12 @@ def parse_sitemaps(docs: DataFrame, recover: bool = False) -> DataFrame:
             {
                 "sitemap": F.when(F.col("sitemap_type") == _INDEX_ROOT, F.col("_doc.sitemap")),
                 "url": F.when(F.col("sitemap_type") == _URL_ROOT, F.col("_doc.url")),
+                "fault": F.when(F.col("sitemap_type") == "error", "unreadable").when(F.col("_broken"), "recovered"),
                 "content_hash": F.sha2("xml", 256),
                 "content_length": F.length("xml").cast("bigint"),
             }
         )
-        .drop("_xml", "_root", "_doc", "xml")
+        .drop("_xml", "_root", "_doc", "_broken", "xml")
     )
 
 
@@ -95,14 +102,18 @@ def classify_sitemaps(docs: DataFrame) -> DataFrame:
     return parse_sitemaps(docs).select("domain", "sitemap_url", "sitemap_type")
 
 
+def _domain(parsed: DataFrame) -> list[str]:
+    return ["domain"] if "domain" in parsed.columns else []
+
+
 def sitemap_links(parsed: DataFrame) -> DataFrame:
     """One row per child of an index document; blank locations are dropped."""
     # An outer explode: for the plain one Spark infers a filter on the array and
     # pushes it below the parser, which would then run twice per document.
     return (
-        parsed.select("domain", F.col("sitemap_url").alias("parent"), F.explode_outer("sitemap").alias("c"))
+        parsed.select(*_domain(parsed), F.col("sitemap_url").alias("parent"), F.explode_outer("sitemap").alias("c"))
         .select(
-            "domain",
+            *_domain(parsed),
             "parent",
             strip(F.col("c.loc")).alias("child"),
             blank_to_null(strip(F.col("c.lastmod"))).alias("child_lastmod"),
@@ -151,13 +162,14 @@ def sitemap_file_facts(parsed: DataFrame) -> DataFrame:
 def reach_sitemaps(roots: DataFrame, links: DataFrame) -> DataFrame:
     """(domain, sitemap_url, depth) of every sitemap reachable from the roots.
 
-    Breadth-first over the link table, one join per level of nesting. Every
-    sitemap is visited once per domain, so cycles end. Each level is written to
-    the shared folder: plans stay short and a lost executor costs one level.
+    The domain is the target's and is carried along: a root and its children may
+    lie on any host. Breadth-first over the link table, one join per level of
+    nesting. Every sitemap is visited once per domain, so cycles end. Each level
+    is written to the shared folder: plans stay short and a lost executor costs
+    one level.
     """
-    edges = cut_lineage(
-        links.select("domain", F.col("parent").alias("sitemap_url"), "child").distinct()
-    )
+    edges = links.select(F.col("parent").alias("sitemap_url"), "child").repartition("sitemap_url").distinct()
+    edges = cut_lineage(edges)
     visited = cut_lineage(
         roots.select("domain", "sitemap_url").distinct().withColumn("depth", F.lit(0))
     )
@@ -165,7 +177,7 @@ def reach_sitemaps(roots: DataFrame, links: DataFrame) -> DataFrame:
     while not frontier.isEmpty():
         depth += 1
         frontier = cut_lineage(
-            frontier.join(edges, ["domain", "sitemap_url"])
+            frontier.join(edges, "sitemap_url")
             .select("domain", F.col("child").alias("sitemap_url"))
             .distinct()
             .join(visited, ["domain", "sitemap_url"], "left_anti")
@@ -175,21 +187,22 @@ def reach_sitemaps(roots: DataFrame, links: DataFrame) -> DataFrame:
     return visited
 
 
-def reachable_docs(roots: DataFrame, docs: DataFrame, recover: bool = False) -> DataFrame:
-    """The documents reachable from the roots.
+def reachable_parsed(roots: DataFrame, docs: DataFrame, recover: bool = True) -> DataFrame:
+    """The parsed documents reachable from the roots, under the domain of the target that reaches them.
 
-    The root name is read by a cheap expression first, so that only index
-    documents are parsed for their links.
+    Documents are parsed where they are read; what is joined has no texts. The
+    root name is read by a cheap expression first, so that only documents that
+    may be indexes are parsed for their links.
     """
     links = sitemap_links(parse_sitemaps(docs.where(_root_of_text() != _URL_ROOT), recover))
     reached = reach_sitemaps(roots, links).select("domain", "sitemap_url")
-    return docs.join(reached, ["domain", "sitemap_url"], "left_semi")
+    parsed = parse_sitemaps(docs, recover)
+    return parsed.drop("domain").join(reached, "sitemap_url")
 
 
-def reachable_entries(roots: DataFrame, docs: DataFrame, recover: bool = False) -> DataFrame:
+def reachable_entries(roots: DataFrame, docs: DataFrame, recover: bool = True) -> DataFrame:
     """URL entries of the sitemaps reachable from the roots, tagged with their source."""
-    leaves = reachable_docs(roots, docs, recover).where(_root_of_text() != _INDEX_ROOT)
-    return url_entries(parse_sitemaps(leaves, recover))
+    return url_entries(reachable_parsed(roots, docs, recover))
 
 
 def _root_of_text() -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 from typing import NamedTuple
 
@@ -12,16 +13,24 @@ from ..functions.urls import with_path_features
 from ..operators import diff as D
 from ..operators.alltime import live_status
 from ..operators.candidates import probe_candidates, recent_changes, status_settings
-from ..operators.health import breaker_state, run_failures, runnable
-from ..operators.probes import classify_probes
-from ..operators.sitemaps import parse_sitemaps, reachable_docs, sitemap_file_facts, url_entries
+from ..operators.health import (
+    breaker_state,
+    fate_by_change_type,
+    fate_summary,
+    response_percentiles,
+    run_failures,
+    runnable,
+)
+from ..operators.policy import allowed_agents, assign_agent, fresh_robots, policy_domain
+from ..operators.probes import classify_probes, redirect_map
+from ..operators.sitemaps import reachable_parsed, sitemap_file_facts, url_entries
 from ..operators.targets import due_targets, normalize_targets, run_summary, target_roots
 from ..schemas import ALL_TIME, BREAKER, CHANGES, SNAPSHOT, conform
 from ..session import cut_lineage
 from ..sources.changelog import append_changes, read_changes, run_id_of
 from ..sources.history import append_status_history, write_headers
 from ..sources.snapshots import write_sitemap_files
-from ..sources.state import cut_lineage_bucketed, read_state, write_state
+from ..sources.state import cut_lineage_bucketed, drop_scratch, read_state, write_state
 from .keyed import keep_domains, tag_known_domains
 
 
@@ -78,35 +87,43 @@ def fused_state(cur: DataFrame, prev: DataFrame, all_time: DataFrame, buckets: i
     return stacked.groupBy(*D.KEY).agg(*[F.min(side).alias(side) for side in ("cur", "prev", "old")])
 
 
-def _with_ran(state: DataFrame, cur: DataFrame, buckets: int | None) -> DataFrame:
-    """Add ``ran``: did the row's domain deliver any URL in this run?
+def _with_ran(state: DataFrame, cur: DataFrame, buckets: int | None, faulty: DataFrame | None) -> DataFrame:
+    """Add ``ran``: did the row's domain deliver any URL in this run, and was the URL's sitemap sound?
 
     A row with a current side answers itself, and a row that is long gone is not
     changed either way. Only the rest, URLs that were live and are missing now,
-    is looked up by domain.
+    is looked up by domain, and by sitemap where some were faulty: a URL that
+    such a sitemap may still hold is not known to be gone.
     """
     has_cur = F.col("cur").isNotNull()
     gone = F.col("prev").isNull() & ~F.coalesce(F.col("old.is_current_live"), F.lit(False))
     settled = state.where(has_cur | gone).withColumn("ran", has_cur)
     asked = tag_known_domains(state.where(~has_cur & ~gone), cur, "ran")
+    if faulty is not None:
+        bad = faulty.select(F.col("domain").alias("_d"), F.col("sitemap_url").alias("_s")).distinct().withColumn("_bad", F.lit(True))
+        source = F.coalesce("prev.sitemap_source_url", "old.last_sitemap_source_url")
+        same = (F.col("domain") == F.col("_d")) & (source == F.col("_s"))
+        asked = asked.join(bad, same, "left").withColumn("ran", F.col("ran") & F.col("_bad").isNull()).drop("_d", "_s", "_bad")
     if buckets:
         asked = asked.repartition(buckets, *D.KEY)
     return settled.unionByName(asked)
 
 
 def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame, run_ts: datetime | str,
-                  materialize: bool = True, buckets: int | None = None) -> Inventory:
+                  materialize: bool = True, buckets: int | None = None,
+                  faulty: DataFrame | None = None) -> Inventory:
     """Diff, change log, next snapshot and all-time table of one run.
 
     Domains without a current URL did not run: their snapshot rows and all-time
     rows are carried over as they are and nothing of theirs counts as removed.
-    The fused rows are written once to the shared folder, and the three results
+    The same holds for URLs last seen in one of the ``faulty`` sitemaps (domain,
+    sitemap_url), which could not be read, or not whole. The fused rows are written once to the shared folder, and the three results
     are narrow readings of them.
     """
     state = fused_state(cur, prev, all_time, buckets)
     if materialize:
         state = cut_lineage_bucketed(state, buckets) if buckets else cut_lineage(state)
-    state = _with_ran(state, cur, buckets)
+    state = _with_ran(state, cur, buckets, faulty)
     now = D.as_timestamp(run_ts)
     has_cur, has_prev, known = (F.col(c).isNotNull() for c in ("cur", "prev", "old"))
 
@@ -153,19 +170,38 @@ def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame, run_ts:
     )
 
 
+def plan_fetch(targets: DataFrame, robots: DataFrame, agents: Sequence[str], fallback: str, run_ts: datetime | str,
+               own_domains: Sequence[str] = (), own_agent: str | None = None) -> DataFrame:
+    """Sitemaps to fetch now, each with the agent to fetch it with: domain, sitemap_url, agent, rule.
+
+    The agents that a domain's fresh robots text does not block are the choice;
+    a domain without a fresh text blocks nobody.
+    """
+    due = due_targets(normalize_targets(targets).where("is_valid"), str(run_ts)[:10])
+    wanted = due.select(policy_domain(F.col("domain")).alias("domain")).distinct()
+    allowed = allowed_agents(wanted, fresh_robots(robots, run_ts), agents)
+    first = due.groupBy("domain").agg(F.min("user_agent").alias("user_agent"))
+    chosen = assign_agent(first, allowed, fallback, own_domains, own_agent)
+    return target_roots(due).select("domain", "sitemap_url").distinct().join(chosen, "domain")
+
+
 def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, base: str,
-                    run_ts: datetime | str, buckets: int | None = None) -> DataFrame:
+                    run_ts: datetime | str, buckets: int | None = None,
+                    errors: DataFrame | None = None) -> DataFrame:
     """Targets and sitemap documents to change log, snapshot, all-time table and summary.
 
+    ``errors`` (domain, message) names the targets whose fetch failed; the
+    summary reports them.
+
     State lives under ``base``; a rerun with the same ``run_ts`` replaces its own
     output. With ``buckets`` the snapshot and the all-time table are kept
-    bucketed on (domain, loc) and are joined without a shuffle; the number must
-    stay the same from run to run. Returns the run summary.
+    bucketed on (domain, loc) and are joined without a shuffle; a run after a
+    change of the number shuffles them once. Returns the run summary.
     """
     run_id = run_id_of(run_ts)
     due = due_targets(normalize_targets(targets).where("is_valid"), str(run_ts)[:10])
     # Parsed once and kept without the texts; facts and entries are read from it.
-    parsed = cut_lineage(parse_sitemaps(reachable_docs(target_roots(due), docs)))
+    parsed = cut_lineage(reachable_parsed(target_roots(due), docs))
     entries = with_path_features(url_entries(parsed))
     write_sitemap_files(sitemap_file_facts(parsed), f"{base}/sitemaps", run_id)
 
@@ -173,12 +209,14 @@ def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, ba
     all_time = read_state(spark, f"{base}/all_time", ALL_TIME, run_id, buckets)
     log = _log_before(spark, f"{base}/changes", run_id)
     backfilled = D.backfill(D.guard_empty(entries, prev), log, run_ts)
-    run = run_inventory(entries, prev, all_time, run_ts, buckets=buckets)
+    faulty = parsed.where(F.col("fault").isNotNull()).select("domain", "sitemap_url")
+    run = run_inventory(entries, prev, all_time, run_ts, buckets=buckets, faulty=faulty)
     append_changes(run.changes.unionByName(backfilled), f"{base}/changes", run_ts)
     if not run.snapshot.isEmpty():
-        write_state(run.snapshot, f"{base}/snapshot", run_id, SNAPSHOT, buckets)
-    write_state(run.all_time, f"{base}/all_time", run_id, ALL_TIME, buckets)
-    return run_summary(due, entries)
+        write_state(run.snapshot, f"{base}/snapshot", run_id, SNAPSHOT, buckets, placed=True)
+    write_state(run.all_time, f"{base}/all_time", run_id, ALL_TIME, buckets, placed=True)
+    drop_scratch(spark)
+    return run_summary(due, entries, errors)
 
 
 def _log_before(spark: SparkSession, path: str, run_id: str) -> DataFrame:
@@ -194,23 +232,34 @@ def plan_probes(spark: SparkSession, targets: DataFrame, base: str, run_ts: date
                 force: bool = False) -> DataFrame:
     """URLs to hand to the prober now, for every domain that may be probed."""
     settings = status_settings(targets)
-    breaker = read_state(spark, f"{base}/breaker", BREAKER)
+    breaker = read_state(spark, f"{base}/breaker", BREAKER, before=run_id_of(run_ts))
     domains = runnable(settings, breaker, run_ts, force)
     log = keep_domains(recent_changes(read_changes(spark, f"{base}/changes"), run_ts), domains)
     return probe_candidates(log, settings, run_ts)
 
 
 def record_probes(spark: SparkSession, raw: DataFrame, targets: DataFrame, base: str,
-                  run_ts: datetime | str) -> DataFrame:
+                  run_ts: datetime | str, forced: bool = False) -> DataFrame:
     """Store the prober's answers and move every breaker one run on.
 
+    Beside the history the run's redirect map and rollups (fates, fates by
+    change type, response percentiles) are written. ``forced`` tells that the
+    probes were planned in spite of breakers, so that their run counts.
     Returns the classified probes of the run.
     """
-    probes = cut_lineage(classify_probes(raw))
-    append_status_history(probes, f"{base}/status_history")
-    write_headers(probes, f"{base}/headers")
-    runs = run_failures(probes, D.as_timestamp(run_ts))
+    probes = cut_lineage(classify_probes(raw).withColumn("forced", F.lit(forced)))
     run_id = run_id_of(run_ts)
+    append_status_history(probes, f"{base}/status_history", run_id)
+    write_headers(probes, f"{base}/headers", run_id)
+    reports = {
+        "redirect_map": redirect_map(probes),
+        "fates": fate_summary(probes),
+        "fates_by_change_type": fate_by_change_type(probes),
+        "response_percentiles": response_percentiles(probes),
+    }
+    for name, report in reports.items():
+        report.write.mode("overwrite").parquet(f"{base}/{name}/run_id={run_id}")
+    runs = run_failures(probes, D.as_timestamp(run_ts))
     before = read_state(spark, f"{base}/breaker", BREAKER, before=run_id)
     after = breaker_state(runs, status_settings(targets), before)
     write_state(after, f"{base}/breaker", run_id, BREAKER)

@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 # Spark prunes ranked windows on the map side only up to this rank bound
 # (spark.sql.optimizer.windowGroupLimitThreshold).
 _MAP_SIDE_RANK_BOUND = 1000
-# Up to this number of shuffle partitions one round of slices is enough.
-_ONE_ROUND = 64
 
 
 def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
@@ -20,10 +18,11 @@ def top_k(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int,
     """First ``k`` rows per key under a total order.
 
     A literal bound lets Catalyst put a WindowGroupLimit below the exchange, so
-    a map task ships at most ``k`` rows per key however hot the key is.
+    a map task ships at most ``k`` rows per key however hot the key is. Beyond
+    the bound up to which Spark does so, rows are ranked in slices first.
     """
     if k > _MAP_SIDE_RANK_BOUND:
-        raise ValueError("use top_k_sliced for bounds above 1000")
+        return top_k_sliced(df, keys, order, F.lit(k), df.columns, rank_as)
     name = rank_as or "_rank"
     w = Window.partitionBy(*keys).orderBy(*order)
     out = df.withColumn(name, F.row_number().over(w)).where(F.col(name) <= k)
@@ -39,14 +38,14 @@ def top_k_sliced(df: DataFrame, keys: Sequence[str], order: Sequence[Column],
     """First ``k`` rows per key where ``k`` is a column, exact under skew.
 
     Rows are first ranked inside hashed slices of their key, one slice per
-    shuffle partition P, and only the first ``k`` of each slice go on. On large
-    clusters a second round over about sqrt(P) slices follows, so that no task
-    ranks more than about sqrt(P) * k rows of one key before the last one. The
+    shuffle partition P, and only the first ``k`` of each slice go on. A second
+    round over about sqrt(P) slices follows, so that no task ranks more than
+    about sqrt(P) * k rows of one key before the last one. The
     explicit repartition keeps an earlier partitioning by the bare key from
     being reused, which would put a hot key into one task.
     """
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    rounds = [partitions] if partitions <= _ONE_ROUND else [partitions, math.isqrt(partitions)]
+    rounds = [partitions, math.isqrt(partitions)]
     name = rank_as or "_rank"
     out = df.withColumn("_hash", F.xxhash64(*slice_on))
     for slices in rounds:

@@ -6,7 +6,7 @@ where an order is needed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
@@ -14,6 +14,7 @@ from pyspark.sql.types import (
     DataType,
     DoubleType,
     IntegerType,
+    IntegralType,
     LongType,
     MapType,
     StringType,
@@ -81,6 +82,9 @@ BREAKER = _table(
     "total_failures bigint"
 )
 
+# What a stream keeps of the probes of one domain and day.
+BREAKER_DAYS = _table("domain string, run timestamp, total bigint, failures bigint, forced boolean")
+
 ROBOTS = _table(
     "domain string, content string, fetched_at timestamp, status_code int"
 )
@@ -105,13 +109,22 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     """Select exactly the columns of ``schema``; absent ones become typed nulls.
 
     A string that does not parse as the declared type becomes null, so frames
-    read from untyped CSV can be conformed as well.
+    read from untyped CSV can be conformed as well. There, a column of whole
+    numbers with gaps is written like ``3.0``, and that is 3.
     """
-    have = set(df.columns)
+    have = dict(df.dtypes)
+
+    def typed(f: StructField) -> Column:
+        plain = F.col(f.name).try_cast(f.dataType)
+        if have[f.name] != "string" or not isinstance(f.dataType, IntegralType):
+            return plain
+        number = F.regexp_replace(F.btrim(F.col(f.name)), r"\.0*$", "")
+        return F.coalesce(plain, number.try_cast(f.dataType))
+
     return df.select(
         *[
             (
-                F.col(f.name).try_cast(f.dataType)
+                typed(f)
                 if f.name in have
                 else F.lit(None).cast(f.dataType)
             ).alias(f.name)

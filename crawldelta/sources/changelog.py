@@ -22,9 +22,15 @@ def run_id_of(run_ts: datetime | str) -> str:
 def append_changes(changes: DataFrame, path: str, run_ts: datetime | str) -> None:
     """Add the changes of a run. Running it again replaces the run, it does not repeat it."""
     now = as_timestamp(run_ts)
+    # Overwriting partitions replaces nothing where the run has no rows this time.
+    spark = changes.sparkSession
+    jvm, run_id = spark.sparkContext._jvm, run_id_of(run_ts)
+    if changes.isEmpty():
+        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/change_month={run_id[:4]}-{run_id[4:6]}/run_id={run_id}")
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
     (
         conform(changes, CHANGES)
-        .withColumns({"change_month": F.date_format(now, "yyyy-MM"), "run_id": F.lit(run_id_of(run_ts))})
+        .withColumns({"change_month": F.date_format(now, "yyyy-MM"), "run_id": F.lit(run_id)})
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*_PARTITION_COLUMNS)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StructField, StructType
 
@@ -14,18 +16,29 @@ def read_sitemap_docs(spark: SparkSession, path: str, base: str = "https://") ->
     """Stored sitemap files, one row per file.
 
     Files lie under ``path`` as ``<host>/<rest of the address>``, so the address
-    is the file's path below the folder.
+    is the file's path below the folder. Characters that a file name cannot
+    hold, or that the address has escaped, are stored as ``%`` and two digits.
     """
-    root = path.rstrip("/") + "/"
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
-    below = F.substring_index(F.col("_metadata.file_path"), root, -1)
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    root = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder).toString().rstrip("/")
+    # The file URI escapes what it must; a plus sign is a plus sign.
+    place = _percent_decoded(F.col("_metadata.file_path"))
+    plain = F.regexp_replace(place, "^([a-z][a-z0-9+.-]*):/+", "$1:/")
+    start = re.sub("^([a-z][a-z0-9+.-]*):/+", r"\1:/", root)
+    below = F.substr(plain, F.lit(len(start) + 2))
+    # Under its name a file stands for an address, whose own escapes are undone once more.
     return files.select(
-        F.concat(F.lit(base), F.url_decode(below)).alias("sitemap_url"),
+        F.concat(F.lit(base), _percent_decoded(below)).alias("sitemap_url"),
         F.col("value").alias("xml"),
         F.col("_metadata.file_modification_time").alias("fetched_at"),
     ).select(netloc(F.col("sitemap_url")).alias("domain"), "sitemap_url", "xml", "fetched_at")
 
 
+def _percent_decoded(c: Column) -> Column:
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def read_targets(spark: SparkSession, path: str) -> DataFrame:
     """Targets from a configuration file with a ``targets`` list."""
     shape = StructType([StructField("targets", ArrayType(TARGETS))])

@@ -15,8 +15,17 @@ REQUIRED_COLUMNS = ("loc",)
 NULL_LASTMOD_LIMIT_PCT = 50
 
 
-def read_snapshot_files(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Snapshot files as they are: CSV with a header line, or legacy Parquet."""
+def read_snapshot_files(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+    """Snapshot files as they are: CSV with a header line, or legacy Parquet.
+
+    Without a format, CSV files are read where the folder holds any, else Parquet.
+    """
+    if fmt is None:
+        jvm = spark.sparkContext._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        fmt = "csv" if any(n.endswith((".csv", ".csv.gz")) for n in names) else "parquet"
     if fmt == "csv":
         return spark.read.csv(path, header=True, multiLine=True, escape='"')
     return spark.read.parquet(path)

@@ -16,8 +16,11 @@ from ..operators.alltime import live_status
 from ..operators.diff import KEY
 from ..operators.health import breaker_state, run_failures
 from ..plans.keyed import hot_domains, join_domains
-from ..schemas import ALL_TIME, BREAKER, conform
-from ..sources.state import read_state, write_state
+from ..schemas import ALL_TIME, BREAKER, BREAKER_DAYS, conform
+from ..sources.state import drop_old_runs, read_state, write_state
+
+# States kept, so that a batch that is run again finds the one before it.
+KEPT_BATCHES = 3
 
 
 def _batch_run_id(batch_id: int) -> str:
@@ -28,27 +31,34 @@ def fold_snapshots(all_time: DataFrame, snapshots: DataFrame) -> DataFrame:
     """Fold the snapshots of one or more runs into the all-time table.
 
     A run is told by ``detected_at``. A URL is live if it was seen in the last
-    run of its domain; domains without a run keep their rows as they are.
+    run of its domain, which is the later of the last run here and the last one
+    that the table knows; domains without a run keep their rows as they are. So
+    the result is the same however runs are split into batches, and in whatever
+    order they arrive.
     """
     payload = F.struct("detected_at", "lastmod", "sitemap_source_url", "section", "subsection", "path_depth")
     seen = snapshots.where(F.col("loc").isNotNull()).groupBy(*KEY).agg(
         F.min("detected_at").alias("_first"), F.max(payload).alias("cur")
     )
-    ran = snapshots.groupBy("domain").agg(F.max("detected_at").alias("_ran_at"))
-    has_cur = F.col("cur").isNotNull()
+    ran = snapshots.select("domain", F.col("detected_at").alias("_at"), F.lit(True).alias("_now")).unionByName(
+        all_time.select("domain", F.col("last_seen_at").alias("_at"), F.lit(False).alias("_now"))
+    )
+    ran = ran.groupBy("domain").agg(F.max("_at").alias("_ran_at"), F.bool_or("_now").alias("_now")).where("_now")
+    newer = F.col("cur").isNotNull() & F.coalesce(F.col("cur.detected_at") >= F.col("last_seen_at"), F.lit(True))
 
     def pick(new: str, old: str):
-        return F.when(has_cur, F.col(f"cur.{new}")).otherwise(F.col(old)).alias(old)
+        return F.when(newer, F.col(f"cur.{new}")).otherwise(F.col(old)).alias(old)
 
-    live = F.when(
-        F.col("_ran_at").isNotNull(), has_cur & (F.col("cur.detected_at") == F.col("_ran_at"))
-    ).otherwise(F.col("is_current_live"))
+    seen_at = F.greatest("last_seen_at", "cur.detected_at")
+    live = F.when(F.col("_ran_at").isNotNull(), F.coalesce(seen_at == F.col("_ran_at"), F.lit(False))).otherwise(
+        F.col("is_current_live")
+    )
     stacked = all_time.select("domain").unionByName(snapshots.select("domain"))
     joined = conform(all_time, ALL_TIME).join(seen, KEY, "full_outer")
     merged = join_domains(joined, ran, ["_ran_at"], hot_domains(stacked)).select(
         *KEY,
-        F.coalesce("first_seen_at", "_first").alias("first_seen_at"),
-        F.when(has_cur, F.col("cur.detected_at")).otherwise(F.col("last_seen_at")).alias("last_seen_at"),
+        F.least("first_seen_at", "_first").alias("first_seen_at"),
+        seen_at.alias("last_seen_at"),
         live.alias("is_current_live"),
         live_status(live).alias("live_status"),
         pick("lastmod", "last_lastmod"),
@@ -67,6 +77,7 @@ def stream_all_time(snapshots: DataFrame, root: str, checkpoint: str) -> Streami
         run_id = _batch_run_id(batch_id)
         before = read_state(batch.sparkSession, root, ALL_TIME, before=run_id)
         write_state(fold_snapshots(before, batch), root, run_id, ALL_TIME)
+        drop_old_runs(batch.sparkSession, root, KEPT_BATCHES)
 
     return _run(snapshots, fold, checkpoint)
 
@@ -74,14 +85,22 @@ def stream_all_time(snapshots: DataFrame, root: str, checkpoint: str) -> Streami
 def stream_breaker(probes: DataFrame, settings: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Keep the breaker states under ``root`` up with a stream of classified probes.
 
-    Probes are reduced to one row per domain and day before the fold. A day must
-    arrive within one batch, as it does when every run is delivered as a whole.
+    What is kept is the totals of each domain and day, to which a batch adds; the
+    breakers are folded from them. So a day may arrive in any number of batches,
+    and days in any order.
     """
+    days = f"{root}/days"
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         run_id = _batch_run_id(batch_id)
-        before = read_state(batch.sparkSession, root, BREAKER, before=run_id)
-        write_state(breaker_state(run_failures(batch), settings, before), root, run_id, BREAKER)
+        before = read_state(batch.sparkSession, days, BREAKER_DAYS, before=run_id)
+        added = before.unionByName(conform(run_failures(batch), BREAKER_DAYS))
+        sums = [F.sum("total").alias("total"), F.sum("failures").alias("failures"), F.bool_or("forced").alias("forced")]
+        write_state(added.groupBy("domain", "run").agg(*sums), days, run_id, BREAKER_DAYS)
+        kept = read_state(batch.sparkSession, days, BREAKER_DAYS)
+        write_state(breaker_state(kept, settings), root, run_id, BREAKER)
+        for state in (days, root):
+            drop_old_runs(batch.sparkSession, state, KEPT_BATCHES)
 
     return _run(probes, fold, checkpoint)
 

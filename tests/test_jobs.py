@@ -11,7 +11,7 @@ from crawldelta.operators import probes as PR
 from crawldelta.plans import daily
 from crawldelta.schemas import ALL_TIME, BREAKER, SNAPSHOT, conform
 from crawldelta.session import shared_dir
-from crawldelta.sources import changelog, documents, snapshots, state
+from crawldelta.sources import changelog, documents, history, snapshots, state
 from crawldelta.streaming import changes as SC
 from crawldelta.streaming import state as SS
 
@@ -102,6 +102,9 @@ def test_probe_job_moves_the_breaker(spark, base):
         raw = raw.withColumn("status_code", F.when(F.col("exception_type").isNull(), 200))
         for _ in range(2 if day == T2 else 1):
             daily.record_probes(spark, raw, t, out, day)
+    # The run that was repeated has replaced its own rows.
+    assert history.read_status_history(spark, f"{out}/status_history").count() == 4
+    assert history.read_headers(spark, f"{out}/headers").count() == 2
     b = state.read_state(spark, f"{out}/breaker", BREAKER).collect()[0]
     assert (b.is_open, b.total_checks, b.consecutive_high_failures) == (True, 4, 2)
     assert daily.plan_probes.__doc__ and H.runnable(
@@ -145,7 +148,7 @@ def test_checkpoint_folder_comes_from_the_session(spark):
 
 
 def test_legacy_csv_snapshot_is_typed(spark, base):
-    spark.createDataFrame([("u", "2025", "3"), ("u", "2024", "x"), (None, "2025", "1")], "loc string, lastmod string, path_depth string") \
+    spark.createDataFrame([("u", "2025", "3.0"), ("u", "2024", "x"), (None, "2025", "1")], "loc string, lastmod string, path_depth string") \
         .write.csv(f"{base}/s", header=True)
     got = snapshots.load_snapshot(snapshots.read_snapshot_files(spark, f"{base}/s")).collect()
     assert [(r.loc, r.lastmod, r.path_depth, r.domain) for r in got] == [("u", "2025", 3, None)]
@@ -201,3 +204,68 @@ def test_csv_export_reads_back(spark, base):
     export_csv(df.withColumn("at", F.col("at").cast("timestamp")), f"{base}/csv", ["domain"])
     r = spark.read.csv(f"{base}/csv", header=True, escape='"').collect()[0]
     assert (r.domain, r.loc, r.tags, r["at"]) == ("d", 'a "q", x', '["m"]', "2025-01-01T00:00:00.000001Z")
+
+
+@pytest.mark.parametrize("asked", [4, 8, 16])
+def test_buckets_are_read_in_the_number_they_were_written_with(spark, base, asked):
+    rows = conform(spark.range(1000).select(F.col("id").cast("string").alias("loc"), F.lit("d").alias("domain")), SNAPSHOT)
+    state.write_state(rows, base, "1", SNAPSHOT, buckets=8)
+    for name in [t.name for t in spark.catalog.listTables() if t.name.startswith("crawldelta_")]:
+        spark.sql(f"DROP TABLE {name}")  # as in a session that does not know the table
+    got = state.read_state(spark, base, SNAPSHOT, buckets=asked)
+    assert got.groupBy("domain", "loc").count().count() == 1000
+    assert len([f for f in got.inputFiles()]) == 8
+    state.write_state(rows, f"{base}/plain", "1", SNAPSHOT)
+    assert state.read_state(spark, f"{base}/plain", SNAPSHOT, buckets=asked).groupBy("domain", "loc").count().count() == 1000
+
+
+def test_an_empty_rerun_leaves_nothing(spark, base):
+    rows = spark.createDataFrame([("d", "u", "modified")], "domain string, loc string, change_type string")
+    changelog.append_changes(rows, base, T1)
+    changelog.append_changes(rows.where("false"), base, T1)
+    changelog.append_changes(rows, base, T2)
+    assert changelog.read_changes(spark, base).count() == 1
+    history.append_status_history(rows.withColumn("checked_at", F.lit(T1).cast("timestamp")), f"{base}/h", "1")
+    history.append_status_history(rows.withColumn("checked_at", F.lit(T2).cast("timestamp")), f"{base}/h", "1")
+    assert [str(r.checked_at) for r in history.read_status_history(spark, f"{base}/h").collect()] == [T2]
+
+
+def test_no_scratch_table_is_left(spark, base):
+    t, out = targets(spark, base), f"{base}/state"
+    daily.daily_inventory(spark, t, docs(spark, [("x", "2025")]), out, T1, 4)
+    assert not state._SCRATCH
+
+
+def test_a_faulty_sitemap_removes_nothing(spark, base):
+    t, out = targets(spark, base), f"{base}/state"
+    daily.daily_inventory(spark, t, docs(spark, [("x", "2025"), ("y", "2025"), ("z", "2025")]), out, T1)
+    cut = docs(spark, [("x", "2025"), ("y", "2025"), ("z", "2025")]).withColumn("xml", F.expr("substr(xml, 1, length(xml) - 40)"))
+    daily.daily_inventory(spark, t, cut, out, T2)
+    log = changelog.read_changes(spark, f"{out}/changes")
+    assert {(r.loc[14:], r.change_type) for r in log.collect()} == {(u, "discovered") for u in "xyz"}
+    live = {r.loc[14:]: r.is_current_live for r in state.read_state(spark, f"{out}/all_time", ALL_TIME).collect()}
+    assert live == {"x": True, "y": True, "z": True}
+
+
+def test_parts_of_runs_in_any_order_give_one_state(spark):
+    def snap(ts, urls):
+        df = spark.createDataFrame([("d", u) for u in urls], "domain string, loc string")
+        return conform(df.withColumn("detected_at", F.lit(ts).cast("timestamp")), SNAPSHOT)
+
+    parts = [snap(T2, ["b"]), snap(T1, ["a", "b"]), snap(T2, ["c"]), snap(T1, ["c"])]
+    whole = SS.fold_snapshots(spark.createDataFrame([], ALL_TIME), parts[0].union(parts[1]).union(parts[2]).union(parts[3]))
+    step = spark.createDataFrame([], ALL_TIME)
+    for part in parts:
+        step = spark.createDataFrame(SS.fold_snapshots(step, part).collect(), ALL_TIME)
+    assert sorted(step.collect(), key=lambda r: r.loc) == sorted(whole.collect(), key=lambda r: r.loc)
+    assert {r.loc: r.is_current_live for r in step.collect()} == {"a": False, "b": True, "c": True}
+
+
+def test_forced_runs_count_during_a_backoff(spark):
+    days = [("d", "2025-01-01", 10, 9, False), ("d", "2025-01-02", 10, 9, False), ("d", "2025-01-03", 10, 0, True)]
+    runs = spark.createDataFrame(days, "domain string, run string, total bigint, failures bigint, forced boolean")
+    settings = spark.createDataFrame([("d", 0.5, 3)], "domain string, failure_threshold double, backoff_days int")
+    forced = H.breaker_state(runs, settings).first()
+    assert (forced.is_open, forced.total_checks, forced.consecutive_high_failures) == (False, 30, 0)
+    waiting = H.breaker_state(runs.withColumn("forced", F.lit(False)), settings).first()
+    assert (waiting.is_open, waiting.total_checks) == (True, 20)

@@ -87,3 +87,8 @@ def test_lifecycle_of_a_hot_url(spark):
     times = [r.detected_at for r in hot]
     assert times == sorted(times)
     assert [r.previous_at for r in hot] == [None, *times[:-1]]
+
+
+def test_top_k_beyond_the_map_side_bound(spark):
+    df = spark.range(3000).select(F.lit("d").alias("domain"), F.col("id").alias("v"))
+    assert [r.v for r in K.top_k(df, ["domain"], [F.col("v").desc()], 2000).orderBy("v").collect()] == list(range(1000, 3000))

@@ -4,6 +4,8 @@ import json
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from crawldelta.functions.text import count_words, decode_entities, strip
 from crawldelta.operators import pages as P
 
@@ -72,3 +74,23 @@ def test_text_helpers(spark):
     assert [g[0] for g in got[:5]] == ["a & b", "é'’'", "&unknown; & &amp", "&#99999999;", ""]
     assert [g[1] for g in got] == [c.strip() for c in cases]
     assert [g[2] for g in got] == [len(c.split()) for c in cases]
+
+
+def test_comments_and_scripts_whichever_comes_first(spark):
+    html = ('<script>var a="<!--";</script><title>T&lbrack;1&#0000000093;</title><!-- <script> --><h1>H &copy 2</h1>'
+            '<p>x&#8195;y&nbsp;z</p><script type="application/ld+json">{"@type":"A","x":"<!-- y -->"}</script>')
+    meta = P.page_meta(spark.createDataFrame([("u", html)], "url string, html string")).first()
+    assert (meta.c_title, meta.c_h1, meta.c_word_count, meta.c_schema_types) == ("T[1]", "H \u00a9 2", 7, "A")
+
+
+def test_references_without_semicolon(spark):
+    rows = [("a&ampb", "a&ampb"), ("a&amp b", "a& b"), ("?x=1&copy=2", "?x=1&copy=2"), ("&#65 &#x42;", "A B"), ("&nosuch; &", "&nosuch; &"), ("&Tab;x", "\tx")]
+    df = spark.createDataFrame(rows, "raw string, want string").select(decode_entities(F.col("raw")).alias("got"), "want")
+    assert [r.got for r in df.collect()] == [w for _, w in rows]
+
+
+def test_checks_that_raised_or_have_no_status(spark):
+    rows = [("a", None, 200, "ReadTimeout", None), ("b", None, None, None, None), ("c", None, 0, "ValueError", "odd"), ("d", "<p>x", 200, None, None)]
+    df = spark.createDataFrame(rows, "url string, html string, content_status_code int, exception_type string, exception_message string")
+    got = {r.url: (r.content_status_code, r.content_error, r.inferred_indexable, r.content_meta_json is None) for r in P.page_report(df).collect()}
+    assert got == {"a": (0, "timeout", False, True), "b": (0, "status_0", False, True), "c": (0, "odd", False, True), "d": (200, None, True, False)}

@@ -50,8 +50,8 @@ def test_types(parsed):
     assert got == {
         "index.xml": "sitemapindex", "inner.xml": "sitemapindex", "rootindex.xml": "sitemapindex",
         "a.xml": "urlset", "b.xml": "urlset", "empty.xml": "urlset", "self.xml": "urlset",
-        "root.xml": "urlset", "prefixed.xml": "urlset",
-        "broken.xml": "error", "void.xml": "error", "null.xml": "error", "other.xml": "error", "text.xml": "error",
+        "root.xml": "urlset", "prefixed.xml": "urlset", "broken.xml": "urlset",
+        "void.xml": "error", "null.xml": "error", "other.xml": "error", "text.xml": "error",
     }
 
 
@@ -71,10 +71,10 @@ def test_entries(parsed):
 def test_facts(parsed):
     got = {r.sitemap_url: (r.url_count, r.content_length) for r in S.sitemap_file_facts(parsed).where("domain = 'd'").collect()}
     assert got["a.xml"] == (2, len(URLSET)) and got["index.xml"][0] == 3
-    assert got["broken.xml"][0] == 0 and "void.xml" not in got and "null.xml" not in got
+    assert got["broken.xml"][0] == 1 and "void.xml" not in got and "null.xml" not in got
 
 
-def test_traversal_ends_on_cycles_and_stays_in_its_domain(spark, docs, parsed):
+def test_traversal_ends_on_cycles(spark, docs, parsed):
     roots = spark.createDataFrame([("d", "index.xml"), ("d", "index.xml")], "domain string, sitemap_url string")
     reached = {(r.domain, r.sitemap_url): r.depth for r in S.reach_sitemaps(roots, S.sitemap_links(parsed)).collect()}
     assert reached == {
@@ -92,7 +92,10 @@ def test_recovery_keeps_complete_elements(spark, docs):
     more = spark.createDataFrame([("d", "cut", cut), ("d", "cutindex", index), ("d", "junk", "<urlset><p"),
                                   ("d", "amp", f"<urlset {NS}><url><loc>https://x/?a=1&b=2&amp;c</loc></url></urlset>")], "domain string, sitemap_url string, xml string")
     more = docs.unionByName(more.withColumn("fetched_at", F.lit("2025-12-02").cast("timestamp")))
-    parsed = S.parse_sitemaps(more, recover=True)
+    parsed = S.parse_sitemaps(more)
+    faults = {r.sitemap_url: r.fault for r in parsed.where("domain = 'd'").collect()}
+    assert {faults[k] for k in ("cut", "amp", "broken.xml")} == {"recovered"} and faults["a.xml"] is None
+    assert {faults[k] for k in ("junk", "void.xml", "text.xml")} == {"unreadable"} and faults["empty.xml"] is None
     types = {r.sitemap_url: r.sitemap_type for r in parsed.collect()}
     assert (types["cut"], types["cutindex"], types["broken.xml"]) == ("urlset", "sitemapindex", "urlset")
     assert {types[k] for k in ("junk", "void.xml", "null.xml", "text.xml", "other.xml")} == {"error"}
@@ -107,4 +110,32 @@ def test_recovery_keeps_complete_elements(spark, docs):
 
 def test_documents_are_parsed_once(parsed):
     for df in (S.url_entries(parsed), S.sitemap_links(parsed)):
-        assert df._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 1
+        # The second parser only sees the complete elements of faulty documents.
+        assert df._jdf.queryExecution().executedPlan().toString().count("from_xml(") == 2
+
+
+def test_anything_may_stand_before_the_root(spark):
+    blank = " \n" * 50_000
+    sound = f"<urlset {NS}><url><loc>https://x/a</loc></url></urlset>"
+    texts = [blank + sound, f'{blank}<?xml version="1.0"?>{blank}{sound}', f'<?xml version="1.0"?>{"<!-- c -->" * 20_000}{blank}{sound}',
+             f"<!-- <r> {blank} -->{sound}", "\ufeff" + sound]
+    docs = spark.createDataFrame([("d", f"{i}.xml", t) for i, t in enumerate(texts)], "domain string, sitemap_url string, xml string")
+    parsed = S.parse_sitemaps(docs.withColumn("fetched_at", F.lit(None).cast("timestamp")))
+    assert [r.sitemap_type for r in parsed.collect()] == ["urlset"] * len(texts)
+    assert S.url_entries(parsed).count() == len(texts)
+
+
+def test_entries_below_an_unknown_root(spark):
+    xml = f"<feed><page><url {NS}><loc>https://x/deep</loc></url></page></feed>"
+    docs = spark.createDataFrame([("d", "deep.xml", xml, None)], "domain string, sitemap_url string, xml string, fetched_at timestamp")
+    assert [r.loc for r in S.url_entries(S.parse_sitemaps(docs)).collect()] == ["https://x/deep"]
+
+
+def test_the_domain_is_the_targets_on_any_host(spark):
+    index = f"<sitemapindex {NS}><sitemap><loc>https://cdn.b.net/s.xml</loc></sitemap></sitemapindex>"
+    leaf = f"<urlset {NS}><url><loc>https://www.a.com/1</loc></url></urlset>"
+    docs = spark.createDataFrame([("www.a.com", "https://www.a.com/sitemap.xml", index, None), ("cdn.b.net", "https://cdn.b.net/s.xml", leaf, None)],
+                                 "domain string, sitemap_url string, xml string, fetched_at timestamp")
+    roots = spark.createDataFrame([("a.com", "https://www.a.com/sitemap.xml"), ("c.com", "https://cdn.b.net/s.xml")], "domain string, sitemap_url string")
+    got = {(r.domain, r.sitemap_source_url, r.loc) for r in S.reachable_entries(roots, docs).collect()}
+    assert got == {(d, "https://cdn.b.net/s.xml", "https://www.a.com/1") for d in ("a.com", "c.com")}
