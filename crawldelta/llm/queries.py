@@ -121,14 +121,14 @@ ORACLES = {
     # Words as maximal runs of letters and digits, shingles of five as text, and plain counting.
     "op9_benchmark_decontamination": r"""
         WITH items AS (
-            SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), w -> w <> '') AS ws
+            SELECT item_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ws
             FROM benchmark),
         item_shingles AS (
             SELECT DISTINCT item_id, array_to_string(ws[i:i + 4], ' ') AS s
             FROM items, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS r(i) WHERE len(ws) > 0),
         sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id),
         docs AS (
-            SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), w -> w <> '') AS ws
+            SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}\p{N}]+'), lambda w: w <> '') AS ws
             FROM documents),
         doc_shingles AS (
             SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
