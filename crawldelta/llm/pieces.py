@@ -9,6 +9,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark.sql import DataFrame
 
 from crawldelta.llm.scratch import ship_code
@@ -34,7 +35,9 @@ _TOGETHER = 24
 #: Below every piece's score, for each byte of a character that no piece holds.
 _BYTE_COST = 1e6
 
-_CUT = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
+#: Where a text is cut: before a space sign, and between letters and other signs.
+_CUT = regex.compile(rf"{SPACE}+\p{{L}}*|\p{{L}}+|[^\p{{L}}{SPACE}]+")
+_KINDS = (rf"(\pL)([^\pL{SPACE}\x00])", rf"([^\pL{SPACE}\x00])(\pL)")
 _MODELS: dict[tuple[str, int], "Lattice"] = {}
 
 
@@ -85,8 +88,8 @@ class PieceTable:
         found[some[~same]] = -1
         return found
 
-    def score_all(self, parts: list[str], size: int, model: "Lattice") -> list[tuple[bytes, float, float]]:
-        """What Lattice._viterbi gives for each of the parts, all of one length."""
+    def score_all(self, parts: list[str], size: int, model: "Lattice") -> tuple[list[bytes], list[float], list[float]]:
+        """What Lattice._viterbi gives for each of the parts, all of one length, in columns."""
         rows = np.frombuffer("".join(parts).encode("utf-32-le", "surrogatepass"), "<u4").reshape(-1, size)
         count = len(parts)
         edges: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # start, end, score, piece
@@ -132,13 +135,10 @@ class PieceTable:
         best = ahead[size].tolist()
         with np.errstate(invalid="ignore"):  # no path at all
             lost = (ahead[size] - second).tolist()
-        out = []
-        for i, n in enumerate(steps.tolist()):
-            if best[i] == -np.inf:  # a character that no piece holds
-                out.append(model._viterbi(parts[i]))
-            else:
-                out.append((raw[4 * (size * (i + 1) - n) : 4 * size * (i + 1)], best[i], lost[i]))
-        return out
+        out = [raw[4 * (size * (i + 1) - n) : 4 * size * (i + 1)] for i, n in enumerate(steps.tolist())]
+        for i in np.flatnonzero(ahead[size] == -np.inf).tolist():  # a character that no piece holds
+            out[i], best[i], lost[i] = model._viterbi(parts[i])
+        return out, best, lost
 
 
 class Lattice:
@@ -149,7 +149,8 @@ class Lattice:
     the pieces' scores. Characters that no piece holds, and the space sign
     itself where it stands in a text, are written as byte pieces, so that
     decoding gives back every text. No piece goes on past a non-space into a
-    space, so texts are cut there and the parts' segmentations combined.
+    space, or holds letters beside other signs, so texts are cut there and the
+    parts' segmentations combined.
     """
 
     def __init__(self, path: str, n: int = N_BEST):
@@ -175,10 +176,9 @@ class Lattice:
             node[""] = score
         self.table = PieceTable(self.scores)
         self.inside = {p[i : i + 2] for p in self.scores for i in range(len(p) - 1)}
-        self.ids: dict[str | None, bytes] = {}
-        self.score: dict[str | None, float] = {}
-        self.loss: dict[str | None, float] = {}
-        self.parts: dict[str, tuple] = {}
+        if any(a != SPACE and a.isalpha() != b.isalpha() for a, b in self.inside):
+            raise ValueError("a piece holds letters beside other signs; texts can't be cut there")
+        self._forget()
 
     def _spelled(self, char: str) -> tuple[float, tuple[int, ...]]:
         raw = char.encode("utf-8", "surrogatepass")
@@ -267,41 +267,35 @@ class Lattice:
         flat = [i for own in reversed(ids) for i in own]
         return np.array(flat, "<i4").tobytes(), ahead[size], ahead[size] - second
 
-    def _cut(self, seg: str) -> list[str]:
-        """The segment's parts, cut where no piece holds both neighbours; runs of letters are left whole."""
-        if seg.lstrip(SPACE).isalpha():
-            return [seg]
-        inside = self.inside
-        cuts = [0, *[i for i in range(1, len(seg)) if seg[i - 1 : i + 1] not in inside], len(seg)]
-        return [seg[a:b] for a, b in zip(cuts, cuts[1:])]
-
-    def learn(self, segs: set[str]) -> None:
-        """Remember the segments' ids, scores and losses; their parts, remembered too, are scored together by length."""
-        if len(self.parts) + len(segs) > REMEMBERED:
-            self.parts.clear()
-        cut = {seg: self._cut(seg) for seg in segs if seg}
-        if "" in segs:  # between two cuts
-            self.ids[""], self.score[""], self.loss[""] = b"", 0.0, np.inf
-        if _LITERAL in segs:
-            score, ids = self._spelled(SPACE)
-            self.ids[_LITERAL], self.score[_LITERAL], self.loss[_LITERAL] = np.array(ids, "<i4").tobytes(), score, np.inf
+    def _forget(self) -> None:
+        """What is remembered: each segment's place in the columns of ids, scores and losses of the second best."""
+        self.place: dict[str | None, int] = {}
+        self.ids: list[bytes] = []
+        self.score, self.loss = np.zeros(0), np.zeros(0)
+        self._remember([""], [b""], [0.0], [np.inf])  # between two cuts
+        score, ids = self._spelled(SPACE)
+        self._remember([_LITERAL], [np.array(ids, "<i4").tobytes()], [score], [np.inf])
+
+    def _remember(self, segs: list, ids: list[bytes], scores: list[float], losses: list[float]) -> None:
+        self.place.update(zip(segs, range(len(self.ids), len(self.ids) + len(segs))))
+        self.ids += ids
+        self.score = np.concatenate((self.score, scores))
+        self.loss = np.concatenate((self.loss, losses))
+
+    def learn(self, segs: Iterable[str | None]) -> None:
+        """Remember the segments that are new; those of one length are scored together."""
+        new = set(segs).difference(self.place)
+        if len(self.ids) + len(new) > REMEMBERED:
+            self._forget()
+            new = set(segs).difference(self.place)
         by_length: dict[int, list[str]] = {}
-        for part in {p for parts in cut.values() for p in parts}.difference(self.parts):
-            by_length.setdefault(len(part), []).append(part)
-        for length, parts in by_length.items():
-            if length <= _LONGEST and len(parts) >= _TOGETHER:
-                self.parts.update(zip(parts, self.table.score_all(parts, length, self)))
+        for seg in new:
+            by_length.setdefault(len(seg), []).append(seg)
+        for length, same in by_length.items():
+            if length <= _LONGEST and len(same) >= _TOGETHER:
+                self._remember(same, *self.table.score_all(same, length, self))
             else:
-                self.parts.update((part, self._viterbi(part)) for part in parts)
-        known = self.parts
-        for seg, parts in cut.items():
-            if len(parts) == 1:
-                self.ids[seg], self.score[seg], self.loss[seg] = known[seg]
-            else:
-                found = [known[p] for p in parts]
-                self.ids[seg] = b"".join([f[0] for f in found])
-                self.score[seg] = sum([f[1] for f in found])
-                self.loss[seg] = min([f[2] for f in found])
+                self._remember(same, *map(list, zip(*map(self._viterbi, same))))
 
     def segments(self, text: str | None) -> list[str]:
         """A raw text's segments in order. The space sign itself is no space: it stands as a segment of its own."""
@@ -315,17 +309,6 @@ class Lattice:
             found += _CUT.findall(plain.replace(" ", SPACE))
         return found
 
-    def _learn_new(self, segs: Iterable[str | None]) -> None:
-        asked = set(segs)
-        new = asked.difference(self.ids)
-        if len(self.ids) + len(new) > REMEMBERED:  # the present segments are the likeliest to come again
-            for memo in (self.ids, self.score, self.loss):
-                kept = [(s, memo[s]) for s in asked if s in memo]
-                memo.clear()
-                memo.update(kept)
-        if new:
-            self.learn(new)
-
     def encode_many(self, texts: list[str | None]) -> list[list[tuple[float, bytes]]]:
         """encode() of each text. Texts with single spaces only are cut in Arrow, and each distinct segment is looked up once."""
         spaced = [" " + (t or "") for t in texts]
@@ -336,21 +319,23 @@ class Lattice:
         for i, found in enumerate(out):
             if found is None:
                 segs = self.segments(texts[i])
-                self._learn_new(segs)
+                self.learn(segs)
                 out[i] = self._ranked(segs)
         return out
 
     def _encode_easy(self, spaced: list[str]) -> Iterator[list[tuple[float, bytes]]]:
-        marked = pc.replace_substring(pa.array(spaced, pa.large_string()), "\n", "\x00\n\x00")
-        cut = pc.split_pattern(pc.replace_substring(marked, " ", f"\x00{SPACE}"), "\x00")
+        marked = pc.replace_substring(pa.array(spaced, pa.large_string()), " ", f"\x00{SPACE}")
+        for kinds in _KINDS:
+            marked = pc.replace_substring_regex(marked, kinds, "\\1\x00\\2")
+        cut = pc.split_pattern(marked, "\x00")
         coded = cut.flatten().dictionary_encode()
         words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy()
-        self._learn_new(words)
-        ids = pa.array(list(map(self.ids.__getitem__, words)), pa.large_binary()).take(coded.indices)
+        self.learn(words)
+        places = list(map(self.place.__getitem__, words))
+        ids = pa.array([self.ids[i] for i in places], pa.large_binary()).take(coded.indices)
         begin = np.frombuffer(ids.buffers()[1], np.int64)
         raw = memoryview(ids.buffers()[2] or b"")
-        score = np.array(list(map(self.score.__getitem__, words)))[at]
-        loss = np.array(list(map(self.loss.__getitem__, words)))[at]
+        score, loss = self.score[places][at], self.loss[places][at]
         ends = cut.offsets.to_numpy()
         ends = (ends - ends[0]).tolist()
         for low, high in zip(ends, ends[1:]):
@@ -383,17 +368,18 @@ class Lattice:
 
     def _ranked(self, segs: list[str]) -> list[tuple[float, bytes]]:
         """The n best of a text's remembered segments."""
-        best = list(map(self.ids.__getitem__, segs))
-        total = float(sum(map(self.score.__getitem__, segs)))
+        places = [self.place[seg] for seg in segs]
+        best = [self.ids[i] for i in places]
+        total = float(self.score[places].sum())
         out = [(total, b"".join(best))]
         n = self.n
         if n == 1 or not segs:
             return out
         # Only the n - 1 segments that lose least by their second best can differ in the n best.
         free: list[int] = []
-        for seg in heapq.nsmallest(n - 1, dict.fromkeys(segs), key=self.loss.__getitem__):
+        for seg in heapq.nsmallest(n - 1, dict.fromkeys(segs), key=lambda s: self.loss[self.place[s]]):
             at = -1
-            while len(free) < n - 1 and self.loss[seg] < np.inf:
+            while len(free) < n - 1 and self.loss[self.place[seg]] < np.inf:
                 try:
                     at = segs.index(seg, at + 1)
                 except ValueError:

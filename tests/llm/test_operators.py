@@ -416,7 +416,7 @@ def test_parts_scored_together_equal_one_by_one():
     model = pieces.Lattice(PIECES, 2)
     for size in (1, 2, 5, 17, 40):
         parts = ["".join(rng.choice("▁theandiç漢\n.") for _ in range(size)) for _ in range(60)]
-        for part, (ids, score, loss) in zip(parts, model.table.score_all(parts, size, model)):
+        for part, (ids, score, loss) in zip(parts, zip(*model.table.score_all(parts, size, model))):
             alone = model._viterbi(part)
             assert np.isclose(score, alone[1]) and (loss == alone[2] or np.isclose(loss, alone[2]))
             own = {i: s for s, i in model.scores.values()}
