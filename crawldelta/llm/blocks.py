@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawldelta.llm.scratch import stored, without
+from crawldelta.llm.scratch import matching, stored, without
 
 #: Bytes of a block. Any value gives the same groups.
 BLOCK_BYTES = 4096
@@ -127,13 +127,15 @@ def drop_exact_duplicates(docs: DataFrame) -> DataFrame:
     """The documents without exact copies, columns unchanged; identical rows (same doc_id too) fold into one."""
     judged = stored(exact_groups(docs).where("group_size > 1"), "judged")
     of_kept_id = F.col("doc_id").eqNullSafe(F.col("keep_id"))
-    key = ["doc_id", F.col("text_sha256").alias("__sha")]
-    losers = stored(judged.where(~of_kept_id).select(*key), "losers")
-    repeated = stored(judged.where(of_kept_id & ~F.col("kept")).select(*key).distinct(), "repeated")
-    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
-    left = without(docs.withColumn("__sha", digest), losers, ["doc_id", "__sha"])
+    losers = stored(judged.where(~of_kept_id).select("doc_id", "text_sha256"), "losers")
+    repeated = stored(judged.where(of_kept_id & ~F.col("kept")).select("doc_id", "text_sha256").distinct(), "repeated")
+
+    def keys(df: DataFrame) -> dict[str, Column]:
+        return {"doc_id": df["doc_id"], "text_sha256": F.sha2(F.coalesce(df["text"], F.lit("")).cast("binary"), 256)}
+
+    left = without(docs, losers, keys(docs))
     if repeated.isEmpty():
-        return left.select(*docs.columns)
-    same = left["doc_id"].eqNullSafe(repeated["doc_id"]) & (left["__sha"] == repeated["__sha"])
-    single = left.join(repeated, same, "left_semi").dropDuplicates(["doc_id", "__sha"])
-    return left.join(repeated, same, "left_anti").unionByName(single).select(*docs.columns)
+        return left
+    # Rows that agree in doc_id and text: one of them stays.
+    single = matching(left, repeated, keys(left), "left_semi").dropDuplicates(["doc_id", "text"])
+    return without(left, repeated, keys(left)).unionByName(single)

@@ -110,4 +110,4 @@ def contained_items(
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no test item, columns unchanged."""
     found = stored(contained_items(docs, items).select("doc_id").distinct(), "contaminated")
-    return without(docs, found, ["doc_id"])
+    return without(docs, found, {"doc_id": docs["doc_id"]})

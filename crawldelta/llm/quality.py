@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from crawldelta.llm.scratch import ship_code, stored
@@ -204,16 +204,15 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = TRAIN_ROWS) -> Net
     return fit(found)
 
 
-def with_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """docs with `__score`, the probability of label 1 for the whole text. Other columns play no part."""
-    ship_code(docs.sparkSession)
+def scorer(docs: DataFrame, labels: DataFrame) -> Callable[[Column], Column]:
+    """A function of the text column that gives the probability of label 1 for the whole text. Other columns play no part."""
     network = train(docs, labels)
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
         return pd.Series(network.scores(texts.tolist()))
 
-    return docs.withColumn("__score", score(F.col("text")))
+    return score
 
 
 def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -222,15 +221,10 @@ def quality_report(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Null and empty texts get a score too; repeated rows the same one; a null
     doc_id counts as not held out; an empty table gives an empty one.
     """
-    scored = with_scores(docs.select("doc_id", "text"), labels)
-    return scored.select(
-        "doc_id",
-        held_out().alias("held_out"),
-        F.col("__score").alias("score"),
-        (F.col("__score") >= THRESHOLD).cast("int").alias("predicted"),
-    )
+    scored = docs.select("doc_id", scorer(docs, labels)(F.col("text")).alias("score"))
+    return scored.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def drop_low_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents predicted to be of label 1, columns unchanged."""
-    return with_scores(docs, labels).where(F.col("__score") >= THRESHOLD).select(*docs.columns)
+    return docs.where(scorer(docs, labels)(F.col("text")) >= THRESHOLD)

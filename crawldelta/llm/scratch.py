@@ -5,9 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from functools import reduce
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from crawldelta.session import shared_dir
@@ -51,11 +52,18 @@ def keys_for_join(keys: DataFrame) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= BROADCAST_ROWS else keys
 
 
-def without(df: DataFrame, dropped: DataFrame, on: list[str]) -> DataFrame:
-    """The rows of df whose keys, null equal to null, are not in the stored table dropped."""
-    renamed = dropped.select(*(F.col(c).alias(f"__{c}") for c in on)).distinct()
-    same = [df[c].eqNullSafe(F.col(f"__{c}")) for c in on]
-    cond = same[0]
-    for more in same[1:]:
-        cond = cond & more
-    return df.join(keys_for_join(renamed), cond, "left_anti")
+def matching(df: DataFrame, listed: DataFrame, keys: dict[str, Column], how: str) -> DataFrame:
+    """The rows of df (left_semi), or all others (left_anti), whose keys are in the stored table listed; null equals null.
+
+    The keys are expressions over df by the names they have in listed, so that df
+    gets no column and may have any.
+    """
+    names = {c: f"__key_{i}" for i, c in enumerate(keys)}
+    renamed = keys_for_join(listed.select(*[F.col(c).alias(n) for c, n in names.items()]).distinct())
+    conditions = [keys[c].eqNullSafe(renamed[n]) for c, n in names.items()]
+    return df.join(renamed, reduce(lambda a, b: a & b, conditions), how)
+
+
+def without(df: DataFrame, dropped: DataFrame, keys: dict[str, Column]) -> DataFrame:
+    """The rows of df whose keys are not in the stored table dropped."""
+    return matching(df, dropped, keys, "left_anti")

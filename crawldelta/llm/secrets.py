@@ -6,7 +6,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from crawldelta.llm.scratch import new_folder, ship_code
@@ -113,10 +113,7 @@ def update_ledger(versions: DataFrame, ledger: str) -> int:
         seen = known.select("blob_id", F.col("rules").alias("seen"))
         lacking = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
         todo = blobs.join(seen, "blob_id", "left").withColumn("todo", lacking).where("size(todo) > 0").drop("seen")
-    counted = F.count(F.lit(1)).alias("n")
-    from pyspark.sql import Observation
-
-    seen_now = Observation("scanned")
+    seen_now, counted = Observation("scanned"), F.count(F.lit(1)).alias("n")
     scanned = todo.mapInArrow(_scan, f"blob_id binary, rules array<string>, spans {_SPANS}")
     scanned.observe(seen_now, counted).write.mode("append").parquet(ledger)
     return seen_now.get["n"]
@@ -138,10 +135,9 @@ def scan_versions(versions: DataFrame, ledger: str) -> DataFrame:
     tidy = F.transform(keyed, lambda s: F.struct(s["kind"], s["start"], s["end"]))
     found = read_ledger(versions.sparkSession, ledger).where("size(spans) > 0")
     found = found.select(F.col("blob_id").alias("__blob"), tidy.alias("__spans"))
-    kept = versions.withColumn("__id", blob_id(F.col("text")))
     none = F.array().cast(_SPANS)
-    joined = kept.join(found, F.col("__id") == F.col("__blob"), "left")
-    return joined.select(*[versions[c] for c in versions.columns], F.coalesce("__spans", none).alias("spans"))
+    joined = versions.join(found, blob_id(versions["text"]) == found["__blob"], "left")
+    return joined.select(*[versions[c] for c in versions.columns], F.coalesce(found["__spans"], none).alias("spans"))
 
 
 def joined_spans(spans: Column) -> Column:

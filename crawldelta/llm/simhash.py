@@ -123,5 +123,4 @@ def drop_near_duplicates(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
     judged = grouped.join(low.withColumnRenamed("keep_id", "k"), F.col("keep_id").eqNullSafe(F.col("k")), "left")
     lost = judged.where(~(F.col("doc_id").eqNullSafe(F.col("keep_id")) & F.col("text_key").eqNullSafe(F.col("keep_key"))))
     losers = stored(lost.select("doc_id", "text_key"), "losers")
-    keyed = docs.withColumn("text_key", key) if "text_key" not in docs.columns else docs
-    return without(keyed, losers, ["doc_id", "text_key"]).select(*docs.columns)
+    return without(docs, losers, {"doc_id": docs["doc_id"], "text_key": F.xxhash64(F.coalesce(docs["text"], F.lit("")))})
