@@ -21,8 +21,15 @@ SPELLINGS = [
     ("https?", "http"),
 ]
 
-#: Lines of this form name an owner or a year and play no part.
-COPYRIGHT_LINE = r"(?im)^[\s/*#;-]*(copyright\s+(\(c\)|©|[0-9]{4}|by\s)|\(c\)\s|©|all rights reserved).*$"
+#: A lower-cased text without any of these is in that one spelling already.
+SPELT = ["licenc", "licens", "organis", "recognis", "authoris", "whilst", "per cent", "percent", "non commercial", "copyright", "https"]
+
+#: Lower-cased lines of this form name an owner or a year and play no part, and what each of them contains.
+COPYRIGHT_LINE = r"(?m)^[ \t/*#;-]*(copyright[ \t]+(\(c\)|©|[0-9]{4}|by[ \t])|\(c\)[ \t]|©|all rights reserved).*$"
+COPYRIGHT_SIGNS = ["copyright", "(c)", "©", "all rights reserved"]
+
+#: Spelling shortens a text by one character in five at most.
+SHORTENED = 1.25
 
 #: Published licence notices, by SPDX identifier. Each line of a
 #: document, and each whole document, is compared with them.
@@ -71,24 +78,45 @@ THIS SOFTWARE.
 }
 
 
-def canonical(text: Column) -> Column:
-    """The text without copyright lines, lower-cased, in one spelling, words of letters and digits joined by single spaces."""
-    bare = F.regexp_replace(F.coalesce(text, F.lit("")), COPYRIGHT_LINE, " ")
-    flat = F.trim(F.regexp_replace(F.lower(bare), r"[^\p{L}\p{N}]+", " "))
-    return reduce(lambda t, pair: F.regexp_replace(t, *pair), SPELLINGS, flat)
+def _any_of(text: Column, signs: list[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.contains(text, F.lit(s)) for s in signs])
+
 
+def _flat(line: Column) -> Column:
+    """A lower-cased line without what a copyright line says, its words of letters and digits joined by single spaces."""
+    bare = F.when(_any_of(line, COPYRIGHT_SIGNS), F.regexp_replace(line, COPYRIGHT_LINE, " ")).otherwise(line)
+    return F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical text."""
-    return F.sha2(canonical(text).cast("binary"), 256)
+
+def with_digest(texts: DataFrame, text: str, longest: int | None = None) -> DataFrame:
+    """The table's other columns with `scope`, `n` and `digest`: length and SHA-256 of canonical forms.
+
+    One row for the whole text (scope `text`) and one for each line (`line`). The
+    form has no copyright lines, is lower-cased, in one spelling, and has words
+    of letters and digits joined by single spaces; that of a text is joined from
+    its lines. Units that can't have a form of `longest` characters or fewer are
+    left out. Spellings are replaced only where one occurs.
+    """
+    others = [F.col(c) for c in texts.columns if c != text]
+    lines = F.split(F.lower(F.coalesce(text, F.lit(""))), r"\r?\n")
+    flat = texts.select(*others, F.transform(lines, _flat).alias("__flats"))
+    whole = F.array_join(F.filter("__flats", lambda f: f != ""), " ")
+    unit = lambda scope, form: F.struct(F.lit(scope).alias("scope"), form.alias("form"))
+    units = F.concat(F.array(unit("text", whole)), F.transform("__flats", lambda f: unit("line", f)))
+    rows = flat.select(*others, F.explode(units).alias("__u")).select(*others, "__u.scope", F.col("__u.form").alias("__form"))
+    if longest is not None:
+        rows = rows.where(F.length("__form") <= int(SHORTENED * longest) + 1)
+    spelt = reduce(lambda t, pair: F.regexp_replace(t, *pair), SPELLINGS, F.col("__form"))
+    told = rows.withColumn("__form", F.when(_any_of(F.col("__form"), SPELT), spelt).otherwise(F.col("__form")))
+    return told.select(*others, "scope", F.length("__form").alias("n"), F.sha2(F.col("__form").cast("binary"), 256).alias("digest"))
 
 
 def known_digests(spark: SparkSession, notices: dict[str, list[str]] | None = None, texts: dict[str, str] | None = None) -> DataFrame:
-    """(license_id, digest) of the fixed texts; as many rows as they have."""
+    """(license_id, n, digest) of the fixed texts; as many rows as they have."""
     listed = [(k, t) for k, ts in (NOTICES if notices is None else notices).items() for t in ts]
     listed += list((TEXTS if texts is None else texts).items())
-    known = spark.createDataFrame(listed, "license_id string, text string")
-    return known.select("license_id", digest(F.col("text")).alias("digest")).distinct()
+    told = with_digest(spark.createDataFrame(listed, "license_id string, text string"), "text")
+    return told.where("scope = 'text'").drop("scope").distinct()
 
 
 def license_matches(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -101,9 +129,7 @@ def license_matches(docs: DataFrame, known: DataFrame | None = None) -> DataFram
     constant list, so they are sent to every task and no text is shuffled.
     """
     known = known_digests(docs.sparkSession) if known is None else known
-    lines = F.transform(F.split("text", r"\r?\n"), lambda line: F.struct(F.lit("line").alias("scope"), line.alias("unit")))
-    whole = F.array(F.struct(F.lit("text").alias("scope"), F.col("text").alias("unit")))
-    units = docs.where("text is not null").select("doc_id", F.explode(F.concat(whole, lines)).alias("u"))
-    dug = units.select("doc_id", "u.scope", digest(F.col("u.unit")).alias("digest"))
-    met = dug.join(F.broadcast(known), "digest")
+    longest = known.agg(F.max("n")).first()[0] or 0
+    dug = with_digest(docs.where("text is not null").select("doc_id", "text"), "text", longest)
+    met = dug.join(F.broadcast(known.select("license_id", "digest")), "digest")
     return met.groupBy("doc_id", "license_id", "scope").agg(F.count("*").alias("n_units"))

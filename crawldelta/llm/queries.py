@@ -105,7 +105,7 @@ ORACLES = {
             UNION ALL SELECT NULL, 'known', unit, license_id FROM known),
         bare AS (
             SELECT *, trim(regexp_replace(lower(regexp_replace(unit,
-                '(?im)^[\s/*#;-]*(copyright\s+(\(c\)|©|[0-9]{{4}}|by\s)|\(c\)\s|©|all rights reserved).*$', ' ', 'g')),
+                '(?im)^[ \t/*#;-]*(copyright[ \t]+(\(c\)|©|[0-9]{{4}}|by[ \t])|\(c\)[ \t]|©|all rights reserved).*$', ' ', 'g')),
                 '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS flat
             FROM units),
         canonical AS (SELECT *, {_SQL_SPELLINGS} AS form FROM bare)
