@@ -62,6 +62,10 @@ _ENCODERS: dict[str, tuple] = {}
 _UNSURE = r"[ \n][ \n]|<\||[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
 
+#: Where letters end, and where they begin after another sign; an apostrophe may belong to the letters after it.
+_KINDS = (r"(\pL)([^\pL \n\x00])", r"([^\pL \n'\x00])(\pL)")
+
+
 def _encoder(path: str) -> tuple:
     """The tokenizer and the ids of the pieces of text seen so far."""
     if path not in _ENCODERS:
@@ -126,6 +130,8 @@ def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[byt
     if whole:
         column = pc.if_else(unsure, pa.scalar("", pa.large_string()), column)
     marked = pc.replace_substring(pc.replace_substring(column, "\n", "\x00\n\x00"), " ", "\x00 ")
+    for kinds in _KINDS:
+        marked = pc.replace_substring_regex(marked, kinds, "\\1\x00\\2")
     cut = pc.split_pattern(marked, "\x00")
     coded = cut.flatten().dictionary_encode()
     words = coded.dictionary.to_pylist()
