@@ -39,14 +39,15 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
     """Exact interpolated response-time percentiles per domain, over positive times.
 
     The values of a domain never meet in one task. Times are counted per value
-    with partial aggregation, the counts are summed per millisecond bin, and
-    only the bins that hold a wanted rank are looked at value by value.
+    with partial aggregation, the counts are summed per bin of like values,
+    whatever their unit, and only the bins that hold a wanted rank are looked at
+    value by value.
     """
     quantiles = quantiles or {"median_ms": 0.5, "p95_ms": 0.95}
     times = history.where(F.col("response_time_ms") > 0).select(
         "domain", F.col("response_time_ms").cast("double").alias("v")
     )
-    values = times.groupBy("domain", F.floor("v").alias("bin"), "v").agg(F.count("*").alias("n"))
+    values = times.groupBy("domain", _bin(F.col("v")).alias("bin"), "v").agg(F.count("*").alias("n"))
     bins = values.groupBy("domain", "bin").agg(F.sum("n").alias("bin_n"))
     by_bin = Window.partitionBy("domain").orderBy("bin")
     located = bins.withColumns(
@@ -84,6 +85,12 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
     )
 
 
+def _bin(v: Column) -> Column:
+    """Number of a bin of values that differ by one part in 4,096 at most; it grows with the value."""
+    power = F.floor(F.log2(v))
+    return power * 4096 + F.floor((v / F.pow(F.lit(2.0), power) - 1) * 4096)
+
+
 def _same_bin(values: DataFrame, wanted: DataFrame) -> DataFrame:
     # Null-safe on purpose: no filter is then inferred for one side only, and both
     # readings of the counted values share one exchange.

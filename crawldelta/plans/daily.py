@@ -25,12 +25,12 @@ from ..operators.policy import allowed_agents, assign_agent, fresh_robots, polic
 from ..operators.probes import classify_probes, redirect_map
 from ..operators.sitemaps import reachable_parsed, sitemap_file_facts, url_entries
 from ..operators.targets import due_targets, normalize_targets, run_summary, target_roots
-from ..schemas import ALL_TIME, BREAKER, CHANGES, SNAPSHOT, conform
+from ..schemas import ALL_TIME, BREAKER, CHANGES, LOGGED, SNAPSHOT, conform
 from ..session import cut_lineage
 from ..sources.changelog import append_changes, read_changes, run_id_of
 from ..sources.history import append_status_history, write_headers
 from ..sources.snapshots import write_sitemap_files
-from ..sources.state import cut_lineage_bucketed, drop_scratch, read_state, write_state
+from ..sources.state import cut_lineage_bucketed, drop_scratch, latest_run, read_state, write_state
 from .keyed import keep_domains, tag_known_domains
 
 
@@ -207,11 +207,13 @@ def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, ba
 
     prev = read_state(spark, f"{base}/snapshot", SNAPSHOT, run_id, buckets)
     all_time = read_state(spark, f"{base}/all_time", ALL_TIME, run_id, buckets)
-    log = _log_before(spark, f"{base}/changes", run_id)
-    backfilled = D.backfill(D.guard_empty(entries, prev), log, run_ts)
+    logged = _logged_domains(spark, base, run_id)
+    backfilled = D.backfill(D.guard_empty(entries, prev), logged, run_ts)
     faulty = parsed.where(F.col("fault").isNotNull()).select("domain", "sitemap_url")
     run = run_inventory(entries, prev, all_time, run_ts, buckets=buckets, faulty=faulty)
-    append_changes(run.changes.unionByName(backfilled), f"{base}/changes", run_ts)
+    changes = cut_lineage(run.changes.unionByName(backfilled))
+    append_changes(changes, f"{base}/changes", run_ts)
+    write_state(logged.unionByName(changes.select("domain")).distinct(), f"{base}/logged", run_id, LOGGED)
     if not run.snapshot.isEmpty():
         write_state(run.snapshot, f"{base}/snapshot", run_id, SNAPSHOT, buckets, placed=True)
     write_state(run.all_time, f"{base}/all_time", run_id, ALL_TIME, buckets, placed=True)
@@ -219,6 +221,13 @@ def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, ba
     return run_summary(due, entries, errors)
 
 
+def _logged_domains(spark: SparkSession, base: str, run_id: str) -> DataFrame:
+    """Domains with a change log before the run: a small state table, so that the log is not read every day."""
+    if latest_run(spark, f"{base}/logged", run_id):
+        return read_state(spark, f"{base}/logged", LOGGED, run_id)
+    return _log_before(spark, f"{base}/changes", run_id).select("domain").distinct()
+
+
 def _log_before(spark: SparkSession, path: str, run_id: str) -> DataFrame:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -82,6 +82,9 @@ BREAKER = _table(
     "total_failures bigint"
 )
 
+# Domains that have a change log.
+LOGGED = _table("domain string")
+
 # What a stream keeps of the probes of one domain and day.
 BREAKER_DAYS = _table("domain string, run timestamp, total bigint, failures bigint, forced boolean")
 
