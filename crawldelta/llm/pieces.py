@@ -22,7 +22,7 @@ SPACE = "▁"
 BYTE_PIECE = "<0x%02X>"
 
 #: Segments remembered in one Python worker, and the longest that is.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 _LONGEST = 64
 #: Stands for the space sign itself, which is no space.
 _LITERAL = None

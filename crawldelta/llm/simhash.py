@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from crawldelta.llm.components import roots
-from crawldelta.llm.scratch import ship_code, stored, without
+from crawldelta.llm.scratch import keys_for_join, ship_code, stored, without
 
 #: Fixed values of the fingerprint.
 WORDS = 3
@@ -63,7 +63,7 @@ def _variants(fp: str, flips: int) -> F.Column:
 
 
 def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """Verified links (a, b) that connect all distinct values of fp within the radius (2 or 3 at most by one flip).
+    """Verified links (a, b) that connect all distinct values of fp within the radius, 0 or 2.
 
     Every fingerprint sends its variants within half the radius; two
     fingerprints within an even radius meet in at least one variant, and all
@@ -73,10 +73,18 @@ def links(fps: DataFrame, radius: int = RADIUS) -> DataFrame:
     """
     if radius not in (0, 2):
         raise ValueError("the radius must be 0 or 2")
-    sent = fps.select("fp", F.explode(_variants("fp", radius // 2)).alias("variant"))
-    met = sent.groupBy("variant").agg(F.min("fp").alias("low"), F.max("fp").alias("high"), F.collect_list("fp").alias("members"))
-    tied = met.where("low <> high").select("low", F.explode("members").alias("b")).where("low <> b")
-    pairs = tied.select(F.col("low").alias("a"), "b").distinct()
+    # Each row becomes 65: spread them first, over as many tasks as a shuffle has.
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    sent = fps.select("fp").repartition(tasks, "fp").select("fp", F.explode(_variants("fp", radius // 2)).alias("variant"))
+    met = sent.groupBy("variant").agg(F.count("*").alias("n"), F.min("fp").alias("low"), F.max("fp").alias("high"))
+    met = stored(met.where("n > 1"), "met")
+    tied = met.select(F.col("low").alias("a"), F.col("high").alias("b"))
+    # The smallest and the largest of more than two are tied; the others are looked up by their variant.
+    more = met.where("n > 2").select("variant", F.col("low").alias("a"))
+    if not more.isEmpty():
+        others = sent.join(keys_for_join(more), "variant").where("fp <> a")
+        tied = tied.unionByName(others.select("a", F.col("fp").alias("b")))
+    pairs = tied.distinct()
     return pairs.where(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius)
 
 
