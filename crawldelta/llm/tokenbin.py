@@ -20,6 +20,7 @@ import sys
 import zlib
 from array import array
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
@@ -279,7 +280,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_bytes: int
     keyed = F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("a document without doc_id has no key"))).otherwise(F.col("doc_id"))
     rows = docs.select(keyed.cast("long").alias("doc_id"), "text")
     ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
-    ranged.mapInArrow(shards, _SHARD_DDL).write.option("compression", "zstd").parquet(folder)
+    ranged.mapInArrow(shards, _SHARD_DDL).write.option("compression", "snappy").parquet(folder)
 
 
 def read_shards(spark, folder: str) -> DataFrame:
@@ -307,45 +308,47 @@ def _opened(pdf_row) -> tuple:
     return part["displace"], part["stored"], part["offsets"], part["lengths"]
 
 
-def _entries(row) -> pd.DataFrame:
-    """Every key of a shard, looked up through the index."""
-    keys = np.unique(np.frombuffer(row.keys_, "<i8"))
+def _entries(shard: int, row) -> pa.RecordBatch:
+    """Every document of a shard, looked up through the index."""
+    every = np.frombuffer(row.keys_, "<i8")
+    keys, repeats = np.unique(every, return_counts=True)
     displace, stored, offsets, lengths = _opened(row)
     as_keys = keys.view(np.uint64)
     slot = find_slots(as_keys, displace, len(stored))
     if not np.array_equal(stored[slot], key_print(as_keys)):
-        raise ValueError(f"shard {row.shard}: the index does not hold its keys")
+        raise ValueError(f"shard {shard}: the index does not hold its keys")
     starts, counts = offsets[slot].astype(np.int64), lengths[slot].astype(np.int64)
     payload = memoryview(row.payload)
-    docs: list[tuple] = []
-    every = np.frombuffer(row.keys_, "<i8")
-    repeats = np.searchsorted(every, keys, "right") - np.searchsorted(every, keys, "left")
-    for key, low, n, times in zip(keys.tolist(), starts.tolist(), counts.tolist(), repeats.tolist()):
-        if times == 1:
-            docs.append((key, low, n, zlib.crc32(payload[4 * low : 4 * (low + n)])))
-            continue
-        # Documents that share a key end at their end ids.
-        ids = np.frombuffer(payload[4 * low : 4 * (low + n)], "<u4")
-        cuts = np.flatnonzero(ids == END_ID) + 1
-        if len(cuts) != times:
-            raise ValueError(f"key {key} is repeated and a text holds the end id")
-        for a, b in zip([0, *cuts[:-1].tolist()], cuts.tolist()):
-            docs.append((key, low + a, b - a, zlib.crc32(payload[4 * (low + a) : 4 * (low + b)])))
-    return pd.DataFrame(docs, columns=["doc_id", "begin", "n_tokens", "ids_crc32"])
+    if (repeats > 1).any():
+        docs: list[tuple[int, int, int]] = []
+        for key, low, n, times in zip(keys.tolist(), starts.tolist(), counts.tolist(), repeats.tolist()):
+            # Documents that share a key end at their end ids.
+            cuts = np.flatnonzero(np.frombuffer(payload[4 * low : 4 * (low + n)], "<u4") == END_ID) + 1 if times > 1 else [n]
+            if len(cuts) != times:
+                raise ValueError(f"key {key} is repeated and a text holds the end id")
+            docs += [(key, low + int(a), int(b - a)) for a, b in zip([0, *cuts[:-1]], cuts)]
+        keys, starts, counts = np.array(docs, np.int64).T
+    ends = zip((4 * starts).tolist(), (4 * (starts + counts)).tolist())
+    crcs = [zlib.crc32(payload[a:b]) for a, b in ends]
+    columns = [np.full(len(keys), shard), keys, starts, counts, np.array(crcs, np.int64)]
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns], names=_ENTRY)
+
+
+_ENTRY = ["shard", "doc_id", "begin", "n_tokens", "ids_crc32"]
 
 
 def token_report(spark, folder: str) -> DataFrame:
     """Per document, read from the files through the index: doc_id, start, n_tokens, ids_crc32."""
 
-    def told(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for row in pdf.rename(columns={"keys": "keys_"}).itertuples():
-                yield _entries(row).assign(shard=row.shard)[["shard", "doc_id", "begin", "n_tokens", "ids_crc32"]]
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield _entries(row["shard"], SimpleNamespace(**row))
 
     ship_code(spark)
     shards = read_shards(spark, folder)
-    parts = shards.select("shard", "payload", "keys", "displace", "stored", "offsets", "lengths")
-    docs = parts.mapInPandas(told, "shard long, doc_id long, begin long, n_tokens long, ids_crc32 long")
+    parts = shards.select("shard", "payload", F.col("keys").alias("keys_"), "displace", "stored", "offsets", "lengths")
+    docs = parts.mapInArrow(told, ", ".join(f"{c} long" for c in _ENTRY))
     starts = shard_starts(shards.select("shard", "n_ids"))
     return docs.join(starts, "shard").select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
 
