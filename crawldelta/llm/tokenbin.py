@@ -3,14 +3,15 @@
 A written folder is a Parquet table with one row per shard, so any file system
 that Spark writes to will do and a lost task leaves nothing behind:
 
-  shard      integer name; shards in ascending name hold ascending doc_ids
-  n_docs, n_ids, first_doc
+  shard      integer name; shards in ascending name hold ascending doc_ids, and last the documents without one
+  n_docs, n_ids, first_doc (null in a shard of documents without doc_id, whose index is empty)
   payload    the documents' ids, unsigned 32-bit little-endian, end to end
   keys       the documents' ids (signed 64-bit little-endian) in payload order
+  sizes      number of ids (u64) of each document in payload order, also of those that share a key
   displace   the hash index: one displacement (u32) per bucket of four keys
   stored     per slot: fingerprint (u32) of the key whose slot it is
-  offsets    per slot: first id of the document in the payload (u64)
-  lengths    per slot: number of ids (u64)
+  offsets    per slot: first id of the key's documents in the payload (u64)
+  lengths    per slot: number of ids (u64) of all documents of the key
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 
 from crawldelta.llm.scratch import ship_code
 
-#: Fixed value: the id that ends each document.
+#: Fixed value: the id that ends each document. A text may hold it as well: documents are never cut by it.
 END_ID = 0
 
 #: A shard is closed at this many bytes of ids; one longer document makes a longer shard.
@@ -45,11 +46,11 @@ ENCODED_AT_ONCE = 4 << 20
 
 _SHARD = pa.schema(
     [("shard", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first_doc", pa.int64())]
-    + [(c, pa.binary()) for c in ("payload", "keys", "displace", "stored", "offsets", "lengths")]
+    + [(c, pa.binary()) for c in ("payload", "keys", "sizes", "displace", "stored", "offsets", "lengths")]
 )
 _SHARD_DDL = (
     "shard long, n_docs long, n_ids long, first_doc long, payload binary, keys binary, "
-    "displace binary, stored binary, offsets binary, lengths binary"
+    "sizes binary, displace binary, stored binary, offsets binary, lengths binary"
 )
 
 if sys.byteorder != "little" or array("I").itemsize != 4:
@@ -223,21 +224,22 @@ def key_print(keys: np.ndarray) -> np.ndarray:
 # ---------------------------------------------------------------- writing
 
 
-def _shard_row(name: int, keys: list[int], parts: list[bytes]) -> pa.RecordBatch:
-    ids = np.array(keys, "<i8")
+def _shard_row(name: int, keys: list[int | None], parts: list[bytes]) -> pa.RecordBatch:
+    """A shard of documents that all have a key, or all have none."""
+    ids = np.array([k for k in keys if k is not None], "<i8")
     counts = np.array([len(p) // 4 for p in parts], "<u8")
     begin = np.concatenate(([0], np.cumsum(counts)[:-1])).astype("<u8")
     distinct, first = np.unique(ids, return_index=True)
     as_keys = distinct.view(np.uint64)
     n = len(distinct)
     # Documents that share a key lie side by side and are opened together.
-    length = np.add.reduceat(counts, first).astype("<u8")
+    length = np.add.reduceat(counts, first).astype("<u8") if n else np.zeros(0, "<u8")
     displace = build_index(as_keys)
-    slot = find_slots(as_keys, displace, n)
+    slot = find_slots(as_keys, displace, n) if n else np.zeros(0, np.int64)
     stored, offsets, lengths = np.zeros(n, "<u4"), np.zeros(n, "<u8"), np.zeros(n, "<u8")
     stored[slot], offsets[slot], lengths[slot] = key_print(as_keys), begin[first], length
     columns = [[name], [len(keys)], [int(counts.sum())], [keys[0]], [b"".join(parts)], [ids.tobytes()]]
-    columns += [[x.tobytes()] for x in (displace, stored, offsets, lengths)]
+    columns += [[x.tobytes()] for x in (counts, displace, stored, offsets, lengths)]
     return pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(columns, _SHARD)], schema=_SHARD)
 
 
@@ -257,7 +259,8 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_bytes: int
 
     Null texts count as empty and hold the end id alone. Rows that share a
     doc_id are ordered by their text's hash. Documents without a doc_id have no
-    key and raise an error. An empty table writes a folder without shards.
+    key: they come last, in shards of their own, in the order of their texts'
+    hashes. An empty table writes a folder without shards.
     """
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -267,7 +270,7 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_bytes: int
         for batch in batches:
             for some in _pieces_of(batch):
                 for key, part in zip(some.column("doc_id").to_pylist(), encode_bytes(some.column("text"), tokenizer)):
-                    if held >= shard_bytes and key != keys[-1]:
+                    if keys and (key is None) != (keys[-1] is None) or held >= shard_bytes and (key is None or key != keys[-1]):
                         yield _shard_row(name, keys, parts)
                         name, keys, parts, held = name + 1, [], [], 0
                     keys.append(key)
@@ -277,9 +280,11 @@ def write_shards(docs: DataFrame, folder: str, tokenizer: str, shard_bytes: int
             yield _shard_row(name, keys, parts)
 
     ship_code(docs.sparkSession)
-    keyed = F.when(F.col("doc_id").isNull(), F.raise_error(F.lit("a document without doc_id has no key"))).otherwise(F.col("doc_id"))
-    rows = docs.select(keyed.cast("long").alias("doc_id"), "text")
-    ranged = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    key = F.col("doc_id").asc_nulls_last()
+    # Rows that share a key stay together; those without one need not.
+    ranged = rows.repartitionByRange(key, F.when(F.col("doc_id").isNull(), F.xxhash64("text")).asc())
+    ranged = ranged.sortWithinPartitions(key, F.xxhash64("text"), "text")
     ranged.mapInArrow(shards, _SHARD_DDL).write.option("compression", "snappy").parquet(folder)
 
 
@@ -309,36 +314,41 @@ def _opened(pdf_row) -> tuple:
 
 
 def _entries(shard: int, row) -> pa.RecordBatch:
-    """Every document of a shard, looked up through the index."""
-    every = np.frombuffer(row.keys_, "<i8")
-    keys, repeats = np.unique(every, return_counts=True)
+    """Every document of a shard, looked up through the index; of a shard without keys, one after another."""
+    every, sizes = np.frombuffer(row.keys_, "<i8"), np.frombuffer(row.sizes, "<u8").astype(np.int64)
+    begin = np.cumsum(sizes) - sizes
+    if not len(every):
+        return _told(shard, pa.nulls(len(sizes), pa.int64()), begin, sizes, row.payload)
+    keys, first, place = np.unique(every, return_index=True, return_inverse=True)
     displace, stored, offsets, lengths = _opened(row)
     as_keys = keys.view(np.uint64)
     slot = find_slots(as_keys, displace, len(stored))
     if not np.array_equal(stored[slot], key_print(as_keys)):
         raise ValueError(f"shard {shard}: the index does not hold its keys")
-    starts, counts = offsets[slot].astype(np.int64), lengths[slot].astype(np.int64)
-    payload = memoryview(row.payload)
-    if (repeats > 1).any():
-        docs: list[tuple[int, int, int]] = []
-        for key, low, n, times in zip(keys.tolist(), starts.tolist(), counts.tolist(), repeats.tolist()):
-            # Documents that share a key end at their end ids.
-            cuts = np.flatnonzero(np.frombuffer(payload[4 * low : 4 * (low + n)], "<u4") == END_ID) + 1 if times > 1 else [n]
-            if len(cuts) != times:
-                raise ValueError(f"key {key} is repeated and a text holds the end id")
-            docs += [(key, low + int(a), int(b - a)) for a, b in zip([0, *cuts[:-1]], cuts)]
-        keys, starts, counts = np.array(docs, np.int64).T
-    ends = zip((4 * starts).tolist(), (4 * (starts + counts)).tolist())
-    crcs = [zlib.crc32(payload[a:b]) for a, b in ends]
-    columns = [np.full(len(keys), shard), keys, starts, counts, np.array(crcs, np.int64)]
-    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns], names=_ENTRY)
+    if not np.array_equal(np.add.reduceat(sizes, first), lengths[slot].astype(np.int64)):
+        raise ValueError(f"shard {shard}: the index does not hold its documents' lengths")
+    # Documents that share a key lie side by side from the key's place on.
+    starts = offsets[slot].astype(np.int64)[place] + begin - begin[first][place]
+    return _told(shard, pa.array(every), starts, sizes, row.payload)
+
+
+def _told(shard: int, doc_ids: pa.Array, starts: np.ndarray, sizes: np.ndarray, payload: bytes) -> pa.RecordBatch:
+    raw = memoryview(payload)
+    ends = zip((4 * starts).tolist(), (4 * (starts + sizes)).tolist())
+    crcs = [zlib.crc32(raw[a:b]) for a, b in ends]
+    columns = [np.full(len(sizes), shard), starts, sizes, np.array(crcs, np.int64)]
+    shards, *others = [pa.array(np.ascontiguousarray(c), pa.int64()) for c in columns]
+    return pa.RecordBatch.from_arrays([shards, doc_ids, *others], names=_ENTRY)
 
 
 _ENTRY = ["shard", "doc_id", "begin", "n_tokens", "ids_crc32"]
 
 
 def token_report(spark, folder: str) -> DataFrame:
-    """Per document, read from the files through the index: doc_id, start, n_tokens, ids_crc32."""
+    """Per document, read from the files through the index: doc_id, start, n_tokens, ids_crc32.
+
+    Documents that share a doc_id have a row each, as have those without one.
+    """
 
     def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -348,7 +358,7 @@ def token_report(spark, folder: str) -> DataFrame:
 
     ship_code(spark)
     shards = read_shards(spark, folder)
-    parts = shards.select("shard", "payload", F.col("keys").alias("keys_"), "displace", "stored", "offsets", "lengths")
+    parts = shards.select("shard", "payload", F.col("keys").alias("keys_"), "sizes", "displace", "stored", "offsets", "lengths")
     docs = parts.mapInArrow(told, ", ".join(f"{c} long" for c in _ENTRY))
     starts = shard_starts(shards.select("shard", "n_ids"))
     return docs.join(starts, "shard").select("doc_id", (F.col("base") + F.col("begin")).alias("start"), "n_tokens", "ids_crc32")
@@ -379,7 +389,7 @@ def lookup(spark, folder: str, keys: DataFrame) -> DataFrame:
 
     ship_code(spark)
     shards = read_shards(spark, folder)
-    listed = shards.select("shard", F.col("first_doc"))
+    listed = shards.where("first_doc is not null").select("shard", F.col("first_doc"))
     # The shard of a key is the last one that begins at or before it; shards of one task follow one another.
     marks = listed.select(F.col("first_doc").alias("at"), "shard", F.lit(None).cast("long").alias("key"))
     wanted = keys.select("doc_id").where("doc_id is not null").distinct()
