@@ -200,7 +200,10 @@ class Lattice:
 
         Forward: the best score to each position. Backward: A-star from the
         end, where a partial path's bound is its own score plus the forward
-        score of its position, which is exact; so paths come out in order.
+        score of its position, which is exact; so paths come out in order. Of
+        equal bounds the one nearest to the start goes on, and a position goes
+        on n times at most: later paths through it are behind n others. So the
+        heap grows with the text's length only.
         """
         ends = self.edges(text)
         ahead = [0.0] + [-np.inf] * len(text)
@@ -208,10 +211,10 @@ class Lattice:
             for start, score, _ in ends[end]:
                 if ahead[start] + score > ahead[end]:
                     ahead[end] = ahead[start] + score
-        found, made = [], 0
-        heap = [(-ahead[-1], 0, len(text), 0.0, None)]
+        found, made, left = [], 0, [n] * (len(text) + 1)
+        heap = [(-ahead[-1], len(text), 0, 0.0, None)]
         while heap and len(found) < n:
-            _, _, at, behind, link = heapq.heappop(heap)
+            _, at, _, behind, link = heapq.heappop(heap)
             if at == 0:
                 ids: list[int] = []
                 while link:
@@ -219,9 +222,12 @@ class Lattice:
                     link = link[1]
                 found.append((behind, tuple(ids)))
                 continue
+            if not left[at]:
+                continue
+            left[at] -= 1
             for start, score, own in ends[at]:
                 made += 1
-                heapq.heappush(heap, (-(ahead[start] + behind + score), made, start, behind + score, (own, link)))
+                heapq.heappush(heap, (-(ahead[start] + behind + score), start, -made, behind + score, (own, link)))
         return found
 
     def _viterbi(self, part: str) -> tuple[bytes, float, float]:
@@ -351,13 +357,17 @@ class Lattice:
 
     def _others(self, total: float, best: bytes, free: list[str], places: list[tuple[int, int]]) -> list[tuple[float, bytes]]:
         """The next best of a text, which differ from the best only in these segments, at these places of its ids."""
-        lists = [self.best_of(seg, self.n) for seg in free]
+        lists = []
+        for seg, (low, high) in zip(free, places):
+            ranked = [(s, np.array(ids, "<i4").tobytes()) for s, ids in self.best_of(seg, self.n)]
+            # The chosen one of equally good segmentations stands first, and only once.
+            lists.append([(ranked[0][0], best[low:high]), *[r for r in ranked if r[1] != best[low:high]]][: self.n])
         base = sum(ranked[0][0] for ranked in lists)
         out = []
         for score, choice in choices([[s for s, _ in ranked] for ranked in lists], self.n)[1:]:
             parts, at = [], 0
             for (low, high), k, ranked in zip(places, choice, lists):
-                parts += [best[at:low], np.array(ranked[k][1], "<i4").tobytes() if k else best[low:high]]
+                parts += [best[at:low], ranked[k][1]]
                 at = high
             out.append((total - base + score, b"".join([*parts, best[at:]])))
         return out
