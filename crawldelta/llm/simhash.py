@@ -30,22 +30,31 @@ def simhash(text: str | None) -> int:
     words joined by a space, repeats included. A bit is set if more than half
     of the shingles' hashes have it.
     """
+    return bits_of(shingle_hashes(text)) & (1 << BITS) - 1
+
+
+def shingle_hashes(text: str | None, size: int = WORDS) -> np.ndarray:
+    """The 64-bit hash of every shingle of so many words in order; none without words."""
     words = (text or "").encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0
+        return np.zeros(0, "<u8")
     joined = b" ".join(words)
-    width = min(WORDS, len(words))
+    width = min(size, len(words))
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
     starts = np.concatenate(([0], ends[:-1] + 1)).tolist()
     stops = ends[width - 1 :].tolist()
     digest = xxhash.xxh64_intdigest
+    return np.fromiter((digest(joined[a:b], SEED) for a, b in zip(starts, stops)), "<u8", len(stops))
+
+
+def bits_of(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes, as a signed 64-bit integer."""
     counts = np.zeros(BITS, np.int64)
-    for low in range(0, len(stops), _AT_ONCE):
-        some = zip(starts[low : low + _AT_ONCE], stops[low : low + _AT_ONCE])
-        hashes = np.array([digest(joined[a:b], SEED) for a, b in some], "<u8")
-        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    bits = (counts * 2 > len(stops)).astype(np.uint8)
-    return int(np.packbits(bits, bitorder="little").view("<u8")[0])
+    for low in range(0, len(hashes), _AT_ONCE):
+        some = hashes[low : low + _AT_ONCE]
+        counts += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    bits = (counts * 2 > len(hashes)).astype(np.uint8)
+    return int(np.packbits(bits, bitorder="little").view("<i8")[0])
 
 
 @F.pandas_udf(LongType())
