@@ -23,6 +23,11 @@ def words(text: Column) -> Column:
     return F.filter(F.split(low, r"[^\p{L}\p{N}]+"), lambda w: w != "")
 
 
+def text_key(text: str | Column) -> Column:
+    """Hash that tells texts with one doc_id apart; null counts as empty."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def _windows(tokens: Column, size: int) -> Column:
     """First positions of the shingles: of a text of fewer words, the whole sequence is one; of none, there is none."""
     n = F.size(tokens)
@@ -77,6 +82,11 @@ def contained_items(
     alike; rows with a null id take part. One row for each pair of a document
     row and an item row; empty tables give none; extra columns are ignored.
     """
+    return _contained(docs, items, size, threshold).drop("text_key")
+
+
+def _contained(docs: DataFrame, items: DataFrame, size: int = WORDS, threshold: float = CONTAINMENT) -> DataFrame:
+    """contained_items() with the text_key that tells rows with one doc_id apart."""
     keyed = stored(
         items.select(F.monotonically_increasing_id().alias("item_key"), "item_id", F.coalesce("text", F.lit("")).alias("text")),
         "items",
@@ -86,8 +96,8 @@ def contained_items(
     bounds = {r[0]: r[1] for r in sketches.groupBy("size_class").agg(F.max("h")).collect()}
     if not bounds:
         no_item = F.lit(None).cast(items.schema["item_id"].dataType).alias("item_id")
-        return docs.select("doc_id", no_item, F.lit(0.0).alias("containment")).where(F.lit(False))
-    texts = docs.select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("text_key"), "text")
+        return docs.select("doc_id", text_key("text").alias("text_key"), no_item, F.lit(0.0).alias("containment")).where(F.lit(False))
+    texts = docs.select("doc_id", text_key("text").alias("text_key"), "text")
     hashed = texts.select("doc_id", "text_key", F.array_distinct(shingle_hashes(words(F.col("text")), size)).alias("hs"))
     classes = F.array(*[F.struct(F.lit(c).alias("size_class"), F.lit(top).alias("top")) for c, top in sorted(bounds.items())])
     highest = max(bounds.values())
@@ -98,16 +108,16 @@ def contained_items(
     pairs = stored(met.where(F.col("h") <= reach).select("doc_id", "text_key", "item_key").distinct(), "pairs")
     asked = pairs.withColumnsRenamed({"doc_id": "__d", "text_key": "__k"})
     same = texts["doc_id"].eqNullSafe(F.col("__d")) & (texts["text_key"] == F.col("__k"))
-    suspects = texts.join(keys_for_join(asked), same).select("doc_id", "text", "item_key")
+    suspects = texts.join(keys_for_join(asked), same).select("doc_id", "text_key", "text", "item_key")
     wanted = keyed.select("item_key", "item_id", F.array_distinct(shingle_texts(words(F.col("text")), size)).alias("item_shingles"))
     held = keyed.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     both = suspects.join(F.broadcast(wanted) if held <= BROADCAST_BYTES else wanted, "item_key")
     both = both.withColumn("doc_shingles", shingle_texts(words(F.col("text")), size))
     share = F.size(F.array_intersect("item_shingles", "doc_shingles")) / F.size("item_shingles")
-    return both.select("doc_id", "item_id", share.alias("containment")).where(F.col("containment") >= threshold - 1e-9)
+    return both.select("doc_id", "text_key", "item_id", share.alias("containment")).where(F.col("containment") >= threshold - 1e-9)
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no test item, columns unchanged."""
-    found = stored(contained_items(docs, items).select("doc_id").distinct(), "contaminated")
-    return without(docs, found, {"doc_id": docs["doc_id"]})
+    """The documents that hold no test item, columns unchanged. Of rows that share a doc_id, or have none, only those that hold one go."""
+    found = stored(_contained(docs, items).select("doc_id", "text_key").distinct(), "contaminated")
+    return without(docs, found, {"doc_id": docs["doc_id"], "text_key": text_key(docs["text"])})
