@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,6 +79,29 @@ THIS SOFTWARE.
 }
 
 
+#: Whole texts of longer licences as published, a file each, named by SPDX identifier.
+LONG_TEXTS = {p.stem: p for p in sorted((Path(__file__).parent / "license_texts").glob("*.txt"))}
+
+#: What follows this line in a licence's file tells how to apply it, and may be left out.
+_END = "END OF TERMS AND CONDITIONS"
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """(license_id, text) of all known whole texts, the longer ones also up to the end of their terms."""
+    found = list(TEXTS.items())
+    for name, path in LONG_TEXTS.items():
+        text = path.read_text(encoding="utf-8")
+        found += [(name, text)] + [(name, text[: text.index(_END)] + part) for part in (_END, "") if _END in text]
+    return found
+
+
+def _body(text: str) -> str:
+    """A whole text without what may be left out: a short one's title, and what follows a long one's terms."""
+    title, _, rest = text.partition("\n\n")
+    text = rest if title in ("MIT License", "ISC License", "BSD 2-Clause License", "BSD 3-Clause License") else text
+    return text.partition(_END)[0]
+
+
 def _any_of(text: Column, signs: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.contains(text, F.lit(s)) for s in signs])
 
@@ -88,6 +112,21 @@ def _flat(line: Column) -> Column:
     return F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
 
 
+def _flats(text: str) -> Column:
+    """The flat form of every line of a text."""
+    return F.transform(F.split(F.lower(F.coalesce(text, F.lit(""))), r"\r?\n"), _flat)
+
+
+def _joined(flats: str) -> Column:
+    return F.array_join(F.filter(flats, lambda f: f != ""), " ")
+
+
+def _spelt(form: Column) -> Column:
+    """A flat form in one spelling."""
+    spelt = reduce(lambda t, pair: F.regexp_replace(t, *pair), SPELLINGS, form)
+    return F.when(_any_of(form, SPELT), spelt).otherwise(form)
+
+
 def with_digest(texts: DataFrame, text: str, longest: int | None = None) -> DataFrame:
     """The table's other columns with `scope`, `n` and `digest`: length and SHA-256 of canonical forms.
 
@@ -98,38 +137,70 @@ def with_digest(texts: DataFrame, text: str, longest: int | None = None) -> Data
     left out. Spellings are replaced only where one occurs.
     """
     others = [F.col(c) for c in texts.columns if c != text]
-    lines = F.split(F.lower(F.coalesce(text, F.lit(""))), r"\r?\n")
-    flat = texts.select(*others, F.transform(lines, _flat).alias("__flats"))
-    whole = F.array_join(F.filter("__flats", lambda f: f != ""), " ")
+    flat = texts.select(*others, _flats(text).alias("__flats"))
+    whole = _joined("__flats")
     unit = lambda scope, form: F.struct(F.lit(scope).alias("scope"), form.alias("form"))
     units = F.concat(F.array(unit("text", whole)), F.transform("__flats", lambda f: unit("line", f)))
     rows = flat.select(*others, F.explode(units).alias("__u")).select(*others, "__u.scope", F.col("__u.form").alias("__form"))
     if longest is not None:
         rows = rows.where(F.length("__form") <= int(SHORTENED * longest) + 1)
-    spelt = reduce(lambda t, pair: F.regexp_replace(t, *pair), SPELLINGS, F.col("__form"))
-    told = rows.withColumn("__form", F.when(_any_of(F.col("__form"), SPELT), spelt).otherwise(F.col("__form")))
+    told = rows.withColumn("__form", _spelt(F.col("__form")))
     return told.select(*others, "scope", F.length("__form").alias("n"), F.sha2(F.col("__form").cast("binary"), 256).alias("digest"))
 
 
 def known_digests(spark: SparkSession, notices: dict[str, list[str]] | None = None, texts: dict[str, str] | None = None) -> DataFrame:
     """(license_id, n, digest) of the fixed texts; as many rows as they have."""
     listed = [(k, t) for k, ts in (NOTICES if notices is None else notices).items() for t in ts]
-    listed += list((TEXTS if texts is None else texts).items())
+    whole = whole_texts() if texts is None else list(texts.items())
+    listed += whole + [(k, _body(t)) for k, t in whole if texts is None]
     told = with_digest(spark.createDataFrame(listed, "license_id string, text string"), "text")
     return told.where("scope = 'text'").drop("scope").distinct()
 
 
+def known_runs(spark: SparkSession) -> DataFrame:
+    """(license_id, run) of the whole texts' bodies in canonical form; as many rows as they have."""
+    told = spark.createDataFrame([(k, _body(t)) for k, t in whole_texts()], "license_id string, text string")
+    return told.select("license_id", _spelt(_joined(_flats("text"))).alias("run")).distinct()
+
+
+def run_matches(docs: DataFrame) -> DataFrame:
+    """(doc_id, license_id, n): how often each document row holds the body of a whole text among other text.
+
+    The run of words may go over any number of lines and blank lines and begin
+    or end within one. A row that is the licence's text itself, and lines that
+    are, are units of their own and not counted here.
+    """
+    forms = docs.select("doc_id", _flats("text").alias("__flats")).select("doc_id", "__flats", _spelt(_joined("__flats")).alias("__form"))
+    # Two spaces between words, so that neighbouring runs share none.
+    padded = lambda form: F.concat(F.lit(" "), F.replace(form, F.lit(" "), F.lit("  ")), F.lit(" "))
+    runs = known_runs(docs.sparkSession).select("license_id", "run", padded(F.col("run")).alias("__sought"))
+    # A run that a text holds is not longer than it; the list is constant, like the digests.
+    met = forms.withColumn("__in", padded(F.col("__form"))).join(F.broadcast(runs), F.contains("__in", F.col("__sought")))
+    times = (F.length("__in") - F.length(F.replace("__in", F.col("__sought")))) / F.length("__sought")
+    own = F.size(F.filter("__flats", lambda f: F.contains(_spelt(f), F.col("run")) & (F.length(f) < SHORTENED * F.length("run") + 40)))
+    left = met.select("doc_id", "license_id", (times - own).cast("long").alias("n"), F.col("__form"))
+    whole = known_digests(docs.sparkSession).select("license_id", F.col("digest").alias("__d")).distinct()
+    told = left.where("n > 0").withColumn("__d", F.sha2(F.col("__form").cast("binary"), 256))
+    return told.join(F.broadcast(whole), ["license_id", "__d"], "left_anti").select("doc_id", "license_id", "n")
+
+
 def license_matches(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(doc_id, license_id, scope, n_units): the licences that a document's units equal in canonical form.
 
-    Scope `text` is the whole document, scope `line` each of its lines; n_units
-    counts the equal units over all rows with that doc_id, null among them.
+    Scope `text` is the whole document, scope `line` each of its lines, scope
+    `run` (without a `known` of the caller's) the whole text of a licence among
+    other lines; n_units counts the equal units over all rows with that doc_id,
+    null among them.
     Null, empty and unmatched texts give no row; repeated rows add up; an empty
     table gives an empty one; extra columns are ignored. The known digests are a
     constant list, so they are sent to every task and no text is shuffled.
     """
+    runs = run_matches(docs.where("text is not null").select("doc_id", "text")) if known is None else None
     known = known_digests(docs.sparkSession) if known is None else known
     longest = known.agg(F.max("n")).first()[0] or 0
     dug = with_digest(docs.where("text is not null").select("doc_id", "text"), "text", longest)
     met = dug.join(F.broadcast(known.select("license_id", "digest")), "digest")
-    return met.groupBy("doc_id", "license_id", "scope").agg(F.count("*").alias("n_units"))
+    units = met.select("doc_id", "license_id", "scope", F.lit(1).cast("long").alias("n"))
+    if runs is not None:
+        units = units.unionByName(runs.select("doc_id", "license_id", F.lit("run").alias("scope"), "n"))
+    return units.groupBy("doc_id", "license_id", "scope").agg(F.sum("n").alias("n_units"))
