@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawldelta.llm import blocks, decontam, html_text, langid, licenses, pieces, quality, secrets, simhash, tokenbin
+from crawldelta.llm import blocks, decontam, html_text, langid, licenses, merkle, pieces, quality, secrets, simhash, tokenbin
 from crawldelta.llm.scratch import new_folder
 
 
@@ -68,6 +68,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -81,6 +85,7 @@ QUERIES = {
         op8_exact_dedup,
         op9_benchmark_decontamination,
         op10_sentencepiece,
+        op12_merkle_manifest,
     )
 }
 
@@ -137,4 +142,53 @@ ORACLES = {
         FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
         GROUP BY doc_id, item_id HAVING count(*) / any_value(n) >= 0.8 - 1e-9
     """,
+    # Trees level by level, then every row's way up, one level at a time.
+    "op12_merkle_manifest": r"""
+        WITH RECURSIVE
+        -- CRC-32 byte by byte, over the table that its polynomial gives
+        crc_table AS (
+            SELECT list_transform(range(256), lambda n: list_reduce(list_prepend(n, range(8)),
+                lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        told AS (
+            SELECT doc_id, lang, list_transform([0, 1], lambda extra: sha256(concat(
+                    coalesce(concat(strlen(CAST(doc_id AS VARCHAR)), ':', CAST(doc_id AS VARCHAR)), '-'),
+                    coalesce(concat(strlen(source), ':', source), '-'),
+                    coalesce(concat(strlen(lang), ':', lang), '-'),
+                    CASE WHEN n_chars IS NULL THEN '-'
+                         ELSE concat(strlen(CAST(n_chars + extra AS VARCHAR)), ':', CAST(n_chars + extra AS VARCHAR)) END,
+                    CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END))) AS leaves,
+                xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+                    lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 7 = 0 AS tampered
+            FROM documents, crc_table),
+        rows AS (
+            SELECT dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS tree,
+                   row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaves[1]) - 1 AS idx,
+                   doc_id, leaves[1] AS leaf, CASE WHEN coalesce(tampered, false) THEN leaves[2] ELSE leaves[1] END AS start
+            FROM told),
+        nodes(tree, level, idx, h) AS (
+            SELECT tree, 0, idx, leaf FROM rows
+            UNION ALL
+            SELECT tree, any_value(level) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
+            FROM (SELECT *, max(idx) OVER (PARTITION BY tree) AS last FROM nodes) WHERE last > 0 GROUP BY tree, idx // 2),
+        subroots AS (SELECT tree, max_by(h, level) AS subroot, max(level) AS levels FROM nodes GROUP BY tree),
+        top(level, idx, h) AS (
+            SELECT 0, tree, subroot FROM subroots
+            UNION ALL
+            SELECT any_value(level) + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx))
+            FROM (SELECT *, max(idx) OVER () AS last FROM top) WHERE last > 0 GROUP BY idx // 2),
+        root AS (SELECT max_by(h, level) AS root, max(level) AS top_levels FROM top),
+        -- Every row goes up one level at a time with what it has met.
+        up(tree, idx, doc_id, leaf, step, spot, seen, acc) AS (
+            SELECT tree, idx, doc_id, leaf, 0, CASE WHEN levels = 0 THEN tree ELSE idx END, '', start FROM rows JOIN subroots USING (tree)
+            UNION ALL
+            SELECT u.tree, u.idx, u.doc_id, u.leaf, u.step + 1,
+                   CASE WHEN u.step + 1 = s.levels THEN u.tree ELSE u.spot // 2 END,
+                   concat(u.seen, coalesce(n.h, o.h, '')),
+                   sha256(CASE WHEN u.spot % 2 = 1 THEN concat(coalesce(n.h, o.h, ''), u.acc) ELSE concat(u.acc, coalesce(n.h, o.h, '')) END)
+            FROM up u JOIN subroots s ON u.tree = s.tree JOIN root ON u.step < s.levels + top_levels
+            LEFT JOIN nodes n ON u.step < s.levels AND n.tree = u.tree AND n.level = u.step AND n.idx = xor(u.spot, 1)
+            LEFT JOIN top o ON u.step >= s.levels AND o.level = u.step - s.levels AND o.idx = xor(u.spot, 1))
+        SELECT doc_id, leaf, subroot, root, sha256(seen) AS proof_sha256, acc AS folded_root, acc = root AS verified
+        FROM up JOIN subroots USING (tree) JOIN root ON step = levels + top_levels
+    """,
 }
