@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawldelta.llm import blocks, decontam, html_text, langid, licenses, merkle, pieces, quality, secrets, simhash, tokenbin
+from crawldelta.llm import blocks, decontam, html_text, langid, licenses, merkle, pieces, quality, secrets, simhash, tokenbin, warc
 from crawldelta.llm.scratch import new_folder
 
 
@@ -68,6 +68,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.encode_documents(_table(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_report(_table(spark, sf_dir, "pages"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(_table(spark, sf_dir, "documents"))
 
@@ -85,6 +89,7 @@ QUERIES = {
         op8_exact_dedup,
         op9_benchmark_decontamination,
         op10_sentencepiece,
+        op11_warc,
         op12_merkle_manifest,
     )
 }
@@ -142,6 +147,21 @@ ORACLES = {
         FROM doc_shingles JOIN item_shingles USING (s) JOIN sizes USING (item_id)
         GROUP BY doc_id, item_id HAVING count(*) / any_value(n) >= 0.8 - 1e-9
     """,
+    # Base32 of the digest's 40-bit parts, five bits at a time.
+    "op11_warc": """
+        WITH told AS (
+            SELECT page_id, coalesce(html, '') AS payload FROM pages),
+        parts AS (
+            SELECT page_id, payload, list_transform(range(4), lambda i: CAST('0x' || substr(sha1(payload), 1 + 10 * i, 10) AS BIGINT)) AS bits,
+                   min(page_id) OVER (PARTITION BY payload) AS first_id
+            FROM told)
+        SELECT page_id, strlen(payload) AS payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ((bits[1 + i // 8] >> (35 - 5 * (i % 8))) & 31), 1)), '') AS payload_digest,
+               CASE WHEN page_id IS DISTINCT FROM first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+        FROM parts
+    """,
     # Trees level by level, then every row's way up, one level at a time.
     "op12_merkle_manifest": r"""
         WITH RECURSIVE

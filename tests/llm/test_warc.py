@@ -1,0 +1,149 @@
+"""Archives: what is written is read back; streams of every kind are normalised, sound records of broken ones kept."""
+
+from __future__ import annotations
+
+import base64
+import gzip
+import hashlib
+import io
+import json
+import random
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from crawldelta.llm import scratch, warc
+from crawldelta.llm.scratch import new_folder
+
+HTML = "<p>one \u00fc \u6f22 \U0001f600</p>\r\n\r\nWARC/1.1\r\nContent-Length: 3\r\n\r\nabc\n"
+PAGES = [
+    (1, "http://a/1", HTML), (2, "http://a/2", HTML), (3, None, HTML), (4, "http://a/4", ""), (5, "http://a/5\r\nX: y z", None),
+    (6, "http://a/6", "other"), (6, "http://a/6", "other"), (7, "http://a/7", "other"), (-8, "http://a/8", "tail\r\n"),
+    (None, "http://a/9", "other"), (None, "http://a/10", "none has a number"), (None, "http://a/11", "none has a number"),
+    (12, "http://a/12", "x\0y" + "long words " * 200_000), (13, "\u00fcrl", "\r\n\r\n"), (14, "http://a/14", " "),
+]
+DDL = "page_id long, url string, html string"
+
+
+def plain(pages, least=0):
+    out = []
+    for page_id, _, html in pages:
+        raw = (html or "").encode()
+        ids = [p for p, _, h in pages if (h or "").encode() == raw and p is not None]
+        first = min(ids) if ids and len(raw) >= least else page_id
+        again = page_id != first
+        out.append((page_id, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if again else "response", first if again else None))
+    return sorted(out, key=repr)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, DDL).repartition(3).select("*", *[F.lit("x").alias(c) for c in ("__key", "record_id", "value", "archive", "offset")])
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+@pytest.mark.parametrize("least", [0, 5, 10_000])
+def test_pages_are_read_back(spark, least):
+    assert rows_of(warc.warc_report(table(spark, PAGES), min_bytes=least)) == plain(PAGES, least)
+
+
+def test_firsts_beyond_the_broadcast_bound(spark, monkeypatch):
+    monkeypatch.setattr(scratch, "BROADCAST_ROWS", 0)
+    many = PAGES + [(i, "u", "hot") for i in range(100, 400)]
+    assert rows_of(warc.warc_report(table(spark, many))) == plain(many)
+
+
+def test_no_pages(spark):
+    assert warc.warc_report(spark.createDataFrame([], DDL)).count() == 0
+
+
+def test_payloads_and_fields_by_offset(spark):
+    folder = new_folder(spark, "warc-test")
+    warc.write_archives(table(spark, PAGES), f"{folder}/one", "2025-12-02T06:00:00Z", records=2)
+    made = warc.normalise(spark, f"{folder}/one", f"{folder}/two").collect()
+    assert sum(r.records for r in made) == len(PAGES) and all(r.fault is None and r.records <= 2 for r in made)
+    index = warc.read_index(spark, f"{folder}/two")
+    got = warc.read_records(index.where("record_type = 'response' AND record_id = '<urn:page:12>'"), f"{folder}/two").collect()
+    assert [bytes(r.payload).decode() for r in got] == [PAGES[12][2]]
+    urls = {r.record_id: r.target_uri for r in index.collect()}
+    assert urls["<urn:page:5>"] == "http://a/5%0D%0AX:%20y%20z" and urls["<urn:page:3>"] is None and urls["<urn:page:13>"] == "\u00fcrl"
+    # Every file is a run of members, and each entry is one of them.
+    sc = spark.sparkContext
+    for name, data in sc.binaryFiles(f"{folder}/two/*.warc.gz").collect():
+        own = sorted((r.offset, r.length, r.inflated) for r in index.where(F.col("archive") == name.rsplit("/", 1)[-1]).collect())
+        assert [o for o, _, _ in own] == [0, *[o + n for o, n, _ in own[:-1]]] and sum(n for _, n, _ in own) == len(data)
+        assert all(len(zlib.decompress(data[o : o + n], 31)) == size for o, n, size in own)
+
+
+def record(i, body, more=b""):
+    return b"WARC/1.0\r\nWARC-Type: resource\r\nwarc-record-id:  <urn:x:%d>\r\n%bContent-Length: %d\r\n\r\n%b\r\n\r\n" % (i, more, len(body), body)
+
+
+def entries_of(raw):
+    out = io.BytesIO()
+    found = list(warc.members(io.BytesIO(raw), out))
+    data = out.getvalue()
+    return [zlib.decompress(data[e["offset"] : e["offset"] + e["length"]], 31) for e in found], found
+
+
+@pytest.mark.parametrize("at_once", [1, 7, 64, 1 << 20])
+def test_streams_of_every_kind(monkeypatch, at_once):
+    monkeypatch.setattr(warc, "AT_ONCE", at_once)
+    rng = random.Random(at_once)
+    own = [record(i, rng.randbytes(rng.choice((0, 1, 5, 700))), b"X-Folded: a\r\n  b\r\n" * (i % 2)) for i in range(12)]
+    whole = b"".join(own)
+    kinds = [
+        gzip.compress(whole), whole, gzip.compress(b"\r\n\r\n" + whole + b"\r\n"), b"".join(map(gzip.compress, own)),
+        gzip.compress(whole[:777]) + gzip.compress(whole[777:]), gzip.compress(whole) + b"\0" * 100,
+    ]
+    for raw in kinds:
+        got, found = entries_of(raw)
+        assert got == own and [e["record_id"] for e in found] == [f"<urn:x:{i}>" for i in range(12)]
+    assert entries_of(b"") == ([], []) and entries_of(gzip.compress(b"")) == ([], [])
+
+
+def kept_until_fault(raw):
+    out, found = io.BytesIO(), []
+    with pytest.raises(warc.WarcFault):
+        for entry in warc.members(io.BytesIO(raw), out):
+            found.append(entry)
+    return len(found)
+
+
+def test_sound_records_before_a_fault_are_told():
+    own = [record(i, b"z" * 50) for i in range(5)]
+    whole = b"".join(own)
+    assert kept_until_fault(whole[: -len(own[4]) // 2]) == 4
+    assert kept_until_fault(b"".join(own[:3]) + b"no record at all\r\n\r\n") == 3
+    assert kept_until_fault(b"".join(own[:2]) + b"WARC/1.0\r\nWARC-Type: x\r\n\r\n") == 2
+    assert kept_until_fault(b"".join(own[:2]) + b"WARC/1.0\r\nWARC-Type: x\r\n") == 2
+    packed = gzip.compress(b"".join(record(i, random.Random(i).randbytes(5000)) for i in range(5)))
+    assert kept_until_fault(packed[: len(packed) // 2]) < 5
+    assert kept_until_fault(b"x" * (warc.HEADER_BYTES + warc.AT_ONCE * 2)) == 0
+
+
+def test_a_broken_archive_is_reported(spark, tmp_path):
+    own = [record(i, random.Random(i).randbytes(5000)) for i in range(6)]
+    (tmp_path / "in" / "a b").mkdir(parents=True)
+    (tmp_path / "in" / "a b" / "sound.warc.gz").write_bytes(gzip.compress(b"".join(own)))
+    (tmp_path / "in" / "cut.warc.gz").write_bytes(gzip.compress(b"".join(own))[:12_000])
+    told = {r.source.rsplit("/", 1)[-1]: r for r in warc.normalise(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out").collect()}
+    assert told["sound.warc.gz"].records == 6 and told["sound.warc.gz"].fault is None
+    assert 0 < told["cut.warc.gz"].records < 6 and told["cut.warc.gz"].fault
+    index = warc.read_index(spark, f"file://{tmp_path}/out")
+    read = warc.read_records(index, f"file://{tmp_path}/out").groupBy("record_id").count().collect()
+    assert sum(r["count"] for r in read) == 6 + told["cut.warc.gz"].records
+    for line in (tmp_path / "out" / f"{told['sound.warc.gz'].archive}.index.jsonl").read_text().splitlines():
+        assert json.loads(line)["record_type"] == "resource"
+
+
+def test_digests_are_verified(spark, tmp_path):
+    bad = record(1, b"body", b"WARC-Payload-Digest: sha1:" + b"A" * 32 + b"\r\n")
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "x.warc").write_bytes(bad)
+    warc.normalise(spark, f"file://{tmp_path}/in", f"file://{tmp_path}/out")
+    with pytest.raises(Exception, match="not that of its digest"):
+        warc.read_records(warc.read_index(spark, f"file://{tmp_path}/out"), f"file://{tmp_path}/out").collect()
