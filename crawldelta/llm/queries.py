@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from crawldelta.llm import blocks, decontam, html_text, langid, licenses, merkle, pieces, quality, secrets, simhash, tokenbin, warc
+from crawldelta.llm import align, blocks, decontam, html_text, langid, licenses, merkle, pieces, quality, secrets, simhash, tokenbin, warc
 from crawldelta.llm.scratch import new_folder
 
 
@@ -76,6 +76,11 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.manifest_report(_table(spark, sf_dir, "documents"))
 
 
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return align.alignment_report(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -91,6 +96,7 @@ QUERIES = {
         op10_sentencepiece,
         op11_warc,
         op12_merkle_manifest,
+        op13_tokenizer_alignment,
     )
 }
 
