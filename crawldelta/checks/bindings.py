@@ -134,6 +134,15 @@ BINDINGS: dict[str, tuple[tuple[str, ...], str]] = {
         UNION ALL SELECT domain, concat(sitemap_url, '?orphan'), xml, TIMESTAMP '2025-12-02 05:00:00' FROM x_sets
         UNION ALL SELECT domain, concat(sitemap_url, '?cut'), substr(xml, 1, length(xml) - 12), TIMESTAMP '2025-12-02 05:00:00' FROM x_sets
         UNION ALL SELECT domain, concat(sitemap_url, '?void'), '', TIMESTAMP '2025-12-02 05:00:00' FROM x_roots"""),
+    # The same sitemaps with faults: a commented entry, a bare sign, an unknown reference, a control character, CDATA, half an entry.
+    "x_faulty": (("x_sets",), """
+        SELECT domain, sitemap_url, replace(xml, '</urlset>', concat('<!-- <url><loc>https://no.example/</loc></url> -->',
+                   '<url><loc>https://', domain, '/lt?a<b&c=1&amp;d=2</loc></url><url><loc>https://', domain, '/caf&eacute;</loc></url>',
+                   '<url><loc>https://', domain, '/c', chr(1), 'trl</loc></url>',
+                   '<url><loc><![CDATA[https://', domain, '/?x=1&amp;y=2]]></loc><lastmod>2025</lastmod></url>',
+                   '<url><loc>https://', domain, '/half</urlset>')) AS xml,
+               TIMESTAMP '2025-12-02 05:00:00' AS fetched_at
+        FROM x_sets"""),
     # --- H: pages with the tags the page checks look for -------------------------
     "h_pages": ((), """
         SELECT page_id, url, CASE WHEN page_id % 11 = 0 THEN 404 ELSE 200 END AS content_status_code,
@@ -202,6 +211,20 @@ BINDINGS: dict[str, tuple[tuple[str, ...], str]] = {
         SELECT concat('www.site', CAST(s_suppkey AS STRING), '.example.com'),
                concat('User-agent: DuckAssistBot', chr(10), 'Disallow: /'), TIMESTAMP '2025-11-30 00:00:00', 200
         FROM {supplier}"""),
+    # Two versions of the robots texts, with rules for paths and delays.
+    "r_versions": (("r_robots",), """
+        SELECT domain, CASE WHEN content LIKE '%DuckAssistBot%' THEN 'old' ELSE 'new' END AS version,
+               CASE WHEN content LIKE '%DuckAssistBot%'
+                    THEN concat(content, chr(10), 'User-agent: Slurp', chr(10), 'user-agent : no', chr(10), 'User-Agent: *', chr(10),
+                                'Crawl-delay: 3', chr(10), 'Disallow: /private', chr(10), 'Allow: /private/open', chr(10), 'Disallow:')
+                    ELSE concat(content, chr(10), 'User-agent: Slurp # old', chr(10), 'Disallow : /*.pdf$ # all', chr(10), 'Crawl-delay: 7',
+                                chr(13), chr(10), 'Disallow: /x', chr(10), 'Allow: /x/1') END AS content
+        FROM r_robots WHERE content IS NOT NULL"""),
+    "r_paths": ((), """
+        SELECT concat('www.site', CAST(1 + o_custkey % 10 AS STRING), '.example.com') AS domain,
+               concat(CASE o_orderkey % 6 WHEN 0 THEN '/private/' WHEN 1 THEN '/private/open/' WHEN 2 THEN '/x/' WHEN 3 THEN '/thmb/' ELSE '/' END,
+                      CAST(o_orderkey AS STRING), CASE o_orderkey % 4 WHEN 0 THEN '.pdf' WHEN 1 THEN '.pdf?v=1' ELSE '' END) AS path
+        FROM {orders}"""),
     # --- T: targets over the customers -------------------------------------------
     "t_targets": ((), """
         SELECT c_custkey AS position, CASE WHEN c_custkey % 11 = 0 THEN NULL WHEN c_custkey % 13 = 0 THEN '  '

@@ -409,6 +409,28 @@ def _(spark, sf):
     return SM.url_entries(SM.parse_sitemaps(bind(spark, sf, "x_docs")))
 
 
+RESCUED_SQL = """
+    SELECT e.domain, s.sitemap_url AS sitemap_source_url, e.loc, e.lm AS lastmod, e.changefreq, e.priority
+    FROM x_entries e JOIN x_sets s USING (domain, shard)
+    UNION ALL
+    SELECT domain, sitemap_url, concat('https://', domain, tail), CASE WHEN tail LIKE '/?x%' THEN '2025' END, NULL, NULL
+    FROM x_sets, unnest(['/lt?a<b&c=1&d=2', '/café', '/ctrl', '/?x=1&amp;y=2']) AS t(tail)"""
+
+
+@check("b3_recovered_entries", oracle("x_sets", RESCUED_SQL))
+def _(spark, sf):
+    found = SM.url_entries(SM.parse_sitemaps(bind(spark, sf, "x_faulty")))
+    return found.select("domain", "sitemap_source_url", "loc", "lastmod", "changefreq", "priority")
+
+
+@check("b5_recovered_facts", oracle("x_faulty", f"""
+    SELECT f.sitemap_url, 'urlset' AS sitemap_type, CAST(r.n AS INTEGER) AS url_count, sha256(f.xml) AS content_hash
+    FROM x_faulty f JOIN (SELECT sitemap_source_url, count(*) AS n FROM ({RESCUED_SQL}) GROUP BY ALL) r ON f.sitemap_url = r.sitemap_source_url"""))
+def _(spark, sf):
+    parsed = SM.parse_sitemaps(bind(spark, sf, "x_faulty")).where("fault = 'recovered'")
+    return SM.sitemap_file_facts(parsed).select("sitemap_url", "sitemap_type", "url_count", "content_hash")
+
+
 @check("b4_reach_sitemaps", oracle("x_docs", """
     SELECT domain, sitemap_url, 0 AS depth FROM x_roots
     UNION ALL SELECT domain, concat('https://', domain, '/missing.xml'), 1 FROM x_roots
@@ -1148,6 +1170,20 @@ def _(spark, sf):
     return AN.cadence_shift(bind(spark, sf, "c_changes"))
 
 
+@check("p5_cadence_shift_calendar", oracle("c_changes", """
+    SELECT domain, loc, day, changes, round(avg(changes) OVER w, 4) AS trailing_mean,
+           round(changes / nullif(round(avg(changes) OVER w, 10), 0), 4) AS ratio,
+           round((changes - avg(changes) OVER w) / nullif(stddev_pop(changes) OVER w, 0), 4) AS z_score
+    FROM (SELECT s.domain, s.loc, s.day, coalesce(d.changes, 0) AS changes
+          FROM (SELECT domain, loc, unnest(generate_series(first_day, (SELECT max(day) FROM daily), INTERVAL 1 DAY))::DATE AS day
+                FROM (SELECT domain, loc, min(day) AS first_day FROM daily GROUP BY domain, loc)) s
+          LEFT JOIN daily d USING (domain, loc, day))
+    WINDOW w AS (PARTITION BY domain, loc ORDER BY day ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)""",
+    "daily AS (SELECT domain, loc, CAST(detected_at AS DATE) AS day, count(*) AS changes FROM c_changes GROUP BY ALL)"))
+def _(spark, sf):
+    return AN.cadence_shift_calendar(bind(spark, sf, "c_changes"), keys=("domain", "loc"))
+
+
 @check("p6_new_sections", oracle("p_urls", f"""
     SELECT c.domain, c.section, count(*) AS urls FROM (SELECT domain, page_id, {feat('loc')}[1] AS section FROM p_urls) c
     WHERE c.section IS NOT NULL AND page_id % 10 <> 7 AND NOT EXISTS (
@@ -1172,6 +1208,74 @@ def _(spark, sf):
     return PO.policy_diff(robots.where(old), robots.where(~old))
 
 
+# Three runs: the sections of the first are the state, the second leaves some out, the third has them again.
+@check("p6_sections_over_runs", oracle("p_urls", f"""
+    SELECT domain, section, 3 AS run, count(*) AS urls FROM u WHERE turn < 9 AND NOT EXISTS (
+        SELECT 1 FROM u k WHERE (k.turn < 3 OR k.turn BETWEEN 4 AND 6) AND k.domain = u.domain AND k.section = u.section) GROUP BY ALL
+    UNION ALL
+    SELECT domain, section, 2, count(*) FROM u WHERE turn BETWEEN 4 AND 6 AND NOT EXISTS (
+        SELECT 1 FROM u k WHERE k.turn < 3 AND k.domain = u.domain AND k.section = u.section) GROUP BY ALL""",
+    f"u AS (SELECT domain, {feat('loc')}[1] AS section, page_id % 10 AS turn FROM p_urls WHERE {feat('loc')}[1] IS NOT NULL)"))
+def _(spark, sf):
+    urls = with_path_features(bind(spark, sf, "p_urls"))
+    turn = F.col("page_id") % 10
+    first, second, third = urls.where(turn < 3), urls.where(turn.between(4, 6)), urls.where(turn < 9)
+    state = AN.sections_of(first.withColumn("first_seen_at", F.lit(RUN_TS).cast("timestamp")))
+    after = AN.fold_sections(state, second, "2025-12-03 06:00:00")
+    new = [AN.sections_first_seen(s, run).withColumn("run", F.lit(n)) for s, run, n in ((state, second, 2), (after, third, 3))]
+    return new[0].unionByName(new[1])
+
+
+# Line by line: the rules of the first section from an agent line on that has any.
+RULES_CTE = r"""
+    lines AS (SELECT domain, version, unnest(string_split(content, chr(10))) AS line, generate_subscripts(string_split(content, chr(10)), 1) AS pos FROM r_versions),
+    cut AS (SELECT *, count(*) FILTER (regexp_matches(line, '^\s*user-agent:', 'i')) OVER (PARTITION BY domain, version ORDER BY pos) AS sec FROM lines),
+    agents AS (SELECT domain, version, sec, lower(regexp_replace(string_split(regexp_extract(line, ':(.*)$', 1), '#')[1], '^\s+|\s+$', '', 'g')) AS agent
+               FROM cut WHERE regexp_matches(line, '^\s*user-agent:', 'i')),
+    every_rule AS (SELECT domain, version, sec, lower(regexp_extract(line, '^\s*(allow|disallow|crawl-delay)\s*:', 1, 'i')) AS directive,
+                     regexp_replace(regexp_extract(line, ':([^#]*)', 1), '^\s+|\s+$', '', 'g') AS value
+              FROM cut WHERE sec > 0 AND regexp_matches(line, '^\s*(allow|disallow|crawl-delay)\s*:', 'i')),
+    rr AS (SELECT DISTINCT a.domain, a.version, a.agent, r.directive, r.value
+           FROM (SELECT a.*, (SELECT min(x.sec) FROM every_rule x WHERE x.domain = a.domain AND x.version = a.version AND x.sec >= a.sec) AS of_sec FROM agents a) a
+           JOIN every_rule r ON r.domain = a.domain AND r.version = a.version AND r.sec = a.of_sec
+           WHERE r.value <> '' AND a.agent <> '')"""
+
+
+def _robots_versions(spark, sf):
+    texts = bind(spark, sf, "r_versions")
+    return texts.where("version = 'old'"), texts.where("version = 'new'")
+
+
+@check("p7_rule_diff", oracle("r_versions", """
+    SELECT coalesce(n.domain, o.domain) AS domain, coalesce(n.agent, o.agent) AS agent, coalesce(n.directive, o.directive) AS directive,
+           coalesce(n.value, o.value) AS value, CASE WHEN n.domain IS NOT NULL THEN d.value END AS value_before,
+           CASE WHEN n.domain IS NULL THEN 'removed' WHEN d.value IS NOT NULL THEN 'changed' ELSE 'added' END AS change
+    FROM (SELECT * FROM rr WHERE version = 'new') n FULL OUTER JOIN (SELECT * FROM rr WHERE version = 'old') o
+         ON n.domain = o.domain AND n.agent = o.agent AND n.directive = o.directive AND n.value = o.value
+    LEFT JOIN (SELECT * FROM rr WHERE version = 'old') d ON n.directive = 'crawl-delay' AND d.directive = 'crawl-delay' AND d.domain = n.domain AND d.agent = n.agent
+    WHERE (o.domain IS NULL OR n.domain IS NULL) AND NOT (n.domain IS NULL AND o.directive = 'crawl-delay' AND EXISTS (
+        SELECT 1 FROM rr x WHERE x.version = 'new' AND x.directive = 'crawl-delay' AND x.domain = o.domain AND x.agent = o.agent))""", RULES_CTE))
+def _(spark, sf):
+    return PO.rule_diff(*_robots_versions(spark, sf))
+
+
+@check("p7_path_effects", oracle("r_versions r_paths", r"""
+    SELECT p.domain, p.path, coalesce(o.allowed, true) AS allowed_before, coalesce(n.allowed, true) AS allowed_now
+    FROM r_paths p
+    LEFT JOIN met o ON o.version = 'old' AND o.domain = p.domain AND o.path = p.path
+    LEFT JOIN met n ON n.version = 'new' AND n.domain = p.domain AND n.path = p.path
+    WHERE coalesce(o.allowed, true) <> coalesce(n.allowed, true)""", RULES_CTE + r""",
+    own AS (SELECT * FROM rr WHERE directive <> 'crawl-delay' AND agent = CASE WHEN EXISTS (
+        SELECT 1 FROM agents a WHERE a.domain = rr.domain AND a.version = rr.version AND a.agent = 'slurp') THEN 'slurp' ELSE '*' END),
+    met AS (SELECT p.domain, p.path, r.version, max_by(r.directive = 'allow', length(r.value) * 2 + CASE WHEN r.directive = 'allow' THEN 1 ELSE 0 END) AS allowed
+            FROM (SELECT DISTINCT * FROM r_paths) p JOIN own r ON r.domain = p.domain AND CASE r.value
+                WHEN '/*.pdf$' THEN p.path LIKE '/%.pdf' ELSE starts_with(p.path, r.value) END
+            GROUP BY ALL)"""))
+def _(spark, sf):
+    old, new = _robots_versions(spark, sf)
+    return PO.path_effects(old, new, bind(spark, sf, "r_paths"), "Slurp")
+
+
 @check("p8_content_changes", oracle("h_pages", """
     SELECT coalesce(c.url, p.url) AS url, c.hash, p.hash AS hash_prev,
            CASE WHEN p.url IS NULL THEN 'new' WHEN c.url IS NULL THEN 'gone' ELSE 'changed' END AS content_change
@@ -1208,6 +1312,24 @@ def _(spark, sf):
     )
 
 
+LATE_SQL = cadence_sql("day", "domain").replace("AS period", "AS day").replace(
+    "count(*) AS changes", "count(*) AS changes, count(*) FILTER (day(detected_at) <= 20) AS late")
+
+
+@check("p9_stream_late_rows", oracle("c_changes", LATE_SQL))
+def _(spark, sf):
+    root = scratch(spark, "p9l")
+    rows = spark.read.parquet(f"{sf}/events.parquet")
+    # The newest days come first; what follows lies behind the watermark.
+    for days in ("day(ts) > 20", "day(ts) BETWEEN 11 AND 20", "day(ts) <= 10"):
+        rows.where(days).coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    view = f"stream_late_{uuid.uuid4().hex}"
+    stream.createOrReplaceTempView(view)
+    SC.stream_daily_counts(bind(spark, sf, "c_changes", {"events": view}), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return SC.read_counts(spark, f"{root}/out")
+
+
 @check("p10_stream_all_time", oracle("s_base", f"""
     SELECT loc, domain, CASE WHEN page_id % 10 = 3 THEN {NOW} ELSE TIMESTAMP '2025-12-01 06:00:00' END AS first_seen_at,
            CASE WHEN page_id % 10 = 7 THEN TIMESTAMP '2025-12-01 06:00:00' ELSE {NOW} END AS last_seen_at,
@@ -1225,7 +1347,7 @@ def _(spark, sf):
         "domain", "loc", F.col("lm").alias("lastmod"), F.explode(F.array_compact(runs)).alias("detected_at")
     )
     SS.stream_all_time(conform(rows, snapshots.SNAPSHOT), f"{root}/state", f"{root}/checkpoint").awaitTermination()
-    return read_state(spark, f"{root}/state", ALL_TIME).select(
+    return SS.read_all_time(spark, f"{root}/state").select(
         "loc", "domain", "first_seen_at", "last_seen_at", "is_current_live", "last_lastmod"
     )
 
@@ -1236,5 +1358,5 @@ def _(spark, sf):
     probes = PR.with_fate(_stream(spark, sf, "events", "o_probes", files=3))  # each batch holds a part of every day
     settings = bind(spark, sf, "o_settings")
     SS.stream_breaker(probes, settings, f"{root}/state", f"{root}/checkpoint").awaitTermination()
-    out = read_state(spark, f"{root}/state", BREAKER)
+    out = SS.read_breaker(spark, f"{root}/state")
     return out.withColumn("last_failure_rate", F.round("last_failure_rate", 6))

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import count_words, decode_entities, strip
+from .text import blank_references, count_words, decode_entities, strip
 
 _ATTRS = r"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
 # Whichever begins first: within a script "<!--" begins no comment.
@@ -57,8 +57,11 @@ def joined_text(inner: Column) -> Column:
 
 
 def word_count(clean_html: Column) -> Column:
-    """Words of the visible text; scripts, styles and comments must be gone already."""
-    return count_words(decode_entities(F.regexp_replace(clean_html, _TAG, " ")))
+    """Words of the visible text; scripts, styles and comments must be gone already.
+
+    Of the character references only those that stand for white space part words, so no other is decoded.
+    """
+    return count_words(blank_references(F.regexp_replace(clean_html, _TAG, " ")))
 
 
 def json_ld_types(html_without_comments: Column) -> Column:

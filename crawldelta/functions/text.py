@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -38,24 +39,47 @@ _BARE = "|".join(sorted((n for n in html5 if not n.endswith(";")), key=lambda n:
 _NUMBER = "#[xX]0*+[0-9a-fA-F]{1,6}|#0*+[0-9]{1,7}"
 _REFERENCE = rf"^(?:({_NUMBER}|[A-Za-z][A-Za-z0-9]*+);|({_NUMBER})(?![0-9a-fA-F])|({_BARE})(?![=A-Za-z0-9;]))"
 
+_CLOSED = rf"^({_NUMBER}|[A-Za-z][A-Za-z0-9]*+);"
+
 
 def _code_to_char(code: Column) -> Column:
     # Java's UTF-32 decoder takes big-endian bytes when there is no mark.
     return F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
 
 
+# References that stand for white space, after the "&".
+_SPACE_CODES = [ord(s) for s in _SPACES]
+_SPACE_NAMES = sorted(n.rstrip(";") for n, c in html5.items() if n.endswith(";") and set(c) <= set(_SPACES))
+_SPACE_NUMBER = f"#(?:[xX]0*+(?i:{'|'.join(f'{n:x}' for n in _SPACE_CODES)})|0*+(?:{'|'.join(map(str, _SPACE_CODES))}))"
+_SPACE_REFERENCE = rf"&(?:{_SPACE_NUMBER}(?:;|(?![0-9a-fA-F]))|(?:{'|'.join(_SPACE_NAMES)});|nbsp(?![=A-Za-z0-9;]))"
+
+
+def blank_references(c: Column) -> Column:
+    """White space in place of the character references that stand for it; all others stay as written."""
+    return F.regexp_replace(c, _SPACE_REFERENCE, " ")
+
+
 def decode_entities(c: Column) -> Column:
     """Decode named (HTML 5), decimal and hexadecimal character references, with or without semicolon.
 
     Unknown references stay as written. Text without ``&`` is passed through
     untouched, so the array work runs only where it is needed.
     """
+    return _decoded(c, lambda p: F.concat(*[F.regexp_extract(p, _REFERENCE, i) for i in (1, 2, 3)]))
+
+
+def decode_closed_entities(c: Column) -> Column:
+    """The same where, as in XML, only what ends in a semicolon is a reference."""
+    return _decoded(c, lambda p: F.regexp_extract(p, _CLOSED, 1))
+
+
+def _decoded(c: Column, reference: Callable[[Column], Column]) -> Column:
     parts = F.split(c, "&")
     tail = F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0)))
 
     # Two passes, so that the reference of a piece is extracted once.
     def with_ref(p: Column) -> Column:
-        ref = F.concat(*[F.regexp_extract(p, _REFERENCE, i) for i in (1, 2, 3)])
+        ref = reference(p)
         hexadecimal = F.lower(F.substring(ref, 1, 2)) == "#x"
         digits = F.when(hexadecimal, F.conv(F.substr(ref, F.lit(3)), 16, 10)).otherwise(F.substr(ref, F.lit(2)))
         code = F.when(ref.startswith("#"), digits.try_cast("bigint"))

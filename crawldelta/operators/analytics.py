@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..plans.keyed import top_k
-from .diff import KEY
+from .diff import KEY, as_timestamp
 
 
 def cadence(changes: DataFrame, unit: str = "day", keys: Sequence[str] = ("domain",)) -> DataFrame:
@@ -101,6 +102,59 @@ def cadence_shift(changes: DataFrame, days: int = 7) -> DataFrame:
     )
 
 
+def calendar(daily: DataFrame, keys: Sequence[str], until: Column | None = None) -> DataFrame:
+    """daily(keys, day, changes) with a row of no changes for every day on which a key had none.
+
+    The days of a key run from its first one to ``until``, or to the last day of
+    the whole table: a key that fell silent has rows too. A key has as many rows
+    as days, whatever it has in changes.
+    """
+    if until is None:
+        (last,) = daily.agg(F.max("day")).first()
+        until = F.lit(last).cast("date")
+    spans = daily.groupBy(*keys).agg(F.min("day").alias("_from"))
+    spine = spans.where(F.col("_from") <= until).select(*keys, F.explode(F.sequence("_from", until)).alias("day"), F.lit(0).cast("bigint").alias("changes"))
+    return daily.where(F.col("day") <= until).unionByName(spine).groupBy(*keys, "day").agg(F.sum("changes").alias("changes"))
+
+
+def cadence_shift_calendar(changes: DataFrame, days: int = 7, keys: Sequence[str] = ("domain",), until: Column | None = None) -> DataFrame:
+    """Changes per key and calendar day against the mean of the days before, silent days counted as none.
+
+    A key that stops has a ratio of 0 from then on, until all days of the mean
+    are silent; then the ratio is null, as there is nothing to compare with. The
+    first day of a key has no mean.
+    """
+    daily = cadence(changes, "day", keys).select(*keys, F.col("period").alias("day"), "changes")
+    before = Window.partitionBy(*keys).orderBy("day").rowsBetween(-days, -1)
+    mean, spread = F.avg("changes").over(before), F.stddev_pop("changes").over(before)
+    return calendar(daily, keys, until).withColumns({"trailing_mean": mean, "_spread": spread}).select(
+        *keys,
+        "day",
+        "changes",
+        F.round("trailing_mean", 4).alias("trailing_mean"),
+        F.round(F.col("changes") / F.nullif("trailing_mean", F.lit(0.0)), 4).alias("ratio"),
+        F.round((F.col("changes") - F.col("trailing_mean")) / F.nullif("_spread", F.lit(0.0)), 4).alias("z_score"),
+    )
+
+
+def sections_of(all_time: DataFrame) -> DataFrame:
+    """(domain, section, first_seen_at) of every section that any known URL is or was in: the state to begin with."""
+    held = all_time.where(F.col("section").isNotNull())
+    return held.groupBy("domain", "section").agg(F.min("first_seen_at").alias("first_seen_at"))
+
+
+def fold_sections(state: DataFrame, snapshot: DataFrame, run_ts: datetime | str) -> DataFrame:
+    """The section state after a run: a section keeps the time of its first run, whether it is there now or not."""
+    now = snapshot.where(F.col("section").isNotNull()).select("domain", "section").distinct()
+    rows = state.select("domain", "section", "first_seen_at").unionByName(now.withColumn("first_seen_at", as_timestamp(run_ts)))
+    return rows.groupBy("domain", "section").agg(F.min("first_seen_at").alias("first_seen_at"))
+
+
+def sections_first_seen(state: DataFrame, snapshot: DataFrame) -> DataFrame:
+    """(domain, section, urls) of the run's sections that the state before it never had."""
+    return new_sections(snapshot, state)
+
+
 def new_sections(cur: DataFrame, prev: DataFrame) -> DataFrame:
     """Sections of a domain that hold URLs now and held none before."""
     key = ["domain", "section"]

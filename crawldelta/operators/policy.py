@@ -9,7 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.robots import blocked_agents as blocked_agents_expr
-from ..plans.keyed import first_per_key
+from ..functions.robots import path_allowed, rule_groups, rules_for
+from ..plans.keyed import first_per_key, hot_domains, join_domains
 from .diff import as_timestamp
 
 # Public crawler names found in agent strings, each with the
@@ -153,3 +154,71 @@ def policy_diff(old: DataFrame, new: DataFrame) -> DataFrame:
         "domain",
         F.inline(F.concat(labelled(after, before, "blocked"), labelled(before, after, "unblocked"))),
     )
+
+
+_RULE_ROW = "array<struct<agent:string,directive:string,value:string>>"
+
+
+def _rule_set(content: Column) -> Column:
+    """All rules of a text as distinct (agent, directive, value)."""
+    rows = F.transform(
+        rule_groups(content),
+        lambda g: F.transform(g["rules"], lambda r: F.struct(g["agent"], r["directive"].alias("directive"), r["value"].alias("value"))),
+    )
+    return F.array_distinct(F.flatten(rows)).cast(_RULE_ROW)
+
+
+def rule_rows(robots: DataFrame) -> DataFrame:
+    """(domain, agent, directive, value) of every rule. Narrow: one robots text per row."""
+    return robots.select("domain", F.inline(_rule_set(F.col("content"))))
+
+
+def rule_diff(old: DataFrame, new: DataFrame) -> DataFrame:
+    """(domain, agent, directive, value, value_before, change) of the rules that two sets of robots texts differ in.
+
+    ``added`` and ``removed`` tell of allow and disallow rules; a crawl delay
+    that an agent has in both, but another one, is ``changed``. One text per
+    domain and side; a domain on one side only has all of its rules added or
+    removed. Rule sets are compared within the row, so texts are joined once.
+    """
+    none = F.array().cast(_RULE_ROW)
+    sides = [df.select("domain", _rule_set(F.col("content")).alias(c)) for df, c in ((old, "_old"), (new, "_new"))]
+    both = sides[0].join(sides[1], "domain", "full_outer")
+    before, after = F.coalesce("_old", none), F.coalesce("_new", none)
+    both = both.select("domain", before.alias("_old"), after.alias("_new"))
+    is_delay = lambda r: r["directive"] == "crawl-delay"
+    delay_before = lambda r: F.get(
+        F.filter("_old", lambda o: is_delay(o) & (o["agent"] == r["agent"])), F.lit(0))["value"]
+    delay_after = lambda r: F.exists("_new", lambda n: is_delay(n) & (n["agent"] == r["agent"]))
+    nothing = F.lit(None).cast("string")
+
+    def told(r: Column, value_before: Column, change: Column) -> Column:
+        return F.struct(r["agent"], r["directive"], r["value"], value_before.alias("value_before"), change.alias("change"))
+
+    def came(r: Column) -> Column:
+        known = F.when(is_delay(r), delay_before(r))
+        return told(r, known, F.when(known.isNotNull(), "changed").otherwise("added"))
+
+    gone = F.filter(F.array_except("_old", "_new"), lambda r: ~(is_delay(r) & delay_after(r)))
+    changes = F.concat(
+        F.transform(F.array_except("_new", "_old"), came), F.transform(gone, lambda r: told(r, nothing, F.lit("removed")))
+    )
+    return both.select("domain", F.inline(changes))
+
+
+def path_effects(old: DataFrame, new: DataFrame, paths: DataFrame, agent: str) -> DataFrame:
+    """(domain, path, allowed_before, allowed_now) of the paths(domain, path) whose verdict for an agent changes.
+
+    A domain without a text on a side allows all. Rules are packed in one row
+    per domain and meet its paths however many these are.
+    """
+    sides = [
+        df.select("domain", rules_for(rule_groups(F.col("content")), agent).alias(c)) for df, c in ((old, "_old"), (new, "_new"))
+    ]
+    rules = sides[0].join(sides[1], "domain", "full_outer")
+    met = join_domains(paths.select("domain", "path"), rules, ["_old", "_new"], hot_domains(paths), spread_on=("path",))
+    judged = met.select(
+        "domain", "path", path_allowed(F.col("_old"), F.col("path")).alias("allowed_before"),
+        path_allowed(F.col("_new"), F.col("path")).alias("allowed_now"),
+    )
+    return judged.where(F.col("allowed_before") != F.col("allowed_now"))

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, strip
+from ..functions.xml import entries, read_entries
 from ..session import cut_lineage
 
 # Tag names of the sitemap protocol.
@@ -31,11 +32,11 @@ def parse_sitemaps(docs: DataFrame, recover: bool = True) -> DataFrame:
     """Turn document texts into ``sitemap_type``, ``sitemap``, ``url``, ``fault`` and the text's facts.
 
     Each document is parsed once, in permissive mode. Of a document that is not
-    well formed, or whose entries lie below an unknown root at any depth, the
-    complete elements are kept, as far as the text goes. ``fault`` is
-    ``recovered`` where elements may be missing, ``unreadable`` where there is
-    none, and null for a sound document. Without ``recover``, a document that is
-    not well formed is an error.
+    well formed, or whose entries lie below an unknown root at any depth, every
+    complete entry outside comments is read by itself, so that a fault costs no
+    entry but its own. ``fault`` is ``recovered`` where entries may be missing,
+    ``unreadable`` where there is none, and null for a sound document. Without
+    ``recover``, a document that is not well formed is an error.
     """
     xml = F.regexp_replace(F.coalesce(F.col("xml"), F.lit("")), r"^[\s\x{FEFF}]++", "")
     parts = docs.withColumn("_xml", xml)
@@ -43,19 +44,23 @@ def parse_sitemaps(docs: DataFrame, recover: bool = True) -> DataFrame:
     root = F.col("_root")
     unread = F.col("_doc").isNull() | F.col("_doc._corrupt").isNotNull()
     parts = parts.withColumn("_broken", (F.col("_xml") == "") | unread)
+    sets = {"_sitemaps": F.col("_doc.sitemap"), "_urls": F.col("_doc.url")}
     if recover:
         nothing = F.col("_doc.sitemap").isNull() & F.col("_doc.url").isNull() & ~root.isin(_INDEX_ROOT, _URL_ROOT)
-        parts = (
-            parts.withColumn("_fixed", F.when(F.col("_broken") | nothing, _complete_elements(F.col("_xml"))))
-            .withColumn("_again", _parsed("_fixed"))
-            .withColumn("_doc", F.coalesce("_again", "_doc"))
-            .drop("_fixed", "_again")
-        )
+        found = F.when(F.col("_broken") | nothing, entries(F.col("_xml")))
+        parts = parts.withColumn("_entries", F.when(F.size(found) > 0, found))
+        rescued = F.col("_entries").isNotNull()
+        sets = {
+            "_sitemaps": F.when(rescued, read_entries(F.col("_entries"), "sitemap")).otherwise(F.col("_doc.sitemap")),
+            "_urls": F.when(rescued, read_entries(F.col("_entries"), "url")).otherwise(F.col("_doc.url")),
+        }
+        unread = unread & ~rescued
+    parts = parts.withColumn("_unread", unread).withColumns(sets)
     kind = (
-        F.when((F.col("_xml") == "") | unread, "error")
+        F.when((F.col("_xml") == "") | F.col("_unread"), "error")
         .when(root.isin(_INDEX_ROOT, _URL_ROOT), root)
-        .when(F.col("_doc.sitemap").isNotNull(), _INDEX_ROOT)
-        .when(F.col("_doc.url").isNotNull(), _URL_ROOT)
+        .when(F.col("_sitemaps").isNotNull(), _INDEX_ROOT)
+        .when(F.col("_urls").isNotNull(), _URL_ROOT)
         .otherwise("error")
     )
     return (
@@ -63,14 +68,14 @@ def parse_sitemaps(docs: DataFrame, recover: bool = True) -> DataFrame:
         .withColumn("sitemap_type", kind)
         .withColumns(
             {
-                "sitemap": F.when(F.col("sitemap_type") == _INDEX_ROOT, F.col("_doc.sitemap")),
-                "url": F.when(F.col("sitemap_type") == _URL_ROOT, F.col("_doc.url")),
+                "sitemap": F.when(F.col("sitemap_type") == _INDEX_ROOT, F.col("_sitemaps")),
+                "url": F.when(F.col("sitemap_type") == _URL_ROOT, F.col("_urls")),
                 "fault": F.when(F.col("sitemap_type") == "error", "unreadable").when(F.col("_broken"), "recovered"),
                 "content_hash": F.sha2("xml", 256),
                 "content_length": F.length("xml").cast("bigint"),
             }
         )
-        .drop("_xml", "_root", "_doc", "_broken", "xml")
+        .drop("_xml", "_root", "_doc", "_broken", "_entries", "_unread", "_sitemaps", "_urls", "xml")
     )
 
 
@@ -87,17 +92,6 @@ def _parsed(text: str) -> Column:
     )
 
 
-def _complete_elements(xml: Column) -> Column:
-    """The complete entries of a text as a document of their own; null if there are none.
-
-    Bare ampersands, the commonest fault of sitemaps, are escaped.
-    """
-    name = r"(?:[\w.-]+:)?(?:url|sitemap)"
-    found = F.regexp_extract_all(xml, F.lit(rf"(?s)<{name}(?:\s[^>]*)?>.*?</{name}\s*>"), F.lit(0))
-    text = F.regexp_replace(F.array_join(found, ""), r"&(?!(?:[A-Za-z]+|#[0-9]+|#x[0-9a-fA-F]+);)", "&amp;")
-    return F.when(text != "", F.concat(F.lit("<r>"), text, F.lit("</r>")))
-
-
 def classify_sitemaps(docs: DataFrame) -> DataFrame:
     return parse_sitemaps(docs).select("domain", "sitemap_url", "sitemap_type")
 

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     ArrayType,
     BooleanType,
     DataType,
+    DateType,
     DoubleType,
     IntegerType,
     IntegralType,
@@ -30,6 +31,7 @@ _TYPES: dict[str, DataType] = {
     "double": DoubleType(),
     "boolean": BooleanType(),
     "timestamp": TimestampType(),
+    "date": DateType(),
 }
 
 

@@ -176,7 +176,7 @@ def test_streams_agree_with_batch_over_several_batches(spark, sf_dir, base):
     feed(probes, f"{base}/p", ["checked_at < '2024-01-11'", "checked_at >= '2024-01-11' and checked_at < '2024-01-21'", "checked_at >= '2024-01-21'"])
     stream = spark.readStream.schema(probes.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/p")
     SS.stream_breaker(stream, settings, f"{base}/b", f"{base}/ckb").awaitTermination()
-    assert sorted(state.read_state(spark, f"{base}/b", BREAKER).collect()) == sorted(
+    assert sorted(SS.read_breaker(spark, f"{base}/b").collect()) == sorted(
         conform(H.breaker_state(H.run_failures(probes), settings), BREAKER).collect())
 
 
@@ -193,7 +193,7 @@ def test_stream_of_snapshots_equals_upserts(spark, base):
             df.coalesce(1).write.mode("append").parquet(src)
         stream = spark.readStream.schema(SNAPSHOT).option("maxFilesPerTrigger", per_trigger).parquet(src)
         SS.stream_all_time(stream, f"{base}/{name}-out", f"{base}/{name}-ck").awaitTermination()
-        got = state.read_state(spark, f"{base}/{name}-out", ALL_TIME)
+        got = SS.read_all_time(spark, f"{base}/{name}-out")
         assert sorted(got.collect(), key=lambda r: r.loc) == sorted(batch.collect(), key=lambda r: r.loc)
 
 
