@@ -32,7 +32,7 @@ from crawldelta.llm import scratch
 from crawldelta.llm.scratch import ship_code, stored, without
 
 #: Texts of more characters than this are cut, into ranges of about so many.
-RANGE = 1 << 14
+RANGE = 1 << 16
 
 #: Neighbouring fragments that one task composes at a level.
 FAN_IN = 8
@@ -44,6 +44,9 @@ ENCODED_AT_ONCE = 1 << 20
 _A_CUT = re.compile(r"(?<=\S)[ \n](?=\S)")
 #: The other's pieces hold its space sign at their front only.
 _B_CUT = re.compile(r"(?<=[^ ▁])(?= [^ ▁])")
+#: One tokenizer's fast form takes quadratic time in a run of so many signs; the other form does not.
+LONG_RUN = 500
+_LONG_SPACE = re.compile(rf"\s{{{LONG_RUN}}}")
 
 _LIST = "array<int>"
 _SECTION_DDL = f"at long, a_ids {_LIST}, b_ids {_LIST}, a_sizes {_LIST}, b_sizes {_LIST}, links array<struct<pair:long,times:int>>"
@@ -58,9 +61,14 @@ _FRAGMENT_DDL = f"row_id long, doc_id long, seq long, ok boolean, {_SECTION_DDL}
 class Vocabulary(NamedTuple):
     """A tokenizer as the alignment needs it: ids of texts, bytes of ids."""
 
-    encode: Callable[[list[str]], list[list[int]]]
+    encode: Callable[[list[str]], list[np.ndarray]]
     raw: list[bytes]
     sizes: np.ndarray
+    bytes_of: pa.Array
+
+
+def _vocabulary(encode: Callable[[list[str]], list[np.ndarray]], raw: list[bytes]) -> Vocabulary:
+    return Vocabulary(encode, raw, np.array([len(r) for r in raw], np.int64), pa.array(raw, pa.large_binary()))
 
 
 def _byte_signs() -> dict[str, int]:
@@ -71,17 +79,34 @@ def _byte_signs() -> dict[str, int]:
 
 
 def byte_level(path: str) -> Vocabulary:
-    """A byte-level BPE file of the tokenizers library; strings of special tokens are plain text."""
+    """A byte-level BPE file of the tokenizers library, its merges in the order of their ids; strings of special tokens are plain text.
+
+    Texts are encoded by tiktoken over the file's own vocabulary, which gives the
+    same ids in a third of the time; those with a run of very many signs without
+    white space, or of white space, by the tokenizers library.
+    """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    import public_tokenizers
+    import tiktoken
     from tokenizers import Tokenizer
 
     model, signs = Tokenizer.from_file(path), _byte_signs()
     model.encode_special_tokens = True
-    raw = [b""] * model.get_vocab_size(with_added_tokens=True)
+    size = model.get_vocab_size(with_added_tokens=True)
+    ranks = {bytes(signs[c] for c in token): i for token, i in model.get_vocab(with_added_tokens=False).items()}
+    raw = [b""] * size
     for token, i in model.get_vocab(with_added_tokens=True).items():
-        raw[i] = bytes(signs[c] for c in token) if all(c in signs for c in token) else token.encode()
-    encode = lambda texts: [e.ids for e in model.encode_batch_fast(texts, add_special_tokens=False)]
-    return Vocabulary(encode, raw, np.array([len(r) for r in raw], np.int64))
+        raw[i] = token.encode()
+    for token, i in ranks.items():
+        raw[i] = token
+    fast = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+    def one(text: str) -> np.ndarray:
+        if max(map(len, text.split()), default=0) < LONG_RUN and not _LONG_SPACE.search(text):
+            return fast.encode_to_numpy(text, disallowed_special=()).astype(np.int32)
+        return np.array(model.encode(text, add_special_tokens=False).ids, np.int32)
+
+    return _vocabulary(lambda texts: [one(t) for t in texts], raw)
 
 
 def pieces(path: str) -> Vocabulary:
@@ -92,7 +117,7 @@ def pieces(path: str) -> Vocabulary:
     n = model.get_piece_size()
     names = [model.id_to_piece(i) for i in range(n)]
     raw = [bytes([int(s[3:5], 16)]) if model.is_byte(i) else s.replace("▁", " ").encode() for i, s in enumerate(names)]
-    return Vocabulary(lambda texts: model.encode(texts, num_threads=1), raw, np.array([len(r) for r in raw], np.int64))
+    return _vocabulary(lambda texts: [np.array(x, np.int32) for x in model.encode(texts, num_threads=1)], raw)
 
 
 _LOADED: dict[tuple[str, str], tuple[Vocabulary, Vocabulary]] = {}
@@ -127,7 +152,8 @@ class Tokens(NamedTuple):
 
     def common(self) -> np.ndarray:
         """Where tokens of both end, ascending."""
-        return np.intersect1d(self.a_ends, self.b_ends, assume_unique=True)
+        both = np.sort(np.concatenate((self.a_ends, self.b_ends)), kind="stable")  # two ascending runs: merged
+        return both[1:][both[1:] == both[:-1]]
 
 
 NO_TOKENS = Tokens(*[np.zeros(0, t) for t in (np.int32, np.int64, np.int32, np.int64)])
@@ -170,7 +196,8 @@ def groups_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
 
 def links_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The (A token, B token) places whose bytes overlap, and where each overlap ends, of tokens that are whole groups."""
-    ends = np.union1d(tokens.a_ends, tokens.b_ends)
+    both = np.sort(np.concatenate((tokens.a_ends, tokens.b_ends)), kind="stable")
+    ends = both[np.concatenate((both[1:] != both[:-1], [True]))] if len(both) else both
     return np.searchsorted(tokens.a_ends, ends), np.searchsorted(tokens.b_ends, ends), ends
 
 
@@ -192,13 +219,13 @@ def _sections(tokens: Tokens, firsts: np.ndarray, span: int) -> list[pa.Array]:
     x, y, ends = links_of(tokens)
     of_link = np.searchsorted(firsts, ends, "left") - 1
     pair = tokens.a_ids[x].astype(np.int64) * span + tokens.b_ids[y]
-    order = np.lexsort((pair, of_link))
-    pair, of_link = pair[order], of_link[order]
-    fresh = np.flatnonzero(np.concatenate(([True], (pair[1:] != pair[:-1]) | (of_link[1:] != of_link[:-1])))) if len(pair) else np.zeros(0, np.int64)
-    times = np.diff(fresh, append=len(pair))
-    link = pa.StructArray.from_arrays([pa.array(pair[fresh], pa.int64()), pa.array(times, pa.int32())], ["pair", "times"])
+    bits = int(pair.max()).bit_length() if len(pair) else 0
+    keys = np.sort((of_link.astype(np.int64) << bits) | pair)
+    fresh = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+    times = np.diff(fresh, append=len(keys))
+    link = pa.StructArray.from_arrays([pa.array(keys[fresh] & ((1 << bits) - 1), pa.int64()), pa.array(times, pa.int32())], ["pair", "times"])
     count = lambda of: np.bincount(of, minlength=n)
-    offsets = np.concatenate(([0], np.cumsum(count(of_link[fresh])))).astype(np.int32)
+    offsets = np.concatenate(([0], np.cumsum(count(keys[fresh] >> bits)))).astype(np.int32)
     return [
         pa.array(firsts, pa.int64()),
         _lists(tokens.a_ids, count(of_a), pa.int32()),
@@ -209,37 +236,83 @@ def _sections(tokens: Tokens, firsts: np.ndarray, span: int) -> list[pa.Array]:
     ]
 
 
-def _whole_texts(rows: list[tuple], a: Vocabulary, b: Vocabulary) -> Iterator[pa.RecordBatch]:
-    """Sections of short texts, one a text; of those that the tokenizers do not give back, an empty one."""
-    sound, parts, at, firsts, ends = [], [], 0, [], []
+def _group_text(tokens: Tokens, a: Vocabulary, b: Vocabulary) -> tuple[memoryview, np.ndarray]:
+    """`a1,a2|b1;a3|b2,b3;` of whole groups as bytes, and the byte where each group's text ends.
+
+    Each token is taken from a table of ids in decimal with the sign that
+    follows: a comma within a group, else the one that ends its side.
+    """
+    a_sizes, b_sizes = groups_of(tokens)
+    a_stops, b_stops = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    a_last, b_last = np.zeros(len(tokens.a_ids), np.int64), np.zeros(len(tokens.b_ids), np.int64)
+    a_last[a_stops - 1] = 1
+    b_last[b_stops - 1] = 1
+    index = np.empty(len(a_last) + len(b_last), np.int64)
+    # A group's A tokens stand after all tokens of the groups before, its B tokens after them.
+    index[np.arange(len(a_last)) + np.repeat(b_stops - b_sizes, a_sizes)] = 2 * tokens.a_ids.astype(np.int64) + a_last
+    index[np.arange(len(b_last)) + np.repeat(a_stops, b_sizes)] = 2 * (len(a.raw) + tokens.b_ids.astype(np.int64)) + b_last
+    data, ends = _taken(_decimals(len(a.raw), len(b.raw)), index)
+    return data, ends[a_stops + b_stops - 1] if len(ends) else ends
+
+
+_DECIMALS: dict[tuple[int, int], pa.Array] = {}
+
+
+def _decimals(n_a: int, n_b: int) -> pa.Array:
+    """Every id with a comma and with the sign that ends its side, first those of A."""
+    if (n_a, n_b) not in _DECIMALS:
+        told = [f"{i}{sign}" for n, signs in ((n_a, ",|"), (n_b, ",;")) for i in range(n) for sign in signs]
+        _DECIMALS[n_a, n_b] = pa.array([t.encode() for t in told], pa.large_binary())
+    return _DECIMALS[n_a, n_b]
+
+
+def _taken(table: pa.Array, index: np.ndarray) -> tuple[memoryview, np.ndarray]:
+    """The chosen entries of a table of bytes end to end, and where each ends."""
+    taken = table.take(pa.array(index))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1]
+    data = memoryview(taken.buffers()[2] or b"")
+    return data[offsets[0] : offsets[-1]], offsets[1:] - offsets[0]
+
+
+def _given_back(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary, raws: list[bytes]) -> np.ndarray:
+    """Which texts their tokens give back byte by byte."""
+    data, ends = _taken(vocabulary.bytes_of, ids)
+    if bytes(data) == b"".join(raws):
+        stops = np.concatenate(([0], ends))[np.cumsum(counts)]
+        if np.array_equal(stops, np.cumsum([len(r) for r in raws])):
+            return np.ones(len(raws), bool)
+    stops = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))].tolist()
+    return np.array([bytes(data[p:q]) == r for p, q, r in zip(stops, stops[1:], raws)], bool)
+
+
+def _whole_texts(rows: list[tuple], a: Vocabulary, b: Vocabulary) -> pa.RecordBatch:
+    """Sections of short texts, one a text, with their digests; of those that the tokenizers do not give back, an empty one."""
     texts = [text or "" for _, _, text in rows]
-    full = [i for i, t in enumerate(texts) if t]
-    ids = zip(full, a.encode([" " + texts[i] for i in full]), b.encode([texts[i] for i in full]))
-    empty = np.zeros(len(rows), np.int64)
-    for i, x, y in ids:
-        raw = (" " + texts[i]).encode()
-        if b"".join([b.raw[k] for k in y]) == raw and b"".join([a.raw[k] for k in x]) == raw:
-            sound.append(i)
-            parts.append((x, y))
-            firsts.append(at)
-            at += len(raw)
-            ends.append(at)
+    full = np.array([i for i, t in enumerate(texts) if t], np.int64)
+    raws = [(" " + texts[i]).encode() for i in full]
+    coded, counts, sound = [], [], np.ones(len(full), bool)
+    for vocabulary, source in ((a, [" " + texts[i] for i in full]), (b, [texts[i] for i in full])):
+        ids = vocabulary.encode(source)
+        counts.append(np.array([len(x) for x in ids], np.int64))
+        coded.append(np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32))
+        sound &= _given_back(coded[-1], counts[-1], vocabulary, raws)
+    coded = [c[np.repeat(sound, n)] for c, n in zip(coded, counts)]
     # All sound texts of the slice lie end to end: each begins and ends at a common end.
-    flat = [np.array([k for p in parts for k in p[s]], np.int32) for s in (0, 1)]
-    tokens = Tokens(flat[0], np.cumsum(a.sizes[flat[0]]), flat[1], np.cumsum(b.sizes[flat[1]]))
-    made = _sections(tokens, np.array(firsts, np.int64), len(b.raw))
-    place = np.full(len(rows), -1, np.int64)
-    place[sound] = np.arange(len(sound))
-    index = pa.array([None if p < 0 else int(p) for p in place], pa.int64())
-    none = lambda c: pa.array([[]], c.type)
-    columns = [pa.array(empty)]
-    for c in made[1:]:
-        whole = pa.concat_arrays([c, none(c)])
-        columns.append(whole.take(index.fill_null(len(c))))
-    yield pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array((place >= 0) | np.array([not t for t in texts])), *columns],
-        names=["row_id", "doc_id", "ok", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links"],
-    )
+    sizes = np.array([len(r) if s else 0 for r, s in zip(raws, sound)], np.int64)
+    tokens = Tokens(coded[0], np.cumsum(a.sizes[coded[0]]), coded[1], np.cumsum(b.sizes[coded[1]]))
+    firsts = (np.cumsum(sizes) - sizes)[sound]
+    made = _sections(tokens, firsts, len(b.raw))
+    text, ends = _group_text(tokens, a, b)
+    stops = np.concatenate(([0], ends))[np.searchsorted(tokens.common(), np.cumsum(sizes)[sound], "right")].tolist()
+    digests = [hashlib.sha256(text[p : q - 1]).hexdigest() for p, q in zip([0, *stops], stops)]
+    place = np.full(len(rows), len(firsts), np.int64)  # behind the sections stands an empty one
+    place[full[sound]] = np.arange(len(firsts))
+    ok = np.ones(len(rows), bool)
+    ok[full[~sound]] = False
+    columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(ok), pa.array(np.zeros(len(rows), np.int64))]
+    columns += [pa.concat_arrays([c, pa.array([[]], c.type)]).take(pa.array(place)) for c in made[1:]]
+    columns.append(pa.array([*digests, ""]).take(pa.array(place)))
+    return pa.RecordBatch.from_arrays(columns, names=["row_id", "doc_id", "ok", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links", "groups_sha256"])
 
 
 def _slices(rows: Iterator[tuple], size: Callable[[tuple], int]) -> Iterator[list[tuple]]:
@@ -312,10 +385,10 @@ def _aligned_ranges(batches: Iterator[pa.RecordBatch], a: Vocabulary, b: Vocabul
         of_a = dict(zip(full_a, a.encode([some[i][3] for i in full_a])))
         of_b = dict(zip(full_b, b.encode([some[i][5] for i in full_b])))
         for i, (row_id, doc_id, seq, a_text, a_byte, b_text, b_byte) in enumerate(some):
-            x, y = of_a.get(i, []), of_b.get(i, [])
-            ok = b"".join([a.raw[k] for k in x]) == a_text.encode()
-            ok = ok and b"".join([b.raw[k] for k in y]) == ((" " + b_text).encode() if b_text else b"")
-            x, y = np.array(x if ok else [], np.int32), np.array(y if ok else [], np.int32)
+            x, y = of_a.get(i, NO_TOKENS.a_ids), of_b.get(i, NO_TOKENS.b_ids)
+            ok = bytes(_taken(a.bytes_of, x)[0]) == a_text.encode()
+            ok = ok and bytes(_taken(b.bytes_of, y)[0]) == ((" " + b_text).encode() if b_text else b"")
+            x, y = (x, y) if ok else (NO_TOKENS.a_ids, NO_TOKENS.b_ids)
             tokens = Tokens(x, a_byte + np.cumsum(a.sizes[x]), y, b_byte + np.cumsum(b.sizes[y]))
             part, closed = split(tokens, seq == 0)
             yield _fragment_batch([(row_id, doc_id, seq, ok)], None, [part])
@@ -348,7 +421,7 @@ def _composed(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Recor
 class Alignment(NamedTuple):
     """What an alignment gives, stored.
 
-    texts: row_id, doc_id of every row of the input
+    texts: row_id, doc_id of every row of the input; groups_sha256, the digest of its groups as text, null for a text that was cut
     sections: row_id, at, a_ids, b_ids, a_sizes, b_sizes, links - runs of whole groups by ascending `at`; the groups hold
         a_sizes and b_sizes of the ids, and links counts the overlapping token pairs of each pair of ids
     span: a pair is the A id times span and the B id
@@ -399,7 +472,8 @@ def _long_sections(texts: DataFrame, a_path: str, b_path: str, span: int, size:
     sections = closed[0].select(*columns)
     for more in closed[1:]:
         sections = sections.unionByName(more.select(*columns))
-    return heads.where("seq = 0").select("row_id", "doc_id"), sound(sections)
+    told = heads.where("seq = 0").select("row_id", "doc_id", F.lit(None).cast("string").alias("groups_sha256"))
+    return told, sound(sections)
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in: int = FAN_IN) -> Alignment:
@@ -414,7 +488,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         loaded = vocabularies(a_path, b_path)
         for some in _slices(_rows(batches), lambda r: len(r[2] or "")):
-            yield from _whole_texts(some, *loaded)
+            yield _whole_texts(some, *loaded)
 
     ship_code(docs.sparkSession)
     span = len(vocabularies(a_path, b_path)[1].raw)
@@ -422,12 +496,12 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
     place = F.monotonically_increasing_id() * 2
     rows = docs.select(place.alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_long = F.coalesce(F.length("text") > size, F.lit(False))
-    short = rows.where(~is_long).mapInArrow(whole, f"row_id long, doc_id long, ok boolean, {_SECTION_DDL}")
+    short = rows.where(~is_long).mapInArrow(whole, f"row_id long, doc_id long, ok boolean, {_SECTION_DDL}, groups_sha256 string")
     short = _kept(short, "aligned")
     longer = rows.where(is_long).withColumn("row_id", F.col("row_id") + 1)
     long_texts, long_sections = _long_sections(longer, a_path, b_path, span, size, fan_in)
     columns = ["row_id", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links"]
-    return Alignment(short.select("row_id", "doc_id").unionByName(long_texts), short.select(*columns).unionByName(long_sections), span)
+    return Alignment(short.select("row_id", "doc_id", "groups_sha256").unionByName(long_texts), short.select(*columns).unionByName(long_sections), span)
 
 
 # ---------------------------------------------------------------- counts and report
@@ -477,45 +551,37 @@ def groups_text(a_ids: list[int], b_ids: list[int], a_sizes: list[int], b_sizes:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row_id, n_a, n_b, n_groups, sha) of sections that come text by text, by `at`; one section in memory at a time."""
-    key, sha, sums, out = None, hashlib.sha256(), [0, 0, 0], []
-
-    def told() -> tuple:
-        return key, *sums, sha.hexdigest() if sums[0] else ""
+    """(row_id, sha) of the groups' text, of sections that come text by text, by `at`; one section in memory at a time."""
+    key, sha, begun = None, hashlib.sha256(), False
 
-    def batch() -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names=["row_id", "n_a", "n_b", "n_groups", "groups_sha256"])
+    def told() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([sha.hexdigest() if begun else ""])], names=["row_id", "long_sha256"])
 
     for row_id, a_ids, b_ids, a_sizes, b_sizes in _rows(batches):
         if row_id != key:
             if key is not None:
-                out.append(told())
-            if len(out) >= 10_000:
-                yield batch()
-                out = []
-            key, sha, sums = row_id, hashlib.sha256(), [0, 0, 0]
+                yield told()
+            key, sha, begun = row_id, hashlib.sha256(), False
         if a_ids:
-            sha.update(((";" if sums[0] else "") + groups_text(a_ids, b_ids, a_sizes, b_sizes)).encode())
-            sums = [s + len(x) for s, x in zip(sums, (a_ids, b_ids, a_sizes))]
+            sha.update(((";" if begun else "") + groups_text(a_ids, b_ids, a_sizes, b_sizes)).encode())
+            begun = True
     if key is not None:
-        out.append(told())
-    if out:
-        yield batch()
+        yield told()
 
 
 def alignment_report(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in: int = FAN_IN) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256; zeros and '' without tokens."""
     made = align(docs, a_path, b_path, size, fan_in)
     parts = made.sections.select("row_id", "at", "a_ids", "b_ids", "a_sizes", "b_sizes")
-    ddl = "row_id long, n_a long, n_b long, n_groups long, groups_sha256 string"
-    short = parts.where("row_id % 2 = 0").drop("at").mapInArrow(_digests, ddl)
+    of = [F.sum(F.size(c)).alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("a_sizes", "n_groups"))]
+    sizes = parts.groupBy("row_id").agg(*of)
+    # The digest of a text that was cut goes through its sections, one at a time.
     longer = parts.where("row_id % 2 = 1").repartition("row_id").sortWithinPartitions("row_id", "at").drop("at")
-    digests = short.unionByName(longer.mapInArrow(_digests, ddl))
+    digests = longer.mapInArrow(_digests, "row_id long, long_sha256 string")
     links = with_counts(made.sections.select("row_id", F.inline("links")), pair_counts(made))
     best = F.sum(F.when(F.col("best"), F.col("times")).otherwise(F.lit(0)))
     sums = links.groupBy("row_id").agg(best.alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
-    joined = made.texts.join(digests, "row_id", "left").join(sums, "row_id", "left")
+    joined = made.texts.join(sizes, "row_id", "left").join(sums, "row_id", "left").join(digests, "row_id", "left")
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     n_links = F.col("n_a") + F.col("n_b") - F.col("n_groups")
     return joined.select(
@@ -523,5 +589,5 @@ def alignment_report(docs: DataFrame, a_path: str, b_path: str, size: int = RANG
         *[number(F.col(c)).alias(c) for c in ("n_a", "n_b", "n_groups")],
         number(n_links).alias("n_links"),
         *[number(F.col(c)).alias(c) for c in ("n_best", "count_sum")],
-        F.coalesce("groups_sha256", F.lit("")).alias("groups_sha256"),
+        F.coalesce("groups_sha256", "long_sha256", F.lit("")).alias("groups_sha256"),
     )

@@ -29,7 +29,7 @@ def plain_tokens(text):
     own = []
     for vocabulary, source in ((a, " " + text), (b, text)):
         at, tokens = 0, []
-        for i in vocabulary.encode([source])[0]:
+        for i in vocabulary.encode([source])[0].tolist():
             tokens.append((at, at + len(vocabulary.raw[i]), i))
             at += len(vocabulary.raw[i])
         if b"".join(vocabulary.raw[i] for _, _, i in tokens) != raw:
@@ -127,12 +127,26 @@ def test_ranges_are_encoded_as_the_whole(text, size):
         text = text[:9000]
     a, b = align.vocabularies(A, B)
     own = align.ranges(text, size)
-    assert [i for x, _, _, _ in own if x for i in a.encode([x])[0]] == a.encode([" " + text])[0]
-    assert [i for _, _, y, _ in own if y for i in b.encode([y])[0]] == b.encode([text])[0] or "\u2581" in text
+    assert [i for x, _, _, _ in own if x for i in a.encode([x])[0].tolist()] == a.encode([" " + text])[0].tolist()
+    assert [i for _, _, y, _ in own if y for i in b.encode([y])[0].tolist()] == b.encode([text])[0].tolist() or "\u2581" in text
     raw = (" " + text).encode()
     assert all(raw[at:].startswith(x.encode()) for x, at, _, _ in own) and all(raw[at:].startswith((" " * bool(y) + y).encode()) for _, _, y, at in own)
 
 
+def test_ids_are_those_of_the_file(spark):
+    from tokenizers import Tokenizer
+
+    plain = Tokenizer.from_file(A)
+    plain.encode_special_tokens = True
+    rng = random.Random(1)
+    signs = "aAeE tT\n\t'sdl09.,;%$#\u00e9\u00df\u6f22\u0301\U0001f600_-"
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()] + [t for _, t, *_ in ROWS + MORE if t]
+    texts += ["".join(rng.choice(signs) for _ in range(rng.randint(1, 400))) for _ in range(3000)] + ["x" * 5000 + " y", " " * 3000 + "z", "ab" * 4000]
+    a = align.vocabularies(A, B)[0]
+    assert [x.tolist() for x in a.encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [len(r) for r in a.raw] == a.sizes.tolist() and len(set(a.raw)) == len(a.raw)
+
+
 def plain_closed(tokens):
     """Every group as bytes of its begin and its ids."""
     sizes = align.groups_of(tokens)
