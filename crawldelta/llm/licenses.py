@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from pathlib import Path
 
@@ -29,6 +30,9 @@ SPELT = ["licenc", "licens", "organis", "recognis", "authoris", "whilst", "per c
 COPYRIGHT_LINE = r"(?m)^[ \t/*#;-]*(copyright[ \t]+(\(c\)|©|[0-9]{4}|by[ \t])|\(c\)[ \t]|©|all rights reserved).*$"
 COPYRIGHT_SIGNS = ["copyright", "(c)", "©", "all rights reserved"]
 
+#: Words of a known body by whose hash its runs are found.
+ANCHOR = 16
+
 #: Spelling shortens a text by one character in five at most.
 SHORTENED = 1.25
 
@@ -163,44 +167,100 @@ def known_runs(spark: SparkSession) -> DataFrame:
     return told.select("license_id", _spelt(_joined(_flats("text"))).alias("run")).distinct()
 
 
-def run_matches(docs: DataFrame) -> DataFrame:
-    """(doc_id, license_id, n): how often each document row holds the body of a whole text among other text.
+def _anchor(words: Column, at: Column) -> Column:
+    """Hash of the words from a place on, as many as an anchor has."""
+    return F.xxhash64(*[F.get(words, at + k) for k in range(ANCHOR)])
+
+
+def known_anchors(spark: SparkSession) -> list[tuple[str, str, int, int, str]]:
+    """(license_id, first word, hash of the first words, number of words, digest) of every known body."""
+    words = F.split("run", " ")
+    told = known_runs(spark).select("license_id", F.get(words, F.lit(0)), _anchor(words, F.lit(0)), F.size(words), _sha("run"))
+    return [tuple(r) for r in told.collect()]  # a constant list
+
+
+def _sha(form: str | Column) -> Column:
+    return F.sha2((F.col(form) if isinstance(form, str) else form).cast("binary"), 256)
+
+
+def _with(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), the value computed once and not for every element of a lambda within."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def _run_digests(form: Column, anchors: list[tuple[str, str, int, int, str]]) -> Column:
+    """Digests of the runs of words in a canonical text that begin as a known body does and are as long.
+
+    A place is looked at if its word begins a body, its anchor's hash is one of
+    theirs and the text is long enough: then the words that the body would be are
+    digested. Whether they are the body is for the join with the known digests.
+    """
+    firsts = sorted({first for _, first, *_ in anchors})
+    known = F.array(*[F.struct(F.lit(h).alias("h"), F.lit(n).alias("n")) for h, n in sorted({(h, n) for _, _, h, n, _ in anchors})])
+
+    def in_words(words: Column) -> Column:
+        begins = F.filter(F.transform(words, lambda w, i: F.when(w.isin(firsts), i)), lambda i: i.isNotNull())
+
+        def at(i: Column) -> Column:
+            fit = _with(_anchor(words, i), lambda own: F.filter(known, lambda a: (a["h"] == own) & (i + a["n"] <= F.size(words))))
+            return F.transform(fit, lambda a: _sha(F.array_join(F.slice(words, i + 1, a["n"]), " ")))
+
+        return F.flatten(F.transform(begins, at))
+
+    return _with(F.split(form, " "), in_words)
+
+
+def _units(docs: DataFrame, digests: list[str], anchors: list[tuple[str, str, int, int, str]]) -> DataFrame:
+    """(row, doc_id, scope, digest) of the documents' units whose digest is a known one.
 
-    The run of words may go over any number of lines and blank lines and begin
-    or end within one. A row that is the licence's text itself, and lines that
-    are, are units of their own and not counted here.
+    The canonical form of each line is made once, that of the text from its
+    lines, and all units are told within the row, so only those that are known
+    become rows.
     """
-    forms = docs.select("doc_id", _flats("text").alias("__flats")).select("doc_id", "__flats", _spelt(_joined("__flats")).alias("__form"))
-    # Two spaces between words, so that neighbouring runs share none.
-    padded = lambda form: F.concat(F.lit(" "), F.replace(form, F.lit(" "), F.lit("  ")), F.lit(" "))
-    runs = known_runs(docs.sparkSession).select("license_id", "run", padded(F.col("run")).alias("__sought"))
-    # A run that a text holds is not longer than it; the list is constant, like the digests.
-    met = forms.withColumn("__in", padded(F.col("__form"))).join(F.broadcast(runs), F.contains("__in", F.col("__sought")))
-    times = (F.length("__in") - F.length(F.replace("__in", F.col("__sought")))) / F.length("__sought")
-    own = F.size(F.filter("__flats", lambda f: F.contains(_spelt(f), F.col("run")) & (F.length(f) < SHORTENED * F.length("run") + 40)))
-    left = met.select("doc_id", "license_id", (times - own).cast("long").alias("n"), F.col("__form"))
-    whole = known_digests(docs.sparkSession).select("license_id", F.col("digest").alias("__d")).distinct()
-    told = left.where("n > 0").withColumn("__d", F.sha2(F.col("__form").cast("binary"), 256))
-    return told.join(F.broadcast(whole), ["license_id", "__d"], "left_anti").select("doc_id", "license_id", "n")
+    row = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", _flats("text").alias("__flats"))
+    row = row.select("row", "doc_id", "__flats", _spelt(_joined("__flats")).alias("__whole"))
+    unit = lambda scope: lambda d: F.struct(F.lit(scope).alias("scope"), d.alias("digest"))
+    lines = F.transform(F.filter("__flats", lambda f: f != ""), lambda f: _sha(_spelt(f)))
+    told = [F.array(unit("text")(_sha("__whole"))), F.transform(lines, unit("line"))]
+    if anchors:
+        told.append(F.transform(_run_digests(F.col("__whole"), anchors), unit("run")))
+    known = F.filter(F.concat(*told), lambda u: u["digest"].isin(digests))
+    return row.select("row", "doc_id", F.inline(known))
 
 
 def license_matches(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """(doc_id, license_id, scope, n_units): the licences that a document's units equal in canonical form.
 
     Scope `text` is the whole document, scope `line` each of its lines, scope
-    `run` (without a `known` of the caller's) the whole text of a licence among
-    other lines; n_units counts the equal units over all rows with that doc_id,
-    null among them.
+    `run` (without a `known` of the caller's) the body of a licence's whole text
+    as a run of words that may begin and end within lines and go over any number
+    of them; runs within a line or a text that is such a whole text itself are
+    not told again. n_units counts the equal units over all rows with that
+    doc_id, null among them.
     Null, empty and unmatched texts give no row; repeated rows add up; an empty
     table gives an empty one; extra columns are ignored. The known digests are a
     constant list, so they are sent to every task and no text is shuffled.
     """
-    runs = run_matches(docs.where("text is not null").select("doc_id", "text")) if known is None else None
-    known = known_digests(docs.sparkSession) if known is None else known
-    longest = known.agg(F.max("n")).first()[0] or 0
-    dug = with_digest(docs.where("text is not null").select("doc_id", "text"), "text", longest)
-    met = dug.join(F.broadcast(known.select("license_id", "digest")), "digest")
-    units = met.select("doc_id", "license_id", "scope", F.lit(1).cast("long").alias("n"))
-    if runs is not None:
-        units = units.unionByName(runs.select("doc_id", "license_id", F.lit("run").alias("scope"), "n"))
+    spark = docs.sparkSession
+    anchors = known_anchors(spark) if known is None else []
+    wholes = set() if known is not None else {r.digest for r in known_digests(spark, {}).collect()}
+    known = known_digests(spark) if known is None else known
+    listed = {(r.license_id, "unit", r.digest, r.digest in wholes) for r in known.select("license_id", "digest").collect()}
+    listed |= {(a[0], "run", a[4], False) for a in anchors}
+    if not listed:
+        nothing = [F.lit(None).cast(t).alias(c) for c, t in (("license_id", "string"), ("scope", "string"), ("n_units", "long"))]
+        return docs.select("doc_id", *nothing).where(F.lit(False))
+    table = spark.createDataFrame(sorted(listed), "license_id string, kind string, digest string, whole boolean")
+    found = _units(docs.where("text is not null").select("doc_id", "text"), sorted({d for _, _, d, _ in listed}), anchors)
+    kind = F.when(F.col("scope") == "run", "run").otherwise("unit")
+    met = found.withColumn("kind", kind).join(F.broadcast(table), ["kind", "digest"])
+    count = lambda scope, also=F.lit(True): F.count_if((F.col("scope") == scope) & also)
+    per_row = met.groupBy("row", "doc_id", "license_id").agg(
+        count("text").alias("text"), count("line").alias("line"), count("run").alias("run"),
+        # A text of one line is one place, however often it is told.
+        F.greatest(count("text", F.col("whole")), count("line", F.col("whole"))).alias("own"),
+    )
+    runs = F.greatest(F.col("run") - F.col("own"), F.lit(0).cast("long"))
+    scopes = F.array(*[F.struct(F.lit(s).alias("scope"), n.alias("n")) for s, n in (("text", F.col("text")), ("line", F.col("line")), ("run", runs))])
+    units = per_row.select("doc_id", "license_id", F.inline(scopes)).where("n > 0")
     return units.groupBy("doc_id", "license_id", "scope").agg(F.sum("n").alias("n_units"))
