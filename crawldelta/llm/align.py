@@ -40,6 +40,9 @@ FAN_IN = 8
 #: Characters encoded together.
 ENCODED_AT_ONCE = 1 << 20
 
+#: Distinct pairs of ids that a task counts before it tells them.
+PAIRS_AT_ONCE = 1_000_000
+
 #: Where one tokenizer always begins a token: at a single white space between others.
 _A_CUT = re.compile(r"(?<=\S)[ \n](?=\S)")
 #: The other's pieces hold its space sign at their front only.
@@ -187,18 +190,48 @@ def compose(left: Fragment, right: Fragment) -> tuple[Fragment, Tokens]:
     return Fragment(head, right.tail if right.cut else between.tail, between.cut), closed
 
 
-def groups_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+class Cover(NamedTuple):
+    """The bytes that a run of whole groups covers: how many tokens of each side, and how many groups and links, end up to each."""
+
+    base: int
+    a: np.ndarray
+    b: np.ndarray
+    common: np.ndarray
+    links: np.ndarray
+
+
+def cover(tokens: Tokens, base: int = 0) -> Cover:
+    """Counts by byte from `base` on, which lies before the first end."""
+    size = int(max(tokens.a_ends[-1], tokens.b_ends[-1])) - base + 1 if len(tokens.a_ends) else 1
+    marks = np.zeros((2, size), bool)
+    marks[0, tokens.a_ends - base] = True
+    marks[1, tokens.b_ends - base] = True
+    count = lambda m: np.cumsum(m, dtype=np.int32)
+    return Cover(base, count(marks[0]), count(marks[1]), count(marks[0] & marks[1]), count(marks[0] | marks[1]))
+
+
+def _places(counts: np.ndarray) -> np.ndarray:
+    """The bytes at which a running count grows."""
+    return np.flatnonzero(np.diff(counts, prepend=0))
+
+
+def groups_of(tokens: Tokens, held: Cover | None = None) -> tuple[np.ndarray, np.ndarray]:
     """How many tokens of each side the groups hold, of tokens that are whole groups."""
-    common = tokens.common()
-    counts = [np.searchsorted(ends, common, "right") for ends in (tokens.a_ends, tokens.b_ends)]
-    return tuple(np.diff(c, prepend=0).astype(np.int32) for c in counts)
+    held = held or cover(tokens, _base(tokens))
+    ends = _places(held.common)
+    return np.diff(held.a[ends], prepend=0).astype(np.int32), np.diff(held.b[ends], prepend=0).astype(np.int32)
 
 
-def links_of(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The (A token, B token) places whose bytes overlap, and where each overlap ends, of tokens that are whole groups."""
-    both = np.sort(np.concatenate((tokens.a_ends, tokens.b_ends)), kind="stable")
-    ends = both[np.concatenate((both[1:] != both[:-1], [True]))] if len(both) else both
-    return np.searchsorted(tokens.a_ends, ends), np.searchsorted(tokens.b_ends, ends), ends
+def links_of(tokens: Tokens, held: Cover | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The (A token, B token) places whose bytes overlap, by where the overlap ends, of tokens that are whole groups."""
+    held = held or cover(tokens, _base(tokens))
+    before = _places(held.links) - 1
+    return held.a[before], held.b[before]
+
+
+def _base(tokens: Tokens) -> int:
+    """A byte before the first end, within the first group."""
+    return int(min(tokens.a_ends[0], tokens.b_ends[0])) - 1 if len(tokens.a_ends) else 0
 
 
 # ---------------------------------------------------------------- tasks
@@ -209,40 +242,36 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.List
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def _sections(tokens: Tokens, firsts: np.ndarray, span: int) -> list[pa.Array]:
-    """The columns of sections: runs of whole groups, one after another, that begin at the ascending bytes firsts."""
-    n = len(firsts)
-    of_a = np.searchsorted(firsts, tokens.a_ends, "left") - 1
-    of_b = np.searchsorted(firsts, tokens.b_ends, "left") - 1
-    a_sizes, b_sizes = groups_of(tokens)
-    of_group = np.searchsorted(firsts, tokens.common(), "left") - 1
-    x, y, ends = links_of(tokens)
-    of_link = np.searchsorted(firsts, ends, "left") - 1
+def _sections(tokens: Tokens, held: Cover, firsts: np.ndarray, stops: np.ndarray, span: int) -> list[pa.Array]:
+    """The columns of sections: runs of whole groups, one after another, that begin at the bytes firsts and end at stops."""
+    n, ends = len(firsts), stops - held.base
+    count = lambda c: np.diff(c[ends], prepend=0)
+    a_sizes, b_sizes = groups_of(tokens, held)
+    x, y = links_of(tokens, held)
     pair = tokens.a_ids[x].astype(np.int64) * span + tokens.b_ids[y]
     bits = int(pair.max()).bit_length() if len(pair) else 0
-    keys = np.sort((of_link.astype(np.int64) << bits) | pair)
+    keys = np.sort((np.repeat(np.arange(n, dtype=np.int64), count(held.links)) << bits) | pair)
     fresh = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
     times = np.diff(fresh, append=len(keys))
     link = pa.StructArray.from_arrays([pa.array(keys[fresh] & ((1 << bits) - 1), pa.int64()), pa.array(times, pa.int32())], ["pair", "times"])
-    count = lambda of: np.bincount(of, minlength=n)
-    offsets = np.concatenate(([0], np.cumsum(count(keys[fresh] >> bits)))).astype(np.int32)
+    offsets = np.concatenate(([0], np.cumsum(np.bincount(keys[fresh] >> bits, minlength=n)))).astype(np.int32)
     return [
         pa.array(firsts, pa.int64()),
-        _lists(tokens.a_ids, count(of_a), pa.int32()),
-        _lists(tokens.b_ids, count(of_b), pa.int32()),
-        _lists(a_sizes, count(of_group), pa.int32()),
-        _lists(b_sizes, count(of_group), pa.int32()),
+        _lists(tokens.a_ids, count(held.a), pa.int32()),
+        _lists(tokens.b_ids, count(held.b), pa.int32()),
+        _lists(a_sizes, count(held.common), pa.int32()),
+        _lists(b_sizes, count(held.common), pa.int32()),
         pa.ListArray.from_arrays(pa.array(offsets), link),
     ]
 
 
-def _group_text(tokens: Tokens, a: Vocabulary, b: Vocabulary) -> tuple[memoryview, np.ndarray]:
+def _group_text(tokens: Tokens, held: Cover, a: Vocabulary, b: Vocabulary) -> tuple[memoryview, np.ndarray]:
     """`a1,a2|b1;a3|b2,b3;` of whole groups as bytes, and the byte where each group's text ends.
 
     Each token is taken from a table of ids in decimal with the sign that
     follows: a comma within a group, else the one that ends its side.
     """
-    a_sizes, b_sizes = groups_of(tokens)
+    a_sizes, b_sizes = groups_of(tokens, held)
     a_stops, b_stops = np.cumsum(a_sizes), np.cumsum(b_sizes)
     a_last, b_last = np.zeros(len(tokens.a_ids), np.int64), np.zeros(len(tokens.b_ids), np.int64)
     a_last[a_stops - 1] = 1
@@ -300,10 +329,12 @@ def _whole_texts(rows: list[tuple], a: Vocabulary, b: Vocabulary) -> pa.RecordBa
     # All sound texts of the slice lie end to end: each begins and ends at a common end.
     sizes = np.array([len(r) if s else 0 for r, s in zip(raws, sound)], np.int64)
     tokens = Tokens(coded[0], np.cumsum(a.sizes[coded[0]]), coded[1], np.cumsum(b.sizes[coded[1]]))
-    firsts = (np.cumsum(sizes) - sizes)[sound]
-    made = _sections(tokens, firsts, len(b.raw))
-    text, ends = _group_text(tokens, a, b)
-    stops = np.concatenate(([0], ends))[np.searchsorted(tokens.common(), np.cumsum(sizes)[sound], "right")].tolist()
+    ends = np.cumsum(sizes)
+    firsts, stops = (ends - sizes)[sound], ends[sound]
+    held = cover(tokens)
+    made = _sections(tokens, held, firsts, stops, len(b.raw))
+    text, text_ends = _group_text(tokens, held, a, b)
+    stops = np.concatenate(([0], text_ends))[held.common[stops]].tolist()
     digests = [hashlib.sha256(text[p : q - 1]).hexdigest() for p, q in zip([0, *stops], stops)]
     place = np.full(len(rows), len(firsts), np.int64)  # behind the sections stands an empty one
     place[full[sound]] = np.arange(len(firsts))
@@ -312,7 +343,35 @@ def _whole_texts(rows: list[tuple], a: Vocabulary, b: Vocabulary) -> pa.RecordBa
     columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(ok), pa.array(np.zeros(len(rows), np.int64))]
     columns += [pa.concat_arrays([c, pa.array([[]], c.type)]).take(pa.array(place)) for c in made[1:]]
     columns.append(pa.array([*digests, ""]).take(pa.array(place)))
-    return pa.RecordBatch.from_arrays(columns, names=["row_id", "doc_id", "ok", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links", "groups_sha256"])
+    return pa.RecordBatch.from_arrays(columns, names=_SHORT)
+
+
+class PairCounts:
+    """Texts by linked pair, added up over a task's slices; told in parts of a bounded size."""
+
+    def __init__(self) -> None:
+        self.pairs, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def add(self, links: pa.ListArray) -> Iterator[pa.RecordBatch]:
+        """Count the distinct pairs of each text."""
+        pairs, n = np.unique(links.flatten().field("pair").to_numpy(), return_counts=True)
+        both, turn = np.unique(np.concatenate((self.pairs, pairs)), return_inverse=True)
+        self.pairs, self.n = both, np.bincount(turn, np.concatenate((self.n, n)), len(both)).astype(np.int64)
+        if len(both) > PAIRS_AT_ONCE:
+            yield from self.told()
+
+    def told(self) -> Iterator[pa.RecordBatch]:
+        """The counts as rows without a text, a bounded number of pairs in each."""
+        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), *[pa.list_(pa.int32())] * 4]
+        for low in range(0, len(self.pairs), 1 << 16):
+            some, n = self.pairs[low : low + (1 << 16)], self.n[low : low + (1 << 16)]
+            link = pa.StructArray.from_arrays([pa.array(some), pa.array(n, pa.int32())], ["pair", "times"])
+            links = pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), link)
+            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, k) for k in kinds], links, pa.nulls(1, pa.string())], names=_SHORT)
+        self.pairs, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+
+_SHORT = ["row_id", "doc_id", "ok", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links", "groups_sha256"]
 
 
 def _slices(rows: Iterator[tuple], size: Callable[[tuple], int]) -> Iterator[list[tuple]]:
@@ -374,8 +433,9 @@ def _fragment_batch(rows: list[tuple], sections: list[pa.Array] | None, opens: l
 
 
 def _closed_batch(row_id: int, seq: int, closed: Tokens, span: int) -> pa.RecordBatch:
-    first = int(min(closed.a_ends[0], closed.b_ends[0])) - 1  # a byte of the section's first group: sections keep their order
-    return _fragment_batch([(row_id, None, seq, True)], _sections(closed, np.array([first], np.int64), span), None)
+    first = _base(closed)  # a byte of the section's first group: sections keep their order
+    made = _sections(closed, cover(closed, first), np.array([first], np.int64), closed.a_ends[-1:], span)
+    return _fragment_batch([(row_id, None, seq, True)], made, None)
 
 
 def _aligned_ranges(batches: Iterator[pa.RecordBatch], a: Vocabulary, b: Vocabulary) -> Iterator[pa.RecordBatch]:
@@ -424,11 +484,13 @@ class Alignment(NamedTuple):
     texts: row_id, doc_id of every row of the input; groups_sha256, the digest of its groups as text, null for a text that was cut
     sections: row_id, at, a_ids, b_ids, a_sizes, b_sizes, links - runs of whole groups by ascending `at`; the groups hold
         a_sizes and b_sizes of the ids, and links counts the overlapping token pairs of each pair of ids
+    counted: pair, n - texts of one section by linked pair, added up over parts of the input
     span: a pair is the A id times span and the B id
     """
 
     texts: DataFrame
     sections: DataFrame
+    counted: DataFrame
     span: int
 
 
@@ -486,9 +548,12 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
     """
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded = vocabularies(a_path, b_path)
+        loaded, counts = vocabularies(a_path, b_path), PairCounts()
         for some in _slices(_rows(batches), lambda r: len(r[2] or "")):
-            yield _whole_texts(some, *loaded)
+            told = _whole_texts(some, *loaded)
+            yield told
+            yield from counts.add(told.column("links"))
+        yield from counts.told()
 
     ship_code(docs.sparkSession)
     span = len(vocabularies(a_path, b_path)[1].raw)
@@ -497,11 +562,13 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
     rows = docs.select(place.alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_long = F.coalesce(F.length("text") > size, F.lit(False))
     short = rows.where(~is_long).mapInArrow(whole, f"row_id long, doc_id long, ok boolean, {_SECTION_DDL}, groups_sha256 string")
-    short = _kept(short, "aligned")
+    made = _kept(short, "aligned")
+    short = made.where("row_id IS NOT NULL")
+    counted = made.where("row_id IS NULL").select(F.inline("links")).select("pair", F.col("times").cast("long").alias("n"))
     longer = rows.where(is_long).withColumn("row_id", F.col("row_id") + 1)
     long_texts, long_sections = _long_sections(longer, a_path, b_path, span, size, fan_in)
     columns = ["row_id", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links"]
-    return Alignment(short.select("row_id", "doc_id", "groups_sha256").unionByName(long_texts), short.select(*columns).unionByName(long_sections), span)
+    return Alignment(short.select("row_id", "doc_id", "groups_sha256").unionByName(long_texts), short.select(*columns).unionByName(long_sections), counted, span)
 
 
 # ---------------------------------------------------------------- counts and report
@@ -510,11 +577,11 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
 def pair_counts(made: Alignment) -> DataFrame:
     """Stored (pair, n, best): the texts that hold a pair of ids linked, and whether no pair of its A id has more.
 
-    Texts are counted within tasks before pairs are shuffled; only texts of more than one section are made distinct.
+    Texts of one section are counted within the tasks that align them; those of more are made distinct here.
     """
-    short, longer = (made.sections.where(f"row_id % 2 = {odd}").select("row_id", F.inline("links")) for odd in (0, 1))
-    held = short.select("pair").unionByName(longer.select("row_id", "pair").distinct().select("pair"))
-    counts = stored(held.groupBy("pair").agg(F.count("*").alias("n")), "pairs")
+    longer = made.sections.where("row_id % 2 = 1").select("row_id", F.inline("links")).select("row_id", "pair").distinct()
+    held = made.counted.unionByName(longer.select("pair", F.lit(1).cast("long").alias("n")))
+    counts = stored(held.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     of_a = F.expr(f"pair div {made.span}")
     # As many rows as the A vocabulary has, at most.
     best = counts.groupBy(of_a.alias("a")).agg(F.max("n").alias("most"))
