@@ -25,6 +25,7 @@ from ..plans.daily import plan_fetch, run_inventory
 from ..schemas import ALL_TIME, BREAKER, conform
 from ..session import shared_dir
 from ..sources import changelog, history, snapshots
+from ..sources import parsed as PS
 from ..sources.state import read_state, write_state
 from ..streaming import changes as SC
 from ..streaming import state as SS
@@ -446,6 +447,31 @@ def _(spark, sf):
     return SM.reachable_entries(bind(spark, sf, "x_roots"), bind(spark, sf, "x_docs"))
 
 
+def _shard(url: str):
+    return F.regexp_extract(url, "/sitemap-([0-9]+)[.]xml$", 1).try_cast("int") % 2
+
+
+@check("b4_changed_entries", oracle("x_entries", ENTRIES_SQL))
+def _(spark, sf):
+    """The index documents date every other sitemap as in the last run: those were not fetched, the others had other entries then."""
+    docs, roots = bind(spark, sf, "x_docs"), bind(spark, sf, "x_roots")
+    full = SM.reachable_parsed(roots, docs)
+    odd = F.coalesce(_shard("child") == 1, F.lit(False))
+    links = SM.sitemap_links(full).withColumn("child_lastmod", F.when(odd, "2025-11-30").otherwise(F.col("child_lastmod")))
+    other = F.when(_shard("sitemap_source_url") == 1, F.concat("loc", F.lit("/before"))).otherwise(F.col("loc"))
+    entries = SM.url_entries(full).withColumn("loc", other)
+    today = docs.withColumn("xml", F.when(F.coalesce(_shard("sitemap_url") == 0, F.lit(False)), F.lit(None)).otherwise(F.col("xml")))
+    return SM.changed_entries(roots, today, links, entries)[0]
+
+
+@check("b5_facts_by_hash", oracle("x_docs", FACTS_SQL))
+def _(spark, sf):
+    """The second of two days, on which no text is new."""
+    docs, ledger = bind(spark, sf, "x_docs"), scratch(spark, "b5h")
+    PS.parse_unseen(docs, ledger)
+    return SM.sitemap_file_facts(PS.parse_by_hash(docs, ledger))
+
+
 @check("b5_sitemap_file_facts", oracle("x_docs", FACTS_SQL))
 def _(spark, sf):
     return SM.sitemap_file_facts(SM.parse_sitemaps(bind(spark, sf, "x_docs")))
@@ -934,6 +960,16 @@ RUNS_SQL = """SELECT domain, CAST(checked_at AS DATE) AS run, count(*) AS total,
     count(*) FILTER (status_code IN (0, 403, 429)) AS failures FROM o_probes GROUP BY ALL"""
 
 
+@check("e3_percentiles_over_days", oracle("o_probes", """
+    SELECT domain, count(*) AS probes, round(quantile_cont(response_time_ms, 0.5), 6) AS median_ms, round(quantile_cont(response_time_ms, 0.95), 6) AS p95_ms
+    FROM o_probes WHERE response_time_ms > 0 AND CAST(checked_at AS DATE) BETWEEN DATE '2024-01-05' AND DATE '2024-01-24' GROUP BY domain"""))
+def _(spark, sf):
+    root = scratch(spark, "e3d")
+    H.write_day_counts(bind(spark, sf, "o_probes"), root)
+    found = H.percentiles_over_days(spark, root, "2024-01-05", "2024-01-24")
+    return found.select("domain", "probes", F.round("median_ms", 6).alias("median_ms"), F.round("p95_ms", 6).alias("p95_ms"))
+
+
 @check("e4_run_failures", oracle("o_probes", f"SELECT *, round(failures / total, 6) AS failure_rate FROM ({RUNS_SQL})"))
 def _(spark, sf):
     return H.run_failures(_probes(spark, sf)).drop("forced").withColumn("failure_rate", F.round("failure_rate", 6))
@@ -1288,6 +1324,33 @@ def _(spark, sf):
     return AN.content_changes(now, before)
 
 
+VISIBLE_SQL = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '(?is)<!--.*?-->', ' ', 'g'),
+    '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '<[^>]*>', ' ', 'g')"""
+
+
+@check("p8_block_changes", oracle("h_pages", """
+    SELECT url, CAST(sum(words * n) AS BIGINT) AS words, CAST(sum(words * n_before) AS BIGINT) AS words_before,
+           CAST(sum(words * greatest(n - n_before, 0)) AS BIGINT) AS added, CAST(sum(words * greatest(n_before - n, 0)) AS BIGINT) AS removed,
+           CAST(sum(n) AS BIGINT) AS blocks, CAST(sum(n_before) AS BIGINT) AS blocks_before,
+           round(sum(words * abs(n - n_before)) / sum(words * (n + n_before)), 6) AS changed_share
+    FROM (SELECT url, hash, max(words) AS words, count(*) FILTER (now) AS n, count(*) FILTER (NOT now) AS n_before FROM hashed GROUP BY url, hash)
+    GROUP BY url HAVING sum(n) > 0 AND sum(n_before) > 0 AND sum(words * abs(n - n_before)) > 0""", f"""
+    texts AS (SELECT url, true AS now, {VISIBLE_SQL.format('html')} AS body FROM c_pages UNION ALL
+              SELECT url, false, {VISIBLE_SQL.format('html')} FROM {{pages}}),
+    worded AS (SELECT url, now, list_filter(regexp_split_to_array(replace(body, '&nbsp;', ' '), '\\s+'), lambda w: w <> '') AS ws FROM texts),
+    placed AS (SELECT url, now, ws, unnest(range(1, len(ws) + 1)) AS i FROM worded),
+    ends AS (SELECT *, i = len(ws) OR starts_with(md5(array_to_string(ws[greatest(i - 2, 1):i], ' ')), '0') AS cut FROM placed),
+    numbered AS (SELECT url, now, ws[i] AS w, i, count(*) FILTER (cut) OVER (PARTITION BY url, now ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS block FROM ends),
+    hashed AS (SELECT url, now, md5(string_agg(w, ' ' ORDER BY i)) AS hash, count(*) AS words FROM numbered GROUP BY url, now, block)"""
+    .replace("c_pages", "(SELECT url, CASE WHEN page_id % 3 = 0 THEN html WHEN page_id % 3 = 1 THEN replace(html, '<h1>', '<h1>Update of today: ') ELSE replace(html, ' la ', ' the ') END AS html FROM {pages})")))
+def _(spark, sf):
+    before = spark.read.parquet(f"{sf}/pages.parquet")
+    turn = F.col("page_id") % 3
+    told = F.when(turn == 0, F.col("html")).when(turn == 1, F.replace("html", F.lit("<h1>"), F.lit("<h1>Update of today: ")))
+    now = before.withColumn("html", told.otherwise(F.replace("html", F.lit(" la "), F.lit(" the "))))
+    return AN.block_changes(now, before)
+
+
 def _stream(spark: SparkSession, sf: str, table: str, binding: str, files: int = 0) -> DataFrame:
     """A binding over a stream of one given table; with ``files``, its rows come mixed, one file in each batch."""
     rows = spark.read.parquet(f"{sf}/{table}.parquet")

@@ -64,6 +64,12 @@ def word_count(clean_html: Column) -> Column:
     return count_words(blank_references(F.regexp_replace(clean_html, _TAG, " ")))
 
 
+def visible_text(html: Column) -> Column:
+    """The text of a page: comments, scripts, styles, templates and tags become white space, and so do references that stand for it."""
+    plain = without_raw_text(without_comments(F.coalesce(html, F.lit(""))))
+    return blank_references(F.regexp_replace(plain, _TAG, " "))
+
+
 def json_ld_types(html_without_comments: Column) -> Column:
     """Top-level ``@type`` values of all JSON-LD scripts, in document order.
 

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.blocks import content_blocks
+from ..functions.html import visible_text
 from ..plans.keyed import top_k
 from .diff import KEY, as_timestamp
 
@@ -183,3 +185,39 @@ def content_changes(cur_pages: DataFrame, prev_pages: DataFrame) -> DataFrame:
         .where(F.col("content_change").isNotNull())
         .drop("in_hash", "in_hash_prev")
     )
+
+
+def page_blocks(pages: DataFrame) -> DataFrame:
+    """(url, hash, words) of every content-defined block of the pages' visible text. Narrow; the text goes no further."""
+    return pages.select("url", F.inline(content_blocks(visible_text(F.col("html")))))
+
+
+def block_changes(cur_pages: DataFrame, prev_pages: DataFrame) -> DataFrame:
+    """What pages that are in both crawls changed in: url, words, words_before, added, removed, blocks, blocks_before, changed_share.
+
+    The blocks of both sides are compared as multisets, so text that moved
+    within a page is no change, and an edit costs the block around it. added and
+    removed are words in blocks that the other side lacks; changed_share is their
+    part of the words of both sides. Pages without a changed block have no row.
+    Addresses and block hashes are shuffled, never a text.
+    """
+    sides = [
+        page_blocks(df).select("url", "hash", "words", F.lit(side).alias("side")) for df, side in ((cur_pages, 1), (prev_pages, -1))
+    ]
+    now = F.col("side") > 0
+    held = sides[0].unionByName(sides[1]).groupBy("url", "hash").agg(
+        F.max("words").alias("words"), F.count_if(now).alias("n"), F.count_if(~now).alias("n_before")
+    )
+    more = F.greatest(F.col("n") - F.col("n_before"), F.lit(0).cast("bigint"))
+    fewer = F.greatest(F.col("n_before") - F.col("n"), F.lit(0).cast("bigint"))
+    of_page = held.groupBy("url").agg(
+        F.sum(F.col("words") * F.col("n")).alias("words"),
+        F.sum(F.col("words") * F.col("n_before")).alias("words_before"),
+        F.sum(F.col("words") * more).alias("added"),
+        F.sum(F.col("words") * fewer).alias("removed"),
+        F.sum("n").alias("blocks"),
+        F.sum("n_before").alias("blocks_before"),
+    )
+    changed = of_page.where((F.col("blocks") > 0) & (F.col("blocks_before") > 0) & (F.col("added") + F.col("removed") > 0))
+    both = F.col("words") + F.col("words_before")
+    return changed.withColumn("changed_share", F.round((F.col("added") + F.col("removed")) / both, 6))

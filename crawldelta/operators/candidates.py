@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.keyed import hot_domains, join_domains, top_k_sliced
+from ..session import written
 from .diff import KEY, as_timestamp
 
 # Settings used where a target does not override them.
@@ -59,9 +61,10 @@ def allowed_changes(log: DataFrame, settings: DataFrame) -> DataFrame:
     return _with_settings(log, settings, log).where(_type_allowed(F.col("change_type"))).select(log.columns)
 
 
-def _with_settings(df: DataFrame, settings: DataFrame, log: DataFrame) -> DataFrame:
+def _with_settings(df: DataFrame, settings: DataFrame, log: DataFrame, more: Sequence[str] = ()) -> DataFrame:
+    """Add the settings of each row's domain, and other columns of them; the hot domains are counted on ``log``."""
     cols = ["check_removed", "check_new", "check_updated", "max_per_run"]
-    joined = join_domains(df, settings, cols, hot_domains(log))
+    joined = join_domains(df, settings, [*cols, *more], hot_domains(log))
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(STATUS_DEFAULTS[c])) for c in cols})
 
 
@@ -72,8 +75,8 @@ def _type_allowed(change_type: Column) -> Column:
     return test
 
 
-def latest_allowed_change(log: DataFrame, settings: DataFrame) -> DataFrame:
-    """Latest change per URL among the types its domain allows.
+def latest_allowed_change(log: DataFrame, settings: DataFrame, domains: DataFrame | None = None) -> DataFrame:
+    """Latest change per URL among the types its domain allows; with ``domains``, of these domains only.
 
     The latest change of each type is aggregated per URL first, with partial
     aggregation before the shuffle; the settings join then meets one row per
@@ -99,8 +102,15 @@ def latest_allowed_change(log: DataFrame, settings: DataFrame) -> DataFrame:
         for t, p in PRIORITY.items()
     ]
     best = F.greatest(*options)
+    # Written once: the hot domains are counted on it, and the choice is made from it.
+    per_url = written(per_url, "per-url")
+    if domains is None:
+        asked = _with_settings(per_url, settings, per_url)
+    else:
+        listed = settings.join(domains.select("domain").distinct(), "domain", "right").withColumn("_listed", F.lit(True))
+        asked = _with_settings(per_url, listed, per_url, ["_listed"]).where("_listed")
     return (
-        _with_settings(per_url, settings, log)
+        asked
         .withColumn("_best", best)
         .where(F.col("_best").isNotNull())
         .select(*KEY, "max_per_run", "_best.detected_at", "_best.change_type",
@@ -116,9 +126,9 @@ def priority(change_type: Column) -> Column:
 
 
 def probe_candidates(log: DataFrame, settings: DataFrame, run_ts: datetime | str,
-                     days: int = RECENT_DAYS, limit: int | None = None) -> DataFrame:
-    """URLs to probe: the first ``max_per_run`` per domain by priority, recency and address."""
-    latest = latest_allowed_change(recent_changes(log, run_ts, days), settings)
+                     days: int = RECENT_DAYS, limit: int | None = None, domains: DataFrame | None = None) -> DataFrame:
+    """URLs to probe: the first ``max_per_run`` per domain by priority, recency and address; of ``domains`` only, if given."""
+    latest = latest_allowed_change(recent_changes(log, run_ts, days), settings, domains)
     latest = latest.withColumn("priority", priority(F.col("change_type")))
     bound = F.col("max_per_run") if limit is None else F.lit(int(limit))
     order = [F.col("priority"), F.col("detected_at").desc(), F.col("loc")]

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..plans.keyed import top_k
 from ..schemas import BREAKER
+from ..session import drop_folders, written
 from .candidates import PRIORITY, STATUS_DEFAULTS
 from .diff import as_timestamp
 
@@ -49,6 +50,11 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
     )
     values = times.groupBy("domain", _bin(F.col("v")).alias("bin"), "v").agg(F.count("*").alias("n"))
     bins = values.groupBy("domain", "bin").agg(F.sum("n").alias("bin_n"))
+    return _at_ranks(values, _wanted_bins(bins, quantiles), quantiles)
+
+
+def _wanted_bins(bins: DataFrame, quantiles: dict[str, float]) -> DataFrame:
+    """Of bins(domain, bin, bin_n) those that hold a wanted rank, with the ranks, the values before them and the domain's total."""
     by_bin = Window.partitionBy("domain").orderBy("bin")
     located = bins.withColumns(
         {
@@ -64,10 +70,14 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
         ]
     )
     first, last = F.col("before"), F.col("before") + F.col("bin_n")
-    wanted = located.select(
+    return located.select(
         "domain", "bin", "before", "total",
         F.filter(ranks, lambda r: (r["rank"] >= first) & (r["rank"] < last)).alias("ranks"),
     ).where(F.size("ranks") > 0)
+
+
+def _at_ranks(values: DataFrame, wanted: DataFrame, quantiles: dict[str, float]) -> DataFrame:
+    """The percentiles of each domain from counted values(domain, bin, v, n) of the wanted bins at least."""
     in_bin = Window.partitionBy("domain", "bin").orderBy("v")
     placed = (
         _same_bin(values, wanted)
@@ -85,10 +95,13 @@ def response_percentiles(history: DataFrame, quantiles: dict[str, float] | None
     )
 
 
+_BINS = 4096  # of one power of two
+
+
 def _bin(v: Column) -> Column:
     """Number of a bin of values that differ by one part in 4,096 at most; it grows with the value."""
     power = F.floor(F.log2(v))
-    return power * 4096 + F.floor((v / F.pow(F.lit(2.0), power) - 1) * 4096)
+    return power * _BINS + F.floor((v / F.pow(F.lit(2.0), power) - 1) * _BINS)
 
 
 def _same_bin(values: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -109,6 +122,44 @@ def _rank_pair(q: float) -> list[tuple[Column, Column]]:
     return [(low, 1 - share), (F.least(low + 1, F.col("total") - 1), share)]
 
 
+def write_day_counts(history: DataFrame, path: str) -> None:
+    """Add the response times of whole days to the stored counts under ``path``; a day that is written again is replaced.
+
+    ``values`` holds (domain, v, n) by day and octave, the power of two below the
+    value; ``bins`` holds (domain, bin, n) by day. Counts of any days add up.
+    """
+    v = F.col("response_time_ms").cast("double")
+    times = history.where(v > 0).select("domain", F.to_date("checked_at").alias("day"), v.alias("v"))
+    counted = written(times.groupBy("domain", "day", "v").agg(F.count("*").alias("n")).withColumn("bin", _bin(F.col("v"))), "day-values")
+    octave = F.floor(F.col("bin") / _BINS).cast("int").alias("octave")
+    bins = counted.groupBy("domain", "day", "bin").agg(F.sum("n").alias("n"))
+    days = [r.day for r in bins.select("day").distinct().collect()]
+    # A day's octaves go together: none of what it had before may be left. A job that dies here is run again.
+    drop_folders(history.sparkSession, [f"{path}/{kind}/day={day}" for kind in ("values", "bins") for day in days])
+    counted.select("domain", "v", "n", "day", octave).write.mode("append").partitionBy("day", "octave").parquet(f"{path}/values")
+    bins.write.mode("append").partitionBy("day").parquet(f"{path}/bins")
+
+
+def percentiles_over_days(spark: SparkSession, path: str, first: date | str, last: date | str,
+                          quantiles: dict[str, float] | None = None) -> DataFrame:
+    """The exact percentiles of `response_percentiles` over a range of days, both included, from the stored counts.
+
+    The bins of the days are added up; values are read only of the octaves in
+    which some domain's bin holds a wanted rank, and of these bins.
+    """
+    quantiles = quantiles or {"median_ms": 0.5, "p95_ms": 0.95}
+    of_days = F.col("day").between(F.lit(str(first)).cast("date"), F.lit(str(last)).cast("date"))
+    bins = spark.read.schema("domain string, bin bigint, n bigint, day date").parquet(f"{path}/bins").where(of_days)
+    wanted = written(_wanted_bins(bins.groupBy("domain", "bin").agg(F.sum("n").alias("bin_n")), quantiles), "wanted-bins")
+    # As many octaves as a double has exponents, at most.
+    octaves = [r.o for r in wanted.select(F.floor(F.col("bin") / _BINS).cast("int").alias("o")).distinct().collect()]
+    values = spark.read.schema("domain string, v double, n bigint, octave int, day date").parquet(f"{path}/values")
+    values = values.where(of_days & F.col("octave").isin(octaves)).withColumn("bin", _bin(F.col("v")))
+    asked = wanted.select(F.col("domain").alias("_d"), F.col("bin").alias("_b"))
+    opened = values.join(asked, F.col("domain").eqNullSafe(F.col("_d")) & (F.col("bin") == F.col("_b")), "left_semi")
+    return _at_ranks(opened.groupBy("domain", "bin", "v").agg(F.sum("n").alias("n")), wanted, quantiles)
+
+
 def run_failures(history: DataFrame, run: Column | None = None) -> DataFrame:
     """Probes, failures and failure rate per domain and run; a run is a UTC day by default."""
     run = F.to_date("checked_at") if run is None else run

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import blank_to_null, strip
 from ..functions.xml import entries, read_entries
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 
 # Tag names of the sitemap protocol.
 _INDEX_ROOT, _URL_ROOT = "sitemapindex", "urlset"
@@ -184,13 +184,15 @@ def reach_sitemaps(roots: DataFrame, links: DataFrame) -> DataFrame:
 def reachable_parsed(roots: DataFrame, docs: DataFrame, recover: bool = True) -> DataFrame:
     """The parsed documents reachable from the roots, under the domain of the target that reaches them.
 
-    Documents are parsed where they are read; what is joined has no texts. The
-    root name is read by a cheap expression first, so that only documents that
-    may be indexes are parsed for their links.
+    Every document is parsed once, where it is read; links and results are read
+    from the parsed table, and what is joined has no texts.
     """
-    links = sitemap_links(parse_sitemaps(docs.where(_root_of_text() != _URL_ROOT), recover))
-    reached = reach_sitemaps(roots, links).select("domain", "sitemap_url")
-    parsed = parse_sitemaps(docs, recover)
+    return reachable_of(roots, written(parse_sitemaps(docs, recover), "parsed"))
+
+
+def reachable_of(roots: DataFrame, parsed: DataFrame) -> DataFrame:
+    """The rows of a stored parsed table reachable from the roots, under the domain of the target that reaches them."""
+    reached = reach_sitemaps(roots, sitemap_links(parsed)).select("domain", "sitemap_url")
     return parsed.drop("domain").join(reached, "sitemap_url")
 
 
@@ -201,3 +203,59 @@ def reachable_entries(roots: DataFrame, docs: DataFrame, recover: bool = True) -
 
 def _root_of_text() -> Column:
     return root_name(F.coalesce(F.col("xml"), F.lit("")))
+
+
+def reach_changed(roots: DataFrame, links: DataFrame, last_links: DataFrame) -> DataFrame:
+    """(domain, sitemap_url, carried): the sitemaps reachable from the roots; those carried are as in the last run.
+
+    Both link tables are as `sitemap_links` gives them. A sitemap is carried if
+    every index that leads to it names the same ``child_lastmod`` as in the last
+    run, or is carried itself; its links are then those of the last run and its
+    document need not be there. A link without a date carries nothing, and a
+    sitemap that is reached as changed once is changed.
+    """
+    edge = [F.col("parent").alias("sitemap_url"), "child"]
+    before = last_links.select(*edge, F.col("child_lastmod").alias("_before"))
+    before = before.groupBy("sitemap_url", "child").agg(F.max("_before").alias("_before"))
+    now = links.select(*edge, "child_lastmod").groupBy("sitemap_url", "child").agg(
+        F.max("child_lastmod").alias("child_lastmod"), F.bool_or(F.col("child_lastmod").isNull()).alias("_undated")
+    )
+    same = ~F.col("_undated") & F.coalesce(F.col("child_lastmod") == F.col("_before"), F.lit(False))
+    live = now.join(before, ["sitemap_url", "child"], "left").select("sitemap_url", "child", same.alias("same"), F.lit(False).alias("carried"))
+    old = before.select("sitemap_url", "child", F.lit(True).alias("same"), F.lit(True).alias("carried"))
+    edges = written(live.unionByName(old), "edges")
+    frontier = written(roots.select("domain", "sitemap_url", F.lit(False).alias("carried")).distinct(), "reached")
+    visited = frontier
+    while not frontier.isEmpty():
+        step = frontier.join(edges, ["sitemap_url", "carried"]).select("domain", F.col("child").alias("sitemap_url"), F.col("same").alias("carried"))
+        step = step.groupBy("domain", "sitemap_url").agg(F.min("carried").alias("carried"))
+        # A sitemap is gone through again only if it turns out changed after it was carried.
+        known = visited.groupBy("domain", "sitemap_url").agg(F.min("carried").alias("_known"))
+        fresh = step.join(known, ["domain", "sitemap_url"], "left")
+        frontier = written(fresh.where(F.col("_known").isNull() | (F.col("_known") & ~F.col("carried"))).drop("_known"), "reached")
+        visited = visited.unionByName(frontier)
+    return visited.groupBy("domain", "sitemap_url").agg(F.min("carried").alias("carried"))
+
+
+def changed_entries(roots: DataFrame, docs: DataFrame, last_links: DataFrame, last_entries: DataFrame,
+                    recover: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(entries, links) of the sitemaps reachable from the roots, of which only those that changed are parsed.
+
+    ``last_links`` and ``last_entries`` are what the last run gave: its links as
+    `sitemap_links` and its entries as `url_entries` tell them. Where the dates
+    of the indexes are true, the result is that of a full walk.
+    """
+    # Index documents say what changed; they are few and parsed for it, once.
+    index = written(parse_sitemaps(docs.where(_root_of_text() != _URL_ROOT), recover), "index")
+    links = sitemap_links(index)
+    walked = written(reach_changed(roots, links, last_links), "walked")
+    changed, carried = walked.where(~F.col("carried")).drop("carried"), walked.where("carried").drop("carried")
+    wanted = changed.select("sitemap_url").distinct()
+    sets = docs.where(_root_of_text() == _URL_ROOT).join(wanted, "sitemap_url", "left_semi")
+    found = [url_entries(parsed.drop("domain").join(changed, "sitemap_url")) for parsed in (parse_sitemaps(sets, recover), index)]
+    kept = last_entries.join(carried.withColumnRenamed("sitemap_url", "sitemap_source_url"), ["domain", "sitemap_source_url"], "left_semi")
+    entries = found[0].unionByName(found[1]).unionByName(kept.select(found[0].columns))
+    # The links of carried indexes are those of the last run.
+    held = last_links.join(carried.select(F.col("sitemap_url").alias("parent")).distinct(), "parent", "left_semi")
+    own = links.join(changed.select(F.col("sitemap_url").alias("parent")).distinct(), "parent", "left_semi")
+    return entries, own.unionByName(held.select(own.columns))

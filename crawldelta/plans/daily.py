@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime
 from typing import NamedTuple
 
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions.urls import with_path_features
 from ..operators import diff as D
 from ..operators.alltime import live_status
-from ..operators.candidates import probe_candidates, recent_changes, status_settings
+from ..operators.candidates import probe_candidates, status_settings
 from ..operators.health import (
     breaker_state,
     fate_by_change_type,
@@ -23,15 +23,16 @@ from ..operators.health import (
 )
 from ..operators.policy import allowed_agents, assign_agent, fresh_robots, policy_domain
 from ..operators.probes import classify_probes, redirect_map
-from ..operators.sitemaps import reachable_parsed, sitemap_file_facts, url_entries
+from ..operators.sitemaps import reachable_of, reachable_parsed, sitemap_file_facts, url_entries
 from ..operators.targets import due_targets, normalize_targets, run_summary, target_roots
 from ..schemas import ALL_TIME, BREAKER, CHANGES, LOGGED, SNAPSHOT, conform
-from ..session import cut_lineage
+from ..session import cut_lineage, written
 from ..sources.changelog import append_changes, read_changes, run_id_of
 from ..sources.history import append_status_history, write_headers
+from ..sources.parsed import parse_by_hash
 from ..sources.snapshots import write_sitemap_files
 from ..sources.state import cut_lineage_bucketed, drop_scratch, latest_run, read_state, write_state
-from .keyed import keep_domains, tag_known_domains
+from .keyed import tag_known_domains
 
 
 class Inventory(NamedTuple):
@@ -87,13 +88,15 @@ def fused_state(cur: DataFrame, prev: DataFrame, all_time: DataFrame, buckets: i
     return stacked.groupBy(*D.KEY).agg(*[F.min(side).alias(side) for side in ("cur", "prev", "old")])
 
 
-def _with_ran(state: DataFrame, cur: DataFrame, buckets: int | None, faulty: DataFrame | None) -> DataFrame:
+def _with_ran(state: DataFrame, cur: DataFrame, buckets: int | None, faulty: DataFrame | None,
+              keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Add ``ran``: did the row's domain deliver any URL in this run, and was the URL's sitemap sound?
 
     A row with a current side answers itself, and a row that is long gone is not
     changed either way. Only the rest, URLs that were live and are missing now,
     is looked up by domain, and by sitemap where some were faulty: a URL that
-    such a sitemap may still hold is not known to be gone.
+    such a sitemap may still hold is not known to be gone. What was looked up is
+    kept by ``keep``, so that readers of the result do not look it up again.
     """
     has_cur = F.col("cur").isNotNull()
     gone = F.col("prev").isNull() & ~F.coalesce(F.col("old.is_current_live"), F.lit(False))
@@ -106,7 +109,7 @@ def _with_ran(state: DataFrame, cur: DataFrame, buckets: int | None, faulty: Dat
         asked = asked.join(bad, same, "left").withColumn("ran", F.col("ran") & F.col("_bad").isNull()).drop("_d", "_s", "_bad")
     if buckets:
         asked = asked.repartition(buckets, *D.KEY)
-    return settled.unionByName(asked)
+    return settled.unionByName(keep(asked))
 
 
 def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame, run_ts: datetime | str,
@@ -121,9 +124,8 @@ def run_inventory(cur: DataFrame, prev: DataFrame, all_time: DataFrame, run_ts:
     are narrow readings of them.
     """
     state = fused_state(cur, prev, all_time, buckets)
-    if materialize:
-        state = cut_lineage_bucketed(state, buckets) if buckets else cut_lineage(state)
-    state = _with_ran(state, cur, buckets, faulty)
+    keep = (lambda df: cut_lineage_bucketed(df, buckets) if buckets else written(df, "state")) if materialize else (lambda df: df)
+    state = _with_ran(keep(state), cur, buckets, faulty, keep)
     now = D.as_timestamp(run_ts)
     has_cur, has_prev, known = (F.col(c).isNotNull() for c in ("cur", "prev", "old"))
 
@@ -187,11 +189,12 @@ def plan_fetch(targets: DataFrame, robots: DataFrame, agents: Sequence[str], fal
 
 def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, base: str,
                     run_ts: datetime | str, buckets: int | None = None,
-                    errors: DataFrame | None = None) -> DataFrame:
+                    errors: DataFrame | None = None, parsed_ledger: str | None = None) -> DataFrame:
     """Targets and sitemap documents to change log, snapshot, all-time table and summary.
 
     ``errors`` (domain, message) names the targets whose fetch failed; the
-    summary reports them.
+    summary reports them. With ``parsed_ledger``, a folder, a sitemap whose text
+    came before is not parsed again.
 
     State lives under ``base``; a rerun with the same ``run_ts`` replaces its own
     output. With ``buckets`` the snapshot and the all-time table are kept
@@ -201,7 +204,11 @@ def daily_inventory(spark: SparkSession, targets: DataFrame, docs: DataFrame, ba
     run_id = run_id_of(run_ts)
     due = due_targets(normalize_targets(targets).where("is_valid"), str(run_ts)[:10])
     # Parsed once and kept without the texts; facts and entries are read from it.
-    parsed = cut_lineage(reachable_parsed(target_roots(due), docs))
+    if parsed_ledger:
+        parsed = reachable_of(target_roots(due), written(parse_by_hash(docs, parsed_ledger), "parsed"))
+    else:
+        parsed = reachable_parsed(target_roots(due), docs)
+    parsed = written(parsed, "reachable")
     entries = with_path_features(url_entries(parsed))
     write_sitemap_files(sitemap_file_facts(parsed), f"{base}/sitemaps", run_id)
 
@@ -243,8 +250,7 @@ def plan_probes(spark: SparkSession, targets: DataFrame, base: str, run_ts: date
     settings = status_settings(targets)
     breaker = read_state(spark, f"{base}/breaker", BREAKER, before=run_id_of(run_ts))
     domains = runnable(settings, breaker, run_ts, force)
-    log = keep_domains(recent_changes(read_changes(spark, f"{base}/changes"), run_ts), domains)
-    return probe_candidates(log, settings, run_ts)
+    return probe_candidates(read_changes(spark, f"{base}/changes"), settings, run_ts, domains=domains)
 
 
 def record_probes(spark: SparkSession, raw: DataFrame, targets: DataFrame, base: str,

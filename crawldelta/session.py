@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import re
 import tempfile
+import uuid
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,3 +48,18 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """``df`` as a Parquet table in the shared folder: columns are read as they are needed, and a lost executor costs nothing."""
+    path = f"{shared_dir(df.sparkSession)}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_folders(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete folders of any of Spark's file systems; those that are not there are passed over."""
+    jvm = spark.sparkContext._jvm
+    for path in paths:
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
