@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from crawldelta.llm.scratch import new_folder, ship_code
+from crawldelta.llm.scratch import keys_for_join, new_folder, ship_code, stored
 
 #: The kinds in their order, pattern and version. Letters of the
 #: assign keywords match in either case, ASCII only.
@@ -24,11 +24,16 @@ _KEYWORDS = ("passw", "secret", "token", "api")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 _HEX = re.compile(r"[0-9a-f]{32,}")
 _SPANS = "array<struct<kind:string,start:int,end:int>>"
+#: The ledger keeps each span under the rule and version that found it.
+_HELD = "array<struct<rule:string,start:int,end:int>>"
+
+#: Copies of each blob's findings where they are joined back, so that a blob of very many rows is no single task's.
+SALTS = 16
 _SCANNED = pa.schema(
     [
         ("blob_id", pa.binary()),
         ("rules", pa.list_(pa.string())),
-        ("spans", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))),
+        ("spans", pa.list_(pa.struct([("rule", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))),
     ]
 )
 
@@ -68,7 +73,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         todo = batch.column("todo").to_pylist()
         spans = [
-            find_spans(text, [r.partition("@")[0] for r in rules])
+            [{"rule": r, "start": a, "end": b} for r in rules for a, b in FINDERS[r.partition("@")[0]](text)]
             for text, rules in zip(batch.column("text").to_pylist(), todo)
         ]
         yield pa.RecordBatch.from_pydict(
@@ -77,11 +82,11 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def read_ledger(spark, ledger: str) -> DataFrame | None:
-    """One row per blob: the rules it was scanned for, and all spans found; None without a ledger."""
+    """One row per blob: the rules it was scanned for, and the spans of every rule version; None without a ledger."""
     path = spark._jvm.org.apache.hadoop.fs.Path(ledger)
     if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
         return None
-    rows = spark.read.schema(f"blob_id binary, rules array<string>, spans {_SPANS}").parquet(ledger)
+    rows = spark.read.schema(f"blob_id binary, rules array<string>, spans {_HELD}").parquet(ledger)
     return rows.groupBy("blob_id").agg(
         F.array_distinct(F.flatten(F.collect_list("rules"))).alias("rules"),
         F.array_distinct(F.flatten(F.collect_list("spans"))).alias("spans"),
@@ -96,48 +101,59 @@ def blob_id(text: Column) -> Column:
 def update_ledger(versions: DataFrame, ledger: str) -> int:
     """Scan the (blob, rule version) pairs of versions(text, ...) that the ledger lacks; append them. Gives the number of blobs scanned.
 
-    Copies fold into one blob before the shuffle, and each blob's text is
-    shuffled once. The append is one committed write: a lost run leaves the
-    ledger as it was, and a blob that two runs scanned counts once.
+    Copies fold into one blob before the shuffle, and each unseen blob's text is
+    shuffled once; of blobs that the ledger knows only the id is. The append is
+    one committed write: a lost run leaves the ledger as it was, and a blob that
+    two runs scanned counts once.
     """
     spark = versions.sparkSession
     ship_code(spark)
     known = read_ledger(spark, ledger)
     text = F.coalesce("text", F.lit(""))
     blobs = versions.select(blob_id(F.col("text")).alias("blob_id"), text.alias("text"))
-    blobs = blobs.groupBy("blob_id").agg(F.first("text").alias("text"))
     wanted = F.array(*map(F.lit, rule_keys()))
     if known is None:
-        todo = blobs.withColumn("todo", wanted)
+        todo = blobs.groupBy("blob_id").agg(F.first("text").alias("text")).withColumn("todo", wanted)
     else:
         seen = known.select("blob_id", F.col("rules").alias("seen"))
         lacking = F.array_except(wanted, F.coalesce("seen", F.array().cast("array<string>")))
-        todo = blobs.join(seen, "blob_id", "left").withColumn("todo", lacking).where("size(todo) > 0").drop("seen")
+        ids = blobs.select("blob_id").distinct().join(seen, "blob_id", "left").withColumn("todo", lacking)
+        ids = stored(ids.where("size(todo) > 0").select("blob_id", "todo"), "unseen")
+        asked = blobs.join(keys_for_join(ids), "blob_id")
+        todo = asked.groupBy("blob_id").agg(F.first("text").alias("text"), F.first("todo").alias("todo"))
     seen_now, counted = Observation("scanned"), F.count(F.lit(1)).alias("n")
-    scanned = todo.mapInArrow(_scan, f"blob_id binary, rules array<string>, spans {_SPANS}")
+    scanned = todo.mapInArrow(_scan, f"blob_id binary, rules array<string>, spans {_HELD}")
     scanned.observe(seen_now, counted).write.mode("append").parquet(ledger)
     return seen_now.get["n"]
 
 
-def scan_versions(versions: DataFrame, ledger: str) -> DataFrame:
+def scan_versions(versions: DataFrame, ledger: str, keep: list[str] | None = None) -> DataFrame:
     """versions(text, ...) with `spans`: the ledger brought up to date and joined back to every row.
 
-    A row is one version of one path; its other columns are kept. spans has kind,
-    start, end (code points, end exclusive) of the present rules, by start, then
-    kind as listed; no finding gives an empty array. Null and empty texts have
-    none, repeated rows have the same; an empty table gives an empty one.
+    A row is one version of one path; its other columns are kept, or those named
+    in `keep`; without the text there, no text takes part in the join. spans has
+    kind, start, end (code points, end exclusive) as the present rules' present
+    versions find them, by start, then kind as listed; no finding gives an empty
+    array. What retired versions found stays in the ledger and out of the result.
+    Null and empty texts have no span, repeated rows have the same; an empty
+    table gives an empty one.
     """
     update_ledger(versions, ledger)
-    # Spans of retired rules stay in the ledger and out of the result.
-    live = F.filter("spans", lambda s: s["kind"].isin(*FINDERS))
+    live = F.filter("spans", lambda s: s["rule"].isin(rule_keys()))
+    kind = lambda s: F.substring_index(s["rule"], "@", 1)
     rank = F.create_map(*[F.lit(x) for i, k in enumerate(FINDERS) for x in (k, i)])
-    keyed = F.array_sort(F.transform(live, lambda s: F.struct(s["start"], rank[s["kind"]].alias("rank"), s["end"], s["kind"])))
+    keyed = F.array_sort(F.transform(live, lambda s: F.struct(s["start"], rank[kind(s)].alias("rank"), s["end"], kind(s).alias("kind"))))
     tidy = F.transform(keyed, lambda s: F.struct(s["kind"], s["start"], s["end"]))
-    found = read_ledger(versions.sparkSession, ledger).where("size(spans) > 0")
-    found = found.select(F.col("blob_id").alias("__blob"), tidy.alias("__spans"))
+    found = read_ledger(versions.sparkSession, ledger).select("blob_id", tidy.alias("spans")).where("size(spans) > 0")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    found = found.select(F.col("blob_id").alias("__blob"), F.col("spans").alias("__spans"), copies.alias("__salt"))
+    kept = versions.columns if keep is None else keep
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
+    # The blob's id is made where the text is read: what is shuffled are the kept columns.
+    rows = versions.select(F.struct(*[versions[c] for c in kept]).alias("__row"), blob_id(versions["text"]).alias("__blob"), salt.alias("__salt"))
+    joined = rows.join(found, ["__blob", "__salt"], "left")
     none = F.array().cast(_SPANS)
-    joined = versions.join(found, blob_id(versions["text"]) == found["__blob"], "left")
-    return joined.select(*[versions[c] for c in versions.columns], F.coalesce(found["__spans"], none).alias("spans"))
+    return joined.select(*[F.col("__row")[c].alias(c) for c in kept if c != "spans"], F.coalesce("__spans", none).alias("spans"))
 
 
 def joined_spans(spans: Column) -> Column:
@@ -148,7 +164,7 @@ def joined_spans(spans: Column) -> Column:
 def secret_report(docs: DataFrame, ledger: str | None = None) -> DataFrame:
     """Per document: doc_id, n_assign, n_access, n_hex, base_sha256, spans; without a ledger's path a new one is begun."""
     ledger = ledger or new_folder(docs.sparkSession, "ledger")
-    found = scan_versions(docs.select("doc_id", "text"), ledger).select("doc_id", "spans")
+    found = scan_versions(docs.select("doc_id", "text"), ledger, ["doc_id"])
     count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     told = joined_spans(F.col("spans"))
     return found.select(
