@@ -24,8 +24,10 @@ WEIGHT = 200
 EVIDENCE_ADDED = 1.0
 PRIOR_WEIGHT = 5.0
 
-#: More distinct labels than this are an error: the counts are held by every task.
+#: Languages that are told apart, as each of them has a table in every task. Where there are
+#: more labels, the commonest by pairs of bytes are, and all others are one class of its own.
 MOST_LANGUAGES = 256
+REST = "(other)"
 
 
 def pair_codes(text: str | None) -> np.ndarray:
@@ -35,37 +37,51 @@ def pair_codes(text: str | None) -> np.ndarray:
 
 
 def _count_pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of one task by language, added up before the shuffle."""
+    """Pairs of one task by label, added up before the shuffle; what many labels need in memory is told and begun anew."""
     totals: dict[str, np.ndarray] = {}
+
+    def told() -> Iterator[pd.DataFrame]:
+        for lang, counts in totals.items():
+            seen = np.flatnonzero(counts)
+            yield pd.DataFrame({"lang": lang, "code": seen.astype(np.int32), "n": counts[seen]})
+        totals.clear()
+
     for pdf in batches:
         for text, lang in zip(pdf["text"], pdf["lang"]):
             codes = pair_codes(text)
             if lang not in totals:
                 if len(totals) >= MOST_LANGUAGES:
-                    raise ValueError(f"more than {MOST_LANGUAGES} languages")
+                    yield from told()
                 totals[lang] = np.zeros(PAIRS, np.int64)
             if len(codes) > PAIRS:
                 totals[lang] += np.bincount(codes, minlength=PAIRS)
             else:
                 np.add.at(totals[lang], codes, 1)
-    for lang, counts in totals.items():
-        seen = np.flatnonzero(counts)
-        yield pd.DataFrame({"lang": lang, "code": seen.astype(np.int32), "n": counts[seen]})
+    yield from told()
+
+
+def _told_apart(counts: DataFrame) -> DataFrame:
+    """Counts by the languages that are told apart: the rarer labels' ones are added up under REST, whatever their number."""
+    sizes = counts.groupBy("lang").agg(F.sum("n").alias("pairs"))
+    first = sizes.orderBy(F.desc("pairs"), "lang").limit(MOST_LANGUAGES + 1).collect()
+    if len(first) <= MOST_LANGUAGES:
+        return counts
+    kept = [r.lang for r in first[: MOST_LANGUAGES - 1]]
+    one = F.when(F.col("lang").isin(kept), F.col("lang")).otherwise(F.lit(REST))
+    return counts.groupBy(one.alias("lang"), "code").agg(F.sum("n").alias("n"))
 
 
 def train_text(docs: DataFrame) -> tuple[list[str], np.ndarray]:
     """(languages, log probability of each pair in each language) from all labelled documents(text, lang).
 
-    Null and empty labels are left out; without labels there are no languages.
-    What reaches the driver is one count for each language and pair of bytes.
+    Null and empty labels are left out; without labels there are no languages;
+    beyond MOST_LANGUAGES the rarest labels are one class, REST. What reaches the driver is one count for each language and pair of bytes.
     """
     ship_code(docs.sparkSession)
     labelled = docs.where("lang is not null and lang <> ''").select("text", "lang")
     counts = labelled.mapInPandas(_count_pairs, "lang string, code int, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-    rows = counts.toPandas()
+    rows = _told_apart(stored(counts, "pairs")).toPandas()
     langs = sorted(rows["lang"].unique())
-    if len(langs) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
     table = np.full((PAIRS, len(langs)), ADDED)
     for i, lang in enumerate(langs):
         own = rows[rows["lang"] == lang]
