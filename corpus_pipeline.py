@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from crawldelta.llm import blocks, decontam, near, pieces, quality
+from crawldelta.llm import blocks, decontam, pieces, quality, simhash
 from crawldelta.llm.queries import tokenizer_file
 from crawldelta.llm.scratch import stored
 
@@ -20,8 +20,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates (five-word Jaccard of 0.8 or more), the document with the smallest doc_id."""
-    return near.drop_similar(docs)
+    """Of each group of fingerprints (three-word shingles) linked within two bits, the document with the smallest doc_id."""
+    return simhash.drop_near_duplicates(docs)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
