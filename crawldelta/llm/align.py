@@ -40,6 +40,10 @@ FAN_IN = 8
 #: Characters encoded together.
 ENCODED_AT_ONCE = 1 << 20
 
+#: Groups, or links, of one stored row at most: whoever reads such rows holds thousands of them at once.
+ROW_GROUPS = 512
+ROW_LINKS = 512
+
 #: Distinct pairs of ids that a task counts before it tells them.
 PAIRS_AT_ONCE = 1_000_000
 
@@ -51,12 +55,28 @@ _B_CUT = re.compile(r"(?<=[^ ▁])(?= [^ ▁])")
 LONG_RUN = 500
 _LONG_SPACE = re.compile(rf"\s{{{LONG_RUN}}}")
 
-_LIST = "array<int>"
-_SECTION_DDL = f"at long, a_ids {_LIST}, b_ids {_LIST}, a_sizes {_LIST}, b_sizes {_LIST}, links array<struct<pair:long,times:int>>"
 _OPEN = [f"{part}_{c}" for part in ("head", "tail") for c in ("a_ids", "a_ends", "b_ids", "b_ends")]
-_OPEN_DDL = "cut boolean, " + ", ".join(f"{c} {'array<long>' if c.endswith('ends') else _LIST}" for c in _OPEN)
-_FRAGMENT_NAMES = ["row_id", "doc_id", "seq", "ok", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links", "cut", *_OPEN]
-_FRAGMENT_DDL = f"row_id long, doc_id long, seq long, ok boolean, {_SECTION_DDL}, {_OPEN_DDL}"
+_SECTION = ["at", "a_ids", "b_ids", "a_sizes", "b_sizes"]
+_INTS, _LONGS = ("array<int>", pa.list_(pa.int32())), ("array<long>", pa.list_(pa.int64()))
+_LINKS = ("array<struct<pair:long,times:int>>", pa.list_(pa.struct([("pair", pa.int64()), ("times", pa.int32())])))
+#: What tasks write: rows of the kinds text, section, links, counts and open, each with columns of its own.
+_COLUMNS = (
+    {"kind": ("string", pa.string())}
+    | {c: ("long", pa.int64()) for c in ("row_id", "doc_id", "seq", "n_a", "n_b", "n_groups", "at")}
+    | {"ok": ("boolean", pa.bool_()), "groups_sha256": ("string", pa.string())}
+    | {c: _INTS for c in _SECTION[1:]}
+    | {"links": _LINKS, "cut": ("boolean", pa.bool_())}
+    | {c: _LONGS if c.endswith("ends") else _INTS for c in _OPEN}
+)
+_DDL = ", ".join(f"{c} {t}" for c, (t, _) in _COLUMNS.items())
+
+
+def _batch(kind: str, n: int, **columns: list | np.ndarray | pa.Array) -> pa.RecordBatch:
+    """n rows of a kind; columns that are not given are null."""
+    made = {c: x if isinstance(x, pa.Array) else pa.array(x, _COLUMNS[c][1]) for c, x in columns.items()} | {"kind": pa.array([kind] * n)}
+    arrays = [made[c] if c in made else pa.nulls(n, t) for c, (_, t) in _COLUMNS.items()]
+    return pa.RecordBatch.from_arrays(arrays, names=list(_COLUMNS))
+
 
 # ---------------------------------------------------------------- tokenizers
 
@@ -242,27 +262,54 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.List
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values, kind))
 
 
-def _sections(tokens: Tokens, held: Cover, firsts: np.ndarray, stops: np.ndarray, span: int) -> list[pa.Array]:
-    """The columns of sections: runs of whole groups, one after another, that begin at the bytes firsts and end at stops."""
-    n, ends = len(firsts), stops - held.base
-    count = lambda c: np.diff(c[ends], prepend=0)
+def _section_rows(tokens: Tokens, held: Cover, row_ids: np.ndarray, firsts: np.ndarray, stops: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Sections of texts that lie end to end, each text from its byte of firsts to that of stops; a long one's in parts, by ascending `at`."""
+    group_ends = _places(held.common) + held.base
+    last = held.common[stops - held.base].tolist()
+    owner, begin, end = [], [], []
+    for row_id, first, low, high in zip(row_ids.tolist(), firsts.tolist(), [0, *last], last):
+        for k in range(low, high, ROW_GROUPS):
+            owner.append(row_id)
+            begin.append(first if k == low else int(group_ends[k - 1]))
+            end.append(int(group_ends[min(k + ROW_GROUPS, high) - 1]))
+    if not owner:
+        return
+    at_end = np.array(end, np.int64) - held.base
+    count = lambda c: np.diff(c[at_end], prepend=0)
     a_sizes, b_sizes = groups_of(tokens, held)
+    yield _batch(
+        "section", len(owner), row_id=owner, at=begin,
+        a_ids=_lists(tokens.a_ids, count(held.a), pa.int32()), b_ids=_lists(tokens.b_ids, count(held.b), pa.int32()),
+        a_sizes=_lists(a_sizes, count(held.common), pa.int32()), b_sizes=_lists(b_sizes, count(held.common), pa.int32()),
+    )
+
+
+def _link_list(pairs: np.ndarray, times: np.ndarray, offsets: list[int]) -> pa.Array:
+    link = pa.StructArray.from_arrays([pa.array(pairs, pa.int64()), pa.array(times, pa.int32())], ["pair", "times"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), link)
+
+
+def _links(tokens: Tokens, held: Cover, stops: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pair, times, how many distinct pairs each text has) of texts that lie end to end, text by text."""
     x, y = links_of(tokens, held)
     pair = tokens.a_ids[x].astype(np.int64) * span + tokens.b_ids[y]
     bits = int(pair.max()).bit_length() if len(pair) else 0
-    keys = np.sort((np.repeat(np.arange(n, dtype=np.int64), count(held.links)) << bits) | pair)
+    of = np.repeat(np.arange(len(stops), dtype=np.int64), np.diff(held.links[stops - held.base], prepend=0))
+    keys = np.sort((of << bits) | pair)
     fresh = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-    times = np.diff(fresh, append=len(keys))
-    link = pa.StructArray.from_arrays([pa.array(keys[fresh] & ((1 << bits) - 1), pa.int64()), pa.array(times, pa.int32())], ["pair", "times"])
-    offsets = np.concatenate(([0], np.cumsum(np.bincount(keys[fresh] >> bits, minlength=n)))).astype(np.int32)
-    return [
-        pa.array(firsts, pa.int64()),
-        _lists(tokens.a_ids, count(held.a), pa.int32()),
-        _lists(tokens.b_ids, count(held.b), pa.int32()),
-        _lists(a_sizes, count(held.common), pa.int32()),
-        _lists(b_sizes, count(held.common), pa.int32()),
-        pa.ListArray.from_arrays(pa.array(offsets), link),
-    ]
+    return keys[fresh] & ((1 << bits) - 1), np.diff(fresh, append=len(keys)), np.bincount(keys[fresh] >> bits, minlength=len(stops))
+
+
+def _link_rows(row_ids: np.ndarray, pairs: np.ndarray, times: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """The links of each text, in rows of a bounded size."""
+    owner, offsets, at = [], [], 0
+    for row_id, n in zip(row_ids.tolist(), counts.tolist()):
+        for low in range(at, at + n, ROW_LINKS):
+            owner.append(row_id)
+            offsets.append(low)
+        at += n
+    if owner:
+        yield _batch("links", len(owner), row_id=owner, links=_link_list(pairs, times, [*offsets, at]))
 
 
 def _group_text(tokens: Tokens, held: Cover, a: Vocabulary, b: Vocabulary) -> tuple[memoryview, np.ndarray]:
@@ -314,9 +361,9 @@ def _given_back(ids: np.ndarray, counts: np.ndarray, vocabulary: Vocabulary, raw
     return np.array([bytes(data[p:q]) == r for p, q, r in zip(stops, stops[1:], raws)], bool)
 
 
-def _whole_texts(rows: list[tuple], a: Vocabulary, b: Vocabulary) -> pa.RecordBatch:
-    """Sections of short texts, one a text, with their digests; of those that the tokenizers do not give back, an empty one."""
-    texts = [text or "" for _, _, text in rows]
+def _whole_texts(rows: list[tuple], a: Vocabulary, b: Vocabulary, counted: PairCounts) -> Iterator[pa.RecordBatch]:
+    """Short texts with their digests, their sections and links; those that the tokenizers do not give back have none."""
+    texts, row_ids = [text or "" for _, _, text in rows], np.array([r[0] for r in rows], np.int64)
     full = np.array([i for i, t in enumerate(texts) if t], np.int64)
     raws = [(" " + texts[i]).encode() for i in full]
     coded, counts, sound = [], [], np.ones(len(full), bool)
@@ -330,50 +377,46 @@ def _whole_texts(rows: list[tuple], a: Vocabulary, b: Vocabulary) -> pa.RecordBa
     sizes = np.array([len(r) if s else 0 for r, s in zip(raws, sound)], np.int64)
     tokens = Tokens(coded[0], np.cumsum(a.sizes[coded[0]]), coded[1], np.cumsum(b.sizes[coded[1]]))
     ends = np.cumsum(sizes)
-    firsts, stops = (ends - sizes)[sound], ends[sound]
-    held = cover(tokens)
-    made = _sections(tokens, held, firsts, stops, len(b.raw))
+    firsts, stops, held, told = (ends - sizes)[sound], ends[sound], cover(tokens), full[sound]
     text, text_ends = _group_text(tokens, held, a, b)
-    stops = np.concatenate(([0], text_ends))[held.common[stops]].tolist()
-    digests = [hashlib.sha256(text[p : q - 1]).hexdigest() for p, q in zip([0, *stops], stops)]
-    place = np.full(len(rows), len(firsts), np.int64)  # behind the sections stands an empty one
-    place[full[sound]] = np.arange(len(firsts))
-    ok = np.ones(len(rows), bool)
+    cuts = np.concatenate(([0], text_ends))[held.common[stops]].tolist()
+    digests = [""] * len(rows)
+    for i, p, q in zip(told.tolist(), [0, *cuts], cuts):
+        digests[i] = hashlib.sha256(text[p : q - 1]).hexdigest()
+    ok, numbers = np.ones(len(rows), bool), {}
     ok[full[~sound]] = False
-    columns = [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(ok), pa.array(np.zeros(len(rows), np.int64))]
-    columns += [pa.concat_arrays([c, pa.array([[]], c.type)]).take(pa.array(place)) for c in made[1:]]
-    columns.append(pa.array([*digests, ""]).take(pa.array(place)))
-    return pa.RecordBatch.from_arrays(columns, names=_SHORT)
+    for name, count in (("n_a", held.a), ("n_b", held.b), ("n_groups", held.common)):
+        numbers[name] = np.zeros(len(rows), np.int64)
+        numbers[name][told] = np.diff(count[stops], prepend=0)
+    yield _batch("text", len(rows), row_id=row_ids, doc_id=[r[1] for r in rows], ok=ok, groups_sha256=digests, **numbers)
+    yield from _section_rows(tokens, held, row_ids[told], firsts, stops)
+    pairs, times, distinct = _links(tokens, held, stops, len(b.raw))
+    yield from _link_rows(row_ids[told], pairs, times, distinct)
+    yield from counted.add(pairs)
 
 
 class PairCounts:
-    """Texts by linked pair, added up over a task's slices; told in parts of a bounded size."""
+    """Texts by linked pair, added up over a task's slices; told in rows of a bounded size."""
 
     def __init__(self) -> None:
         self.pairs, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
-    def add(self, links: pa.ListArray) -> Iterator[pa.RecordBatch]:
+    def add(self, pairs: np.ndarray) -> Iterator[pa.RecordBatch]:
         """Count the distinct pairs of each text."""
-        pairs, n = np.unique(links.flatten().field("pair").to_numpy(), return_counts=True)
-        both, turn = np.unique(np.concatenate((self.pairs, pairs)), return_inverse=True)
+        own, n = np.unique(pairs, return_counts=True)
+        both, turn = np.unique(np.concatenate((self.pairs, own)), return_inverse=True)
         self.pairs, self.n = both, np.bincount(turn, np.concatenate((self.n, n)), len(both)).astype(np.int64)
         if len(both) > PAIRS_AT_ONCE:
             yield from self.told()
 
     def told(self) -> Iterator[pa.RecordBatch]:
-        """The counts as rows without a text, a bounded number of pairs in each."""
-        kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.int64(), *[pa.list_(pa.int32())] * 4]
-        for low in range(0, len(self.pairs), 1 << 16):
-            some, n = self.pairs[low : low + (1 << 16)], self.n[low : low + (1 << 16)]
-            link = pa.StructArray.from_arrays([pa.array(some), pa.array(n, pa.int32())], ["pair", "times"])
-            links = pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), link)
-            yield pa.RecordBatch.from_arrays([*[pa.nulls(1, k) for k in kinds], links, pa.nulls(1, pa.string())], names=_SHORT)
+        """The counts as rows without a text."""
+        offsets = list(range(0, len(self.pairs), ROW_LINKS))
+        if offsets:
+            yield _batch("counts", len(offsets), links=_link_list(self.pairs, self.n, [*offsets, len(self.pairs)]))
         self.pairs, self.n = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
 
-_SHORT = ["row_id", "doc_id", "ok", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links", "groups_sha256"]
-
-
 def _slices(rows: Iterator[tuple], size: Callable[[tuple], int]) -> Iterator[list[tuple]]:
     held, some = 0, []
     for row in rows:
@@ -415,27 +458,18 @@ def ranges(text: str, size: int = RANGE) -> list[tuple[str, int, str, int]]:
     return out
 
 
-def _fragment_batch(rows: list[tuple], sections: list[pa.Array] | None, opens: list[Fragment] | None) -> pa.RecordBatch:
-    """Rows (row_id, doc_id, seq, ok) that have sections, or open parts, or both."""
-    n = len(rows)
-    head = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.int64(), pa.bool_()))]
-    if sections is None:
-        link = pa.struct([("pair", pa.int64()), ("times", pa.int32())])
-        sections = [pa.nulls(n, t) for t in (pa.int64(), *[pa.list_(pa.int32())] * 4, pa.list_(link))]
-    kinds = [pa.list_(pa.int64() if c.endswith("ends") else pa.int32()) for c in _OPEN]
-    if opens is None:
-        parts = [pa.nulls(n, pa.bool_()), *[pa.nulls(n, k) for k in kinds]]
-    else:
-        parts = [pa.array([o.cut for o in opens], pa.bool_())]
-        parts += [pa.array([[*o.head, *o.tail][i] for o in opens], k) for i, k in enumerate(kinds)]
-    return pa.RecordBatch.from_arrays([*head, *sections, *parts], names=_FRAGMENT_NAMES)
-
+def _open_row(row_id: int, doc_id: int | None, seq: int, ok: bool, part: Fragment) -> pa.RecordBatch:
+    lists = {c: [x] for c, x in zip(_OPEN, [*part.head, *part.tail])}
+    return _batch("open", 1, row_id=[row_id], doc_id=[doc_id], seq=[seq], ok=[ok], cut=[part.cut], **lists)
 
 
-def _closed_batch(row_id: int, seq: int, closed: Tokens, span: int) -> pa.RecordBatch:
-    first = _base(closed)  # a byte of the section's first group: sections keep their order
-    made = _sections(closed, cover(closed, first), np.array([first], np.int64), closed.a_ends[-1:], span)
-    return _fragment_batch([(row_id, None, seq, True)], made, None)
+def _closed_rows(row_id: int, closed: Tokens, span: int) -> Iterator[pa.RecordBatch]:
+    """Sections and links of closed groups; their places begin at a byte of the first group, so sections keep their order."""
+    if len(closed.a_ids):
+        first = _base(closed)
+        held, row_ids, stops = cover(closed, first), np.array([row_id]), closed.a_ends[-1:]
+        yield from _section_rows(closed, held, row_ids, np.array([first]), stops)
+        yield from _link_rows(row_ids, *_links(closed, held, stops, span))
 
 
 def _aligned_ranges(batches: Iterator[pa.RecordBatch], a: Vocabulary, b: Vocabulary) -> Iterator[pa.RecordBatch]:
@@ -451,9 +485,8 @@ def _aligned_ranges(batches: Iterator[pa.RecordBatch], a: Vocabulary, b: Vocabul
             x, y = (x, y) if ok else (NO_TOKENS.a_ids, NO_TOKENS.b_ids)
             tokens = Tokens(x, a_byte + np.cumsum(a.sizes[x]), y, b_byte + np.cumsum(b.sizes[y]))
             part, closed = split(tokens, seq == 0)
-            yield _fragment_batch([(row_id, doc_id, seq, ok)], None, [part])
-            if len(closed.a_ids):
-                yield _closed_batch(row_id, seq, closed, len(b.raw))
+            yield _open_row(row_id, doc_id, seq, ok, part)
+            yield from _closed_rows(row_id, closed, len(b.raw))
 
 
 def _composed(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.RecordBatch]:
@@ -465,14 +498,13 @@ def _composed(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Recor
         one = Fragment(Tokens(*lists[:4]), Tokens(*lists[4:]), parts[0])
         if (row_id, up) != key:
             if key is not None:
-                yield _fragment_batch([(key[0], None, key[1], True)], None, [acc])
+                yield _open_row(key[0], None, key[1], True, acc)
             key, acc = (row_id, up), one
             continue
         acc, closed = compose(acc, one)
-        if len(closed.a_ids):
-            yield _closed_batch(row_id, up, closed, span)
+        yield from _closed_rows(row_id, closed, span)
     if key is not None:
-        yield _fragment_batch([(key[0], None, key[1], True)], None, [acc])
+        yield _open_row(key[0], None, key[1], True, acc)
 
 
 # ---------------------------------------------------------------- the operator
@@ -481,15 +513,20 @@ def _composed(batches: Iterator[pa.RecordBatch], span: int) -> Iterator[pa.Recor
 class Alignment(NamedTuple):
     """What an alignment gives, stored.
 
-    texts: row_id, doc_id of every row of the input; groups_sha256, the digest of its groups as text, null for a text that was cut
-    sections: row_id, at, a_ids, b_ids, a_sizes, b_sizes, links - runs of whole groups by ascending `at`; the groups hold
-        a_sizes and b_sizes of the ids, and links counts the overlapping token pairs of each pair of ids
-    counted: pair, n - texts of one section by linked pair, added up over parts of the input
+    texts: row_id and doc_id of every row of the input, n_a, n_b, n_groups and groups_sha256, the digest of its groups as
+        text; these are null for a text that was cut
+    sections: row_id, at, a_ids, b_ids, a_sizes, b_sizes - runs of whole groups by ascending `at`; the groups hold a_sizes
+        and b_sizes of the ids
+    links: row_id, pair, times - how often a text that was not cut holds a pair of ids linked
+    cut_links: the same of the others, where a pair may have several rows of one text
+    counted: pair, n - texts that were not cut by linked pair, added up over parts of the input
     span: a pair is the A id times span and the B id
     """
 
     texts: DataFrame
     sections: DataFrame
+    links: DataFrame
+    cut_links: DataFrame
     counted: DataFrame
     span: int
 
@@ -501,8 +538,8 @@ def _kept(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _long_sections(texts: DataFrame, a_path: str, b_path: str, span: int, size: int, fan_in: int) -> tuple[DataFrame, DataFrame]:
-    """(texts, sections) of long texts: cut, spread, aligned by range, and composed level by level."""
+def _cut_texts(texts: DataFrame, a_path: str, b_path: str, span: int, size: int, fan_in: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(texts, sections, links) of long texts: cut, spread, aligned by range, and composed level by level."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row_id, doc_id, text in _rows(batches):
@@ -516,26 +553,26 @@ def _long_sections(texts: DataFrame, a_path: str, b_path: str, span: int, size:
 
     names = ["row_id", "doc_id", "seq", "a_text", "a_byte", "b_text", "b_byte"]
     cuts = texts.mapInArrow(cut, "row_id long, doc_id long, seq long, a_text string, a_byte long, b_text string, b_byte long")
-    parts = _kept(cuts.repartition("row_id", "seq").mapInArrow(align, _FRAGMENT_DDL), "fragments")
-    heads = parts.where("cut IS NOT NULL")
+    parts = _kept(cuts.repartition("row_id", "seq").mapInArrow(align, _DDL), "fragments")
+    heads = parts.where("kind = 'open'")
     # A text that is not given back has no tokens.
     unsound = stored(heads.where("NOT ok").select("row_id").distinct(), "unsound")
     sound = lambda df: without(df, unsound, {"row_id": df["row_id"]})
-    closed = [parts.where("cut IS NULL")]
+    closed = parts
     last = heads.agg(F.max("seq")).first()[0] or 0
     level = sound(heads)
     while last:
         asked = level.select("row_id", F.expr(f"seq div {fan_in}").alias("up"), "seq", "cut", *_OPEN).repartition("row_id", "up")
         asked = asked.sortWithinPartitions("row_id", "up", "seq").drop("seq")
-        made = _kept(asked.mapInArrow(lambda batches: _composed(batches, span), _FRAGMENT_DDL), "composed")
-        closed.append(made.where("cut IS NULL"))
-        level, last = made.where("cut IS NOT NULL"), last // fan_in
-    columns = ["row_id", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links"]
-    sections = closed[0].select(*columns)
-    for more in closed[1:]:
-        sections = sections.unionByName(more.select(*columns))
-    told = heads.where("seq = 0").select("row_id", "doc_id", F.lit(None).cast("string").alias("groups_sha256"))
-    return told, sound(sections)
+        made = _kept(asked.mapInArrow(lambda batches: _composed(batches, span), _DDL), "composed")
+        closed = closed.unionByName(made)
+        level, last = made.where("kind = 'open'"), last // fan_in
+    sections = sound(closed.where("kind = 'section'").select("row_id", *_SECTION))
+    links = sound(closed.where("kind = 'links'").select("row_id", "links")).select("row_id", F.inline("links"))
+    return heads.where("seq = 0").select(*_TEXT), sections, links
+
+
+_TEXT = ["row_id", "doc_id", "n_a", "n_b", "n_groups", "groups_sha256"]
 
 
 def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in: int = FAN_IN) -> Alignment:
@@ -548,12 +585,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
     """
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loaded, counts = vocabularies(a_path, b_path), PairCounts()
+        loaded, counted = vocabularies(a_path, b_path), PairCounts()
         for some in _slices(_rows(batches), lambda r: len(r[2] or "")):
-            told = _whole_texts(some, *loaded)
-            yield told
-            yield from counts.add(told.column("links"))
-        yield from counts.told()
+            yield from _whole_texts(some, *loaded, counted)
+        yield from counted.told()
 
     ship_code(docs.sparkSession)
     span = len(vocabularies(a_path, b_path)[1].raw)
@@ -561,14 +596,18 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
     place = F.monotonically_increasing_id() * 2
     rows = docs.select(place.alias("row_id"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     is_long = F.coalesce(F.length("text") > size, F.lit(False))
-    short = rows.where(~is_long).mapInArrow(whole, f"row_id long, doc_id long, ok boolean, {_SECTION_DDL}, groups_sha256 string")
-    made = _kept(short, "aligned")
-    short = made.where("row_id IS NOT NULL")
-    counted = made.where("row_id IS NULL").select(F.inline("links")).select("pair", F.col("times").cast("long").alias("n"))
+    made = _kept(rows.where(~is_long).mapInArrow(whole, _DDL), "aligned")
     longer = rows.where(is_long).withColumn("row_id", F.col("row_id") + 1)
-    long_texts, long_sections = _long_sections(longer, a_path, b_path, span, size, fan_in)
-    columns = ["row_id", "at", "a_ids", "b_ids", "a_sizes", "b_sizes", "links"]
-    return Alignment(short.select("row_id", "doc_id", "groups_sha256").unionByName(long_texts), short.select(*columns).unionByName(long_sections), counted, span)
+    cut_texts, cut_sections, cut_links = _cut_texts(longer, a_path, b_path, span, size, fan_in)
+    counted = made.where("kind = 'counts'").select(F.inline("links"))
+    return Alignment(
+        made.where("kind = 'text'").select(*_TEXT).unionByName(cut_texts),
+        made.where("kind = 'section'").select("row_id", *_SECTION).unionByName(cut_sections),
+        made.where("kind = 'links'").select("row_id", F.inline("links")),
+        cut_links,
+        counted.select("pair", F.col("times").cast("long").alias("n")),
+        span,
+    )
 
 
 # ---------------------------------------------------------------- counts and report
@@ -577,10 +616,9 @@ def align(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in:
 def pair_counts(made: Alignment) -> DataFrame:
     """Stored (pair, n, best): the texts that hold a pair of ids linked, and whether no pair of its A id has more.
 
-    Texts of one section are counted within the tasks that align them; those of more are made distinct here.
+    Texts that were not cut are counted within the tasks that align them; the others' pairs are made distinct here.
     """
-    longer = made.sections.where("row_id % 2 = 1").select("row_id", F.inline("links")).select("row_id", "pair").distinct()
-    held = made.counted.unionByName(longer.select("pair", F.lit(1).cast("long").alias("n")))
+    held = made.counted.unionByName(made.cut_links.select("row_id", "pair").distinct().select("pair", F.lit(1).cast("long").alias("n")))
     counts = stored(held.groupBy("pair").agg(F.sum("n").alias("n")), "pairs")
     of_a = F.expr(f"pair div {made.span}")
     # As many rows as the A vocabulary has, at most.
@@ -618,20 +656,22 @@ def groups_text(a_ids: list[int], b_ids: list[int], a_sizes: list[int], b_sizes:
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row_id, sha) of the groups' text, of sections that come text by text, by `at`; one section in memory at a time."""
-    key, sha, begun = None, hashlib.sha256(), False
+    """(row_id, tokens of each side, groups, digest of their text) of sections that come text by text, by `at`; one section in memory at a time."""
+    key, sha, sums = None, hashlib.sha256(), [0, 0, 0]
+    names = ["row_id", "m_a", "m_b", "m_groups", "long_sha256"]
 
     def told() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([sha.hexdigest() if begun else ""])], names=["row_id", "long_sha256"])
+        numbers = [pa.array([n], pa.int64()) for n in (key, *sums)]
+        return pa.RecordBatch.from_arrays([*numbers, pa.array([sha.hexdigest() if sums[0] else ""])], names=names)
 
     for row_id, a_ids, b_ids, a_sizes, b_sizes in _rows(batches):
         if row_id != key:
             if key is not None:
                 yield told()
-            key, sha, begun = row_id, hashlib.sha256(), False
+            key, sha, sums = row_id, hashlib.sha256(), [0, 0, 0]
         if a_ids:
-            sha.update(((";" if begun else "") + groups_text(a_ids, b_ids, a_sizes, b_sizes)).encode())
-            begun = True
+            sha.update(((";" if sums[0] else "") + groups_text(a_ids, b_ids, a_sizes, b_sizes)).encode())
+            sums = [s + len(x) for s, x in zip(sums, (a_ids, b_ids, a_sizes))]
     if key is not None:
         yield told()
 
@@ -639,16 +679,15 @@ def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def alignment_report(docs: DataFrame, a_path: str, b_path: str, size: int = RANGE, fan_in: int = FAN_IN) -> DataFrame:
     """Per document: doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256; zeros and '' without tokens."""
     made = align(docs, a_path, b_path, size, fan_in)
-    parts = made.sections.select("row_id", "at", "a_ids", "b_ids", "a_sizes", "b_sizes")
-    of = [F.sum(F.size(c)).alias(n) for c, n in (("a_ids", "n_a"), ("b_ids", "n_b"), ("a_sizes", "n_groups"))]
-    sizes = parts.groupBy("row_id").agg(*of)
-    # The digest of a text that was cut goes through its sections, one at a time.
-    longer = parts.where("row_id % 2 = 1").repartition("row_id").sortWithinPartitions("row_id", "at").drop("at")
-    digests = longer.mapInArrow(_digests, "row_id long, long_sha256 string")
-    links = with_counts(made.sections.select("row_id", F.inline("links")), pair_counts(made))
+    # The numbers and the digest of a text that was cut come from its sections, one at a time.
+    cut = made.sections.where("row_id % 2 = 1").repartition("row_id").sortWithinPartitions("row_id", "at").drop("at")
+    sums_of_cut = cut.mapInArrow(_digests, "row_id long, m_a long, m_b long, m_groups long, long_sha256 string")
+    links = with_counts(made.links.unionByName(made.cut_links), pair_counts(made))
     best = F.sum(F.when(F.col("best"), F.col("times")).otherwise(F.lit(0)))
     sums = links.groupBy("row_id").agg(best.alias("n_best"), F.sum(F.col("times") * F.col("n")).alias("count_sum"))
-    joined = made.texts.join(sizes, "row_id", "left").join(sums, "row_id", "left").join(digests, "row_id", "left")
+    joined = made.texts.join(sums, "row_id", "left").join(sums_of_cut, "row_id", "left")
+    for name in ("a", "b", "groups"):
+        joined = joined.withColumn(f"n_{name}", F.coalesce(f"n_{name}", f"m_{name}"))
     number = lambda c: F.coalesce(c, F.lit(0)).cast("long")
     n_links = F.col("n_a") + F.col("n_b") - F.col("n_groups")
     return joined.select(
