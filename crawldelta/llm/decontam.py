@@ -70,13 +70,34 @@ def item_sketches(items: DataFrame, size: int = WORDS, threshold: float = CONTAI
     return stored(kept, "sketches")
 
 
+def _may_hold(n: Column, size_class: Column, threshold: float) -> Column:
+    """Can a document of n distinct shingles hold the share of an item of the class, which has two to its power at least?"""
+    return F.pow(F.lit(2.0), size_class) * threshold <= n + F.lit(1e-9)
+
+
+def sent_hashes(hashed: DataFrame, bounds: dict[int, int], threshold: float = CONTAINMENT) -> DataFrame:
+    """(doc_id, text_key, n, h): of each document's n distinct hashes hs those that may meet a sketch.
+
+    bounds has the largest sketch hash of each size class. Classes whose items
+    are too large for a document do not raise its bound; where all are, nothing
+    is sent.
+    """
+    classes = F.array(*[F.struct(F.lit(c).alias("size_class"), F.lit(top).alias("top")) for c, top in sorted(bounds.items())])
+    sized = hashed.withColumn("n", F.size("hs"))
+    held = F.filter(classes, lambda c: _may_hold(F.col("n"), c["size_class"], threshold))
+    bounded = sized.withColumn("bound", F.array_max(F.transform(held, lambda c: c["top"])))
+    low = F.filter("hs", lambda h: h <= F.col("bound"))
+    return bounded.where("bound IS NOT NULL").select("doc_id", "text_key", "n", F.explode(low).alias("h"))
+
+
 def contained_items(
     docs: DataFrame, items: DataFrame, size: int = WORDS, threshold: float = CONTAINMENT
 ) -> DataFrame:
     """(doc_id, item_id, containment) for every document that holds the share `threshold` of an item's distinct shingles.
 
-    Documents meet the sketches of one size class with their hashes up to that
-    class's largest one only; what meets is verified on the shingles' texts.
+    Sketches lie in classes by their items' size. A document meets those classes
+    only whose items are not too large for it to hold, with its hashes up to the
+    largest one of these classes; what meets is verified on the shingles' texts.
     Items of fewer words than a shingle are one shingle and match only a
     document of just these words; empty items match nothing; equal items match
     alike; rows with a null id take part. One row for each pair of a document
@@ -99,13 +120,8 @@ def _contained(docs: DataFrame, items: DataFrame, size: int = WORDS, threshold:
         return docs.select("doc_id", text_key("text").alias("text_key"), no_item, F.lit(0.0).alias("containment")).where(F.lit(False))
     texts = docs.select("doc_id", text_key("text").alias("text_key"), "text")
     hashed = texts.select("doc_id", "text_key", F.array_distinct(shingle_hashes(words(F.col("text")), size)).alias("hs"))
-    classes = F.array(*[F.struct(F.lit(c).alias("size_class"), F.lit(top).alias("top")) for c, top in sorted(bounds.items())])
-    highest = max(bounds.values())
-    low = F.filter("hs", lambda h: h <= F.lit(highest))
-    sent = hashed.select("doc_id", "text_key", F.explode(low).alias("h"))
-    met = sent.join(keys_for_join(sketches), "h").select("doc_id", "text_key", "item_key", "size_class", "h")
-    reach = F.filter(classes, lambda c: c["size_class"] == F.col("size_class"))[0]["top"]
-    pairs = stored(met.where(F.col("h") <= reach).select("doc_id", "text_key", "item_key").distinct(), "pairs")
+    met = sent_hashes(hashed, bounds, threshold).join(keys_for_join(sketches), "h")
+    pairs = stored(met.where(_may_hold(F.col("n"), F.col("size_class"), threshold)).select("doc_id", "text_key", "item_key").distinct(), "pairs")
     asked = pairs.withColumnsRenamed({"doc_id": "__d", "text_key": "__k"})
     same = texts["doc_id"].eqNullSafe(F.col("__d")) & (texts["text_key"] == F.col("__k"))
     suspects = texts.join(keys_for_join(asked), same).select("doc_id", "text_key", "text", "item_key")
