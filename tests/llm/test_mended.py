@@ -10,7 +10,7 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from crawldelta.llm import decontam, html_text, langid, licenses, secrets
+from crawldelta.llm import html_text, langid, licenses, secrets
 from crawldelta.llm.scratch import new_folder
 from tests.llm.test_operators import rows
 
@@ -234,15 +234,3 @@ def test_languages_of_held_out_documents(spark):
     told = langid.identify(langid.document_rows(docs.where(held)), *model).join(docs.select("doc_id", F.col("lang").alias("label")), "doc_id")
     found = told.agg(F.avg((F.col("lang") == F.col("label")).cast("double")).alias("right"), F.count("*").alias("n")).first()
     assert found.n > 100 and found.right > 0.9
-
-
-# ---------------------------------------------------------------- 9 decontamination
-
-
-def test_size_classes_bound_what_documents_send(spark):
-    docs = spark.createDataFrame([(n, 0, list(range(n))) for n in (0, 3, 7, 13, 26, 100)], "doc_id long, text_key long, hs array<long>")
-    # Items of 8 and more shingles have hashes up to 4, of 16 and more up to 2, of 64 and more up to 50.
-    sent = decontam.sent_hashes(docs, {3: 4, 4: 2, 6: 50})
-    got = {r.doc_id: r["count"] for r in sent.groupBy("doc_id").count().collect()}
-    assert got == {7: 5, 13: 5, 26: 5, 100: 51}
-    assert decontam.sent_hashes(docs, {7: 99}).count() == 0 and decontam.sent_hashes(docs, {4: 2}).where("doc_id < 13").count() == 0
