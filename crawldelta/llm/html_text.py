@@ -1,4 +1,4 @@
-"""Main text of pages: markup where it settles a block's role, a host suffix array where it does not."""
+"""Main text of pages: markup says what may be main text, host suffix arrays which of it is the site's and not the page's."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import hashlib
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from crawldelta.llm.scratch import ship_code, stored
+from crawldelta.llm.scratch import BROADCAST_ROWS, keys_for_join, new_folder, ship_code, stored
 
 #: A run of this many tokens on two distinct pages of a host is boilerplate.
 LEAST_TOKENS = 8
@@ -22,6 +22,16 @@ LEAST_TOKENS = 8
 #: Tokens of one suffix array; the streams of a larger host are dealt out by page.
 SEGMENT_TOKENS = 2_000_000
 
+#: Within marked articles, a run on more than half of a host's pages and in more than half of its distinct articles is the
+#: site's; hosts of fewer distinct articles tell nothing.
+SITE_ARTICLES = 10
+
+#: So many articles of a host that are read together have a suffix array there; fewer are sent to the host's others.
+TOGETHER = 50
+
+#: Marked articles of one suffix array.
+SEGMENT_ARTICLES = 500
+
 # ---------------------------------------------------------------- blocks of a page
 
 #: Elements whose text is never main text, raw-text elements,
@@ -204,34 +214,45 @@ def suffix_ranks(tokens: np.ndarray, least: int) -> np.ndarray:
     return rank
 
 
-def repeated_runs(streams: list[list[str]], least: int) -> Iterator[tuple[int, int, str]]:
-    """(stream, position, run) of every run of `least` tokens, one representative for each suffix-array bucket and stream.
+def _buckets(streams: Iterable[list[str]], least: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bucket, stream, position) of every run of `least` tokens, in the order of the suffix array, one for each bucket and stream.
 
     A bucket is a group of suffixes with the same first tokens. A stream's
     later suffixes of one bucket are found again by the run itself.
     """
-    lengths = [len(s) + 1 for s in streams]
     codes: dict[str, int] = {}
-    flat = np.empty(sum(lengths), np.int64)
-    owner = np.repeat(np.arange(len(streams)), lengths)
-    at = 0
+    parts = []
     for i, s in enumerate(streams):
-        flat[at : at + len(s)] = [codes.setdefault(t, len(codes)) for t in s]
-        flat[at + len(s)] = -1 - i  # a separator of its own: no run goes on into the next page
-        at += len(s) + 1
-    begin = np.concatenate(([0], np.cumsum(lengths)[:-1]))
+        # A separator of its own after each stream: no run goes on into the next page.
+        parts.append(np.fromiter((*[codes.setdefault(t, len(codes)) for t in s], -1 - i), np.int64, len(s) + 1))
+    lengths = np.array([len(p) for p in parts], np.int64)
+    flat = np.concatenate(parts) if parts else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(parts)), lengths)
+    place = np.arange(len(flat)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     rank = suffix_ranks(flat, least)
-    array = np.lexsort((np.arange(len(flat)), owner, rank))
-    inside = (np.arange(len(flat)) - begin[owner]) + least < np.array(lengths)[owner]
-    array = array[inside[array]]
+    inside = np.flatnonzero(place + least < lengths[owner])
+    array = inside[np.argsort(rank[inside] * (len(parts) + 1) + owner[inside], kind="stable")]
     fresh = np.ones(len(array), bool)
     fresh[1:] = (rank[array[1:]] != rank[array[:-1]]) | (owner[array[1:]] != owner[array[:-1]])
-    for suffix in array[fresh].tolist():
-        i = int(owner[suffix])
-        low = suffix - int(begin[i])
+    array = array[fresh]
+    return rank[array], owner[array], place[array]
+
+
+def repeated_runs(streams: list[list[str]], least: int) -> Iterator[tuple[int, int, str]]:
+    """(stream, position, run) of every run of `least` tokens, one representative for each suffix-array bucket and stream."""
+    _, owner, place = _buckets(streams, least)
+    for i, low in zip(owner.tolist(), place.tolist()):
         yield i, low, " ".join(streams[i][low : low + least])
 
 
+def common_runs(texts: list[str], least: int) -> list[str]:
+    """The runs of `least` tokens that more than half of the texts hold."""
+    bucket, owner, place = _buckets((t.split(" ") for t in texts), least)
+    begins = np.flatnonzero(np.diff(bucket, prepend=-1))
+    often = begins[2 * np.diff(begins, append=len(bucket)) > len(texts)]
+    return [" ".join(texts[i].split(" ")[low : low + least]) for i, low in zip(owner[often].tolist(), place[often].tolist())]
+
+
 def run_key(run: str) -> bytes:
     """128 bits that stand for a run where it is shuffled."""
     return hashlib.md5(run.encode(), usedforsecurity=False).digest()
@@ -255,26 +276,48 @@ def host(url: str) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(F.col(url), F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
 
 
-_READ = "page_id long, url string, host string, page_key string, has_article boolean, text string, open_blocks array<string>"
+#: The blocks of `article` are lines: white space within a block is a space. `common` has the runs found among the articles
+#: read together, in one row for all of them; articles that are `apart` are of a host that has few there.
+_READ = (
+    "page_id long, url string, host string, page_key string, has_article boolean, article string, open_blocks array<string>, "
+    "common array<binary>, apart boolean"
+)
+
+
+def _common_keys(articles: list[str], least: int) -> list[bytes]:
+    return list(map(run_key, common_runs([a.replace("\n", " ") for a in articles], least)))
 
 
-def _read_pages(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        for low in range(0, len(pdf), 500):
-            some = pdf.iloc[low : low + 500]
-            pages = [read_page(h) for h in some["html"]]
-            yield some.drop(columns="html").assign(
-                has_article=[p.has_article for p in pages],
-                text=[" ".join(p.article) for p in pages],
-                open_blocks=[p.open_blocks for p in pages],
-            )
+def _read_pages(least: int, segment_tokens: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            pages = [read_page(h) for h in pdf.pop("html")]
+            articles = ["\n".join(p.article) for p in pages]
+            common: list[list[bytes]] = [[] for _ in pages]
+            apart = np.array([p.has_article for p in pages], bool)
+            for own in pdf["host"].groupby(pdf["host"].to_numpy()).indices.values():
+                own = own[apart[own]]
+                if len(own) < TOGETHER:
+                    continue
+                apart[own] = False
+                tokens = sum(articles[i].count(" ") + articles[i].count("\n") + 1 for i in own)
+                for some in np.array_split(own, max(-(-len(own) // SEGMENT_ARTICLES), min(len(own), -(-tokens // segment_tokens)))):
+                    common[some[0]] = _common_keys([articles[i] for i in some], least)
+            columns = {"has_article": [p.has_article for p in pages], "article": articles, "open_blocks": [p.open_blocks for p in pages]}
+            yield pdf.assign(**columns, common=common, apart=apart)
+
+    return read
 
 
 def extract(pages: DataFrame, least: int = LEAST_TOKENS, segment_tokens: int = SEGMENT_TOKENS) -> DataFrame:
     """Per page: page_id, url, text. The whole html is read; null counts as empty.
 
-    Where a page marks its article (article, main, role main), the article's
-    blocks are its text: copies of an article on other pages stay text.
+    Where a page marks its article (article, main, role main), its text is the
+    article's blocks but those that are the site's: blocks within runs of
+    `least` tokens that more than half of the host's marked pages and more than
+    half of their distinct articles hold, as notices and adverts without a name
+    of their own do. Where these are more than half of an article it is a copy
+    with changes, and stays whole.
     Elsewhere every block that markup does not set aside goes into the stream of
     its host; runs of `least` tokens or more that two distinct pages share are
     boilerplate and go, and the unique runs stay, joined in page order. Blocks
@@ -290,11 +333,13 @@ def extract(pages: DataFrame, least: int = LEAST_TOKENS, segment_tokens: int = S
         F.sha2(F.concat_ws("\n", F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))).cast("binary"), 256).alias("page_key"),
         "html",
     )
-    read = keyed.mapInPandas(_read_pages, _READ)
     # Each page is parsed once. Its open blocks are few where the article is marked, the whole page where it is not.
-    parsed = stored(read, "parsed")
-    marked = parsed.where("has_article").select("page_id", "url", "text")
-    opened = parsed.where("size(open_blocks) > 0 or not has_article").drop("text")
+    folder = new_folder(pages.sparkSession, "parsed")
+    keyed.mapInPandas(_read_pages(least, segment_tokens), _READ).write.option("compression", "zstd").parquet(folder)
+    parsed = pages.sparkSession.read.schema(_READ).parquet(folder)
+    articles = parsed.where("has_article").withColumn("article_key", F.md5("article")).drop("has_article", "page_key", "open_blocks")
+    marked = _without_site_blocks(articles, _site_runs(articles, least, segment_tokens), least)
+    opened = parsed.where("size(open_blocks) > 0 or not has_article").drop("article", "common", "apart")
     unmarked = opened.where("not has_article")
     if unmarked.isEmpty():
         return marked
@@ -302,6 +347,74 @@ def extract(pages: DataFrame, least: int = LEAST_TOKENS, segment_tokens: int = S
     return marked.unionByName(cleaned)
 
 
+def _site_runs(articles: DataFrame, least: int, segment_tokens: int) -> DataFrame:
+    """Stored (host, run): the keys of runs of tokens on more than half of a host's marked pages and in more than half of their articles.
+
+    Suffix arrays of bounded size are built where enough of a host's articles
+    are read together; the others are dealt out by text into segments with a
+    suffix array each. What more than half of all pages hold, more than half of
+    some array's pages hold: only such runs go on, and are then counted over all
+    of the host's articles.
+    """
+    tokens = F.length("article") - F.length(F.translate("article", " \n", "")) + 1
+    apart = articles.where("apart").select("host", "article_key", "article")
+    sized = articles.groupBy("host").agg(
+        F.count(F.lit(1)).alias("pages"), F.count_if("apart").alias("n"), F.sum(F.when(F.col("apart"), tokens)).alias("tokens")
+    )
+    parts = F.ceil(F.greatest(F.col("n") / SEGMENT_ARTICLES, F.col("tokens") / segment_tokens)).cast("int")
+    sized = stored(sized.where((F.col("pages") >= SITE_ARTICLES) & (F.col("n") > 0)).select("host", parts.alias("parts")), "hosts")
+    dealt = apart.join(keys_for_join(sized), "host").withColumn("segment", F.pmod(F.xxhash64("article_key"), "parts"))
+
+    def common(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = pd.DataFrame({"run": _common_keys(pdf["article"].tolist(), least)}, dtype=object)
+        return found.assign(host=pdf["host"].iloc[0])[["host", "run"]]
+
+    local = dealt.select("host", "segment", "article").groupBy("host", "segment").applyInPandas(common, "host string, run binary")
+    asked = stored(local.unionByName(articles.select("host", F.explode("common").alias("run"))).distinct(), "asked")
+
+    def held(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = []
+            for name, key, article, runs in zip(pdf["host"], pdf["article_key"], pdf["article"], pdf["runs"]):
+                tokens = re.split("[ \n]", article)
+                own = {run_key(" ".join(tokens[i : i + least])) for i in range(len(tokens) - least + 1)}
+                rows += [(name, key, run) for run in (None, *own.intersection(map(bytes, runs)))]
+            yield pd.DataFrame(rows, columns=["host", "article_key", "run"])
+
+    # The rows without a run count the host's articles.
+    found = _with_runs(articles, asked).select("host", "article_key", "article", "runs").mapInPandas(held, "host string, article_key string, run binary")
+    counts = stored(found.groupBy("host", "run").agg(F.count(F.lit(1)).alias("pages"), F.count_distinct("article_key").alias("articles")), "counts")
+    of = counts.where("run is null").select("host", F.col("pages").alias("all_pages"), F.col("articles").alias("all_articles"))
+    most = (F.col("all_articles") >= SITE_ARTICLES) & (2 * F.col("pages") > F.col("all_pages")) & (2 * F.col("articles") > F.col("all_articles"))
+    return stored(counts.where("run is not null").join(of, "host").where(most).select("host", "run"), "site")
+
+
+def _with_runs(articles: DataFrame, runs: DataFrame) -> DataFrame:
+    """The articles of the hosts of stored (host, run), with their host's runs."""
+    listed = runs.groupBy("host").agg(F.collect_list("run").alias("runs"))
+    return articles.join(F.broadcast(listed) if runs.count() <= BROADCAST_ROWS else listed, "host")
+
+
+def _without_site_blocks(articles: DataFrame, runs: DataFrame, least: int) -> DataFrame:
+    """The articles without the blocks that lie within runs of their host; those that are more than half of such blocks stay whole."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            texts = []
+            for article, found in zip(pdf["article"], pdf["runs"]):
+                blocks = [b.split(" ") for b in article.split("\n")]
+                gone = covered([t for b in blocks for t in b], set(map(bytes, found)), least)
+                ends = np.cumsum([len(b) for b in blocks]).tolist()
+                own = [b for b, end in zip(blocks, ends) if not gone[end - len(b) : end].all()]
+                texts.append(" ".join(" ".join(b) for b in (own if 2 * sum(map(len, own)) >= ends[-1] else blocks)))
+            yield pdf[["page_id", "url"]].assign(text=texts)
+
+    plain = articles.join(keys_for_join(runs.select("host").distinct()), "host", "left_anti")
+    plain = plain.select("page_id", "url", F.translate("article", "\n", " ").alias("text"))
+    cut = _with_runs(articles, runs).select("page_id", "url", "article", "runs").mapInPandas(keep, "page_id long, url string, text string")
+    return plain.unionByName(cut)
+
+
 def _boilerplate(opened: DataFrame, least: int, segment_tokens: int) -> DataFrame:
     """Stored (host, run): the keys of runs of tokens on two distinct pages of a host that has an unmarked page.
 

@@ -110,6 +110,38 @@ def test_given_pages_without_their_article_tags(spark):
     assert got == want and any(len(t.split(" ")) < len(streams[p]) for p, t in want.items())
 
 
+def test_runs_of_most_texts_match_brute_force():
+    rng = random.Random(5)
+    for n in (0, 1, 2, 7):
+        texts = [" ".join(rng.choice("ab") for _ in range(rng.randint(0, 30))) for _ in range(n)]
+        for least in (1, 3, 5):
+            held = [{" ".join(t.split(" ")[k : k + least]) for k in range(len(t.split(" ")) - least + 1)} for t in texts]
+            got = html_text.common_runs(texts, least)
+            assert sorted(got) == sorted(r for r in set().union(*held) if 2 * sum(r in h for h in held) > n)
+
+
+@pytest.mark.parametrize("bound,together", [(html_text.SEGMENT_TOKENS, html_text.TOGETHER), (60, html_text.TOGETHER), (html_text.SEGMENT_TOKENS, 3), (60, 3)])
+def test_marked_articles_lose_the_blocks_of_their_site(spark, bound, together, monkeypatch):
+    monkeypatch.setattr(html_text, "TOGETHER", together)
+    notice = "read our letter of the week with all that readers liked"
+    body = lambda i: " ".join(f"own{i}x{k}" for k in range(20))
+    page = lambda *blocks: f"<article>{''.join(f'<p>{b}</p>' for b in blocks)}</article>"
+    data = [(i, f"http://a.example/{i}", page(body(i), notice, f"end {i}")) for i in range(12)]
+    data += [(20 + i, f"http://a.example/{20 + i}", page(body(20 + i), f"they said: {notice}")) for i in range(3)]
+    # On less than half of the pages, on few pages, on copies of one article, and in articles that are little else, it is text.
+    data += [(30 + i, f"http://b.example/{i}", page(body(30 + i), notice if i < 6 else "")) for i in range(12)]
+    data += [(50 + i, f"http://c.example/{i}", page(body(50 + i), notice)) for i in range(9)]
+    data += [(60 + i, f"http://d.example/{i}", page(body(60 + max(i, 20)), notice)) for i in range(24)]
+    data += [(90 + i, f"http://e.example/{i}", page(f"{i} again", notice, body(99))) for i in range(12)]
+    data += [(0, *data[0][1:])]
+    want = {i: f"{body(i)} end {i}" for i in range(12)} | {20 + i: f"{body(20 + i)} they said: {notice}" for i in range(3)}
+    want |= {30 + i: f"{body(30 + i)} {notice}" if i < 6 else body(30 + i) for i in range(12)} | {50 + i: f"{body(50 + i)} {notice}" for i in range(9)}
+    want |= {60 + i: f"{body(60 + max(i, 20))} {notice}" for i in range(24)} | {90 + i: f"{i} again {notice} {body(99)}" for i in range(12)}
+    pages = spark.createDataFrame(data, "page_id long, url string, html string")
+    found = html_text.extract(pages.repartition(3), segment_tokens=bound).collect()
+    assert {r.page_id: r.text for r in found} == want and len(found) == len(data)
+
+
 # ---------------------------------------------------------------- 4 licences
 
 
