@@ -17,6 +17,10 @@ _UNSAFE = [*map(chr, range(1, 32)), *'"#%\'*/:<=>?[\\]^{|}', chr(127)]
 _ESCAPE = f"%(?i:{'|'.join(f'{ord(c):02x}' for c in _UNSAFE)})"
 
 
+#: Stored files are read in no more tasks than this, or 64 for each core where that is more.
+READ_TASKS = 1_000
+
+
 def stored_name(address: Column) -> Column:
     """The file name for an address without its scheme, in one folder; `address_of` gives it back.
 
@@ -46,10 +50,13 @@ def read_sitemap_docs(spark: SparkSession, path: str, base: str = "https://") ->
     folder. Names that are no escapes of that rule are addresses as they stand.
     """
     files = spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True)
+    # Spark puts a few files in a task, however small they are; many small files are read one after another.
+    files = files.withColumn("uri", F.col("_metadata.file_path")).withColumn("fetched_at", F.col("_metadata.file_modification_time"))
+    files = files.coalesce(max(READ_TASKS, 64 * spark.sparkContext.defaultParallelism))
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     root = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(folder).toString().rstrip("/")
     # The file URI escapes what it must, once; a plus sign is a plus sign.
-    uri = F.col("_metadata.file_path")
+    uri = F.col("uri")
     place = F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
     plain = F.regexp_replace(place, "^([a-z][a-z0-9+.-]*):/+", "$1:/")
     start = re.sub("^([a-z][a-z0-9+.-]*):/+", r"\1:/", root)
@@ -57,7 +64,7 @@ def read_sitemap_docs(spark: SparkSession, path: str, base: str = "https://") ->
     return files.select(
         F.concat(F.lit(base), address_of(below)).alias("sitemap_url"),
         F.col("value").alias("xml"),
-        F.col("_metadata.file_modification_time").alias("fetched_at"),
+        "fetched_at",
     ).select(netloc(F.col("sitemap_url")).alias("domain"), "sitemap_url", "xml", "fetched_at")
 
 

@@ -3,6 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from crawldelta.checks import registry
+from crawldelta.checks.bindings import bind
 from crawldelta.functions import html, text, xml
 from crawldelta.operators import sitemaps as S
 from crawldelta.sources.documents import address_of, read_sitemap_docs, stored_name
@@ -115,6 +117,14 @@ def test_stored_names_are_given_back(spark, tmp_path):
     assert {r.sitemap_url: r.xml for r in read_sitemap_docs(spark, str(folder), "").collect()} == {a: a for a in ADDRESSES if a}
 
 
+def test_a_written_crawl_has_one_file_for_each_document(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(registry, "scratch", lambda spark, name: f"file:{tmp_path}/a crawl")
+    rows = registry.QUERIES["a3_sitemap_file_scan"](spark, sf_dir).count()
+    below = list((tmp_path / "a crawl").rglob("*"))
+    hosts = bind(spark, sf_dir, "x_docs").select("domain").distinct().count()
+    assert len([p for p in below if p.is_file()]) == rows and len([p for p in below if p.is_dir()]) == hosts
+
+
 REFERENCES = ["&nbsp;", "&nbsp", "&#32;", "&#x20;", "&#X9;", "&#10", "&#00013;x", "&#x0a0;", "&emsp;", "&Tab;", "&NewLine;", "&ThickSpace;", "&#8195;", "&#x2003", "&hairsp;",
               "&amp;", "&nbspx", "&nbsp=1", "&#320;", "&#32f", "&#x20f", "&emsp", "&zwj;", "&#8203;", "&", "&#;", "&eacute;", "&#0;", "&Nbsp;", "&nbsp;;"]
 
