@@ -17,6 +17,7 @@ that Spark writes to will do and a lost task leaves nothing behind:
 from __future__ import annotations
 
 import os
+import re
 import sys
 import zlib
 from array import array
@@ -68,13 +69,27 @@ _UNSURE = r"[ \n][ \n]|<\||[\x00\t\r\x0b\x0c\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000
 _KINDS = (r"(\pL)([^\pL \n\x00])", r"([^\pL \n'\x00])(\pL)")
 
 
+#: Letters after one space at most: a part that the splitter leaves whole, in any version of Unicode.
+_LETTERS = re.compile(" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+#: The sign that stands for each byte in a byte-level vocabulary; a line end stays.
+_OTHERS = sorted({*range(256)} - {*range(33, 127), *range(161, 173), *range(174, 256)})
+_SIGNS = {b: chr(256 + i) for i, b in enumerate(_OTHERS) if b != 10}
+
+
 def _encoder(path: str) -> tuple:
-    """The tokenizer and the ids of the pieces of text seen so far."""
+    """The tokenizer, the same for lines of parts, the bytes of each id, and the ids of the pieces of text seen so far."""
     if path not in _ENCODERS:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        _ENCODERS[path] = Tokenizer.from_file(path), {}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        model = Tokenizer.from_file(path)
+        by_line = Tokenizer(model.model)
+        by_line.pre_tokenizer = pre_tokenizers.CharDelimiterSplit("\n")
+        vocabulary = model.get_vocab(with_added_tokens=False)
+        n_bytes = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        n_bytes[list(vocabulary.values())] = list(map(len, vocabulary))
+        _ENCODERS[path] = model, by_line, n_bytes, [pa.array([], pa.large_string()), pa.array([], pa.large_binary())]
     return _ENCODERS[path]
 
 
@@ -97,21 +112,42 @@ def _encoded(model, parts: list[str]) -> list[bytes]:
     return out
 
 
-def _learn(words: list[str], model, memo: dict) -> None:
-    """Remember the ids of new pieces of text, by the parts that the tokenizer's own splitter makes of them."""
+def _encoded_letters(by_line, n_bytes: np.ndarray, words: list[str]) -> list[bytes]:
+    """Ids of words of `_LETTERS`. No splitter has to look at them; the bytes of the ids tell where a word ends."""
+    out = []
+    for low in range(0, len(words), 1000):
+        raw = "\n".join(words[low : low + 1000]).encode()
+        signs = raw.decode().replace(" ", _SIGNS[32]) if raw.isascii() else raw.decode("latin-1").translate(_SIGNS)
+        ids = np.array(by_line.encode_batch_fast([signs], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) == 10), len(raw))
+        ends -= np.arange(len(ends))
+        reached = np.cumsum(n_bytes[ids])
+        last = np.searchsorted(reached, ends)
+        if reached[-1] != ends[-1] or not np.array_equal(reached[last], ends):
+            raise ValueError("a word was not encoded by itself")
+        coded, cuts = ids.tobytes(), [0, *(4 * last + 4).tolist()]
+        out += [coded[a:b] for a, b in zip(cuts, cuts[1:])]
+    return out
+
+
+def _learn(words: list[str], model, by_line, n_bytes: np.ndarray) -> list[bytes]:
+    """The ids of distinct new pieces of text, by the parts that the tokenizer's own splitter makes of them."""
     import public_tokenizers
     import regex
 
+    letters = [w for w in words if _LETTERS.fullmatch(w)]
+    letters.sort(key=str.isascii)
+    found = dict(zip(letters, _encoded_letters(by_line, n_bytes, letters)))
     split = regex.compile(public_tokenizers.PATTERN).findall
-    mixed = {w: split(w) for w in words if not w.lstrip(" ").isalpha()}
-    fresh = {p for own in mixed.values() for p in own}.difference(memo)
-    fresh.update(w for w in words if w not in mixed)
-    lines = [p for p in fresh if not p.isspace()]
-    memo.update(zip(lines, _encoded(model, lines)))
-    for p in fresh.difference(lines):
-        memo[p] = _as_bytes(model.encode(p, add_special_tokens=False).ids) if p else b""
-    for w, own in mixed.items():
-        memo[w] = b"".join([memo[p] for p in own])
+    others = set(words).difference(letters)
+    mixed = {w: split(w) for w in others if not w.lstrip(" ").isalpha()}
+    fresh = {p for own in mixed.values() for p in own}
+    fresh.update(w for w in others if w not in mixed)
+    lines = [p for p in fresh.difference(letters) if not p.isspace()]
+    found.update(zip(lines, _encoded(model, lines)))
+    for p in fresh.difference(found):
+        found[p] = _as_bytes(model.encode(p, add_special_tokens=False).ids) if p else b""
+    return [b"".join([found[p] for p in mixed[w]]) if w in mixed else found[w] for w in words]
 
 
 def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[bytes]:
@@ -124,7 +160,7 @@ def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[byt
     beside white space, or with the opening of a special token, are encoded
     whole.
     """
-    model, memo = _encoder(tokenizer)
+    model, by_line, n_bytes, memo = _encoder(tokenizer)
     column = pc.fill_null(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()), "")
     unsure = pc.match_substring_regex(column, _UNSURE)
     whole = np.flatnonzero(unsure.to_numpy(zero_copy_only=False)).tolist()
@@ -136,17 +172,17 @@ def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[byt
         marked = pc.replace_substring_regex(marked, kinds, "\\1\x00\\2")
     cut = pc.split_pattern(marked, "\x00")
     coded = cut.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    found = list(map(memo.get, words))
-    lacking = [i for i, ids in enumerate(found) if ids is None]
-    if lacking:
-        _learn([words[i] for i in lacking], model, memo)
-        for i in lacking:
-            found[i] = memo[words[i]]
-    if len(memo) > REMEMBERED:  # the present batch's pieces are the likeliest to come again
-        memo.clear()
-        memo.update(zip(words, found))
-    ids = pa.array(found, pa.large_binary()).take(coded.indices)
+    known, known_ids = memo
+    place = pc.index_in(coded.dictionary, value_set=known)
+    lacking = coded.dictionary.filter(place.is_null())
+    if len(lacking):
+        learnt = _learn(lacking.to_pylist(), model, by_line, n_bytes)
+        known, known_ids = pa.concat_arrays([known, lacking]), pa.concat_arrays([known_ids, pa.array(learnt, pa.large_binary())])
+        place = pc.replace_with_mask(place, place.is_null(), pa.array(np.arange(len(known) - len(lacking), len(known)), pa.int32()))
+    found = known_ids.take(place)
+    # The present batch's pieces are the likeliest to come again.
+    memo[:] = (known, known_ids) if len(known) <= REMEMBERED else (coded.dictionary, found)
+    ids = found.take(coded.indices)
     at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
     data = memoryview(ids.buffers()[2] or b"")
     end = np.array([END_ID], "<u4").tobytes()
