@@ -43,7 +43,7 @@ SHARD_BYTES = 4 << 20
 REMEMBERED = 450_000
 
 #: Bytes of text encoded together.
-ENCODED_AT_ONCE = 4 << 20
+ENCODED_AT_ONCE = 8 << 20
 
 _SHARD = pa.schema(
     [("shard", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("first_doc", pa.int64())]
@@ -171,7 +171,8 @@ def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[byt
     for kinds in _KINDS:
         marked = pc.replace_substring_regex(marked, kinds, "\\1\x00\\2")
     cut = pc.split_pattern(marked, "\x00")
-    coded = cut.flatten().dictionary_encode()
+    coded, offsets = cut.flatten().dictionary_encode(), cut.offsets.to_numpy() - cut.offsets[0].as_py()
+    del column, marked, cut  # the texts with their cuts are larger than all that follows
     known, known_ids = memo
     place = pc.index_in(coded.dictionary, value_set=known)
     lacking = coded.dictionary.filter(place.is_null())
@@ -183,7 +184,7 @@ def encode_bytes(texts: list[str | None] | pa.Array, tokenizer: str) -> list[byt
     # The present batch's pieces are the likeliest to come again.
     memo[:] = (known, known_ids) if len(known) <= REMEMBERED else (coded.dictionary, found)
     ids = found.take(coded.indices)
-    at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][cut.offsets.to_numpy() - cut.offsets[0].as_py()].tolist()
+    at = np.frombuffer(ids.buffers()[1], np.int64)[ids.offset :][offsets].tolist()
     data = memoryview(ids.buffers()[2] or b"")
     end = np.array([END_ID], "<u4").tobytes()
     out = [bytes(data[a:b]) + end for a, b in zip(at, at[1:])]
